@@ -13,15 +13,22 @@ _FLOAT = (
     rf"(?i)^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
     r"|inf(?:inity)?|nan)\s*$"
 )
+# Characters of an ordinary literal. Over these alone the cast accepts the same texts.
+_ORDINARY = r"^[0-9.+eE-]+$"
 _INTEGER = rf"^\s*[+-]?{_DIGITS}\s*$"
 
 
 def lenient_double(text: Column) -> Column:
-    """Text as a double; missing, empty or unreadable text is 0.0."""
+    """Text as a double; missing, empty or unreadable text is 0.0.
+
+    Ordinary literals pass one cheap test; the full pattern runs on what is left.
+    """
     plain = F.regexp_replace(text, r"[_\s]", "")
     unsigned_nan = F.regexp_replace(plain, r"(?i)^[+-](?=nan$)", "")
     return F.coalesce(
-        F.when(text.rlike(_FLOAT), unsigned_nan.try_cast("double")), F.lit(0.0)
+        F.when(text.rlike(_ORDINARY), text.try_cast("double")),
+        F.when(text.rlike(_FLOAT), unsigned_nan.try_cast("double")),
+        F.lit(0.0),
     )
 
 

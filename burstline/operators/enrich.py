@@ -34,7 +34,8 @@ def mark_blocked(
     Spark broadcasts the blacklist while it is small enough and else shuffles both sides,
     where AQE splits a hot user in batch jobs. Stateful streams run without AQE: for a
     blacklist beyond the broadcast size, ``salt_buckets`` spreads each user's transactions
-    over that many partitions and copies each blacklist row to all of them.
+    over that many partitions and copies each blacklist row to all of them. The copies are
+    never broadcast.
     """
     if not already_unique:
         blacklist = unique_blacklist(blacklist)
@@ -42,7 +43,7 @@ def mark_blocked(
         salt = F.pmod(F.xxhash64("Transaction_ID", "event_time", "Amount"), F.lit(salt_buckets))
         buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))
         transactions = transactions.withColumn("_salt", salt)
-        blacklist = blacklist.withColumn("_salt", F.explode(buckets))
+        blacklist = blacklist.withColumn("_salt", F.explode(buckets)).hint("merge")
         joined = transactions.join(blacklist, ["User_ID", "_salt"], "left").drop("_salt")
     else:
         joined = transactions.join(blacklist, "User_ID", "left")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from burstline.config import FeedConfig, interval_text
 from burstline.functions.coerce import (
@@ -63,7 +64,11 @@ def assign_scenario(
     Label 1 is fraud; of the others a fixed share starts a burst and the rest get a user
     from the pool. ``label`` may be typed or still text.
     """
-    is_fraud = F.lit(False) if label is None else routing_label(F.col(label).cast("string")) == 1
+    is_fraud = F.lit(False)
+    if label is not None:
+        is_text = isinstance(rows.schema[label].dataType, StringType)
+        number = routing_label(F.col(label)) if is_text else F.col(label)
+        is_fraud = F.coalesce(number == 1, F.lit(False))
     digest = F.col("_digest")
     drawn = rows.withColumn("_digest", key_digest(F.col(key)))
     is_burst = digest_bucket(digest, 0, 10_000) < config.burst_per_10000

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from burstline.config import DetectionConfig
 from burstline.operators.decode import decode_for_detection
 from burstline.operators.enrich import categorize, mark_blocked
-from burstline.operators.route import fraud_alerts, normal_transactions
+from burstline.operators.route import fraud_alerts, normal_transactions, routed_transactions
 from burstline.operators.windows import bot_detection, summary_statistics
 from burstline.streaming.runner import StreamJob
 from burstline.streaming.sinks import Sink
@@ -22,14 +22,18 @@ OUTPUTS = {
     "bot_detection": ("update", "5 seconds", 30),
     "summary_statistics": ("update", "10 seconds", 10),
 }
+# In place of the first two when they are folded into one query.
+FOLDED = {"routed_transactions": ("append", "3 seconds", 50)}
 
 
 @dataclass(frozen=True)
 class Detection:
-    """The four outputs over one set of transactions, batch or streaming."""
+    """The four outputs over one set of transactions, batch or streaming, and the first two
+    folded into one."""
 
     normal_transactions: DataFrame
     fraud_alerts: DataFrame
+    routed_transactions: DataFrame
     bot_detection: DataFrame
     summary_statistics: DataFrame
 
@@ -51,6 +55,7 @@ def detect(
     return Detection(
         normal_transactions(enriched, config),
         fraud_alerts(enriched),
+        routed_transactions(enriched, config),
         bot_detection(categorized, config),
         summary_statistics(enriched, config),
     )
@@ -61,14 +66,29 @@ def detect_messages(
     blacklist: DataFrame,
     config: DetectionConfig = DetectionConfig(),
     already_unique: bool = False,
+    salt_buckets: int = 1,
 ) -> Detection:
-    return detect(decode_for_detection(messages), blacklist, config, already_unique)
+    transactions = decode_for_detection(messages)
+    return detect(transactions, blacklist, config, already_unique, salt_buckets)
 
 
 def detection_jobs(
-    outputs: Detection, root: str, sink: Callable[[str], Sink], live: bool = True
+    outputs: Detection,
+    root: str,
+    sink: Callable[[str], Sink],
+    live: bool = True,
+    fold_routes: bool = False,
 ) -> list[StreamJob]:
-    """The four named queries, each with a checkpoint of its own under ``root``."""
+    """The named queries, each with a checkpoint of its own under ``root``.
+
+    They share a plan but no execution: every query reads the source for itself.
+    ``fold_routes`` runs the two stateless ones as one. ``live`` queries run on their
+    trigger intervals, others drain what is there.
+    """
+    plans = dict(OUTPUTS)
+    if fold_routes:
+        stateful = {name: plan for name, plan in OUTPUTS.items() if plan[0] == "update"}
+        plans = {**FOLDED, **stateful}
     return [
         StreamJob(
             name,
@@ -78,5 +98,5 @@ def detection_jobs(
             f"{root}/checkpoints/{name}",
             every if live else None,
         )
-        for name, (mode, every, _) in OUTPUTS.items()
+        for name, (mode, every, _) in plans.items()
     ]
