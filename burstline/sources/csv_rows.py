@@ -45,11 +45,16 @@ def read_csv_rows(
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=_RAW_LINE,
             multiLine=multi_line,
+            # Fields are counted by the parser only if it splits whole lines.
+            columnPruning=False,
         )
         .csv(path)
     )
     raw_line = F.col(_RAW_LINE)
     complete = raw_line.isNull() | (csv_field_count(raw_line) >= len(names))
-    return rows.filter(complete).select(
-        *names, F.monotonically_increasing_id().alias(ROW_KEY)
+    # Spark refuses a scan that reads nothing but the raw line, as ``count`` would make
+    # it; this is always true and names a field.
+    names_a_field = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+    return rows.filter(complete & names_a_field).select(
+        *(f"`{name}`" for name in names), F.monotonically_increasing_id().alias(ROW_KEY)
     )

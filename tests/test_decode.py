@@ -1,0 +1,80 @@
+import math
+from datetime import datetime
+
+import pytest
+
+from burstline.operators.decode import decode_for_detection, decode_json, with_event_time
+from burstline.schemas import DETECTION_FIELDS, MESSAGE, narrowed
+
+
+def decode(spark, *values):
+    rows = [(None if v is None else v.encode(),) for v in values]
+    frame = spark.createDataFrame(rows, "value binary")
+    return with_event_time(decode_json(frame)).collect()
+
+
+def test_all_fields(spark):
+    components = ",".join(f'"V{i}":{i}.5' for i in range(1, 29))
+    (row,) = decode(
+        spark,
+        '{"Transaction_ID":"TXN_1_1000","User_ID":"User_0001","Amount":12.5,"Time":3.0,'
+        '"Timestamp":"2024-01-01T00:00:07.000123","Class":1,"Bot_Sequence":2,'
+        f'{components},"extra":[1]}}',
+    )
+    assert row.asDict() == {
+        "Transaction_ID": "TXN_1_1000",
+        "User_ID": "User_0001",
+        "Timestamp": "2024-01-01T00:00:07.000123",
+        "Time": 3.0,
+        "Amount": 12.5,
+        "Class": 1,
+        "Bot_Sequence": 2,
+        **{f"V{i}": i + 0.5 for i in range(1, 29)},
+        "event_time": datetime(2024, 1, 1, 0, 0, 7, 123),
+    }
+    assert len(MESSAGE.fields) == 35
+
+
+def test_time_without_fraction(spark):
+    (row,) = decode(spark, '{"Timestamp":"2024-01-01T00:00:00"}')
+    assert row.event_time == datetime(2024, 1, 1)
+
+
+@pytest.mark.parametrize("value", ["not json", "[1]", "", None, "{}", '{"Timestamp"'])
+def test_undecodable_message_is_a_row_of_nulls(spark, value):
+    (row,) = decode(spark, value)
+    assert set(row.asDict().values()) == {None}
+
+
+def test_mistyped_field_is_null_and_others_stay(spark):
+    a, b = decode(
+        spark,
+        '{"Transaction_ID":"b","Amount":"x","Class":1}',
+        '{"Transaction_ID":"c","Amount":2,"Class":1.5}',
+    )
+    assert (a.Transaction_ID, a.Amount, a.Class) == ("b", None, 1)
+    assert (b.Transaction_ID, b.Amount, b.Class) == ("c", 2.0, None)
+
+
+def test_nan_amount(spark):
+    a, b = decode(spark, '{"Amount":NaN,"extra":1}', '{"Amount":"NaN"}')
+    assert math.isnan(a.Amount) and math.isnan(b.Amount)
+
+
+@pytest.mark.parametrize("text", ["garbage", "", "2024-13-01T00:00:00"])
+def test_unreadable_time_is_null(spark, text):
+    (row,) = decode(spark, f'{{"Timestamp":"{text}","Class":0}}')
+    assert row.event_time is None and row.Class == 0
+
+
+def test_missing_time_is_null(spark):
+    (row,) = decode(spark, '{"Class":0}')
+    assert row.event_time is None
+
+
+def test_detection_reads_few_fields(spark):
+    frame = spark.createDataFrame([(b'{"Amount":1,"V1":2}',)], "value binary")
+    decoded = decode_for_detection(frame)
+    assert decoded.columns == [*DETECTION_FIELDS, "event_time"]
+    assert decoded.first().Amount == 1.0
+    assert narrowed(MESSAGE, ["Amount"]).names == ["Amount"]

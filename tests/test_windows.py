@@ -1,0 +1,189 @@
+import math
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from burstline.config import DetectionConfig, SlidingWindow, interval_text
+from burstline.operators import windows
+from burstline.operators.enrich import categorize
+from burstline.operators.windows import (
+    bot_detection,
+    bot_windows,
+    flat_window,
+    summary_statistics,
+)
+from burstline.schemas import BOT, SUMMARY
+from tests.conftest import at
+
+COLUMNS = (
+    "Transaction_ID string, User_ID string, Amount double, Class int, event_time timestamp, "
+    "User_Status string"
+)
+EVERY = DetectionConfig(bot_more_than=0)
+
+
+def frame(spark, rows):
+    full = [
+        (str(i), user, amount, label, time, status)
+        for i, (user, amount, label, time, status) in enumerate(rows)
+    ]
+    return categorize(spark.createDataFrame(full, COLUMNS))
+
+
+def events(spark, *times, user="u"):
+    return frame(spark, [(user, 10.0, 0, time, "ACTIVE") for time in times])
+
+
+def test_event_lies_in_two_bot_windows(spark):
+    rows = bot_detection(events(spark, at(0, 7)), EVERY).collect()
+    assert {(r.window_start, r.window_end) for r in rows} == {
+        (at(0, 0), at(0, 10)),
+        (at(0, 5), at(0, 15)),
+    }
+
+
+def test_event_lies_in_three_summary_windows(spark):
+    rows = flat_window(summary_statistics(events(spark, at(0, 7)))).collect()
+    first = datetime(2023, 12, 31, 23, 59, 40)
+    assert sorted(r.window_start for r in rows) == [
+        first + timedelta(seconds=10 * i) for i in range(3)
+    ]
+    assert {r.window_end - r.window_start for r in rows} == {timedelta(seconds=30)}
+
+
+def test_window_is_half_open(spark):
+    rows = bot_detection(events(spark, at(0, 10)), EVERY).collect()
+    assert {r.window_start for r in rows} == {at(0, 5), at(0, 10)}
+
+
+@pytest.mark.parametrize("count, alerts", [(4, 0), (5, 1), (6, 1)])
+def test_threshold_is_strict(spark, count, alerts):
+    times = [at(1, 1 + i / 1000) for i in range(count)]
+    rows = bot_detection(events(spark, *times)).collect()
+    assert len({r.User_ID for r in rows}) == alerts
+    assert {r.transaction_count for r in rows} == ({count} if alerts else set())
+
+
+def test_short_burst_always_alerts(spark):
+    for offset in range(0, 10):
+        times = [at(1, offset + 1.25 * i) for i in range(5)]
+        assert bot_detection(events(spark, *times)).count() >= 1
+
+
+def test_bot_output(spark):
+    rows = [("u", a, 0, at(0, 6), "ACTIVE") for a in (1.0, 2.0, None, 4.0, 5.5)]
+    out = bot_detection(frame(spark, rows))
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in BOT]
+    for row in out.collect():
+        assert (row.transaction_count, row.total_amount) == (5, 12.5)
+        assert row.Alert_Status == "BOT_DETECTED"
+        assert row.window_start.second % 5 == 0
+
+
+def test_blocked_and_fraud_rows_count_as_bursts(spark):
+    rows = [("User_Hacker", 1.0, 1, at(0, 6), "BLOCKED")] * 5
+    assert bot_detection(frame(spark, rows)).count() == 2
+
+
+def test_null_time_is_in_no_window(spark):
+    rows = [("u", 1.0, 0, None, "ACTIVE")] * 9
+    assert bot_detection(frame(spark, rows), EVERY).count() == 0
+    assert summary_statistics(frame(spark, rows)).count() == 0
+
+
+def test_sample_category_is_of_the_earliest(spark):
+    rows = [
+        ("u", 600.0, 0, at(0, 7), "ACTIVE"),
+        ("u", 1.0, 0, at(0, 6), "ACTIVE"),
+        ("u", 100.0, 0, at(0, 6), "ACTIVE"),
+    ]
+    out = bot_windows(frame(spark, rows), EVERY, sample_category=True).collect()
+    assert {r.sample_category for r in out} == {"Micro"}
+
+
+MIXED = [
+    ("a", 600.0, 0, at(0, 1), "ACTIVE"),
+    ("b", 10.0, 1, at(0, 2), "BLOCKED"),
+    ("c", 30.005, None, at(0, 3), "ACTIVE"),
+    (None, None, 1, at(0, 4), "ACTIVE"),
+    ("a", 5.25, 2, at(0, 33), "BLOCKED"),
+    ("a", math.nan, 0, at(9, 1), "ACTIVE"),
+    ("a", None, 0, at(20, 1), "ACTIVE"),
+]
+
+
+def test_summary_measures(spark):
+    out = summary_statistics(frame(spark, MIXED))
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [
+        (f.name, f.dataType.simpleString()) for f in SUMMARY
+    ]
+    rows = {r.window_start: r for r in flat_window(out).collect()}
+    row = rows[at(0, 0)]
+    assert tuple(row)[2:] == (4, 1, 1, 2, 1, 2, 213.34, 640.01)
+    row = rows[at(9, 0)]
+    assert row.macro_count == 1 and math.isnan(row.avg_amount) and math.isnan(row.total_amount)
+    row = rows[at(20, 0)]
+    assert (row.total_transactions, row.avg_amount, row.total_amount) == (1, None, None)
+    for row in rows.values():
+        assert row.macro_count + row.micro_count + row.normal_count == row.total_transactions
+
+
+def test_panes_give_the_windowed_result(spark, tables):
+    source = spark.read.parquet(f"{tables}/events.parquet").select(
+        F.col("ts").cast("timestamp").alias("event_time"),
+        F.col("value").alias("Amount"),
+        F.lit(0).alias("Class"),
+        F.lit("BLOCKED").alias("User_Status"),
+        F.when(F.col("value") > 100, "Macro").otherwise("Micro").alias("Category"),
+    )
+    hours = [(24, 8), (12, 12), (6, 1)]
+    for size, slide in hours:
+        window = SlidingWindow(timedelta(hours=size), timedelta(hours=slide), timedelta(0))
+        config = DetectionConfig(summary_window=window)
+        by_pane = sorted(windows._summary_by_pane(source, config).select(*SUMMARY.names).collect())
+        by_window = sorted(windows._summary_by_window(source, config).collect())
+        assert len(by_pane) == len(by_window)
+        for a, b in zip(by_pane, by_window, strict=True):
+            assert a[:7] == b[:7]
+            # The order of a sum of doubles decides which way half a cent is rounded.
+            assert a.avg_amount == pytest.approx(b.avg_amount, abs=0.0101)
+            assert a.total_amount == pytest.approx(b.total_amount, abs=0.0101)
+
+
+def test_uneven_slide_falls_back_to_windows(spark):
+    window = SlidingWindow(timedelta(seconds=10), timedelta(seconds=4), timedelta(0))
+    assert not window.has_whole_panes
+    config = DetectionConfig(summary_window=window)
+    rows = flat_window(summary_statistics(events(spark, at(0, 9)), config)).collect()
+    assert sorted(r.window_start for r in rows) == [at(0, 0), at(0, 4), at(0, 8)]
+
+
+def test_every_event_is_in_size_over_slide_windows(spark, tables):
+    times = spark.read.parquet(f"{tables}/events.parquet").select(
+        F.col("ts").cast("timestamp").alias("event_time"), F.lit("u").alias("User_ID"),
+        F.lit(1.0).alias("Amount"),
+    )
+    total = bot_detection(times, EVERY).agg(F.sum("transaction_count")).first()[0]
+    assert total == 2 * times.count()
+
+
+def test_hot_user_against_brute_force(spark):
+    start = at(0)
+    rows = [("hot" if i % 3 == 0 else f"u{i % 50}", 1.0, 0, start + timedelta(seconds=i * 0.7), "ACTIVE")
+            for i in range(1500)]
+    expected = Counter()
+    for user, _, _, time, _ in rows:
+        base = start + timedelta(seconds=5 * ((time - start) // timedelta(seconds=5)))
+        for back in (0, 5):
+            expected[(user, base - timedelta(seconds=back))] += 1
+    out = bot_detection(frame(spark, rows)).collect()
+    assert {(r.User_ID, r.window_start): r.transaction_count for r in out} == {
+        key: n for key, n in expected.items() if n > 4
+    }
+
+
+def test_interval_text():
+    assert interval_text(timedelta(hours=12)) == "43200 seconds"
+    assert interval_text(timedelta(milliseconds=10)) == "10000 microseconds"
