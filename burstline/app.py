@@ -77,7 +77,7 @@ def run_detection(
     jobs = detection_jobs(
         outputs, root, lambda name: output_sink(name, sink, root), live, fold_routes
     )
-    supervise(spark, start_all(jobs))
+    supervise(start_all(jobs))
 
 
 def _parser() -> argparse.ArgumentParser:

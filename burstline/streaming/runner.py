@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from burstline.streaming.sinks import Sink
 
+_POLL_SECONDS = 0.5
+
 
 @dataclass(frozen=True)
 class StreamJob:
@@ -54,15 +56,13 @@ def start_all(jobs: Sequence[StreamJob]) -> list[StreamingQuery]:
     return started
 
 
-def supervise(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+def supervise(queries: Sequence[StreamingQuery]) -> None:
     """Wait until all queries end. A failure of any one, or an interrupt, stops the rest
-    and is raised."""
+    and is raised. Other queries of the session do not matter."""
+    pending = list(queries)
     try:
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            query.awaitTermination()
+        while pending:
+            pending = [q for q in pending if not q.awaitTermination(_POLL_SECONDS)]
     finally:
         stop_all(queries)
 

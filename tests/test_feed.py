@@ -1,0 +1,185 @@
+import math
+from collections import Counter, defaultdict
+from datetime import timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from burstline.config import FeedConfig, MessageSource
+from burstline.functions.identity import user_id
+from burstline.operators.decode import decode_json, with_event_time
+from burstline.operators.feed import assign_scenario, envelope, normalize, totals
+from burstline.operators.windows import bot_detection
+from burstline.plans.feeding import feed, feed_from_csv
+from burstline.sources.messages import read_messages, scan_messages, write_messages
+from tests.conftest import at
+
+ROWS = 20_000
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    return spark.range(0, ROWS, 1, 4).select(
+        F.col("id").alias("row"),
+        F.timestamp_seconds(F.col("id") * 20).alias("event_time"),
+        (F.col("id") % 97).cast("double").alias("Amount"),
+        F.when(F.col("id") % 500 == 3, 1).otherwise(0).alias("Class"),
+    )
+
+
+@pytest.fixture(scope="module")
+def fed(source):
+    return feed(source, "row").collect()
+
+
+def test_user_ids(spark):
+    numbers = spark.createDataFrame([(n,) for n in (0, 7, 999, 1000, 12345)], "n long")
+    ids = [r[0] for r in numbers.select(user_id(F.col("n"))).collect()]
+    assert ids == ["User_0000", "User_0007", "User_0999", "User_1000", "User_12345"]
+
+
+def test_normalize_types_by_name(spark):
+    rows = spark.createDataFrame(
+        [("1", "bad", "", "0", None), (None, "2.5", "3", "", "x")],
+        "Time string, V1 string, Amount string, Class string, Note string",
+    )
+    out = normalize(rows, rows.columns)
+    assert [f.dataType.simpleString() for f in out.schema] == [
+        "double", "double", "double", "int", "string"
+    ]
+    assert [tuple(r) for r in out.collect()] == [
+        (1.0, 0.0, 0.0, 0, ""),
+        (0.0, 2.5, 3.0, 0, "x"),
+    ]
+
+
+def test_unreadable_label(spark):
+    rows = spark.createDataFrame([("a", "1"), ("b", "abc")], "Note string, Class string")
+    with pytest.raises(PySparkException, match="unreadable label"):
+        normalize(rows, rows.columns).collect()
+    out = normalize(rows, rows.columns, strict=False).collect()
+    assert [(r.Note, r.Class, r.bad_label) for r in out] == [("a", 1, False), ("b", None, True)]
+
+
+def test_totals_add_up(source, spark):
+    row = totals(feed(source, "row")).first()
+    assert row.total_sent == row.normal_count + row.fraud_count + row.bot_transactions
+    assert row.bot_transactions == row.bot_attacks * 5
+    assert row.fraud_count == ROWS // 500
+    assert row.normal_count + row.fraud_count + row.bot_attacks == ROWS
+    assert 0.015 < row.bot_attacks / ROWS < 0.025
+
+
+def test_scenarios(source):
+    rows = assign_scenario(source, "row").collect()
+    users = defaultdict(set)
+    for row in rows:
+        users[row.scenario].add(row.User_ID)
+        assert (row.scenario == "fraud") == (row.Class == 1)
+    assert users["fraud"] == {"User_Hacker"} and users["burst"] == {"User_Bot"}
+    assert users["normal"] == {f"User_{i:04d}" for i in range(1, 1001)}
+    busiest = Counter(r.User_ID for r in rows if r.scenario == "normal").most_common(1)[0][1]
+    assert busiest < 3 * ROWS / 1000
+
+
+def test_scenarios_do_not_depend_on_partitioning(source):
+    again = assign_scenario(source.repartition(7, "Amount"), "row")
+    columns = ["row", "scenario", "User_ID"]
+    expected = assign_scenario(source, "row").select(*columns).collect()
+    assert sorted(again.select(*columns).collect()) == sorted(expected)
+
+
+def test_label_may_be_text_or_absent(spark):
+    rows = spark.createDataFrame([(1, "1"), (2, "x"), (3, None)], "row int, Class string")
+    out = {r.row: r.scenario for r in assign_scenario(rows, "row").collect()}
+    assert out[1] == "fraud" and "fraud" not in (out[2], out[3])
+    assert assign_scenario(rows, "row", label=None).filter("scenario = 'fraud'").count() == 0
+
+
+def test_bursts(fed, source):
+    bursts = defaultdict(list)
+    for row in fed:
+        if row.scenario == "burst":
+            bursts[row.Transaction_ID.split("_")[2]].append(row)
+        else:
+            assert row.Bot_Sequence is None
+    amounts = {str(r.row): r.Amount for r in source.collect()}
+    for key, rows in bursts.items():
+        rows.sort(key=lambda r: r.Bot_Sequence)
+        assert [r.Bot_Sequence for r in rows] == [1, 2, 3, 4, 5]
+        assert {r.Amount for r in rows} == {amounts[key]}
+        assert [r.Timestamp[-6:] for r in rows] == [f"{i * 10000:06d}" for i in range(5)]
+
+
+def test_ids_are_unique(fed):
+    assert len({row.Transaction_ID for row in fed}) == len(fed)
+
+
+def test_every_burst_is_detected(spark, source):
+    sent = with_event_time(feed(source, "row")).cache()
+    bursts = sent.filter("Bot_Sequence = 1").select("event_time")
+    alerts = bot_detection(sent).filter("User_ID = 'User_Bot'")
+    seen = alerts.select("window_start", "window_end").collect()
+    for row in bursts.collect():
+        assert any(a.window_start <= row.event_time < a.window_end for a in seen)
+
+
+def test_envelope_round_trip(spark, fed, source, tmp_path):
+    log = MessageSource(format="parquet", path=str(tmp_path / "log"))
+    write_messages(envelope(feed(source, "row")), log)
+    messages = scan_messages(spark, log)
+    assert dict(messages.dtypes) == {"key": "binary", "value": "binary"}
+    decoded = decode_json(messages).collect()
+    names = ["Transaction_ID", "User_ID", "Timestamp", "Amount", "Class", "Bot_Sequence"]
+    assert Counter(tuple(r[n] for n in names) for r in decoded) == Counter(
+        tuple(r[n] for n in names) for r in fed
+    )
+    keyed = messages.selectExpr("CAST(key AS STRING) k", "CAST(value AS STRING) v").collect()
+    for row in keyed:
+        assert f'"User_ID":"{row.k}"' in row.v and "scenario" not in row.v
+        assert ("Bot_Sequence" in row.v) == (row.k == "User_Bot")
+
+
+def test_envelope_keeps_special_numbers_and_text(spark):
+    rows = spark.createDataFrame(
+        [("ü\"\\\n", math.nan), ("", math.inf), (None, -math.inf)], "User_ID string, Amount double"
+    )
+    messages = envelope(rows)
+    decoded = decode_json(messages).collect()
+    assert [r.User_ID for r in decoded] == ["ü\"\\\n", "", None]
+    assert math.isnan(decoded[0].Amount)
+    assert [r.Amount for r in decoded[1:]] == [math.inf, -math.inf]
+    assert [r.key for r in messages.collect()][1:] == [None, None]
+
+
+def test_feed_from_csv(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    lines = ["Time,V1,Amount,Class", '0,1.5,10.0,"0"', "2,2.5,20.0,1", "9,9", "3.5,x,,0,more"]
+    path.write_text("\n".join(lines), encoding="utf-8")
+    config = FeedConfig(burst_per_10000=0)
+    start = F.lit(at(5)).cast("timestamp")
+    rows = with_event_time(feed_from_csv(spark, str(path), start, config=config)).collect()
+    rows.sort(key=lambda r: r.event_time)
+    assert [(r.Time, r.V1, r.Amount, r.Class) for r in rows] == [
+        (0.0, 1.5, 10.0, 0), (2.0, 2.5, 20.0, 1), (3.5, 0.0, 0.0, 0)
+    ]
+    assert [r.event_time - at(5) for r in rows] == [timedelta(seconds=s) for s in (0, 2, 3.5)]
+    assert rows[1].User_ID == "User_Hacker" and "bad_label" not in rows[0].asDict()
+
+
+def test_feed_from_csv_with_unreadable_label(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("Time,Amount,Class\n0,1,0\n1,2,abc\ninf,3,1\nnan,4,1", encoding="utf-8")
+    with pytest.raises(PySparkException, match="unreadable label"):
+        feed_from_csv(spark, str(path)).collect()
+    kept = feed_from_csv(spark, str(path), strict=False, config=FeedConfig(burst_per_10000=0))
+    assert sorted(r.Amount for r in kept.collect()) == [1.0, 3.0, 4.0]
+
+
+def test_text_messages(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"User_ID":"u","Class":1}\nnot json\n', encoding="utf-8")
+    source = MessageSource(format="text", path=str(tmp_path))
+    batch = decode_json(scan_messages(spark, source))
+    assert [r.User_ID for r in batch.collect()] == ["u", None]
+    assert read_messages(spark, source).isStreaming
