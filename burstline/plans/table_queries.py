@@ -238,19 +238,14 @@ def q_envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = MessageSource(format="parquet", path=run_folder(spark, "feed"))
     write_messages(envelope(_feed(spark, sf_dir)), log)
     value = F.col("value").cast("string")
-    return scan_messages(spark, log).select(
+    fields = ["Transaction_ID", "User_ID", "Timestamp", "Amount", "Class"]
+    taken_apart = scan_messages(spark, log).select(
         F.col("key").cast("string").alias("message_key"),
-        *(
-            F.get_json_object(value, f"$.{name}").cast(kind).alias(name)
-            for name, kind in [
-                ("Transaction_ID", "string"),
-                ("User_ID", "string"),
-                ("Timestamp", "string"),
-                ("Amount", "double"),
-                ("Class", "int"),
-            ]
-        ),
         value.contains("Bot_Sequence").alias("in_burst"),
+        F.json_tuple(value, *fields).alias(*fields),
+    )
+    return taken_apart.withColumns(
+        {"Amount": F.col("Amount").cast("double"), "Class": F.col("Class").cast("int")}
     )
 
 
