@@ -15,10 +15,10 @@ import argparse
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from burstline.config import DetectionConfig, FeedConfig, MessageSource, dataset_path
-from burstline.operators.feed import envelope
+from burstline.operators.feed import envelope, total_measures
 from burstline.plans.detection import FOLDED, OUTPUTS, detect_messages, detection_jobs
 from burstline.plans.feeding import feed_from_csv
 from burstline.session import build_session
@@ -50,9 +50,13 @@ def run_feed(
     target: MessageSource,
     strict: bool = True,
     config: FeedConfig = FeedConfig(),
-) -> None:
+) -> dict[str, int]:
+    """Send a labelled CSV and return the run totals, which are taken while writing."""
     transactions = feed_from_csv(spark, dataset, strict=strict, config=config)
-    write_messages(envelope(transactions), target)
+    sent = Observation("feed_totals")
+    write_messages(envelope(transactions.observe(sent, *total_measures(config))), target)
+    _log.info("feed totals: %s", sent.get)
+    return sent.get
 
 
 def run_detection(

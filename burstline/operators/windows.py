@@ -13,6 +13,25 @@ def _sliding(time: str, window: SlidingWindow) -> Column:
     return F.window(time, window.size_text, window.slide_text)
 
 
+_CATEGORIES = ["Macro", "Micro", "Normal"]
+
+
+def _time_and_category() -> Column:
+    """Event time and category in one integer, time first.
+
+    The smallest one is found by hash aggregation; ``min_by`` over text would sort every
+    transaction first.
+    """
+    code = F.array_position(F.array(*map(F.lit, _CATEGORIES)), F.col("Category"))
+    return F.unix_micros("event_time") * 4 + code
+
+
+def _category_of(packed: str) -> Column:
+    return F.try_element_at(
+        F.array(*map(F.lit, _CATEGORIES)), F.pmod(F.col(packed), F.lit(4)).cast("int")
+    )
+
+
 def bot_windows(
     transactions: DataFrame,
     config: DetectionConfig = DetectionConfig(),
@@ -22,16 +41,15 @@ def bot_windows(
 
     Partial aggregation collapses a hot user before the shuffle, so what leaves a task is
     at most one row per user and window seen there. ``sample_category`` adds the category
-    of the earliest transaction in the window (the smallest id among equals).
+    of the earliest transaction in the window, the alphabetically first among equals.
     """
     measures = [
         F.count("*").alias("transaction_count"),
         F.sum("Amount").alias("total_amount"),
     ]
     if sample_category:
-        earliest = F.struct("event_time", "Transaction_ID")
-        measures.append(F.min_by("Category", earliest).alias("sample_category"))
-    return (
+        measures.append(F.min(_time_and_category()).alias("earliest"))
+    alerts = (
         transactions.withWatermark("event_time", config.bot_window.watermark_text)
         .groupBy(_sliding("event_time", config.bot_window).alias("window"), "User_ID")
         .agg(*measures)
@@ -41,6 +59,9 @@ def bot_windows(
         .withColumn("window_end", F.col("window.end"))
         .drop("window")
     )
+    if sample_category:
+        alerts = alerts.withColumn("sample_category", _category_of("earliest")).drop("earliest")
+    return alerts
 
 
 def bot_detection(

@@ -148,7 +148,7 @@ ORACLES: dict[str, str] = {
     "bot_detection": _BOT_DETECTION,
     "bot_sample_category": f"""WITH {_TX}, {_BOT_SOURCE}
       SELECT window_start, window_start + INTERVAL '24 hours' AS window_end, User_ID,
-             first(Category ORDER BY event_time, Transaction_ID) AS sample_category
+             first(Category ORDER BY event_time, Category) AS sample_category
       FROM windowed GROUP BY window_start, User_ID HAVING count(*) > 4""",
     "summary_statistics": _SUMMARY,
     "json_decode": """

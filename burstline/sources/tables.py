@@ -27,11 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Files taken into one micro-batch; what a failed batch has to repeat.
+BATCH_BYTES = "1t"
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of its files. A glob is given because a stream source takes a
-    plain path as a folder, and the table may be one file."""
+    """A table as a stream of its files, in no particular order.
+
+    A glob is given because a stream source takes a plain path as a folder, and the table
+    may be one file.
+    """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:

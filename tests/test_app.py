@@ -43,6 +43,14 @@ def test_feed_sends_every_row(spark, fed):
     assert bursts > 0 and sent.count() == 3000 + 4 * bursts
 
 
+def test_feed_returns_its_totals(spark, dataset, fed, tmp_path):
+    totals = app.run_feed(spark, dataset, MessageSource("parquet", path=str(tmp_path / "log")))
+    assert totals["total_sent"] == spark.read.parquet(str(fed / "log")).count()
+    assert totals["fraud_count"] == 30
+    assert totals["normal_count"] + totals["fraud_count"] + totals["bot_attacks"] == 3000
+    assert totals["bot_transactions"] == 5 * totals["bot_attacks"]
+
+
 @pytest.mark.parametrize("folded", [False, True])
 def test_detect_writes_every_output(spark, fed, tmp_path, folded):
     root = str(tmp_path)

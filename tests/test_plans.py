@@ -85,7 +85,9 @@ def test_burst_detection_has_no_join(outputs):
 
 
 def test_sample_category_is_not_computed_unless_asked(spark, tables):
-    assert "min_by" not in plan_of(QUERIES["bot_detection"](spark, tables))
+    assert "min(" not in plan_of(QUERIES["bot_detection"](spark, tables))
+    sampled = plan_of(QUERIES["bot_sample_category"](spark, tables))
+    assert "partial_min" in sampled and "SortAggregate" not in sampled
 
 
 def test_stateless_outputs_do_not_shuffle(outputs):

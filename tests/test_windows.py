@@ -101,6 +101,16 @@ def test_sample_category_is_of_the_earliest(spark):
     ]
     out = bot_windows(frame(spark, rows), EVERY, sample_category=True).collect()
     assert {r.sample_category for r in out} == {"Micro"}
+    for amount, category in [(600.0, "Macro"), (1.0, "Micro"), (None, "Normal")]:
+        rows = [("u", amount, 0, at(0, 7), "ACTIVE")]
+        out = bot_windows(frame(spark, rows), EVERY, sample_category=True).collect()
+        assert {r.sample_category for r in out} == {category}
+
+
+def test_sample_category_before_the_epoch(spark):
+    rows = [("u", 1.0, 0, datetime(1969, 12, 31, 23, 59, 58), "ACTIVE")]
+    out = bot_windows(frame(spark, rows), EVERY, sample_category=True).collect()
+    assert {r.sample_category for r in out} == {"Micro"}
 
 
 MIXED = [
