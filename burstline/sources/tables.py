@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Files taken into one micro-batch; what a failed batch has to repeat.
-BATCH_BYTES = "1t"
+BATCH_BYTES = 1 << 40
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
