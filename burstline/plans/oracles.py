@@ -99,7 +99,7 @@ _ISO = "strftime({t}, '%Y-%m-%dT%H:%M:%S.%f')"
 _DECODED = f"""
   WITH {_TX}
   SELECT Transaction_ID, User_ID, {_ISO.format(t="event_time")} AS Timestamp, Amount, Class,
-         CAST(NULL AS INTEGER) AS Bot_Sequence, CAST(NULL AS DOUBLE) AS V28, event_time
+         event_time
   FROM tx"""
 
 _ROUTES = f"""{_ENRICHED}

@@ -141,7 +141,7 @@ def q_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_json(messages_from_events(table(spark, sf_dir, "events")))
-    return with_event_time(decoded).select(*DETECTION_FIELDS, "Bot_Sequence", "V28", "event_time")
+    return with_event_time(decoded).select(*DETECTION_FIELDS, "event_time")
 
 
 def q_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +298,7 @@ def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_decode")
     replay.publish(replay.events)
     decoded = with_event_time(decode_json(read_messages(replay.spark, replay.log)))
-    columns = [*DETECTION_FIELDS, "Bot_Sequence", "V28", "event_time"]
+    columns = [*DETECTION_FIELDS, "event_time"]
     return spark.read.parquet(replay.drained_files(decoded.select(*columns)))
 
 
@@ -326,10 +326,12 @@ def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _drain_slices(replay: _Replay, output: DataFrame, path: str) -> None:
+def _drain_slices(
+    replay: _Replay, output: DataFrame, path: str, tasks: int | None = None
+) -> None:
     for part in time_slices(replay.events, "ts", REPLAY_SLICES):
         replay.publish(part)
-        replay.job(output, "update", change_log(path)).drain()
+        replay.job(output, "update", change_log(path, tasks)).drain()
 
 
 def _empty_log(replay: _Replay) -> None:
@@ -353,7 +355,7 @@ def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_summary", SUMMARY_STATE_PARTITIONS)
     _empty_log(replay)
     path = f"{replay.folder}/changes"
-    _drain_slices(replay, flat_window(replay.outputs().summary_statistics), path)
+    _drain_slices(replay, flat_window(replay.outputs().summary_statistics), path, 1)
     return latest(spark, path, _SUMMARY_KEYS)
 
 
@@ -372,8 +374,8 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         replay.publish(part)
         if i == 1:
             with suppress(StreamingQueryException):
-                replay.job(output, "update", change_log(path, after_write=lose)).drain()
-        replay.job(output, "update", change_log(path)).drain()
+                replay.job(output, "update", change_log(path, 1, lose)).drain()
+        replay.job(output, "update", change_log(path, 1)).drain()
     return latest(spark, path, _SUMMARY_KEYS)
 
 

@@ -53,16 +53,23 @@ def messages(target: MessageSource) -> Sink:
 
 
 def change_log(
-    path: str, after_write: Callable[[int], None] | None = None
+    path: str,
+    tasks: int | None = None,
+    after_write: Callable[[int], None] | None = None,
 ) -> Sink:
     """Keep every batch of changes under its batch number.
 
     A batch that is replayed after a failure has the same number and replaces its own
     folder, so the log holds each batch once. :func:`latest` is the upserted table.
-    ``after_write`` is called with the batch number once the batch is stored.
+
+    Each state partition writes a file unless the changes are first spread over ``tasks``;
+    set it where a batch changes few groups but state is wide. ``after_write`` is called
+    with the batch number once the batch is stored.
     """
 
     def write(changes: DataFrame, batch: int) -> None:
+        if tasks is not None:
+            changes = changes.repartition(tasks)
         changes.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch}")
         if after_write is not None:
             after_write(batch)

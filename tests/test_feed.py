@@ -94,6 +94,8 @@ def test_label_may_be_text_or_absent(spark):
     rows = spark.createDataFrame([(1, "1"), (2, "x"), (3, None)], "row int, Class string")
     out = {r.row: r.scenario for r in assign_scenario(rows, "row").collect()}
     assert out[1] == "fraud" and "fraud" not in (out[2], out[3])
+    numbers = spark.createDataFrame([(1, 2), (2, -1), (3, None)], "row int, Class int")
+    assert assign_scenario(numbers, "row").filter("scenario = 'fraud'").count() == 0
     assert assign_scenario(rows, "row", label=None).filter("scenario = 'fraud'").count() == 0
 
 

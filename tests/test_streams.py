@@ -130,7 +130,7 @@ def test_replayed_batch_replaces_itself(live, tmp_path):
     def lose(batch):
         raise RuntimeError("lost")
 
-    failing = job("replay", summary, "update", sinks.change_log(path, lose), tmp_path)
+    failing = job("replay", summary, "update", sinks.change_log(path, after_write=lose), tmp_path)
     with pytest.raises(StreamingQueryException):
         failing.drain()
     stored = live.read.parquet(path).count()
@@ -143,6 +143,16 @@ def test_replayed_batch_replaces_itself(live, tmp_path):
     assert {(r.total_transactions, r.total_amount) for r in rows} == {(2, 12.0)}
 
 
+def test_files_of_a_change_batch(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    path = tmp_path / "out"
+    alerts = bot_detection(decode_for_detection(lines.messages), EVERY)
+    lines.at(*[at(minute) for minute in range(40)])
+    job("few", alerts, "update", sinks.change_log(str(path), 1), tmp_path).drain()
+    assert len(list((path / "batch_id=0").glob("*.parquet"))) == 1
+    assert live.read.parquet(str(path)).count() == 80
+
+
 def test_append_rows_once_over_a_restart(live, tmp_path):
     lines = Lines(live, tmp_path / "in")
     path = str(tmp_path / "out")

@@ -132,6 +132,8 @@ def test_summary_measures(spark):
     rows = {r.window_start: r for r in flat_window(out).collect()}
     row = rows[at(0, 0)]
     assert tuple(row)[2:] == (4, 1, 1, 2, 1, 2, 213.34, 640.01)
+    row = rows[at(0, 30)]
+    assert (row.total_transactions, row.blocked_count, row.fraud_count) == (1, 1, 0)
     row = rows[at(9, 0)]
     assert row.macro_count == 1 and math.isnan(row.avg_amount) and math.isnan(row.total_amount)
     row = rows[at(20, 0)]
