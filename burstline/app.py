@@ -14,14 +14,22 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Observation, SparkSession
 
 from burstline.config import DetectionConfig, FeedConfig, MessageSource, dataset_path
 from burstline.operators.feed import envelope, total_measures
-from burstline.plans.detection import FOLDED, OUTPUTS, detect_messages, detection_jobs
+from burstline.plans.detection import (
+    FOLDED,
+    OUTPUTS,
+    SUMMARY_STATE_PARTITIONS,
+    Detection,
+    detect_messages,
+    detection_jobs,
+)
 from burstline.plans.feeding import feed_from_csv
-from burstline.session import build_session
+from burstline.session import build_session, stateful_session
 from burstline.sources.blacklist import read_blacklist, store_initial_blacklist
 from burstline.sources.messages import read_messages, write_messages
 from burstline.streaming.runner import start_all, supervise
@@ -40,7 +48,7 @@ def output_sink(name: str, kind: str, root: str) -> Sink:
         return console(rows=shown)
     path = f"{root}/outputs/{name}"
     if mode == "update":
-        return change_log(path)
+        return change_log(path, tasks=1 if name == "summary_statistics" else None)
     return files(path, ["Route"] if name in FOLDED else [])
 
 
@@ -70,14 +78,23 @@ def run_detection(
     salt_buckets: int = 1,
     config: DetectionConfig = DetectionConfig(),
 ) -> None:
-    """Run the detection queries until they end, one fails or the job is interrupted."""
-    outputs = detect_messages(
-        read_messages(spark, source),
-        read_blacklist(spark, blacklist_path),
-        config,
-        already_unique=True,
-        salt_buckets=salt_buckets,
-    )
+    """Run the detection queries until they end, one fails or the job is interrupted.
+
+    Bursts keep as many state partitions as ``spark`` has shuffle partitions, the summary
+    a few. Both numbers are frozen by the first run on ``root``.
+    """
+
+    def outputs_in(session: SparkSession) -> Detection:
+        return detect_messages(
+            read_messages(session, source),
+            read_blacklist(session, blacklist_path),
+            config,
+            already_unique=True,
+            salt_buckets=salt_buckets,
+        )
+
+    narrow = outputs_in(stateful_session(spark, SUMMARY_STATE_PARTITIONS))
+    outputs = replace(outputs_in(spark), summary_statistics=narrow.summary_statistics)
     jobs = detection_jobs(
         outputs, root, lambda name: output_sink(name, sink, root), live, fold_routes
     )

@@ -23,7 +23,11 @@ from burstline.operators.windows import (
     flat_window,
     summary_statistics,
 )
-from burstline.plans.detection import Detection, detect_messages
+from burstline.plans.detection import (
+    SUMMARY_STATE_PARTITIONS,
+    Detection,
+    detect_messages,
+)
 from burstline.plans.feeding import feed
 from burstline.schemas import DETECTION_FIELDS
 from burstline.session import SETTINGS, stateful_session
@@ -347,10 +351,6 @@ def q_stream_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(latest(spark, path, _BOT_KEYS))
 
 
-# A summary has few groups, whatever the volume.
-SUMMARY_STATE_PARTITIONS = 4
-
-
 def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_summary", SUMMARY_STATE_PARTITIONS)
     _empty_log(replay)
