@@ -38,7 +38,10 @@ def mark_blocked(
     never broadcast.
     """
     if not already_unique:
-        blacklist = unique_blacklist(blacklist)
+        # The grouping leaves rows partitioned by user, which a shuffled join would take as
+        # they are, and AQE splits a hot user only where both sides were shuffled for the
+        # join itself. Rebalancing the few blacklist rows makes it do so.
+        blacklist = unique_blacklist(blacklist).hint("rebalance")
     if salt_buckets > 1:
         salt = F.pmod(F.xxhash64("Transaction_ID", "event_time", "Amount"), F.lit(salt_buckets))
         buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from burstline.config import MessageSource, SlidingWindow
+from burstline.config import DetectionConfig, MessageSource, SlidingWindow
 from burstline.functions.identity import iso_text
 from burstline.operators.decode import decode_json, with_event_time
 from burstline.operators.enrich import categorize, enrich
@@ -35,6 +36,7 @@ from burstline.sources.blacklist import read_blacklist, store_blacklist, unique_
 from burstline.sources.csv_rows import read_csv_rows
 from burstline.sources.messages import read_messages, scan_messages, write_messages
 from burstline.sources.tables import (
+    BATCH_BYTES,
     EVENTS_CONFIG,
     blacklist_from_accounts,
     messages_from_events,
@@ -273,12 +275,17 @@ class _Replay:
     def publish(self, events: DataFrame) -> None:
         write_messages(messages_from_events(events), self.log)
 
-    def outputs(self, config=EVENTS_CONFIG) -> Detection:
+    def messages(self, bounded: bool = False) -> DataFrame:
+        """``bounded`` cuts the log into batches by size, in file order: for queries that
+        do not mind which messages share a batch."""
+        options = {"maxBytesPerTrigger": str(BATCH_BYTES)} if bounded else {}
+        return read_messages(self.spark, replace(self.log, options=options))
+
+    def outputs(self, config: DetectionConfig = EVENTS_CONFIG, bounded: bool = False) -> Detection:
         path = f"{self.folder}/blacklist"
         store_blacklist(self._blacklist, path)
         blacklist = read_blacklist(self.spark, path)
-        messages = read_messages(self.spark, self.log)
-        return detect_messages(messages, blacklist, config, already_unique=True)
+        return detect_messages(self.messages(bounded), blacklist, config, already_unique=True)
 
     def job(self, output: DataFrame, mode: str, sink) -> StreamJob:
         return StreamJob("replay", output, mode, sink, f"{self.folder}/checkpoint")
@@ -293,7 +300,7 @@ def _stateless(name: str, pick: Callable[[Detection], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         replay = _Replay(spark, sf_dir, name)
         replay.publish(replay.events)
-        return spark.read.parquet(replay.drained_files(pick(replay.outputs())))
+        return spark.read.parquet(replay.drained_files(pick(replay.outputs(bounded=True))))
 
     return query
 
@@ -301,7 +308,7 @@ def _stateless(name: str, pick: Callable[[Detection], DataFrame]) -> Query:
 def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_decode")
     replay.publish(replay.events)
-    decoded = with_event_time(decode_json(read_messages(replay.spark, replay.log)))
+    decoded = with_event_time(decode_json(replay.messages(bounded=True)))
     columns = [*DETECTION_FIELDS, "event_time"]
     return spark.read.parquet(replay.drained_files(decoded.select(*columns)))
 

@@ -11,6 +11,7 @@ from burstline.config import MessageSource
 from burstline.operators.enrich import mark_blocked
 from burstline.plans.detection import detect_messages
 from burstline.plans.table_queries import QUERIES
+from burstline.schemas import BLACKLIST
 from burstline.session import stateful_session
 from burstline.sources.blacklist import read_blacklist, store_blacklist
 from burstline.sources.messages import read_messages, write_messages
@@ -22,6 +23,7 @@ from burstline.sources.tables import (
     transactions_from_events,
 )
 from burstline.streaming import sinks
+from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob
 
 BATCH = [name for name in QUERIES if not name.startswith("stream_")]
@@ -129,6 +131,52 @@ def test_salted_blacklist_is_never_broadcast(spark, log, tables):
     assert re.search(r"SortMergeJoin \[User_ID#\d+, _salt#\d+L\]", plan)
 
 
+@contextlib.contextmanager
+def settings(session, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: session.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        session.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            session.conf.unset(name) if value is None else session.conf.set(name, value)
+
+
+@pytest.mark.parametrize("already_unique", [False, True])
+def test_hot_user_of_a_shuffled_join_is_split(spark, already_unique):
+    rows = spark.range(0, 400_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('u', id % 1000)) AS User_ID",
+        "CAST(id AS string) AS Transaction_ID",
+        "id * 0.5 AS Amount",
+    )
+    blacklist = spark.createDataFrame(
+        [("hot", "reason", "2024-01-01"), ("u1", "other", "2024-01-01")], BLACKLIST
+    )
+    off = {
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+        "spark__sql__shuffle__partitions": "16",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "100KB",
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "200KB",
+        "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    }
+    with settings(spark, **off):
+        joined = mark_blocked(rows, blacklist, already_unique)
+        blocked = joined.filter("User_Status = 'BLOCKED'")
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+        hot = len(range(0, 400_000, 3))
+        others = sum(1 for i in range(1, 400_000, 1000) if i % 3)
+        assert blocked.count() == hot + others
+
+
+def test_replay_slices_filter_in_the_scan(spark, tables):
+    first, middle, *_ = time_slices(table(spark, tables, "events"), "ts", 4)
+    assert "LessThan(ts,2024-01-" in plan_of(first)
+    assert "GreaterThanOrEqual(ts,2024-01-" in plan_of(middle)
+
+
 def test_unique_blacklist_makes_an_unused_join_vanish(spark, tables):
     transactions = transactions_from_events(table(spark, tables, "events"))
     accounts = blacklist_from_accounts(
@@ -166,3 +214,24 @@ def test_stateful_burst_stream_has_no_join(spark, log, tmp_path):
     session = stateful_session(spark, 3)
     plan = streaming_plan(session, log, lambda o: o.bot_detection, tmp_path)
     assert "Join" not in plan and "partial_count" in plan
+
+
+def test_stateful_stream_with_a_large_blacklist_is_salted(spark, log, tmp_path):
+    session = stateful_session(spark, 3)
+    source, path = log
+
+    def summary(messages):
+        blacklist = read_blacklist(session, path)
+        return detect_messages(
+            messages, blacklist, EVENTS_CONFIG, already_unique=True, salt_buckets=4
+        ).summary_statistics
+
+    out = str(tmp_path / "o")
+    stream = summary(read_messages(session, source))
+    job = StreamJob("salted", stream, "update", sinks.change_log(out), str(tmp_path / "c"))
+    plan = plan_of(job.drain())
+    assert re.search(r"SortMergeJoin \[User_ID#\d+, _salt#\d+L\]", plan)
+    counts = ["window", "total_transactions", "blocked_count"]
+    streamed = sinks.latest(session, out, ["window"]).select(*counts).collect()
+    batch = summary(session.read.parquet(source.path)).select(*counts).collect()
+    assert sorted(streamed) == sorted(batch) and sum(r.blocked_count for r in batch) > 0
