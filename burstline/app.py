@@ -6,7 +6,8 @@
 
 Without ``--to`` / ``--from`` messages go to and come from Kafka, at the servers and topic
 that ``KAFKA_BOOTSTRAP_SERVERS`` and ``KAFKA_TOPIC`` name; the connector has to be on the
-class path. ``--root`` holds checkpoints and outputs and must be shared by all executors.
+class path. ``--option`` passes source settings on, such as ``minPartitions=2000`` to read a
+topic with more tasks than it has partitions, or ``maxOffsetsPerTrigger``. ``--root`` holds checkpoints and outputs and must be shared by all executors.
 """
 
 from __future__ import annotations
@@ -38,8 +39,12 @@ from burstline.streaming.sinks import Sink, change_log, console, files
 _log = logging.getLogger(__name__)
 
 
-def message_source(path: str | None) -> MessageSource:
-    return MessageSource.from_env() if path is None else MessageSource("parquet", path=path)
+def message_source(path: str | None, settings: Sequence[str] = ()) -> MessageSource:
+    """Messages at ``path``, or in Kafka; ``settings`` are ``key=value`` source options."""
+    options = dict(setting.split("=", 1) for setting in settings)
+    if path is None:
+        return replace(MessageSource.from_env(), options=options)
+    return MessageSource("parquet", path=path, options=options)
 
 
 def output_sink(name: str, kind: str, root: str) -> Sink:
@@ -118,6 +123,8 @@ def _parser() -> argparse.ArgumentParser:
     detect.add_argument("--drain", action="store_true", help="stop at the end of the data")
     detect.add_argument("--fold-routes", action="store_true")
     detect.add_argument("--salt-buckets", type=int, default=1)
+    for job in (feed, detect):
+        job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     return parser
 
 
@@ -129,12 +136,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
         store_initial_blacklist(spark, options.path)
     elif options.job == "feed":
         dataset = options.dataset or dataset_path()
-        run_feed(spark, dataset, message_source(options.to), strict=not options.lenient)
+        target = message_source(options.to, options.option)
+        run_feed(spark, dataset, target, strict=not options.lenient)
     else:
         try:
             run_detection(
                 spark,
-                message_source(options.source),
+                message_source(options.source, options.option),
                 options.blacklist,
                 options.root,
                 options.sink,

@@ -151,9 +151,7 @@ ORACLES: dict[str, str] = {
              first(Category ORDER BY event_time, Category) AS sample_category
       FROM windowed GROUP BY window_start, User_ID HAVING count(*) > 4""",
     "summary_statistics": _SUMMARY,
-    "json_decode": """
-      SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS messages
-      FROM events GROUP BY 1""",
+    "json_decode": "SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "message_decode": _DECODED,
     "event_time": f"""
       SELECT event_id,

@@ -141,8 +141,7 @@ def q_summary_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     messages = events.select(F.col("props").cast("binary").alias("value"))
-    decoded = decode_json(messages, StructType([StructField("k", IntegerType())]))
-    return decoded.groupBy("k").agg(F.count("*").alias("messages"))
+    return decode_json(messages, StructType([StructField("k", IntegerType())]))
 
 
 def q_message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,15 @@ def test_defaults():
     assert (feed.burst_per_10000, feed.burst_rows, feed.pool_size) == (200, 5, 1000)
 
 
+def test_source_options_of_the_command_line(monkeypatch):
+    monkeypatch.delenv("KAFKA_TOPIC", raising=False)
+    kafka = app.message_source(None, ["minPartitions=9", "startingOffsets=earliest"])
+    assert kafka.read_options()["minPartitions"] == "9"
+    assert kafka.read_options()["startingOffsets"] == "earliest"
+    assert kafka.topic == "bank_transactions"
+    assert app.message_source("/log", ["a=b=c"]).read_options() == {"a": "b=c"}
+
+
 def test_file_sources_take_their_own_options():
     source = MessageSource("parquet", path="/log", options={"maxFilesPerTrigger": "9"})
     assert source.read_options() == {"maxFilesPerTrigger": "9"} == source.write_options()

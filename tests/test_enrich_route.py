@@ -81,7 +81,8 @@ def test_routing_matrix(spark):
     assert {r.Transaction_ID: r.Alert_Type for r in alerts.collect()} == types
     assert {r.Transaction_ID for r in unrouted(enriched).collect()} == ids("unrouted")
     assert {r.Transaction_ID: r.Route for r in with_route(enriched).collect()} == expected
-    folded = {r.Transaction_ID: (r.Route, r.Alert_Type) for r in routed_transactions(enriched).collect()}
+    rows = routed_transactions(enriched).collect()
+    folded = {r.Transaction_ID: (r.Route, r.Alert_Type) for r in rows}
     assert folded == {
         i: (route, types.get(i)) for i, route in expected.items() if route != "unrouted"
     }

@@ -183,8 +183,10 @@ def test_every_event_is_in_size_over_slide_windows(spark, tables):
 
 def test_hot_user_against_brute_force(spark):
     start = at(0)
-    rows = [("hot" if i % 3 == 0 else f"u{i % 50}", 1.0, 0, start + timedelta(seconds=i * 0.7), "ACTIVE")
-            for i in range(1500)]
+    rows = []
+    for i in range(1500):
+        user = "hot" if i % 3 == 0 else f"u{i % 50}"
+        rows.append((user, 1.0, 0, start + timedelta(seconds=i * 0.7), "ACTIVE"))
     expected = Counter()
     for user, _, _, time, _ in rows:
         base = start + timedelta(seconds=5 * ((time - start) // timedelta(seconds=5)))
