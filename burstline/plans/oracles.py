@@ -134,6 +134,10 @@ fed AS (
          {_ISO.format(t="sent")} AS Timestamp, Amount, Class, Bot_Sequence, scenario
   FROM repeated)"""
 
+_MESSAGES = f"""WITH {_FED}
+  SELECT User_ID AS message_key, Transaction_ID, User_ID, Timestamp, Amount, Class,
+         Bot_Sequence IS NOT NULL AS in_burst FROM fed"""
+
 ORACLES: dict[str, str] = {
     "categorize": f"WITH {_TX} SELECT Transaction_ID, Amount, Category FROM tx",
     "blacklist_scan": f"WITH {_BLACKLIST} SELECT * FROM blacklist",
@@ -187,14 +191,13 @@ ORACLES: dict[str, str] = {
              count(*) FILTER (WHERE Bot_Sequence = 1) AS bot_attacks,
              count(*) FILTER (WHERE scenario = 'burst') AS bot_transactions
       FROM fed""",
-    "envelope_json": f"""WITH {_FED}
-      SELECT User_ID AS message_key, Transaction_ID, User_ID, Timestamp, Amount, Class,
-             Bot_Sequence IS NOT NULL AS in_burst FROM fed""",
+    "envelope_json": _MESSAGES,
     "stream_decode": _DECODED,
     "stream_enrich": _JOINED,
     "stream_normal": _NORMAL,
     "stream_fraud": _ALERTS,
     "stream_routes": _ROUTES,
+    "stream_feed": _MESSAGES,
     "stream_bots": _BOT_DETECTION,
     "stream_summary": _SUMMARY,
     "stream_restart": _SUMMARY,

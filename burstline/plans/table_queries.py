@@ -48,6 +48,7 @@ from burstline.sources.tables import (
 from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob
 from burstline.streaming.sinks import change_log, files, latest
+from burstline.streaming.sinks import messages as messages_sink
 from burstline.streaming.workspace import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,8 +211,8 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(read_csv_rows(spark, path, columns), columns).select(*columns)
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+def _labelled(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_time"),
         F.col("value").alias("Amount"),
@@ -220,12 +221,12 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scenario_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = assign_scenario(_labelled(spark, sf_dir), "event_id")
+    drawn = assign_scenario(_labelled(table(spark, sf_dir, "events")), "event_id")
     return drawn.select("event_id", "Class", "scenario", "User_ID")
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed(_labelled(spark, sf_dir), "event_id")
+    return feed(_labelled(table(spark, sf_dir, "events")), "event_id")
 
 
 def q_burst_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,9 +243,13 @@ def q_envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as keyed messages in a log, read back and taken apart."""
     log = MessageSource(format="parquet", path=run_folder(spark, "feed"))
     write_messages(envelope(_feed(spark, sf_dir)), log)
+    return _taken_apart(scan_messages(spark, log))
+
+
+def _taken_apart(messages: DataFrame) -> DataFrame:
     value = F.col("value").cast("string")
     fields = ["Transaction_ID", "User_ID", "Timestamp", "Amount", "Class"]
-    taken_apart = scan_messages(spark, log).select(
+    taken_apart = messages.select(
         F.col("key").cast("string").alias("message_key"),
         value.contains("Bot_Sequence").alias("in_burst"),
         F.json_tuple(value, *fields).alias(*fields),
@@ -336,6 +341,15 @@ def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a stream of keyed messages."""
+    replay = _Replay(spark, sf_dir, "stream_feed")
+    events = table_stream(replay.spark, sf_dir, "events")
+    sent = envelope(feed(_labelled(events), "event_id"))
+    replay.job(sent, "append", messages_sink(replay.log)).drain()
+    return _taken_apart(scan_messages(spark, replay.log))
+
+
 def _drain_slices(
     replay: _Replay, output: DataFrame, path: str, tasks: int | None = None
 ) -> None:
@@ -426,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "stream_normal": _stateless("stream_normal", lambda d: d.normal_transactions),
     "stream_fraud": _stateless("stream_fraud", lambda d: d.fraud_alerts),
     "stream_routes": q_stream_routes,
+    "stream_feed": q_stream_feed,
     "stream_bots": q_stream_bots,
     "stream_summary": q_stream_summary,
     "stream_restart": q_stream_restart,

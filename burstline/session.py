@@ -22,14 +22,25 @@ STATE_SETTINGS = {
 }
 
 
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def build_session(app_name: str = "burstline", **settings: str) -> SparkSession:
-    """Session of a stand-alone job; ``spark-submit`` and ``SPARK_MASTER`` name the master."""
+    """Session of a stand-alone job; ``spark-submit`` and ``SPARK_MASTER`` name the master.
+
+    Batch shuffles start with several partitions per core and AQE merges small ones, so
+    their number follows the cluster and the data. Streams use
+    ``spark.sql.shuffle.partitions``, which is left to the caller.
+    """
     builder = SparkSession.builder.appName(app_name)
     if "SPARK_MASTER" in os.environ:
         builder = builder.master(os.environ["SPARK_MASTER"])
     for key, value in {**SETTINGS, **STATE_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
+        spark.conf.set(_INITIAL_PARTITIONS, str(4 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def stateful_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:

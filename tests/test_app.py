@@ -144,5 +144,9 @@ def test_stateful_session_has_its_own_settings(spark):
     assert int(stateful_session(spark).conf.get(key)) == spark.sparkContext.defaultParallelism
 
 
-def test_session_settings_pin_the_zone():
+def test_job_session(spark):
     assert session.SETTINGS["spark.sql.session.timeZone"] == "UTC"
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    built = session.build_session()
+    assert int(built.conf.get(key)) == 4 * spark.sparkContext.defaultParallelism
+    built.conf.unset(key)

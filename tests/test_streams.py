@@ -120,6 +120,19 @@ def test_update_output_is_a_change_log(live, tmp_path):
     assert {r.window_start: r.transaction_count for r in rows} == {at(0, 0): 7, at(0, 5): 7}
 
 
+def test_append_mode_gives_closed_windows_once(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    alerts = bot_detection(decode_for_detection(lines.messages), EVERY)
+    closed = job("closed", alerts, "append", sinks.files(str(tmp_path / "out")), tmp_path)
+    for minute in (0, 0, 1, 2):
+        lines.at(at(minute, 6))
+        closed.drain()
+    rows = live.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.window_start, r.transaction_count) for r in rows) == [
+        (at(0, 0), 2), (at(0, 5), 2), (at(1, 0), 1), (at(1, 5), 1)
+    ]
+
+
 def test_replayed_batch_replaces_itself(live, tmp_path):
     lines = Lines(live, tmp_path / "in")
     path = str(tmp_path / "out")
