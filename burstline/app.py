@@ -20,14 +20,17 @@ from dataclasses import replace
 from pyspark.sql import Observation, SparkSession
 
 from burstline.config import DetectionConfig, FeedConfig, MessageSource, dataset_path
+from burstline.operators.decode import decode_for_detection
 from burstline.operators.feed import envelope, total_measures
 from burstline.plans.detection import (
     FOLDED,
     OUTPUTS,
     SUMMARY_STATE_PARTITIONS,
     Detection,
-    detect_messages,
+    decode_job,
+    detect,
     detection_jobs,
+    read_decoded,
 )
 from burstline.plans.feeding import feed_from_csv
 from burstline.session import build_session, stateful_session
@@ -80,29 +83,36 @@ def run_detection(
     sink: str = "console",
     live: bool = True,
     fold_routes: bool = False,
+    decode_once: bool = False,
     salt_buckets: int = 1,
     config: DetectionConfig = DetectionConfig(),
 ) -> None:
     """Run the detection queries until they end, one fails or the job is interrupted.
 
     Bursts keep as many state partitions as ``spark`` has shuffle partitions, the summary
-    a few. Both numbers are frozen by the first run on ``root``.
+    a few. Both numbers are frozen by the first run on ``root``. ``decode_once`` puts a
+    typed table under ``root`` between the messages and the queries.
     """
+    decoded = f"{root}/outputs/decoded_transactions"
+    decoding = decode_job(read_messages(spark, source), decoded, root, live)
 
     def outputs_in(session: SparkSession) -> Detection:
-        return detect_messages(
-            read_messages(session, source),
-            read_blacklist(session, blacklist_path),
-            config,
-            already_unique=True,
-            salt_buckets=salt_buckets,
-        )
+        if decode_once:
+            transactions = read_decoded(session, decoded)
+        else:
+            transactions = decode_for_detection(read_messages(session, source))
+        blacklist = read_blacklist(session, blacklist_path)
+        return detect(transactions, blacklist, config, True, salt_buckets)
 
     narrow = outputs_in(stateful_session(spark, SUMMARY_STATE_PARTITIONS))
     outputs = replace(outputs_in(spark), summary_statistics=narrow.summary_statistics)
     jobs = detection_jobs(
         outputs, root, lambda name: output_sink(name, sink, root), live, fold_routes
     )
+    if decode_once and live:
+        jobs = [decoding, *jobs]
+    elif decode_once:
+        decoding.drain()
     supervise(start_all(jobs))
 
 
@@ -115,15 +125,16 @@ def _parser() -> argparse.ArgumentParser:
     feed.add_argument("--dataset", default=None)
     feed.add_argument("--to", default=None)
     feed.add_argument("--lenient", action="store_true", help="leave out unreadable labels")
-    detect = jobs.add_parser("detect", help="run the detection queries")
-    detect.add_argument("--blacklist", required=True)
-    detect.add_argument("--root", required=True)
-    detect.add_argument("--from", dest="source", default=None)
-    detect.add_argument("--sink", choices=["console", "tables"], default="console")
-    detect.add_argument("--drain", action="store_true", help="stop at the end of the data")
-    detect.add_argument("--fold-routes", action="store_true")
-    detect.add_argument("--salt-buckets", type=int, default=1)
-    for job in (feed, detect):
+    detection = jobs.add_parser("detect", help="run the detection queries")
+    detection.add_argument("--blacklist", required=True)
+    detection.add_argument("--root", required=True)
+    detection.add_argument("--from", dest="source", default=None)
+    detection.add_argument("--sink", choices=["console", "tables"], default="console")
+    detection.add_argument("--drain", action="store_true", help="stop at the end of the data")
+    detection.add_argument("--fold-routes", action="store_true")
+    detection.add_argument("--decode-once", action="store_true")
+    detection.add_argument("--salt-buckets", type=int, default=1)
+    for job in (feed, detection):
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     return parser
 
@@ -148,6 +159,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
                 options.sink,
                 not options.drain,
                 options.fold_routes,
+                options.decode_once,
                 options.salt_buckets,
             )
         except KeyboardInterrupt:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from burstline.config import DetectionConfig
 from burstline.operators.decode import decode_for_detection
 from burstline.operators.enrich import categorize, mark_blocked
 from burstline.operators.route import fraud_alerts, normal_transactions, routed_transactions
 from burstline.operators.windows import bot_detection, summary_statistics
+from burstline.schemas import DETECTION
 from burstline.streaming.runner import StreamJob
-from burstline.streaming.sinks import Sink
+from burstline.streaming.sinks import Sink, files
 
 # Query names with output mode, trigger interval and rows shown on a console.
 OUTPUTS = {
@@ -74,6 +75,28 @@ def detect_messages(
     return detect(transactions, blacklist, config, already_unique, salt_buckets)
 
 
+def decode_job(messages: DataFrame, path: str, root: str, live: bool = True) -> StreamJob:
+    """Decode each message once into a typed table that the detection queries can share.
+
+    Without it every query parses every message for itself.
+    """
+    return StreamJob(
+        "decoded_transactions",
+        decode_for_detection(messages),
+        "append",
+        files(path),
+        f"{root}/checkpoints/decoded_transactions",
+        "3 seconds" if live else None,
+    )
+
+
+def read_decoded(spark: SparkSession, path: str) -> DataFrame:
+    """The typed table as a stream, in the order in which its batches were stored."""
+    # A stream source must exist before its first files.
+    spark.createDataFrame([], DETECTION).write.mode("ignore").parquet(path)
+    return spark.readStream.schema(DETECTION).parquet(path)
+
+
 def detection_jobs(
     outputs: Detection,
     root: str,

@@ -98,3 +98,9 @@ SUMMARY = StructType(
 def narrowed(schema: StructType, names: list[str]) -> StructType:
     """The fields of ``schema`` called ``names``; ``from_json`` parses no others."""
     return StructType([schema[name] for name in names])
+
+
+# Decoded transactions as the detection queries take them.
+DETECTION = StructType(
+    [*narrowed(MESSAGE, DETECTION_FIELDS).fields, StructField("event_time", TimestampType())]
+)

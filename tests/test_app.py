@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from burstline import app, session
 from burstline.config import DetectionConfig, FeedConfig, MessageSource, dataset_path
 from burstline.operators.decode import decode_json
-from burstline.plans.detection import FOLDED, OUTPUTS
-from burstline.schemas import SOURCE_COLUMNS
+from burstline.plans.detection import (
+    FOLDED,
+    OUTPUTS,
+    decode_job,
+    detect,
+    detection_jobs,
+    read_decoded,
+)
+from burstline.schemas import DETECTION, SOURCE_COLUMNS
 from burstline.session import ROCKSDB, stateful_session
+from burstline.sources.blacklist import read_blacklist
+from burstline.sources.messages import read_messages
 from burstline.streaming import sinks
+from burstline.streaming.runner import start_all, stop_all
 
 
 @pytest.fixture(scope="module")
@@ -51,17 +61,17 @@ def test_feed_returns_its_totals(spark, dataset, fed, tmp_path):
     assert totals["bot_transactions"] == 5 * totals["bot_attacks"]
 
 
-@pytest.mark.parametrize("folded", [False, True])
-def test_detect_writes_every_output(spark, fed, tmp_path, folded):
+@pytest.mark.parametrize("flags", [[], ["--fold-routes"], ["--decode-once", "--fold-routes"]])
+def test_detect_writes_every_output(spark, fed, tmp_path, flags):
     root = str(tmp_path)
     arguments = ["detect", "--from", str(fed / "log"), "--blacklist", str(fed / "blacklist")]
     arguments += ["--root", root, "--sink", "tables", "--drain"]
-    app.main(arguments + (["--fold-routes"] if folded else []))
+    app.main(arguments + flags)
 
     def output(name):
         return spark.read.parquet(f"{root}/outputs/{name}")
 
-    if folded:
+    if "--fold-routes" in flags:
         routed = output("routed_transactions")
         normal, alerts = routed.filter("Route = 'normal'"), routed.filter("Route = 'alert'")
     else:
@@ -82,6 +92,23 @@ def test_detect_writes_every_output(spark, fed, tmp_path, folded):
     assert summary.filter(uneven).count() == 0
 
 
+def test_decoding_once_while_live(spark, fed, tmp_path):
+    root, source = str(tmp_path), MessageSource("parquet", path=str(fed / "log"))
+    decoding = decode_job(read_messages(spark, source), f"{root}/decoded", root)
+    blacklist = read_blacklist(spark, str(fed / "blacklist"))
+    outputs = detect(read_decoded(spark, f"{root}/decoded"), blacklist)
+    jobs = detection_jobs(outputs, root, lambda name: sinks.files(f"{root}/{name}"))
+    queries = start_all([decoding, jobs[1]])
+    try:
+        queries[0].processAllAvailable()
+        queries[1].processAllAvailable()
+    finally:
+        stop_all(queries)
+    assert spark.read.parquet(f"{root}/fraud_alerts").count() == 30
+    stored = spark.read.parquet(f"{root}/decoded")
+    assert stored.schema == DETECTION and stored.count() == spark.read.parquet(source.path).count()
+
+
 def test_sinks_by_query():
     assert set(OUTPUTS) == {
         "normal_transactions", "fraud_alerts", "bot_detection", "summary_statistics"
