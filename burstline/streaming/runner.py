@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -58,11 +59,19 @@ def start_all(jobs: Sequence[StreamJob]) -> list[StreamingQuery]:
 
 def supervise(queries: Sequence[StreamingQuery]) -> None:
     """Wait until all queries end. A failure of any one, or an interrupt, stops the rest
-    and is raised. Other queries of the session do not matter."""
+    and is raised. Other queries of the session do not matter.
+
+    The wait is on this side: an interrupt in the middle of a call to the JVM would break
+    the connection that stopping the queries needs.
+    """
     pending = list(queries)
     try:
         while pending:
-            pending = [q for q in pending if not q.awaitTermination(_POLL_SECONDS)]
+            time.sleep(_POLL_SECONDS)
+            ended = [query for query in pending if not query.isActive]
+            for query in ended:
+                query.awaitTermination()
+            pending = [query for query in pending if query not in ended]
     finally:
         stop_all(queries)
 
