@@ -294,17 +294,18 @@ class _Replay:
     def job(self, output: DataFrame, mode: str, sink) -> StreamJob:
         return StreamJob("replay", output, mode, sink, f"{self.folder}/checkpoint")
 
-    def drained_files(self, output: DataFrame) -> str:
+    def stored(self, spark: SparkSession, output: DataFrame, *partition_by: str) -> DataFrame:
+        """The stateless ``output`` run to its end into files, as a table of ``spark``."""
         path = f"{self.folder}/output"
-        self.job(output, "append", files(path)).drain()
-        return path
+        self.job(output, "append", files(path, partition_by)).drain()
+        return spark.read.schema(output.schema).parquet(path)
 
 
 def _stateless(name: str, pick: Callable[[Detection], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         replay = _Replay(spark, sf_dir, name)
         replay.publish(replay.events)
-        return spark.read.parquet(replay.drained_files(pick(replay.outputs(bounded=True))))
+        return replay.stored(spark, pick(replay.outputs(bounded=True)))
 
     return query
 
@@ -314,7 +315,7 @@ def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay.publish(replay.events)
     decoded = with_event_time(decode_json(replay.messages(bounded=True)))
     columns = [*DETECTION_FIELDS, "event_time"]
-    return spark.read.parquet(replay.drained_files(decoded.select(*columns)))
+    return replay.stored(spark, decoded.select(*columns))
 
 
 def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +324,7 @@ def q_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = transactions_from_events(table_stream(replay.spark, sf_dir, "events"))
     blacklist = _blacklist(replay.spark, sf_dir)
     enriched = enrich(transactions, blacklist, EVENTS_CONFIG)
-    return spark.read.parquet(replay.drained_files(enriched))
+    return replay.stored(spark, enriched)
 
 
 def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,10 +333,8 @@ def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = transactions_from_events(table_stream(replay.spark, sf_dir, "events"))
     enriched = enrich(transactions, _blacklist(replay.spark, sf_dir), EVENTS_CONFIG)
     routed = with_route(enriched, EVENTS_CONFIG).select("Transaction_ID", "Amount", "Route")
-    path = f"{replay.folder}/output"
-    replay.job(routed, "append", files(path, ["Route"])).drain()
     return _rounded(
-        spark.read.parquet(path)
+        replay.stored(spark, routed, "Route")
         .groupBy("Route")
         .agg(F.count("*").alias("transactions"), F.sum("Amount").alias("total_amount"))
     )
