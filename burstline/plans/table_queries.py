@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from burstline.config import DetectionConfig, MessageSource, SlidingWindow
+from burstline.config import MessageSource, SlidingWindow
 from burstline.functions.identity import iso_text
-from burstline.operators.decode import decode_json, with_event_time
+from burstline.operators.decode import decode_for_detection, decode_json, with_event_time
 from burstline.operators.enrich import categorize, enrich
 from burstline.operators.feed import assign_scenario, envelope, normalize, totals
 from burstline.operators.route import fraud_alerts, normal_transactions, unrouted, with_route
@@ -285,11 +285,13 @@ class _Replay:
         options = {"maxBytesPerTrigger": str(BATCH_BYTES)} if bounded else {}
         return read_messages(self.spark, replace(self.log, options=options))
 
-    def outputs(self, config: DetectionConfig = EVENTS_CONFIG, bounded: bool = False) -> Detection:
+    def outputs(self, bounded: bool = False) -> Detection:
         path = f"{self.folder}/blacklist"
         store_blacklist(self._blacklist, path)
         blacklist = read_blacklist(self.spark, path)
-        return detect_messages(self.messages(bounded), blacklist, config, already_unique=True)
+        return detect_messages(
+            self.messages(bounded), blacklist, EVENTS_CONFIG, already_unique=True
+        )
 
     def job(self, output: DataFrame, mode: str, sink) -> StreamJob:
         return StreamJob("replay", output, mode, sink, f"{self.folder}/checkpoint")
@@ -366,7 +368,8 @@ def q_stream_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_bots")
     _empty_log(replay)
     path = f"{replay.folder}/changes"
-    _drain_slices(replay, replay.outputs().bot_detection, path)
+    alerts = bot_detection(decode_for_detection(replay.messages()), EVENTS_CONFIG)
+    _drain_slices(replay, alerts, path)
     return _rounded(latest(spark, path, _BOT_KEYS))
 
 
@@ -404,7 +407,7 @@ def q_stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = _Replay(spark, sf_dir, "stream_late_drop")
     _empty_log(replay)
     path = f"{replay.folder}/changes"
-    output = replay.outputs(LATE_CONFIG).bot_detection
+    output = bot_detection(decode_for_detection(replay.messages()), LATE_CONFIG)
     is_late = F.col("event_type") == LATE_TYPE
     on_time = replay.events.filter(~is_late)
     for part in [*time_slices(on_time, "ts", 2), replay.events.filter(is_late)]:

@@ -22,6 +22,7 @@ STATE_SETTINGS = {
 }
 
 
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -47,11 +48,18 @@ def stateful_session(spark: SparkSession, state_partitions: int | None = None) -
     """A sibling session (same cluster, own settings) for streaming queries.
 
     The shuffle width of a stateful query is frozen in its checkpoint, so it is chosen
-    here and not inherited: one state partition per core unless given.
+    here: the number given, or one state partition per core.
     """
     sibling = spark.newSession()
-    width = state_partitions or spark.sparkContext.defaultParallelism
     for key, value in {**SETTINGS, **STATE_SETTINGS}.items():
         sibling.conf.set(key, value)
-    sibling.conf.set("spark.sql.shuffle.partitions", str(width))
+    sibling.conf.set(_SHUFFLE_PARTITIONS, str(state_partitions or _default_width(spark)))
     return sibling
+
+
+def _default_width(spark: SparkSession) -> int:
+    cores = spark.sparkContext.defaultParallelism
+    if spark.sparkContext.master.startswith("local"):
+        return cores
+    # A cluster that allocates executors on demand may show few cores at first.
+    return max(cores, int(spark.conf.get(_SHUFFLE_PARTITIONS)))

@@ -171,6 +171,17 @@ def test_stateful_session_has_its_own_settings(spark):
     assert int(stateful_session(spark).conf.get(key)) == spark.sparkContext.defaultParallelism
 
 
+@pytest.mark.parametrize(
+    "master, cores, shuffle, width",
+    [("local[8]", 8, 200, 8), ("yarn", 2, 200, 200), ("spark://host:7077", 4000, 200, 4000)],
+)
+def test_state_width_follows_the_cluster(master, cores, shuffle, width):
+    context = type("Context", (), {"master": master, "defaultParallelism": cores})()
+    conf = {"spark.sql.shuffle.partitions": str(shuffle)}
+    cluster = type("Session", (), {"sparkContext": context, "conf": conf})()
+    assert session._default_width(cluster) == width
+
+
 def test_job_session(spark):
     assert session.SETTINGS["spark.sql.session.timeZone"] == "UTC"
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
