@@ -40,7 +40,7 @@ def build_session(app_name: str = "burstline", **settings: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
-        spark.conf.set(_INITIAL_PARTITIONS, str(4 * spark.sparkContext.defaultParallelism))
+        spark.conf.set(_INITIAL_PARTITIONS, str(4 * _default_width(spark)))
     return spark
 
 
