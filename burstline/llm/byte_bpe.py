@@ -1,0 +1,166 @@
+"""Ids of a byte-level BPE tokenizer, each distinct word encoded once per worker."""
+
+from __future__ import annotations
+
+import os
+import re
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+
+# A word with the space before it, or white space. The tokenizer's own split has a boundary
+# at each of these, so the ids of a text are those of its units one after the other.
+_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# Characters on which Python and the tokenizer may disagree whether they are white space.
+_DOUBTFUL = re.compile("[\x1c-\x1f\x85᠎​  ﻿]")
+_CHUNK = 1 << 20
+_LONGEST_KEPT = 64
+_MOST_KEPT = 400_000
+
+
+def _chunks(text: str) -> Iterator[str]:
+    """Cuts a long text before white space that follows a word."""
+    start = 0
+    while len(text) - start > _CHUNK:
+        cut = re.compile(r"(?<=\S)\s").search(text, start + _CHUNK)
+        if cut is None:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+class WordCache:
+    """Ids by unit, in flat arrays so that a batch of texts is looked up without a loop."""
+
+    def __init__(self, tokenizer_path: str):
+        # A task has one core; threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer.encode_special_tokens = True
+        # Byte-level tokens have one character per byte; special tokens are never produced.
+        size = self.tokenizer.get_vocab_size()
+        self.width = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.counts = np.zeros(1 << 12, np.int64)
+        self.flat = np.zeros(1 << 14, np.uint32)
+        self.used = 0
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [x.ids for x in encoded]
+
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and how many each has. Each unit begins with one space and a word, so
+        that they can be encoded as one text, then told apart by the width of the ids."""
+        ids = np.array(self._encode(["".join(units)])[0], np.uint32)
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        last = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
+        return ids, np.diff(last, prepend=0)
+
+    def _learn(self, units: list[str]) -> None:
+        spaced = [u for u in units if u[0] == " " and len(u) > 1 and not u[1].isspace()]
+        for first in range(0, len(spaced), 2048):
+            some = spaced[first : first + 2048]
+            self._keep(some, *self._encode_units(some))
+        other = [u for u in units if not (u[0] == " " and len(u) > 1 and not u[1].isspace())]
+        if other:
+            ids = self._encode(other)
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._keep(other, np.array([i for x in ids for i in x], np.uint32), counts)
+
+    def _keep(self, units: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n = len(self.slot)
+        while n + len(units) > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.counts[n : n + len(units)] = counts
+        self.starts[n : n + len(units)] = self.used + np.cumsum(counts) - counts
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.slot.update(zip(units, range(n, n + len(units))))
+
+    def _units_to_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each unit has."""
+        if len(self.slot) > _MOST_KEPT:
+            self._clear()
+        at = np.fromiter(map(self.slot.get, units, repeat(-1)), np.int64, len(units))
+        missed = np.flatnonzero(at < 0).tolist()
+        if missed:
+            self._learn(list({units[k] for k in missed}))
+            at[missed] = [self.slot[units[k]] for k in missed]
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        where = np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)
+        return self.flat[where], counts
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        units: list[str] = []
+        owners: list[tuple[int, int]] = []
+        size = 0
+
+        def flush() -> None:
+            nonlocal units, owners, size
+            ids, counts = self._units_to_ids(units)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            first = 0
+            for owner, n in owners:
+                part = ids[ends[first] : ends[first + n]]
+                out[owner] = part if out[owner] is None else np.concatenate([out[owner], part])
+                first += n
+            units, owners, size = [], [], 0
+
+        for k, text in enumerate(texts):
+            if _DOUBTFUL.search(text):
+                out[k] = np.array(self._encode([text])[0], np.uint32)
+                continue
+            for chunk in _chunks(text):
+                found = _UNIT.findall(chunk)
+                if any(map(_LONGEST_KEPT.__lt__, map(len, found))):
+                    long_ids = self._with_long(found)
+                    before = out[k]
+                    if owners and owners[-1][0] == k:
+                        flush()
+                        before = out[k]
+                    out[k] = long_ids if before is None else np.concatenate([before, long_ids])
+                    continue
+                units += found
+                owners.append((k, len(found)))
+                size += len(chunk)
+                if size > _CHUNK:
+                    flush()
+        flush()
+        return out
+
+    def _with_long(self, units: list[str]) -> np.ndarray:
+        """Long units are rarely met twice and would fill the cache."""
+        parts, first = [], 0
+        for k, unit in enumerate(units):
+            if len(unit) > _LONGEST_KEPT:
+                parts.append(self._units_to_ids(units[first:k])[0])
+                parts.append(np.array(self._encode([unit])[0], np.uint32))
+                first = k + 1
+        parts.append(self._units_to_ids(units[first:])[0])
+        return np.concatenate(parts).astype(np.uint32)
+
+
+_CACHES: dict[str, WordCache] = {}
+
+
+def word_cache(tokenizer_path: str) -> WordCache:
+    """One per Python worker, kept across its tasks."""
+    if tokenizer_path not in _CACHES:
+        _CACHES[tokenizer_path] = WordCache(tokenizer_path)
+    return _CACHES[tokenizer_path]
