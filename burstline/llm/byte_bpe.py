@@ -9,14 +9,27 @@ from itertools import repeat
 
 import numpy as np
 
-# A word with the space before it, or white space. The tokenizer's own split has a boundary
-# at each of these, so the ids of a text are those of its units one after the other.
-_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# A word with the space before it, what else stands between white space, or white space. The
+# tokenizer's own split has a boundary at each of these, so the ids of a text are those of its
+# units one after the other.
+_UNIT = re.compile(r" ?[^\W\d_]+(?=[\s.,;:!?|]|\Z)| ?\S+|\s+(?!\S)|\s+")
+# Units that the tokenizer takes as one word, in letters whose class no Unicode version changes.
+_PLAIN = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
 # Characters on which Python and the tokenizer may disagree whether they are white space.
 _DOUBTFUL = re.compile("[\x1c-\x1f\x85᠎​  ﻿]")
 _CHUNK = 1 << 20
-_LONGEST_KEPT = 64
-_MOST_KEPT = 400_000
+_MOST_KEPT = 600_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as itself where that is a visible Latin-1 character,
+    the others, in order, as the characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_LETTER = _byte_letters()
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -37,13 +50,16 @@ class WordCache:
     def __init__(self, tokenizer_path: str):
         # A task has one core; threads of the library would only wait for each other.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         # Byte-level tokens have one character per byte; special tokens are never produced.
         size = self.tokenizer.get_vocab_size()
         self.width = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
+        # The same model on words already written in byte letters, one per line.
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self._clear()
 
     def _clear(self) -> None:
@@ -52,25 +68,42 @@ class WordCache:
         self.counts = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
         self.used = 0
+        self.uses = np.zeros(1 << 12, np.int64)
+
+    def _thin_out(self) -> None:
+        """Forgets the units that were used once, and if need be the rarer half."""
+        n = len(self.slot)
+        least = max(2, int(np.median(self.uses[:n])) + 1)
+        stay = np.flatnonzero(self.uses[:n] >= least)
+        names = list(self.slot)
+        starts, counts = self.starts[stay], self.counts[stay]
+        ends = np.cumsum(counts)
+        where = np.repeat(starts - (ends - counts), counts) + np.arange(int(counts.sum()))
+        ids, kept = self.flat[where], [names[k] for k in stay.tolist()]
+        self._clear()
+        self._keep(kept, ids, counts)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in encoded]
 
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units and how many each has. Each unit begins with one space and a word, so
-        that they can be encoded as one text, then told apart by the width of the ids."""
-        ids = np.array(self._encode(["".join(units)])[0], np.uint32)
-        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        """Ids of plain units and how many each has: encoded as one text, then told apart by
+        the width of the ids."""
+        written = ["".join(map(_LETTER.__getitem__, u.encode())) for u in units]
+        encoded = self.words.encode_batch_fast(["\n".join(written)], add_special_tokens=False)
+        ids = np.array(encoded[0].ids, np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, written), np.int64, len(units)))
         last = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
         return ids, np.diff(last, prepend=0)
 
     def _learn(self, units: list[str]) -> None:
-        spaced = [u for u in units if u[0] == " " and len(u) > 1 and not u[1].isspace()]
-        for first in range(0, len(spaced), 2048):
-            some = spaced[first : first + 2048]
+        plain, other = [], []
+        for unit in units:
+            (plain if _PLAIN.fullmatch(unit) else other).append(unit)
+        for first in range(0, len(plain), 2048):
+            some = plain[first : first + 2048]
             self._keep(some, *self._encode_units(some))
-        other = [u for u in units if not (u[0] == " " and len(u) > 1 and not u[1].isspace())]
         if other:
             ids = self._encode(other)
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -81,6 +114,7 @@ class WordCache:
         while n + len(units) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.counts[n : n + len(units)] = counts
@@ -92,12 +126,14 @@ class WordCache:
     def _units_to_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each unit has."""
         if len(self.slot) > _MOST_KEPT:
-            self._clear()
+            self._thin_out()
         at = np.fromiter(map(self.slot.get, units, repeat(-1)), np.int64, len(units))
         missed = np.flatnonzero(at < 0).tolist()
         if missed:
             self._learn(list({units[k] for k in missed}))
             at[missed] = [self.slot[units[k]] for k in missed]
+        if len(at):
+            self.uses[: len(self.slot)] += np.bincount(at, minlength=len(self.slot))
         counts = self.counts[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
@@ -128,14 +164,6 @@ class WordCache:
                 continue
             for chunk in _chunks(text):
                 found = _UNIT.findall(chunk)
-                if any(map(_LONGEST_KEPT.__lt__, map(len, found))):
-                    long_ids = self._with_long(found)
-                    before = out[k]
-                    if owners and owners[-1][0] == k:
-                        flush()
-                        before = out[k]
-                    out[k] = long_ids if before is None else np.concatenate([before, long_ids])
-                    continue
                 units += found
                 owners.append((k, len(found)))
                 size += len(chunk)
@@ -144,17 +172,6 @@ class WordCache:
         flush()
         return out
 
-    def _with_long(self, units: list[str]) -> np.ndarray:
-        """Long units are rarely met twice and would fill the cache."""
-        parts, first = [], 0
-        for k, unit in enumerate(units):
-            if len(unit) > _LONGEST_KEPT:
-                parts.append(self._units_to_ids(units[first:k])[0])
-                parts.append(np.array(self._encode([unit])[0], np.uint32))
-                first = k + 1
-        parts.append(self._units_to_ids(units[first:])[0])
-        return np.concatenate(parts).astype(np.uint32)
-
 
 _CACHES: dict[str, WordCache] = {}
 
