@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from burstline.llm import packing
+from burstline.llm import lines, packing, pii
 from burstline.sources.tables import table
 
 
@@ -22,8 +23,54 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    return pii.detect(table(spark, sf_dir, "documents")).drop("pii")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that five or more of them hold."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"), min_documents=5, min_chars=40)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_pii": op4_pii,
+    "op7_line_dedup": op7_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_LINES = """
+lines AS (
+    SELECT doc_id, n, string_split(body, chr(10))[n] AS line
+    FROM (
+        SELECT doc_id, body, unnest(range(1, len(string_split(body, chr(10))) + 1)) AS n
+        FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)
+    )
+),
+keyed AS (
+    SELECT *, translate(
+        trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+),
+repeated AS (
+    SELECT key, max(doc_id) AS owner FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+kept AS (
+    SELECT k.doc_id, k.n, k.line, (r.owner IS NOT NULL AND r.owner <> k.doc_id) AS gone
+    FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)"""
+
+OP7_SQL = f"""
+WITH {_LINES}
+SELECT doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), ''))
+        AS kept_sha256
+FROM kept GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
+}
