@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm.storage import Scratch
+from burstline.llm.storage import Scratch, values
 
 BROADCAST_BYTES = 32 << 20
 KEYS_PER_SHARD = 250_000
@@ -162,7 +162,7 @@ def _counted(documents: DataFrame, least: int) -> DataFrame:
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1))):
                 owner = _NO_OWNER if doc_id is None else doc_id
                 for key in set(line_keys(text or b"", least)[2]):
                     now = seen.setdefault(xxhash.xxh3_128_digest(key), [0, owner])
@@ -229,7 +229,7 @@ def _probed_by_broadcast(spark: SparkSession, built: DataFrame, shards: int, lea
         if not opened:
             opened.update({row["shard"]: Shard(row) for row in sent.value})
         out = []
-        for doc_id, text in zip(doc_ids.to_pylist(), texts.to_pylist()):
+        for doc_id, text in zip(values(doc_ids), values(texts)):
             owner = _NO_OWNER if doc_id is None else doc_id
 
             def drop(text: bytes, owner=owner):
@@ -261,7 +261,7 @@ def _dropped_by_shuffle(
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, highs, lows = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1))):
                 keys = list(set(line_keys(text or b"", least)[2]))
                 if keys:
                     high, low = _hashes(keys)
@@ -299,7 +299,7 @@ def _dropped_by_shuffle(
 def _removed_by_hash(least: int):
     def remove(texts: pa.Array, lost: pa.Array) -> pa.Array:
         out = []
-        for text, pairs in zip(texts.to_pylist(), lost.to_pylist()):
+        for text, pairs in zip(values(texts), values(lost)):
             gone = {(x["high"], x["low"]) for x in pairs or ()}
 
             def drop(text: bytes, gone=gone):

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstline.llm.storage import values
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "local_phone")
 REPORT_FROM = 0.5
@@ -198,13 +200,13 @@ def _as_rows(spans: list[tuple]) -> list[dict]:
 
 def _pii_spans(texts: pa.Array) -> pa.Array:
     """Spans of personal data of each text; none for null."""
-    return pa.array([_as_rows(find_spans(t)) for t in texts.to_pylist()], _ARROW_SPANS)
+    return pa.array([_as_rows(find_spans(t)) for t in values(texts)], _ARROW_SPANS)
 
 
 def _redacted(texts: pa.Array) -> pa.Array:
     """Texts with personal data replaced by its kind; null stays null."""
     out = []
-    for text in texts.to_pylist():
+    for text in values(texts):
         spans = find_spans(text)
         out.append(masked(text, spans) if spans else text)
     return pa.array(out, pa.string())

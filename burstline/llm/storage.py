@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from burstline.streaming.workspace import run_folder
@@ -27,3 +30,9 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def values(column: pa.Array, at_once: int = 256) -> Iterator:
+    """The values of an Arrow column as Python objects, few of them alive at a time."""
+    for first in range(0, len(column), at_once):
+        yield from column.slice(first, at_once).to_pylist()
