@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, packing, pii
+from burstline.llm import lines, packing, pii, quality, warc
 from burstline.sources.tables import table
 
 
@@ -34,10 +34,30 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through a WARC archive."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model that has not seen the held-out labels."""
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out())
+    scored = quality.with_score(documents, quality.fit(documents, labels))
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEEP_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_pii": op4_pii,
     "op7_line_dedup": op7_line_dedup,
+    "op8_warc": op8_warc,
+    "op10_quality": op10_quality,
 }
 
 _LINES = """
@@ -71,6 +91,23 @@ SELECT doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
 FROM kept GROUP BY doc_id
 """
 
+OP8_SQL = """
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM (
+    SELECT *, CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM (
+        SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first
+        FROM (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        )
+    )
+)
+"""
+
 ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7_SQL,
+    "op8_warc": OP8_SQL,
 }

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+
+from burstline.llm import quality
+from burstline.llm.queries import op10_quality
+
+
+def buckets_one_by_one(text: bytes) -> set:
+    """The same buckets, n-gram by n-gram, in Python integers."""
+
+    def scattered(x, seed):
+        x = (x * 0x9E3779B1 + seed) % 2**32
+        x = ((x ^ (x >> 15)) * 0x85EBCA6B) % 2**32
+        return (x ^ (x >> 13)) >> (32 - quality.BUCKET_BITS)
+
+    words, word = [], []
+    for b in [*text, 32]:
+        if b > 32:
+            word.append(b)
+        elif word:
+            h, p = 0, 1
+            for c in word:
+                p = p * 0x01000193 % 2**32
+                h = (h + (c + 1) * p) % 2**32
+            words.append(h)
+            word = []
+    out = {scattered(w, 1) for w in words}
+    out |= {scattered((a * 31 + b) % 2**32, 2) for a, b in zip(words, words[1:])}
+    runs = [int.from_bytes(text[k : k + 3], "big") for k in range(len(text) - 2)]
+    return out | {scattered(r, 3) for r in runs}
+
+
+@pytest.mark.parametrize("text", ["", "a", "ab", "one two", "  one  one\n\ttwo é ", "x" * 5000])
+def test_indicators(text):
+    found = quality.Indicators().of(text.encode())
+    assert len(found) == len(set(found.tolist()))
+    assert set(found.tolist()) == buckets_one_by_one(text.encode())
+
+
+def test_long_texts_are_read_whole():
+    text = b"word " * 300_000 + b"ending!"
+    found = set(quality.Indicators().of(text).tolist())
+    assert set(quality.Indicators().of(b"ending!").tolist()) <= found
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    """The primal value equals the dual one where the problem is solved."""
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 40, 8)).astype(np.int32) for _ in range(60)]
+    scales = [rng.normal(size=len(r)) for r in rows]
+    signs = np.where(rng.random(60) < 0.5, 1, -1)
+    old, quality.EPOCHS = quality.EPOCHS, 3000
+    try:
+        w, b = quality._dual_coordinate_descent(rows, scales, signs)
+    finally:
+        quality.EPOCHS = old
+    hinge = [max(0, 1 - y * (w[r] @ x + b)) for r, x, y in zip(rows, scales, signs)]
+    primal = 0.5 * (w @ w + b * b) + quality.PENALTY * sum(hinge)
+    for _ in range(200):
+        dw, db = rng.normal(size=w.shape) * 1e-3, rng.normal() * 1e-3
+        dw[40:] = 0
+        w2, b2 = w + dw, b + db
+        hinge = [max(0, 1 - y * (w2[r] @ x + b2)) for r, x, y in zip(rows, scales, signs)]
+        assert 0.5 * (w2 @ w2 + b2 * b2) + quality.PENALTY * sum(hinge) >= primal - 1e-2
+
+
+def test_one_class_and_none():
+    rows = [np.array([1, 2], np.int32)] * 8
+    assert quality.fitted([], np.zeros(0)).score(rows[0]) == pytest.approx(0.5)
+    assert quality.fitted(rows, np.ones(8)).score(rows[0]) == pytest.approx(0.9)
+
+
+def test_held_out_accuracy_and_columns(spark):
+    d = "/root/testdata/sf0.01"
+    rows = {r.doc_id: r for r in op10_quality(spark, d).collect()}
+    ids = [r.doc_id for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id").collect()]
+    assert sorted(rows) == sorted(ids)
+    for r in rows.values():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    labels = spark.read.parquet(f"{d}/labels.parquet").collect()
+    held = [(rows[x.doc_id].score, x.quality) for x in labels if rows[x.doc_id].held_out]
+    assert np.mean([(s >= 0.5) == q for s, q in held]) > 0.85
+    good, bad = ([s for s, q in held if q == k] for k in (1, 0))
+    assert np.mean([a > b for a in good for b in bad]) > 0.95
+
+
+def test_labels_that_are_held_out_do_not_matter(spark):
+    d = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{d}/documents.parquet")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    known = labels.filter(~quality.held_out())
+    a = quality.fit(documents, known)
+    b = quality.fit(documents.withColumn("quality", documents.doc_id), known.repartition(3))
+    assert np.array_equal(a.weights, b.weights) and (a.slope, a.shift) == (b.slope, b.shift)
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    documents = spark.createDataFrame(
+        [(1, "good text here", "a"), (2, None, "b"), (3, "", "c"), (None, "x", "d"), (1, "", "e")],
+        "doc_id long, text string, score string",
+    )
+    labels = spark.createDataFrame(
+        [(1, 1), (1, 0), (2, None), (None, 1), (3, 7)], "doc_id long, quality int"
+    )
+    model = quality.fit(documents, labels)
+    out = quality.with_score(documents, model)
+    assert out.columns == ["doc_id", "text", "score"] and out.count() == 5
+    assert quality.with_score(documents.limit(0), model).count() == 0
+    assert quality.fit(documents.limit(0), labels.limit(0)).bias == 0
