@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, packing, pii, quality, warc
+from burstline.llm import lines, minhash, packing, pii, quality, warc
 from burstline.sources.tables import table
 
 
@@ -23,6 +23,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 75 of 100 common five-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=75, words=5)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in all documents."""
     return pii.detect(table(spark, sf_dir, "documents")).drop("pii")
@@ -54,12 +59,52 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op10_quality": op10_quality,
 }
 
+# Candidates share a shingle; components are the transitive closure of the links.
+OP3_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(
+            translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w
+    FROM documents
+),
+sets AS (
+    SELECT DISTINCT doc_id, array_to_string(
+        w[n : n + least(5, len(w)) - 1], ' ') AS shingle
+    FROM (
+        SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS n
+        FROM words WHERE len(w) > 0
+    )
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+        FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+        GROUP BY ALL
+    ) p JOIN sizes s ON s.doc_id = p.a JOIN sizes t ON t.doc_id = p.b
+    WHERE 100 * shared >= 75 * (s.n + t.n - shared)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+grouped AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT g.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, component_id,
+    g.doc_id = component_id AS kept
+FROM grouped g LEFT JOIN sizes s ON s.doc_id = g.doc_id
+"""
+
 _LINES = """
 lines AS (
     SELECT doc_id, n, string_split(body, chr(10))[n] AS line
@@ -108,6 +153,7 @@ FROM (
 """
 
 ORACLES: dict[str, str] = {
+    "op3_minhash": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,
 }

@@ -9,6 +9,7 @@ ranges are cut.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -65,9 +66,15 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def with_revisits(pages: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
+def with_revisits(
+    pages: DataFrame, scratch: Scratch, least: int = LEAST_REVISITED
+) -> DataFrame:
     """``page_id``, ``url``, payload and its digest, and the page that a revisit refers to: the
-    smallest id of the rows whose payloads of ``least`` bytes or more are equal."""
+    smallest id of the rows whose payloads of ``least`` bytes or more are equal.
+
+    Digests that occur once are not kept, and the others are stored first, so Spark knows their
+    size: it broadcasts few and shuffles many, splitting hot ones.
+    """
     keyed = pages.select(
         F.col("page_id").cast("long"),
         F.col("url").cast("string"),
@@ -80,8 +87,8 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .filter(F.col("n") > 1)
         .select(F.col("digest").alias("_digest"), "first")
-        .hint("rebalance")  # so that the join shuffles both sides and can split a hot digest
     )
+    repeated = scratch.store(repeated, "repeated")
     same = (F.col("digest") == F.col("_digest")) & long_enough
     refers = F.when(F.col("page_id") != F.col("first"), F.col("first"))
     return keyed.join(repeated, same, "left").select(
@@ -111,7 +118,7 @@ def write_archive(pages: DataFrame, scratch: Scratch, name: str = "archive") ->
                     size += len(data)
         yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([size])], ["file", "bytes"])
 
-    return scratch.store(with_revisits(pages).mapInArrow(run, "file string, bytes long"), "files")
+    return scratch.store(with_revisits(pages, scratch).mapInArrow(run, "file string, bytes long"), "files")
 
 
 class _Window:
@@ -263,7 +270,9 @@ def read_archive(files: DataFrame, root: str, split_bytes: int = SPLIT_BYTES) ->
                             rows = []
                     yield pa.RecordBatch.from_pylist(rows, _RECORD)
 
-    dealt = ranges.repartition(F.col("file"), F.col("start"))
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, math.ceil(total / split_bytes))
+    dealt = ranges.repartition(tasks, F.col("file"), F.col("start"))
     return dealt.select("file", "bytes", "start").mapInArrow(run, RECORD)
 
 

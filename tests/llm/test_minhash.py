@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from burstline.llm import minhash
+from burstline.llm.components import components
+from burstline.llm.storage import Scratch
+
+
+def plain_set(text, n=5):
+    words = []
+    for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split(" "):
+        for sep in "\t\n\x0b\x0c\r":
+            x = x.replace(sep, " ")
+        words += [w for w in x.split(" ") if w]
+    if not words:
+        return set()
+    n = min(n, len(words))
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+
+
+def brute(rows):
+    """Components by comparing all pairs."""
+    known = [(i, plain_set(t)) for i, t in rows if i is not None]
+    root = {i: i for i, _ in known}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (a, x) in enumerate(known):
+        for b, y in known[:k]:
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return sorted(
+        ((i, len(plain_set(t)), None if i is None else find(i), i is None or find(i) == i) for i, t in rows),
+        key=str,
+    )
+
+
+def words(rng, n):
+    return [f"{rng.choice('abcdefgh')}{rng.randrange(400)}" for _ in range(n)]
+
+
+def edited(rng, base, edits):
+    out = list(base)
+    for _ in range(edits):
+        out[rng.randrange(len(out))] = f"new{rng.randrange(10**6)}"
+    return out
+
+
+def planted():
+    """A chain of small edits, a large group of near copies, copies, short texts, nothing."""
+    rng, rows = random.Random(5), []
+    chain = words(rng, 120)
+    for k in range(12):
+        rows.append((1000 - k, " ".join(chain)))
+        chain = edited(rng, chain, 3)
+    base = words(rng, 150)
+    rows += [(2000 + k, "  ".join(edited(rng, base, rng.randrange(1, 7)))) for k in range(120)]
+    rows += [(3000 + k, "\n".join(base).upper()) for k in range(5)]
+    rows += [(4000 + k, t) for k, t in enumerate(["one two", "One  two", "two one", "a b c d", "a b c d e"])]
+    rows += [(5000, None), (5001, ""), (5002, " \n\t"), (5003, "é É"), (5004, "É É")]
+    rows += [(6000 + k, " ".join(words(rng, 30))) for k in range(40)]
+    rows += [(None, " ".join(base)), (None, None)]
+    return rows
+
+
+def test_equals_brute_force(spark):
+    rows = planted()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    frame = frame.withColumn("component_id", frame.text).withColumn("bands", frame.doc_id)
+    out = minhash.near_duplicates(frame)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, out.collect()), key=str) == brute(rows)
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert minhash.near_duplicates(frame).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text", ["", " ", "a", "A b\tC\nd", "a b c d e", "a b c d e f a b c d e f", "é " * 40, "x\x1cy z"]
+)
+def test_shingles(text):
+    found = minhash.shingles(text.encode())
+    assert len(found) == len(plain_set(text))
+    assert np.array_equal(found, minhash.shingles(text.upper().replace("É", "é").encode()))
+
+
+def test_words_do_not_run_together():
+    one = lambda t: minhash.shingles(t)[0]
+    assert len({one(x) for x in (b"a b", b"ab", b"b a", b"a b c", b"a", b"aa", b"a a")}) == 7
+
+
+def test_signature_estimates_the_similarity():
+    rng = np.random.default_rng(3)
+    errors = []
+    for _ in range(40):
+        x = rng.integers(0, 2**63, 400).astype(np.uint64)
+        y = np.concatenate([x[:300], rng.integers(0, 2**63, 100).astype(np.uint64)])
+        agree = (minhash.signature(x) == minhash.signature(y)).mean()
+        errors.append(agree - 300 / 500)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.07
+
+
+def test_recall_of_the_bands_at_the_threshold():
+    rng, missed = np.random.default_rng(4), 0
+    for _ in range(300):
+        both = rng.integers(0, 2**63, 300).astype(np.uint64)
+        x, y = (np.concatenate([both, rng.integers(0, 2**63, 50).astype(np.uint64)]) for _ in "xy")
+        a, b = (minhash._band_keys(minhash.signature(z)) for z in (x, y))
+        missed += not (a == b).any()
+        sketches = [minhash._sketch(minhash.signature(z)).view(np.uint64) for z in (x, y)]
+        differ = sketches[0] ^ sketches[1]
+        differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+        assert 128 - np.bitwise_count(differ).sum() >= minhash.SKETCH_AGREES
+    assert missed == 0
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    links = [(k, k + 1) for k in range(200, 260)] + [(rng.randrange(150), rng.randrange(150)) for _ in range(120)]
+    links += [(500, k) for k in range(501, 560)] + [(7, 7), (9, 8), (8, 9)]
+    frame = spark.createDataFrame(links, "x long, y long")
+    found = {r.node: r.component for r in components(frame, Scratch(spark, "test")).collect()}
+    root = {x: x for pair in links for x in pair}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    assert {k: v for k, v in root.items() if k != v} == found
+    assert components(frame.limit(0), Scratch(spark, "test")).count() == 0
