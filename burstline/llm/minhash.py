@@ -13,8 +13,9 @@ Equal sets are one class, so copies cost nothing. Not all pairs of a bucket are
    that are not in its own, if sizes and sketches allow the similarity.
 
 Only pairs already known to be connected are left out, so no link is lost that would join
-components. Sketches (two bits of each coordinate) are asked for much less than the threshold:
-a pair at 0.75 fails by five standard deviations.
+components. A sketch is one bit of each coordinate of a longer signature, made from the same two
+permutations by further shifts, for the classes of step 3 only. It is asked for less than the
+threshold: a pair at 0.75 fails if it is off by four and a half standard deviations.
 """
 
 from __future__ import annotations
@@ -32,12 +33,11 @@ from burstline.llm.storage import Scratch, values
 WORDS = 5
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
-SKETCH_WORDS = 2 * COORDINATES // 64
-# Of 128 two-bit fields a pair at 0.75 agrees on 104 on average, with a deviation of 4.4.
-SKETCH_AGREES = 80
+SKETCHED = 2048
+SKETCH_WORDS = SKETCHED // 64
+_DEVIATIONS = 4.5
 _PRIME = np.uint64(0x100000001B3)
-_SHIFTS = np.arange(COORDINATES, dtype=np.uint32)
-_AT_ONCE = 2048
+_CELLS = 1 << 18  # values of shifted permutations held at a time
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -75,12 +75,14 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-def signature(items: np.ndarray) -> np.ndarray:
+def signature(items: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """Circulant MinHash: the least value of each shifted permutation over the set."""
     placed = (_mixed(items) >> np.uint64(32)).astype(np.uint32)  # the first permutation
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    for first in range(0, len(placed), _AT_ONCE):
-        x = placed[first : first + _AT_ONCE, None] + _SHIFTS  # modulo 2^32: a circular shift
+    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
+    shifts = np.arange(coordinates, dtype=np.uint32)
+    at_once = _CELLS // coordinates
+    for first in range(0, len(placed), at_once):
+        x = placed[first : first + at_once, None] + shifts  # modulo 2^32: a circular shift
         x ^= x >> np.uint32(16)  # the second permutation, a bijection of the universe
         x *= np.uint32(0x7FEB352D)
         x ^= x >> np.uint32(15)
@@ -98,38 +100,33 @@ def _band_keys(sign: np.ndarray) -> np.ndarray:
 
 
 def _sketch(sign: np.ndarray) -> np.ndarray:
-    """Two bits of each coordinate, 32 to a word."""
-    fields = (sign & np.uint32(3)).astype(np.uint64).reshape(SKETCH_WORDS, 32)
-    return (fields << (2 * np.arange(32, dtype=np.uint64))).sum(1, dtype=np.uint64).view(np.int64)
+    """One bit of each coordinate, 64 to a word."""
+    return np.packbits((sign & np.uint32(1)).astype(bool), bitorder="little").view(np.int64)
 
 
-SIGNED = (
-    "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>, "
-    "sketch array<long>"
-)
+SIGNED = "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>"
 
 
 def signed(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document the size and a 128-bit hash of its shingle set, bucket keys and sketch.
-    An empty set has no keys."""
+    """Per document the size and a 128-bit hash of its shingle set, bucket keys. An empty
+    set has no keys."""
     names = [x.split()[0] for x in SIGNED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            sizes, highs, lows, bands, sketches = [], [], [], [], []
+            sizes, highs, lows, bands = [], [], [], []
             for text in values(batch.column("text")):
                 items = shingles(text, words)
                 whole = xxhash.xxh3_128_intdigest(items.tobytes())
-                sign = signature(items)
                 sizes.append(len(items))
                 highs.append((whole >> 64) - (1 << 63))
                 lows.append((whole & (2**64 - 1)) - (1 << 63))
-                bands.append(_band_keys(sign) if len(items) else np.zeros(0, np.int64))
-                sketches.append(_sketch(sign))
-            columns = [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, highs, lows))]
-            columns += [pa.array(x, pa.list_(pa.int64())) for x in (bands, sketches)]
+                bands.append(_band_keys(signature(items)) if len(items) else [])
+            columns = [batch.column("doc_id")]
+            columns += [pa.array(x, pa.int64()) for x in (sizes, highs, lows)]
+            columns.append(pa.array(bands, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return _texts(documents).mapInArrow(run, SIGNED)
@@ -155,6 +152,25 @@ def _sets(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, items binary")
 
 
+# Columns of their own: comparing two rows then compiles to a few instructions per word.
+_WORDS_OF_SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+
+
+def _sketches(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = (np.frombuffer(x, np.uint64) for x in values(batch.column("items")))
+            found = np.array([_sketch(signature(x, SKETCHED)) for x in items], np.int64)
+            words = np.ascontiguousarray(found.reshape(-1, SKETCH_WORDS).T)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), *map(pa.array, words)], ["rep", *_WORDS_OF_SKETCH]
+            )
+
+    chosen = sets.withColumnRenamed("doc_id", "rep").join(reps, "rep", "left_semi")
+    schema = ", ".join(f"{name} long" for name in ["rep", *_WORDS_OF_SKETCH])
+    return chosen.mapInArrow(run, schema)
+
+
 def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     out = []
     for x, y in zip(values(a), values(b)):
@@ -179,13 +195,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _agree(a: str, b: str) -> Column:
-    """On how many coordinates two sketches agree."""
-    differ = []
-    for k in range(SKETCH_WORDS):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        folded = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        differ.append(F.bit_count(folded))
-    return F.lit(COORDINATES) - sum(differ[1:], differ[0])
+    """On how many coordinates the sketches in columns with these prefixes agree."""
+    differ = [F.bit_count(F.col(a + x).bitwiseXOR(F.col(b + x))) for x in _WORDS_OF_SKETCH]
+    return F.lit(SKETCHED) - sum(differ[1:], differ[0])
+
+
+def sketch_agrees(percent: int) -> int:
+    """What the sketches of similar enough sets agree on at least. Bits of coordinates
+    that differ are equal by chance every other time."""
+    expected = percent / 100 + (1 - percent / 100) / 2
+    deviation = (expected * (1 - expected) / SKETCHED) ** 0.5
+    return int(SKETCHED * (expected - _DEVIATIONS * deviation))
 
 
 def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
@@ -230,7 +250,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     classes = scratch.store(classes, "classes")
     one = ["set_high", "set_low"]
     reps = usable.join(classes.select("rep", *one), one).filter(F.col("rep") == F.col("doc_id"))
-    reps = reps.dropDuplicates(["rep", *one]).select("rep", "bands", "sketch", "n_shingles")
+    reps = reps.dropDuplicates(["rep", *one]).select("rep", "bands", "n_shingles")
     reps = scratch.store(reps, "reps")
 
     bands = reps.select(F.explode("bands").alias("key"), "rep")
@@ -264,8 +284,10 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     now = _labelled(now.select("key", "rep"), stars)
     now = scratch.store(now.join(reps.drop("bands"), "rep"), "now-3")
     open_now = scratch.store(_open_buckets(now).select("key", "main"), "open-3")
-    inside = now.join(open_now.hint("rebalance"), "key")
-    fields = ["rep", "component", "n_shingles", "sketch"]
+    inside = scratch.store(now.join(open_now, "key"), "inside-3")
+    sketches = scratch.store(_sketches(sets, inside.select("rep").distinct()), "sketches")
+    inside = inside.join(sketches, "rep")
+    fields = ["rep", "component", "n_shingles", *_WORDS_OF_SKETCH]
     minor = inside.filter(F.col("component") != F.col("main"))
     minor = minor.select("key", *(F.col(x).alias(f"x_{x}") for x in fields))
     other = inside.select("key", *(F.col(x).alias(f"y_{x}") for x in fields))
@@ -273,7 +295,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     likely = (
         (F.col("x_component") != F.col("y_component"))
         & (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
-        & (_agree("x_sketch", "y_sketch") >= SKETCH_AGREES)
+        & (_agree("x_", "y_") >= sketch_agrees(percent))
     )
     found = minor.join(other, "key").filter(likely)
     pairs = found.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
@@ -282,8 +304,9 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
 
     final = _labelled(classes.select("rep", *one), stars).select(*one, "component")
     final = scratch.store(final, "final")
-    scratch.drop("sets", "reps", "members", "now-2", "now-3", "open-2", "open-3", "classes")
-    joined = sketched.drop("bands", "sketch").join(final, one, "left")
+    scratch.drop("sets", "reps", "members", "classes", "sketches", "inside-3")
+    scratch.drop("now-2", "now-3", "open-2", "open-3")
+    joined = sketched.drop("bands").join(final, one, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select(
