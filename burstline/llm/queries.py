@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, minhash, packing, pii, quality, warc
+from burstline.llm import lines, minhash, packing, pii, quality, vectors, warc
 from burstline.sources.tables import table
 
 
@@ -33,6 +33,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents")).drop("pii")
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all embeddings linked by a cosine of 0.9."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.9)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that five or more of them hold."""
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"), min_documents=5, min_chars=40)
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
+    "op6_vectors": op6_vectors,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op10_quality": op10_quality,
@@ -105,6 +111,29 @@ SELECT g.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, component_id,
 FROM grouped g LEFT JOIN sizes s ON s.doc_id = g.doc_id
 """
 
+OP6_SQL = """
+WITH RECURSIVE clean AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v,
+        sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+    FROM embeddings
+),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM clean x JOIN clean y
+    ON x.vec_id <> y.vec_id AND x.norm > 0 AND y.norm > 0
+    WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.9
+),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+grouped AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT g.vec_id, coalesce(d.n_links, 0)::BIGINT AS n_links, component_id,
+    g.vec_id = component_id AS kept
+FROM grouped g LEFT JOIN degrees d ON d.vec_id = g.vec_id
+"""
+
 _LINES = """
 lines AS (
     SELECT doc_id, n, string_split(body, chr(10))[n] AS line
@@ -154,6 +183,7 @@ FROM (
 
 ORACLES: dict[str, str] = {
     "op3_minhash": OP3_SQL,
+    "op6_vectors": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,
 }

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from burstline.llm import vectors
+
+
+def brute(rows, least=0.9):
+    width = max(len(v) for _, v in rows if v)
+    units = []
+    for i, v in rows:
+        x = None
+        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v):
+            x = np.concatenate([v, np.zeros(width - len(v))])
+            x = x / np.abs(x).max()
+            x = x / np.linalg.norm(x)
+        units.append(x)
+    links = [
+        {j for j, y in enumerate(units) if j != k and x is not None and y is not None and x @ y >= least}
+        for k, x in enumerate(units)
+    ]
+    root = [i for i, _ in rows]
+    changed = True
+    while changed:
+        changed = False
+        for k, near in enumerate(links):
+            for j in near:
+                if root[j] < root[k]:
+                    root[k], changed = root[j], True
+    return sorted(
+        ((i, len(links[k]), root[k], i is None or root[k] == i) for k, (i, _) in enumerate(rows)), key=str
+    )
+
+
+def planted():
+    rng = np.random.default_rng(1)
+    rows, number = [], 0
+    for _ in range(30):
+        center = rng.normal(size=16)
+        for _ in range(rng.integers(1, 30)):
+            number += 1
+            rows.append((1000 - number, (center + rng.normal(size=16) * 0.12).tolist()))
+    base = rng.normal(size=16).tolist()
+    rows += [(2000 + k, base) for k in range(40)]
+    rows += [(2100, [2.0 * x for x in base]), (2101, [-x for x in base])]
+    rows += [(3000, None), (3001, []), (3002, [0.0] * 16), (3003, [float("nan")] * 16)]
+    rows += [(3004, [1.0, None]), (3005, [float("inf")] * 16), (3006, [1.0, 0.0]), (3007, [1.0])]
+    rows += [(3008, [1e300] * 16), (3009, [1e-300] * 16), (None, base)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    rows = planted()
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame = frame.withColumn("n_links", frame.vec_id).repartition(3)
+    out = vectors.near_duplicates(frame)
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, out.collect()), key=str) == brute(rows)
+
+
+def test_empty_table_and_nothing_usable(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert vectors.near_duplicates(frame).count() == 0
+    frame = spark.createDataFrame([(1, [0.0]), (2, None)], "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, vectors.near_duplicates(frame).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_recall_on_the_given_table(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in frame.collect()]
+    x = np.array([v for _, v in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    truth = int(((x @ x.T) >= 0.9).sum()) - len(x)
+    found = sum(r.n_links for r in vectors.near_duplicates(frame).collect())
+    assert 0.99 * truth <= found <= truth
+
+
+def test_each_pair_once_over_all_lists():
+    rng = np.random.default_rng(2)
+    near = np.array([rng.permutation(12)[:4] for _ in range(60)], np.int32)
+    seen = []
+    for pivot in range(12):
+        some = np.flatnonzero((near == pivot).any(1))
+        a, b = vectors.candidates(near[some], near[some], pivot)
+        seen += [(x, y) for x, y in zip(some[a].tolist(), some[b].tolist()) if x < y]
+    truth = [
+        (i, j) for i in range(60) for j in range(i + 1, 60)
+        if len(set(near[i]) & set(near[j])) >= vectors.SHARED
+    ]
+    assert sorted(seen) == truth
