@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, minhash, packing, pii, quality, vectors, warc
+from burstline.llm import lines, minhash, packing, pii, quality, sentencepiece, vectors, warc
 from burstline.sources.tables import table
 
 
@@ -23,6 +23,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of all documents, decoded again."""
+    model = tokenizer("piece_bpe_32k.model")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = sentencepiece.encoded(F.col("text"), F.col("doc_id"), model)
+    sampled = documents.withColumn("ids", ids)
+    text = sentencepiece.decoded(F.col("ids"), model)
+    return sampled.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        text.eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 75 of 100 common five-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=75, words=5)
@@ -64,6 +79,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
     "op6_vectors": op6_vectors,

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from burstline.llm import sentencepiece as sp
+from burstline.llm.queries import op2_sentencepiece, tokenizer
+
+MODEL = tokenizer("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def lattice():
+    return sp.Lattice(sp.Vocabulary(MODEL))
+
+
+def paths(lattice, text, ids=(), weight=1.0):
+    """All segmentations with their weights."""
+    if not text:
+        yield ids, weight
+        return
+    for k in range(1, min(len(text), lattice.vocabulary.longest) + 1):
+        piece = lattice.vocabulary.ids.get(text[:k])
+        if piece is not None:
+            yield from paths(lattice, text[k:], (*ids, piece), weight * lattice.weight[piece])
+        elif k == 1:
+            data = text[0].encode()
+            own = tuple(lattice.vocabulary.byte_ids[b] for b in data)
+            w = lattice.weight[lattice.vocabulary.byte_ids[0]] ** len(data)
+            yield from paths(lattice, text[1:], (*ids, *own), weight * w)
+
+
+@pytest.mark.parametrize("text", ["hello", "a b", "the  cat", "x\ny", "é😀", "on▁e"])
+def test_each_segmentation_has_its_share(lattice, text):
+    truth = Counter()
+    for ids, weight in paths(lattice, " " + text):
+        truth[ids] += weight
+    total = sum(truth.values())
+    n = 20_000
+    drawn = Counter(tuple(x.tolist()) for x in lattice.encode([text] * n, list(range(n))))
+    assert set(drawn) <= set(truth)
+    for ids, weight in truth.items():
+        share = weight / total
+        assert abs(drawn[ids] / n - share) < 5 * (share * (1 - share) / n) ** 0.5 + 1e-3
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab \n\t▁é中😀\x00́<>0xA"), max_size=60), st.integers(-(2**63), 2**63 - 1))
+def test_lossless(text, key):
+    lattice = sp.lattice(MODEL)
+    (ids,) = lattice.encode([text], [key])
+    assert lattice.decode(ids.tolist()) == text
+
+
+def test_filtering_alike_equals_one_by_one(lattice):
+    lattice = sp.Lattice(lattice.vocabulary, alpha=2.0)
+    units = [" the", "x", "\n", " été", "中文", "中" * 60, "  ", " unbelievable", "a" * 64, "▁", "é😀z"]
+    counts, shares, widths, ids, unlikely = lattice._filtered_alike(units)
+    assert unlikely.tolist() == [u == "中" * 60 for u in units]
+    row = first = 0
+    for unit, left_out in zip(units, unlikely):
+        for found in lattice.filtered(unit):
+            n = counts[row]
+            if not left_out:
+                assert widths[first : first + n].tolist() == [w for _, w, _ in found]
+                assert ids[first : first + n].tolist() == [p for _, _, p in found]
+                assert np.allclose(shares[first : first + n], [s for s, _, _ in found])
+            row, first = row + 1, first + n
+
+
+def test_the_library_decodes_the_same(lattice):
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=MODEL)
+    for text in ("plain words here", "two  spaces", "ünïcode and\nlines"):
+        for ids in lattice.encode([text] * 20, list(range(20))):
+            assert model.decode(ids.tolist()) == text
+
+
+def test_draws_do_not_depend_on_the_batch(lattice):
+    texts = [f"word{k} and some more text\n" * (k % 7) for k in range(60)]
+    keys = list(range(60))
+    together = lattice.encode(texts, keys)
+    lattice._clear()
+    alone = [lattice.encode([t], [k])[0] for t, k in reversed(list(zip(texts, keys)))][::-1]
+    assert all(np.array_equal(a, b) for a, b in zip(together, alone))
+
+
+def test_thinned_cache_draws_the_same(lattice):
+    texts = [f"often seldom{k} often, again{k % 5}\n" for k in range(80)]
+    lattice._clear()
+    before = lattice.encode(texts, list(range(80)))
+    n = len(lattice.slot)
+    lattice._thin_out()
+    assert 0 < len(lattice.slot) < n
+    after = lattice.encode(texts, list(range(80)))
+    assert all(np.array_equal(a, b) for a, b in zip(before, after))
+
+
+def test_long_unit_without_spaces(lattice):
+    text = "abcdefgh" * 2000 + "é" * 2000
+    (ids,) = lattice.encode([text], [3])
+    assert lattice.decode(ids.tolist()) == text and len(ids) < len(text)
+
+
+def test_rows(spark):
+    rows = [(1, "some words"), (1, "some words"), (2, "some words"), (3, None), (4, ""), (None, "some words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = sp.encoded(frame.text, frame.doc_id, MODEL)
+    out = frame.withColumn("ids", ids).withColumn("back", sp.decoded(sp.F.col("ids"), MODEL)).collect()
+    assert all(r.back == r.text for r in out)
+    same = [r.ids for r in out if r.doc_id == 1]
+    assert same[0] == same[1]
+    assert [r.ids for r in out if r.doc_id in (3, 4)] in ([None, []], [[], None])
+    empty = frame.limit(0)
+    assert empty.withColumn("ids", sp.encoded(empty.text, empty.doc_id, MODEL)).count() == 0
+
+
+def test_query(spark, tables):
+    out = op2_sentencepiece(spark, tables).collect()
+    assert len(out) == spark.read.parquet(f"{tables}/documents.parquet").count()
+    assert all(r.lossless and r.n_pieces == len(r.ids) for r in out)
