@@ -25,17 +25,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of all documents, decoded again."""
-    model = tokenizer("piece_bpe_32k.model")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = sentencepiece.encoded(F.col("text"), F.col("doc_id"), model)
-    sampled = documents.withColumn("ids", ids)
-    text = sentencepiece.decoded(F.col("ids"), model)
-    return sampled.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        text.eqNullSafe(F.col("text")).alias("lossless"),
-    )
+    documents = table(spark, sf_dir, "documents")
+    sampled = sentencepiece.segmented(documents, "doc_id", tokenizer("piece_bpe_32k.model"))
+    return sampled.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstline.llm.storage import values
@@ -41,7 +41,7 @@ _MOST_KEPT_CANDIDATES = 6_000_000
 _TINY, _SCALE, _LEAST = 1e-150, 1e150, 1e-250
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 18
-_BELOW_ONE = 1 - 1e-8
+_ONE = 1 << 24  # shares are whole numbers of it, so that draws do not depend on rounding
 
 
 class Vocabulary:
@@ -93,24 +93,31 @@ class Vocabulary:
             self.hashed_ids.append(np.array([self.ids[x] for x in own], np.int64)[order])
             self.filters.append(known)
 
-    def pieces_at(self, codes: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Ids of the pieces of 1, 2, ... characters that end at each character, -1 where there
-        is none. ``place`` is the character's place in its unit, from 1."""
-        found = np.full((len(codes), self.longest), -1, np.int64)
+    def pieces_at(self, codes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The pieces that end at each character: character, width and id, in that order.
+        ``place`` is the character's place in its unit, from 1."""
         running = np.zeros(len(codes), np.uint64)
+        rows, widths, ids = [], [], []
+        inside = np.arange(len(codes))
         for k in range(self.longest):
-            inside = np.flatnonzero(place > k)
+            inside = inside[place[inside] > k]
             if not len(inside):
                 break
-            running[inside] += _char_hash(codes[inside - k], k)
-            own = running[inside]
-            likely = self.filters[k][own >> np.uint64(64 - _FILTER_BITS)]
-            inside, own = inside[likely], own[likely]
-            if len(inside) and len(self.hashes[k]):
+            own = running[inside] + _char_hash(codes[inside - k], k)
+            running[inside] = own
+            likely = np.flatnonzero(self.filters[k][own >> np.uint64(64 - _FILTER_BITS)])
+            if len(likely):
+                own = own[likely]
                 at = np.minimum(np.searchsorted(self.hashes[k], own), len(self.hashes[k]) - 1)
                 same = self.hashes[k][at] == own
-                found[inside[same], k] = self.hashed_ids[k][at[same]]
-        return found
+                rows.append(inside[likely[same]])
+                widths.append(np.full(len(rows[-1]), k + 1))
+                ids.append(self.hashed_ids[k][at[same]])
+        if not rows:
+            return (np.zeros(0, np.int64),) * 3
+        rows, widths, ids = (np.concatenate(x) for x in (rows, widths, ids))
+        order = np.argsort(rows * 64 + widths)
+        return rows[order], widths[order], ids[order]
 
 
 def _char_hash(codes: np.ndarray, from_end: int) -> np.ndarray:
@@ -132,15 +139,15 @@ class Lattice:
         self.slot: dict[str, int] = {}
         self.base = np.zeros(0, np.int64)  # first row of a unit; one row for each end position
         self.length = np.zeros(0, np.int64)
-        self.edges = np.zeros(0)  # row + cumulated share, ascending over all rows
+        self.edges = np.zeros(0, np.int64)  # row and cumulated share, ascending over all rows
         self.width = np.zeros(0, np.int8)  # characters of a candidate piece
         self.piece = np.zeros(0, np.int32)  # its id, or -1 - code point for byte fallback
         self.rows = 0
         self.uses = np.zeros(0, np.int64)
 
-    def filtered(self, unit: str) -> Iterator[list[tuple[float, int, int]]]:
-        """For each end position the pieces that end there: cumulated share of the paths, width
-        and id. Weights of positions are scaled as they get small."""
+    def filtered(self, unit: str) -> Iterator[list[tuple[int, int, int]]]:
+        """For each end position the pieces that end there: cumulated share of the paths in
+        2^-24, width and id. Weights of positions are scaled as they get small."""
         ids, weight, longest = self.vocabulary.ids, self.weight, self.vocabulary.longest
         paths = [1.0]
         for end in range(1, len(unit) + 1):
@@ -148,17 +155,21 @@ class Lattice:
             for start in range(end - 1, max(-1, end - 1 - longest), -1):
                 piece = ids.get(unit[start:end])
                 if piece is not None:
-                    total += paths[start] * weight[piece]
-                    found.append((total, end - start, piece))
+                    found.append((paths[start] * weight[piece], end - start, piece))
+                    total += found[-1][0]
                 elif start == end - 1:
                     width = len(unit[start].encode())
-                    total += paths[start] * weight[self.vocabulary.byte_ids[0]] ** width
-                    found.append((total, 1, -1 - ord(unit[start])))
+                    own = paths[start] * weight[self.vocabulary.byte_ids[0]] ** width
+                    found.append((own, 1, -1 - ord(unit[start])))
+                    total += own
             paths.append(total)
             if total < _TINY:
                 for k in range(max(0, end + 1 - longest), end + 1):
                     paths[k] *= _SCALE
-            yield [(share / total, width, piece) for share, width, piece in found]
+            rising = [int(weight / total * _ONE) for weight, _, _ in found]
+            rising = np.cumsum(rising).tolist()
+            rising[-1] = _ONE
+            yield [(share, width, piece) for share, (_, width, piece) in zip(rising, found)]
 
     def _filtered_alike(self, units: list[str]) -> tuple[np.ndarray, ...]:
         """The same for many short units at once, position by position: how many pieces end at
@@ -169,31 +180,48 @@ class Lattice:
         first = np.cumsum(lengths) - lengths
         codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         place = np.arange(len(codes)) - np.repeat(first, lengths) + 1
-        ids = self.vocabulary.pieces_at(codes, place)
-        weights = np.where(ids >= 0, self.weights[ids], 0.0)
-        alone = np.flatnonzero(ids[:, 0] < 0)
-        width = 1 + (codes[alone] > 0x7F) + (codes[alone] > 0x7FF) + (codes[alone] > 0xFFFF)
-        weights[alone, 0] = self.weights[self.vocabulary.byte_ids[0]] ** width
-        ids[alone, 0] = -1 - codes[alone].astype(np.int64)
-        by_length = np.argsort(-lengths, kind="stable")
-        paths = np.zeros(len(codes) + len(units))
+        rows, widths, ids = self.vocabulary.pieces_at(codes, place)
+        weights = self.weights[ids]
+        single = np.ones(len(codes), bool)
+        single[rows[widths == 1]] = False
+        alone = np.flatnonzero(single)
+        if len(alone):
+            size = 1 + (codes[alone] > 0x7F) + (codes[alone] > 0x7FF) + (codes[alone] > 0xFFFF)
+            rows = np.concatenate([rows, alone])
+            widths = np.concatenate([widths, np.ones(len(alone), np.int64)])
+            ids = np.concatenate([ids, -1 - codes[alone].astype(np.int64)])
+            by_bytes = self.weights[self.vocabulary.byte_ids[0]] ** size
+            weights = np.concatenate([weights, by_bytes])
+            order = np.argsort(rows * 64 + widths)
+            rows, widths, ids, weights = (x[order] for x in (rows, widths, ids, weights))
+        counts = np.bincount(rows, minlength=len(codes))
         origin = first + np.arange(len(units))  # of each unit's paths, one more than its rows
+        target = np.arange(len(codes)) + np.repeat(np.arange(len(units)), lengths) + 1
+        paths = np.zeros(len(codes) + len(units))
         paths[origin] = 1.0
-        parts = np.zeros_like(weights)
-        for end in range(1, int(lengths.max()) + 1):
-            own = by_length[: np.searchsorted(-lengths[by_length], -end, side="right")]
-            back = min(end, longest)
-            rows = first[own] + end - 1
-            before = paths[(origin[own] + end)[:, None] - np.arange(1, back + 1)]
-            part = before * weights[rows, :back]
-            parts[rows, :back] = part
-            paths[origin[own] + end] = part.sum(1)
-        total = parts.sum(1)
+        source = target[rows] - widths
+        # Edges and rows by the place at which they end, in the order of rows.
+        edge_order = np.argsort(place[rows], kind="stable")
+        row_order = np.argsort(place, kind="stable")
+        places = np.arange(1, int(lengths.max()) + 2)
+        edge_cuts = np.searchsorted(place[rows][edge_order], places)
+        row_cuts = np.searchsorted(place[row_order], places)
+        parts = np.zeros(len(rows))
+        for k in range(len(places) - 1):
+            edges = edge_order[edge_cuts[k] : edge_cuts[k + 1]]
+            ends = row_order[row_cuts[k] : row_cuts[k + 1]]
+            part = paths[source[edges]] * weights[edges]
+            parts[edges] = part
+            own = counts[ends]
+            paths[target[ends]] = np.add.reduceat(part, np.cumsum(own) - own)
+        total = paths[target]
         unlikely = np.minimum.reduceat(total, first) < _LEAST
-        there = weights > 0
-        shares = np.cumsum(parts, 1) / np.maximum(total, _LEAST)[:, None]
-        widths = np.broadcast_to(np.arange(1, longest + 1), ids.shape)
-        return there.sum(1), shares[there], widths[there], ids[there], unlikely
+        shares = (parts / np.maximum(total, _LEAST)[rows] * _ONE).astype(np.int64)
+        rising = np.cumsum(shares)
+        last = np.cumsum(counts) - 1
+        rising -= np.repeat(rising[last] - np.add.reduceat(shares, last + 1 - counts), counts)
+        rising[last] = _ONE
+        return counts, rising, widths, ids, unlikely
 
     def _learn(self, units: list[str]) -> None:
         short = [u for u in units if len(u) <= _LONG]
@@ -227,9 +255,7 @@ class Lattice:
     def _keep(self, units: list[str], counts, shares, widths, ids) -> None:
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         row = self.rows + np.repeat(np.arange(len(counts)), counts)
-        edges = row + shares
-        last = np.cumsum(counts) - 1
-        edges[last] = row[last] + 1.0
+        edges = row * _ONE + shares
         self.slot.update(zip(units, range(len(self.slot), len(self.slot) + len(units))))
         self.base = np.concatenate([self.base, self.rows + np.cumsum(lengths) - lengths])
         self.rows += len(counts)
@@ -258,7 +284,7 @@ class Lattice:
         stay = np.flatnonzero(self.uses >= least)
         names = list(self.slot)
         kept = [names[k] for k in stay.tolist()]
-        row_of = np.floor(np.nextafter(self.edges, -1)).astype(np.int64)
+        row_of = (self.edges - 1) // _ONE
         staying = np.zeros(self.rows, bool)
         lengths = self.length[stay]
         rows = np.repeat(self.base[stay] - (np.cumsum(lengths) - lengths), lengths)
@@ -266,7 +292,7 @@ class Lattice:
         staying[rows] = True
         own = staying[row_of]
         counts = np.bincount(row_of, minlength=self.rows)[rows]
-        shares = self.edges[own] - row_of[own]
+        shares = self.edges[own] - row_of[own] * _ONE
         widths, ids = self.width[own], self.piece[own]
         self._clear()
         if kept:
@@ -284,7 +310,8 @@ class Lattice:
         while len(active):
             end = left[active]
             drawn = _uniform(seeds[active], starts[active] + end)
-            at = np.searchsorted(self.edges, base[active] + end - 1 + drawn, side="right")
+            row = base[active] + end - 1
+            at = np.searchsorted(self.edges, row * _ONE + drawn, side="right")
             steps.append((active, self.piece[at]))
             left[active] = end - self.width[at]
             count[active] += 1
@@ -359,8 +386,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Numbers from 0 to 2^24 - 1."""
     x = _mixed(seeds + places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.minimum((x >> np.uint64(11)) * 2.0**-53, _BELOW_ONE)
+    return (x >> np.uint64(40)).astype(np.int64)
 
 
 _LATTICES: dict[tuple[str, float], Lattice] = {}
@@ -391,6 +419,34 @@ def encoded(text: Column, key: Column, model_path: str, alpha: float = ALPHA) ->
     return F.arrow_udf(encode, "array<int>")(text.cast("string"), key.cast("long"))
 
 
+def segmented(texts: DataFrame, key: str, model_path: str, alpha: float = ALPHA) -> DataFrame:
+    """The key column, ``ids`` and ``lossless``: whether decoding the ids gives the text back.
+
+    A null text has null ids and counts as lossless, an empty text has none; rows with equal
+    key and text have equal ids. Other columns are not read.
+    """
+    kind = texts.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = lattice(model_path, alpha)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                some = batch.slice(first, 256)
+                given = some.column("text").to_pylist()
+                seeds = [k or 0 for k in some.column("seed").to_pylist()]
+                found = own.encode([t or "" for t in given], seeds)
+                back = [own.decode(x.tolist()) == (t or "") for t, x in zip(given, found)]
+                rows = [None if t is None else x for t, x in zip(given, found)]
+                columns = [some.column("key"), pa.array(rows, pa.list_(pa.int32())), pa.array(back)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "lossless"])
+
+    chosen = texts.select(
+        F.col(key).alias("key"), F.col(key).cast("long").alias("seed"), F.col("text").cast("string")
+    )
+    out = chosen.mapInArrow(run, f"key {kind}, ids array<int>, lossless boolean")
+    return out.withColumnRenamed("key", key)
+
+
 def decoded(ids: Column, model_path: str) -> Column:
     """Texts of ids; null stays null."""
 
