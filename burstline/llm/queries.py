@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, minhash, packing, pii, quality, sentencepiece, vectors, warc
+from burstline.llm import lines, minhash, packing, pii, quality, sentencepiece, suffixes, vectors, warc
 from burstline.sources.tables import table
 
 
@@ -56,6 +56,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes that a 100-byte string found earlier covers."""
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"), least=100)
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that has not seen the held-out labels."""
     documents = table(spark, sf_dir, "documents")
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_vectors": op6_vectors,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
+    "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
 }
 

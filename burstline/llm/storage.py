@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,12 @@ class Scratch:
         frame.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
+    def release(self) -> None:
+        """Lets Spark's cleaner remove the shuffle files of finished steps before the next one:
+        it does so once their plans are garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Removes tables that no later step reads."""
         jvm = self.spark._jvm
