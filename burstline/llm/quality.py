@@ -228,9 +228,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     return Model(ratios, weights, found[0].bias, found[0].slope, found[0].shift)
 
 
-def with_score(documents: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score``, 0 to 1, higher where label 1 is likelier. Null and empty texts have the
-    score of a text without n-grams. Other columns stay; an older ``score`` is replaced."""
+def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Adds a score, 0 to 1, higher where label 1 is likelier. Null and empty texts have the
+    score of a text without n-grams. Other columns stay; one called ``name`` is replaced."""
     sent = documents.sparkSession.sparkContext.broadcast(model)  # 4 MB at 18 bits
 
     def score(texts: pa.Array) -> pa.Array:
@@ -238,7 +238,7 @@ def with_score(documents: DataFrame, model: Model) -> DataFrame:
         return pa.array([model.score(indicators.of(x or b"")) for x in values(texts)], pa.float64())
 
     text = F.col("text").cast("string").cast("binary")
-    return documents.withColumn("score", F.arrow_udf(score, "double")(text))
+    return documents.withColumn(name, F.arrow_udf(score, "double")(text))
 
 
 def held_out(doc_id="doc_id"):
