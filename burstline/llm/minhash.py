@@ -46,7 +46,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of each word: what stands between ASCII white space, A-Z in lower case."""
     data = np.frombuffer(text.lower(), np.uint8)
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
@@ -64,7 +64,7 @@ def _word_hashes(text: bytes) -> np.ndarray:
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     """Distinct shingles as sorted 64-bit hashes; fewer words than asked for are one shingle."""
-    found = _word_hashes(text or b"")
+    found = word_hashes(text or b"")
     if not len(found):
         return found
     n = min(words, len(found))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import lines, minhash, packing, pii, quality, sentencepiece, suffixes, vectors, warc
+from burstline.llm import bm25, lines, minhash, packing, pii, quality, sentencepiece, suffixes, vectors, warc
 from burstline.sources.tables import table
 
 
@@ -40,6 +40,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents")).drop("pii")
 
 
+def op5_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents most like each document whose id is divisible by 50, by 32 words."""
+    documents = table(spark, sf_dir, "documents")
+    return bm25.search(documents.filter(F.col("doc_id") % 50 == 0), documents, 10, query_terms=32)
+
+
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all embeddings linked by a cosine of 0.9."""
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.9)
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_minhash": op3_minhash,
     "op4_pii": op4_pii,
+    "op5_bm25": op5_bm25,
     "op6_vectors": op6_vectors,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
@@ -127,6 +134,41 @@ SELECT g.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, component_id,
 FROM grouped g LEFT JOIN sizes s ON s.doc_id = g.doc_id
 """
 
+OP5_SQL = r"""
+WITH words AS (
+    SELECT doc_id, unnest(list_filter(
+        regexp_split_to_array(
+            translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'),
+        lambda x: x <> '')) AS word
+    FROM documents
+),
+tf AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(n) AS words FROM tf GROUP BY doc_id),
+total AS (
+    SELECT count(*) AS docs, (SELECT sum(words) FROM lengths) / count(*)::DOUBLE AS mean
+    FROM documents
+),
+idf AS (
+    SELECT word, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+    FROM tf, total GROUP BY word, docs
+),
+queries AS (
+    SELECT doc_id AS query_id, word, idf FROM tf JOIN idf USING (word) WHERE doc_id % 50 = 0
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(n * idf, 9) DESC, word) <= 32
+),
+scores AS (
+    SELECT q.query_id, t.doc_id, round(sum(
+        q.idf * t.n * 2.2 / (t.n + 1.2 * (0.25 + 0.75 * l.words / total.mean))), 6) AS score
+    FROM queries q JOIN tf t USING (word) JOIN lengths l ON l.doc_id = t.doc_id, total
+    GROUP BY q.query_id, t.doc_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank,
+    doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
 OP6_SQL = """
 WITH RECURSIVE clean AS (
     SELECT vec_id, embedding::DOUBLE[] AS v,
@@ -199,6 +241,7 @@ FROM (
 
 ORACLES: dict[str, str] = {
     "op3_minhash": OP3_SQL,
+    "op5_bm25": OP5_SQL,
     "op6_vectors": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,

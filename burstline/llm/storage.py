@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from burstline.streaming.workspace import run_folder
 
 
+# Rows with texts or sets are large, and a batch is held by the JVM and by Python.
+ROWS_AT_ONCE = 2000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Scratch:
     """Written tables of one run. Writing cuts lineage, and a lost executor loses none of it."""
 
@@ -22,7 +27,13 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def store(self, frame: DataFrame, name: str) -> DataFrame:
-        frame.write.mode("overwrite").parquet(self.path(name))
+        conf = self.spark.conf
+        before = conf.get(_ARROW_ROWS)
+        conf.set(_ARROW_ROWS, str(min(ROWS_AT_ONCE, int(before))))
+        try:
+            frame.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            conf.set(_ARROW_ROWS, before)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def release(self) -> None:
