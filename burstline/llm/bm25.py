@@ -145,6 +145,14 @@ class Index:
         return list(zip((-np.round(scores, DECIMALS)).tolist(), docs.tolist()))
 
 
+_FOUND = pa.schema(
+    [
+        ("query_id", pa.int64()),
+        ("hits", pa.list_(pa.struct([("score", pa.float64()), ("doc_id", pa.int64())]))),
+    ]
+)
+
+
 def _searched(placed: DataFrame, routed: DataFrame, mean: float, k: int) -> DataFrame:
     def run(documents: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
@@ -160,15 +168,13 @@ def _searched(placed: DataFrame, routed: DataFrame, mean: float, k: int) -> Data
             lists = np.searchsorted(terms, term)
             cuts = np.flatnonzero(np.diff(query, prepend=query[0] - 1))
             for a, b in zip(cuts, [*cuts[1:], len(query)]):
-                for score, doc in index.top(lists[a:b], idf[a:b], k):
-                    found.append((int(query[a]), int(doc), score))
-        columns = list(zip(*found)) or [()] * 3
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        names = ["query_id", "doc_id", "score"]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+                best = index.top(lists[a:b], idf[a:b], k)
+                hits = [{"score": score, "doc_id": int(doc)} for score, doc in best]
+                found.append({"query_id": int(query[a]), "hits": hits})
+        return pa.Table.from_pylist(found, _FOUND)
 
     groups = placed.groupBy("shard").cogroup(routed.groupBy("shard"))
-    return groups.applyInArrow(run, "query_id long, doc_id long, score double")
+    return groups.applyInArrow(run, "query_id long, hits array<struct<score:double,doc_id:long>>")
 
 
 def search(
@@ -212,6 +218,11 @@ def search(
     found = _searched(known, routed, max(words, 1) / max(total, 1), k)
     found = scratch.store(found, "found")
     scratch.release()
+    # The k-th best of any shard is a bound for the k-th best of all.
+    last = F.when(F.size("hits") == k, F.col("hits")[k - 1]["score"]).otherwise(0.0)
+    bounds = found.groupBy("query_id").agg(F.max(last).alias("bound"))
+    hits = F.filter("hits", lambda x: x["score"] >= F.col("bound"))
+    found = found.join(bounds, "query_id").select("query_id", F.inline(hits))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("long"), "doc_id", "score")

@@ -7,8 +7,8 @@ bucket keys; documents that share a bucket are compared on their full shingle se
 Equal sets are one class, so copies cost nothing. Not all pairs of a bucket are compared:
 
 1. every class with the smallest class of its buckets, one comparison per class;
-2. in buckets that still hold several components, every class with the bucket's smallest, unless
-   they are in one component already;
+2. in buckets that still hold several components, every class with the bucket's smallest, then
+   with any class of its largest component, unless they are in one component already;
 3. in buckets that still do, every class outside the bucket's largest component with all others
    that are not in its own, if sizes and sketches allow the similarity.
 
@@ -216,21 +216,33 @@ def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """Buckets that hold several components, with their smallest class and the component with
-    the most classes."""
-    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
+    """Buckets that hold several components: their smallest class, the component with the most
+    classes, and any one class of that."""
+    drawn = F.min_by("rep", F.xxhash64("rep", "key"))
+    parts = members.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min("rep").alias("rep"), drawn.alias("drawn")
+    )
+    largest = F.max(F.struct("n", "component", "drawn"))
     return (
         parts.groupBy("key")
-        .agg(
-            F.count("*").alias("parts"),
-            F.min("rep").alias("first"),
-            F.max(F.struct("n", "component"))["component"].alias("main"),
-        )
+        .agg(F.count("*").alias("parts"), F.min("rep").alias("first"), largest.alias("largest"))
         .filter(F.col("parts") > 1)
-        .select("key", "first", "main")
+        .select("key", "first", F.col("largest.component").alias("main"), "largest.drawn")
     )
 
 
+def _with_center(now: DataFrame, opened: DataFrame, stars: DataFrame, center: str) -> DataFrame:
+    """Classes paired with the center of their buckets, where they are not connected yet."""
+    paired = now.join(opened.select("key", F.col(center).alias("center")).hint("rebalance"), "key")
+    paired = paired.filter(F.col("rep") != F.col("center")).select("rep", "component", "center")
+    centers = stars.select(F.col("node").alias("center"), F.col("component").alias("of_center"))
+    paired = paired.distinct().join(centers, "center", "left")
+    apart = paired.filter(F.coalesce("of_center", "center") != F.col("component"))
+    return apart.select(
+        F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")
+    ).distinct()
+
+
 def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: one row per input row.
 
@@ -268,36 +280,37 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     links = scratch.store(_verified(pairs, sets, percent), "links-1")
     stars = components(links, scratch, "stars-1")
 
-    # 2: the smallest class of each bucket
-    now = scratch.store(_labelled(members.select("key", "rep"), stars), "now-2")
-    open_now = scratch.store(_open_buckets(now), "open-2")
-    to_first = now.join(open_now.hint("rebalance"), "key").filter(F.col("rep") != F.col("first"))
-    firsts = stars.select(F.col("node").alias("first"), F.col("component").alias("of_first"))
-    to_first = to_first.select("rep", "component", "first").distinct().join(firsts, "first", "left")
-    apart = F.coalesce("of_first", "first") != F.col("component")
-    pairs = to_first.filter(apart).select(F.col("first").alias("a"), F.col("rep").alias("b"))
-    more = scratch.store(_verified(pairs, sets, percent), "links-2")
-    links = links.union(more)
-    stars = components(stars.union(more), scratch, "stars-2")
+    # 2: the smallest class of each bucket, then any class of its largest component
+    for center in ("first", "drawn"):
+        now = _labelled(members.select("key", "rep"), stars)
+        now = scratch.store(now, f"now-{center}")
+        opened = scratch.store(_open_buckets(now), f"open-{center}")
+        pairs = _with_center(now, opened, stars, center)
+        more = scratch.store(_verified(pairs, sets, percent), f"links-{center}")
+        stars = components(stars.union(more), scratch, f"stars-{center}")
 
     # 3: whoever is not in the largest component of a bucket, with all that are not in its own
-    now = _labelled(now.select("key", "rep"), stars)
-    now = scratch.store(now.join(reps.drop("bands"), "rep"), "now-3")
+    now = _labelled(members.select("key", "rep"), stars)
+    now = scratch.store(now.join(reps, "rep"), "now-3")
     open_now = scratch.store(_open_buckets(now).select("key", "main"), "open-3")
     inside = scratch.store(now.join(open_now, "key"), "inside-3")
     sketches = scratch.store(_sketches(sets, inside.select("rep").distinct()), "sketches")
     inside = inside.join(sketches, "rep")
-    fields = ["rep", "component", "n_shingles", *_WORDS_OF_SKETCH]
+    fields = ["rep", "component", "n_shingles", "bands", *_WORDS_OF_SKETCH]
     minor = inside.filter(F.col("component") != F.col("main"))
     minor = minor.select("key", *(F.col(x).alias(f"x_{x}") for x in fields))
     other = inside.select("key", *(F.col(x).alias(f"y_{x}") for x in fields))
     sizes = [F.col("x_n_shingles"), F.col("y_n_shingles")]
+    # A pair is taken up in the smallest bucket that it shares.
+    smallest = F.array_min(F.array_intersect("x_bands", "y_bands"))
     likely = (
         (F.col("x_component") != F.col("y_component"))
         & (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
         & (_agree("x_", "y_") >= sketch_agrees(percent))
+        & (F.col("key") == smallest)
     )
-    found = minor.join(other, "key").filter(likely)
+    found = minor.join(other.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
+    found = found.filter(likely)
     pairs = found.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
     more = scratch.store(_verified(pairs.distinct(), sets, percent), "links-3")
     stars = components(stars.union(more), scratch, "stars-3")
@@ -305,7 +318,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     final = _labelled(classes.select("rep", *one), stars).select(*one, "component")
     final = scratch.store(final, "final")
     scratch.drop("sets", "reps", "members", "classes", "sketches", "inside-3")
-    scratch.drop("now-2", "now-3", "open-2", "open-3")
+    scratch.drop("now-first", "open-first", "now-drawn", "open-drawn", "now-3", "open-3")
     joined = sketched.drop("bands").join(final, one, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
