@@ -25,7 +25,6 @@ from burstline.operators.feed import envelope, total_measures
 from burstline.plans.detection import (
     FOLDED,
     OUTPUTS,
-    SUMMARY_STATE_PARTITIONS,
     Detection,
     decode_job,
     detect,
@@ -33,8 +32,12 @@ from burstline.plans.detection import (
     read_decoded,
 )
 from burstline.plans.feeding import feed_from_csv
-from burstline.session import build_session, stateful_session
-from burstline.sources.blacklist import read_blacklist, store_initial_blacklist
+from burstline.session import build_session
+from burstline.sources.blacklist import (
+    read_blacklist,
+    require_unique,
+    store_initial_blacklist,
+)
 from burstline.sources.messages import read_messages, write_messages
 from burstline.streaming.runner import start_all, supervise
 from burstline.streaming.sinks import Sink, change_log, console, files
@@ -66,9 +69,12 @@ def run_feed(
     target: MessageSource,
     strict: bool = True,
     config: FeedConfig = FeedConfig(),
+    multi_line: bool = False,
 ) -> dict[str, int]:
     """Send a labelled CSV and return the run totals, which are taken while writing."""
-    transactions = feed_from_csv(spark, dataset, strict=strict, config=config)
+    transactions = feed_from_csv(
+        spark, dataset, strict=strict, config=config, multi_line=multi_line
+    )
     sent = Observation("feed_totals")
     write_messages(envelope(transactions.observe(sent, *total_measures(config))), target)
     _log.info("feed totals: %s", sent.get)
@@ -89,10 +95,14 @@ def run_detection(
 ) -> None:
     """Run the detection queries until they end, one fails or the job is interrupted.
 
-    Bursts keep as many state partitions as ``spark`` has shuffle partitions, the summary
-    a few. Both numbers are frozen by the first run on ``root``. ``decode_once`` puts a
+    Stateful queries keep as many state partitions as ``spark`` has shuffle partitions; the
+    number is frozen by the first run on ``root``. The blacklist must have one row per user.
+    Without ``live`` a topic is read from its beginning to its end. ``decode_once`` puts a
     typed table under ``root`` between the messages and the queries.
     """
+    if not live:
+        source = source.from_beginning()
+    require_unique(read_blacklist(spark, blacklist_path))
     decoded = f"{root}/outputs/decoded_transactions"
     decoding = decode_job(read_messages(spark, source), decoded, root, live)
 
@@ -104,10 +114,8 @@ def run_detection(
         blacklist = read_blacklist(session, blacklist_path)
         return detect(transactions, blacklist, config, True, salt_buckets)
 
-    narrow = outputs_in(stateful_session(spark, SUMMARY_STATE_PARTITIONS))
-    outputs = replace(outputs_in(spark), summary_statistics=narrow.summary_statistics)
     jobs = detection_jobs(
-        outputs, root, lambda name: output_sink(name, sink, root), live, fold_routes
+        outputs_in(spark), root, lambda name: output_sink(name, sink, root), live, fold_routes
     )
     if decode_once and live:
         jobs = [decoding, *jobs]
@@ -121,10 +129,12 @@ def _parser() -> argparse.ArgumentParser:
     jobs = parser.add_subparsers(dest="job", required=True)
     blacklist = jobs.add_parser("blacklist", help="store the initial blacklist")
     blacklist.add_argument("--path", required=True)
+    blacklist.add_argument("--replace", action="store_true", help="overwrite a stored list")
     feed = jobs.add_parser("feed", help="turn a labelled CSV into messages")
     feed.add_argument("--dataset", default=None)
     feed.add_argument("--to", default=None)
     feed.add_argument("--lenient", action="store_true", help="leave out unreadable labels")
+    feed.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
     detection = jobs.add_parser("detect", help="run the detection queries")
     detection.add_argument("--blacklist", required=True)
     detection.add_argument("--root", required=True)
@@ -144,11 +154,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = build_session()
     if options.job == "blacklist":
-        store_initial_blacklist(spark, options.path)
+        store_initial_blacklist(spark, options.path, options.replace)
     elif options.job == "feed":
         dataset = options.dataset or dataset_path()
         target = message_source(options.to, options.option)
-        run_feed(spark, dataset, target, strict=not options.lenient)
+        run_feed(
+            spark, dataset, target, strict=not options.lenient, multi_line=options.multi_line
+        )
     else:
         try:
             run_detection(

@@ -106,6 +106,13 @@ class MessageSource:
             **self.options,
         }
 
+    def from_beginning(self) -> MessageSource:
+        """For a bounded read: all that the topic holds, and a failure if some of it is lost."""
+        if self.format != "kafka":
+            return self
+        bounded = {"startingOffsets": "earliest", "failOnDataLoss": "true", **self.options}
+        return replace(self, options=bounded)
+
     def write_options(self) -> dict[str, str]:
         if self.format != "kafka":
             return dict(self.options)

@@ -23,8 +23,6 @@ OUTPUTS = {
     "bot_detection": ("update", "5 seconds", 30),
     "summary_statistics": ("update", "10 seconds", 10),
 }
-# State partitions of the summary: it has few groups, whatever the volume.
-SUMMARY_STATE_PARTITIONS = 4
 # In place of the first two when they are folded into one query.
 FOLDED = {"routed_transactions": ("append", "3 seconds", 50)}
 

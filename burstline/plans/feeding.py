@@ -25,12 +25,13 @@ def feed_from_csv(
     start: Column | None = None,
     strict: bool = True,
     config: FeedConfig = FeedConfig(),
+    multi_line: bool = False,
 ) -> DataFrame:
     """The feed of a labelled CSV. Row times are ``start`` (the time of the run unless
     given) plus the row's own ``Time`` in seconds. Without ``strict``, rows with an
-    unreadable label are left out."""
+    unreadable label are left out. ``multi_line`` reads line breaks inside quotes."""
     columns = header_columns(spark, path)
-    rows = normalize(read_csv_rows(spark, path, columns), columns, strict)
+    rows = normalize(read_csv_rows(spark, path, columns, multi_line), columns, strict)
     if not strict and "Class" in columns:
         rows = rows.filter(~F.col("bad_label")).drop("bad_label")
     begin = F.current_timestamp() if start is None else start

@@ -25,7 +25,6 @@ from burstline.operators.windows import (
     summary_statistics,
 )
 from burstline.plans.detection import (
-    SUMMARY_STATE_PARTITIONS,
     Detection,
     detect_messages,
 )
@@ -374,7 +373,7 @@ def q_stream_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replay = _Replay(spark, sf_dir, "stream_summary", SUMMARY_STATE_PARTITIONS)
+    replay = _Replay(spark, sf_dir, "stream_summary")
     _empty_log(replay)
     path = f"{replay.folder}/changes"
     _drain_slices(replay, flat_window(replay.outputs().summary_statistics), path, 1)
@@ -384,7 +383,7 @@ def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary stream, lost after storing a batch but before committing it: the
     restarted query repeats the batch and the result must not change."""
-    replay = _Replay(spark, sf_dir, "stream_restart", SUMMARY_STATE_PARTITIONS)
+    replay = _Replay(spark, sf_dir, "stream_restart")
     _empty_log(replay)
     path = f"{replay.folder}/changes"
     output = flat_window(replay.outputs().summary_statistics)

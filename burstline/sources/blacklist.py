@@ -45,5 +45,16 @@ def store_blacklist(blacklist: DataFrame, path: str) -> None:
     unique_blacklist(blacklist).write.mode("overwrite").parquet(path)
 
 
-def store_initial_blacklist(spark: SparkSession, path: str) -> None:
-    store_blacklist(spark.createDataFrame(INITIAL_ROWS, BLACKLIST), path)
+def require_unique(blacklist: DataFrame) -> None:
+    """Fails if a user is listed twice, which would multiply transactions in a join."""
+    users = F.col("User_ID")
+    counts = blacklist.agg(F.count(users).alias("n"), F.count_distinct(users).alias("users"))
+    n, distinct = counts.first()
+    if n != distinct:
+        raise ValueError(f"the blacklist has {n} rows for {distinct} users; store it again")
+
+
+def store_initial_blacklist(spark: SparkSession, path: str, replace: bool = False) -> None:
+    """Fails if there is a list already, unless it is to be replaced."""
+    initial = unique_blacklist(spark.createDataFrame(INITIAL_ROWS, BLACKLIST))
+    initial.write.mode("overwrite" if replace else "errorifexists").parquet(path)

@@ -35,16 +35,7 @@ def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
 
 def scan_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
     """Messages present now, as a batch."""
-    if source.format == "kafka":
-        # A bounded Kafka read has no "latest" start.
-        source = MessageSource(
-            source.format,
-            source.servers,
-            source.topic,
-            source.path,
-            {"startingOffsets": "earliest", **source.options},
-        )
-    return _with_source(spark.read, source)
+    return _with_source(spark.read, source.from_beginning())
 
 
 def write_messages(messages: DataFrame, target: MessageSource) -> None:

@@ -153,6 +153,9 @@ def test_source_options_of_the_command_line(monkeypatch):
     kafka = app.message_source(None, ["minPartitions=9", "startingOffsets=earliest"])
     assert kafka.read_options()["minPartitions"] == "9"
     assert kafka.read_options()["startingOffsets"] == "earliest"
+    bounded = app.message_source(None).from_beginning().read_options()
+    assert (bounded["startingOffsets"], bounded["failOnDataLoss"]) == ("earliest", "true")
+    assert app.message_source("/folder").from_beginning() == app.message_source("/folder")
     assert kafka.topic == "bank_transactions"
     assert app.message_source("/log", ["a=b=c"]).read_options() == {"a": "b=c"}
 

@@ -15,6 +15,7 @@ from burstline.schemas import ALERT, BLACKLIST, NORMAL
 from burstline.sources.blacklist import (
     INITIAL_ROWS,
     read_blacklist,
+    require_unique,
     store_initial_blacklist,
     unique_blacklist,
 )
@@ -154,3 +155,9 @@ def test_stored_blacklist(spark, tmp_path):
     store_initial_blacklist(spark, path)
     rows = read_blacklist(spark, path).collect()
     assert sorted(tuple(r) for r in rows) == sorted(INITIAL_ROWS)
+    with pytest.raises(Exception, match="(?i)exists"):
+        store_initial_blacklist(spark, path)
+    store_initial_blacklist(spark, path, replace=True)
+    require_unique(read_blacklist(spark, path))
+    with pytest.raises(ValueError, match="rows for"):
+        require_unique(read_blacklist(spark, path).union(read_blacklist(spark, path)))
