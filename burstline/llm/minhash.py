@@ -7,7 +7,7 @@ bucket keys; documents that share a bucket are compared on their full shingle se
 Equal sets are one class, so copies cost nothing. Not all pairs of a bucket are compared:
 
 1. every class with the smallest class of its buckets, one comparison per class;
-2. in buckets that still hold several components, every class with the bucket's smallest, then
+2. in buckets that still hold several components, every class with the bucket's smallest and
    with any class of its largest component, unless they are in one component already;
 3. in buckets that still do, every class outside the bucket's largest component with all others
    that are not in its own, if sizes and sketches allow the similarity.
@@ -280,14 +280,13 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     links = scratch.store(_verified(pairs, sets, percent), "links-1")
     stars = components(links, scratch, "stars-1")
 
-    # 2: the smallest class of each bucket, then any class of its largest component
-    for center in ("first", "drawn"):
-        now = _labelled(members.select("key", "rep"), stars)
-        now = scratch.store(now, f"now-{center}")
-        opened = scratch.store(_open_buckets(now), f"open-{center}")
-        pairs = _with_center(now, opened, stars, center)
-        more = scratch.store(_verified(pairs, sets, percent), f"links-{center}")
-        stars = components(stars.union(more), scratch, f"stars-{center}")
+    # 2: the smallest class of each bucket, and any class of its largest component
+    now = scratch.store(_labelled(members.select("key", "rep"), stars), "now-2")
+    opened = scratch.store(_open_buckets(now), "open-2")
+    pairs = [_with_center(now, opened, stars, center) for center in ("first", "drawn")]
+    more = _verified(pairs[0].union(pairs[1]).distinct(), sets, percent)
+    more = scratch.store(more, "links-2")
+    stars = components(stars.union(more), scratch, "stars-2")
 
     # 3: whoever is not in the largest component of a bucket, with all that are not in its own
     now = _labelled(members.select("key", "rep"), stars)
@@ -318,7 +317,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     final = _labelled(classes.select("rep", *one), stars).select(*one, "component")
     final = scratch.store(final, "final")
     scratch.drop("sets", "reps", "members", "classes", "sketches", "inside-3")
-    scratch.drop("now-first", "open-first", "now-drawn", "open-drawn", "now-3", "open-3")
+    scratch.drop("now-2", "open-2", "now-3", "open-3")
     joined = sketched.drop("bands").join(final, one, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
