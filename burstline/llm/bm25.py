@@ -116,33 +116,42 @@ class Index:
         at = [np.arange(self.first[t], self.first[t + 1]) for t in terms.tolist()]
         weight = np.repeat(weights, [len(x) for x in at])
         at = np.concatenate(at)
-        blocks, inverse = np.unique(self.blocks[at], return_inverse=True)
-        bound = np.bincount(inverse, self.largest[at] * weight)
-        by_bound = np.argsort(-bound, kind="stable")
-        best: list[tuple[float, int]] = []
+        blocks = -(-len(self.ids) // BLOCK)
+        inside = self.blocks[at]
+        bound = np.bincount(inside, self.largest[at] * weight, blocks)
+        by_bound = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
+        best, docs = np.zeros(0), np.zeros(0, np.int64)
         done, width = 0, OPENED_FIRST
         while done < len(by_bound):
-            enough = -best[k - 1][0] if len(best) >= k else -math.inf
+            enough = -best[k - 1] if len(best) >= k else -math.inf
             opened = by_bound[done : done + width]
             # Rounding moves a score by half of the last decimal at most.
             opened = opened[bound[opened] >= enough - 10.0**-DECIMALS]
             if not len(opened):
                 break
-            best = sorted(best + self._scores(at, weight, inverse, opened, len(blocks)))[:k]
+            scores, found = self._scores(at, weight, inside, opened, blocks)
+            best, docs = np.concatenate([best, scores]), np.concatenate([docs, found])
+            if len(best) > k:
+                able = np.flatnonzero(best <= np.partition(best, k - 1)[k - 1])
+                best, docs = best[able], docs[able]
+            order = np.lexsort((docs, best))[:k]
+            best, docs = best[order], docs[order]
             done += width
             width *= 2
-        return [(-score, self.ids[doc]) for score, doc in best]
-
-    def _scores(self, at, weight, inverse, opened, blocks) -> list[tuple[float, int]]:
-        inside = np.zeros(blocks, bool)
-        inside[opened] = True
-        own = inside[inverse]
+        return list(zip((-best).tolist(), self.ids[docs].tolist()))
+
+    def _scores(self, at, weight, inside, opened, blocks) -> tuple[np.ndarray, np.ndarray]:
+        """Scores below zero, so that the best is the smallest, and numbers of the documents that
+        the opened blocks hold."""
+        chosen = np.zeros(blocks, bool)
+        chosen[opened] = True
+        own = np.flatnonzero(chosen[inside])
         starts, lengths = self.starts[at[own]], self.lengths[at[own]]
         first = np.cumsum(lengths) - lengths
         place = np.repeat(starts - first, lengths) + np.arange(int(lengths.sum()))
-        docs, doc = np.unique(self.doc[place], return_inverse=True)
-        scores = np.bincount(doc, self.impact[place] * np.repeat(weight[own], lengths))
-        return list(zip((-np.round(scores, DECIMALS)).tolist(), docs.tolist()))
+        scores = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight[own], lengths))
+        docs = np.flatnonzero(scores)
+        return -np.round(scores[docs], DECIMALS), docs
 
 
 _FOUND = pa.schema(

@@ -81,3 +81,16 @@ def test_empty_tables(spark):
     assert bm25.search(some.limit(0), some).count() == 0
     assert bm25.search(some, some.limit(0)).count() == 0
     assert bm25.search(some, some).count() == 1
+
+
+def test_registered_query_asks_all_words(spark, tables):
+    from burstline.llm.queries import op5_bm25
+
+    documents = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in documents.collect()]
+    queries = [r for r in rows if r[0] is not None and r[0] % 50 == 0]
+    assert max(len(set((t or "").lower().split())) for _, t in queries) > 32
+    got = sorted((q, r, i, round(s, 6)) for q, r, i, s in map(tuple, op5_bm25(spark, tables).collect()))
+    truth = brute(queries, rows, 10)
+    assert [x[:3] for x in got] == [x[:3] for x in truth]
+    assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, truth))
