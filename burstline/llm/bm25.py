@@ -1,14 +1,12 @@
 """Exact top-k search: BM25 over a sharded inverted index with block-max WAND.
 
 Documents are dealt to shards by a hash of their id. A shard's task builds its inverted lists,
-cut in blocks of neighbouring documents with the largest impact of each, and answers the queries
-that have a term in the shard. Blocks are opened by the sum of the block maxima of a query's
+cut in blocks of neighbouring documents with the largest impact of each, and answers all queries,
+which it reads from the shared folder a few at a time: its memory does not grow with their number,
+and queries are not shuffled to every shard. Blocks are opened by the sum of the block maxima of a query's
 lists, the largest first; as soon as no sum reaches the k-th best score found so far, the rest of
 the shard is passed over. Counts of documents, words and documents per term are those of the whole
 table, so scores of all shards compare, and the merged result is the exact top k.
-
-A query is sent to the shards that hold one of its terms only. Lists that nobody asks for are not
-built.
 """
 
 from __future__ import annotations
@@ -19,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +29,7 @@ K1, B = 1.2, 0.75
 BYTES_PER_SHARD = 40 << 20
 BLOCK = 64
 OPENED_FIRST = 4
+QUERIES_AT_ONCE = 256
 DECIMALS = 6  # scores are rounded to; equal scores rank by id
 
 
@@ -86,21 +87,26 @@ def _held(placed: DataFrame) -> DataFrame:
 class Index:
     """Inverted lists of one shard with block maxima. Documents are numbered by id."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes | None], terms: np.ndarray, mean: float):
-        """``terms`` are sorted hashes of the lists to build, ``mean`` the words per document of
-        the whole table."""
+    def __init__(
+        self, ids: np.ndarray, texts: list[bytes | None], terms: np.ndarray | None, mean: float
+    ):
+        """``terms`` are sorted hashes of the lists to build, None for all, ``mean`` the words per
+        document of the whole table."""
         order = np.argsort(ids, kind="stable")
         self.ids = ids[order]
         parts = []
         for number, k in enumerate(order.tolist()):
             hashes = word_hashes(texts[k] or b"")
             found, counts = np.unique(hashes, return_counts=True)
-            at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
-            own = terms[at] == found
-            tf = counts[own].astype(np.float64)
+            tf = counts.astype(np.float64)
             impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(hashes) / mean))
-            parts.append((at[own], np.full(len(tf), number), impact))
+            parts.append((found, np.full(len(tf), number, np.int32), impact))
         term, doc, impact = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        self.terms = np.unique(term) if terms is None else terms
+        own, term = self.known(term)
+        if not own.all():
+            term, doc, impact = term[own], doc[own], impact[own]
         order = np.argsort(term, kind="stable")
         term, self.doc, self.impact = term[order], doc[order], impact[order]
         block = self.doc // BLOCK
@@ -109,7 +115,14 @@ class Index:
         self.lengths = np.diff(new, append=len(term))
         self.blocks = block[new]
         self.largest = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.first = np.searchsorted(term[new], np.arange(len(terms) + 1))
+        self.first = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
+
+    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether there is a list of each hash, and its number."""
+        if not len(self.terms):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int32)
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        return self.terms[at] == hashes, at.astype(np.int32)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best (score, id) of documents with any of these lists, best first."""
@@ -162,28 +175,52 @@ _FOUND = pa.schema(
 )
 
 
-def _searched(placed: DataFrame, routed: DataFrame, mean: float, k: int) -> DataFrame:
-    def run(documents: pa.Table, queries: pa.Table) -> pa.Table:
-        found = []
-        if documents.num_rows and queries.num_rows:
-            query, term, idf = (queries.column(x).to_numpy() for x in ("query_id", "term", "idf"))
-            order = np.lexsort((term.view(np.uint64), query))
-            query, term, idf = query[order], term[order].view(np.uint64), idf[order]
-            terms = np.unique(term)
-            ids = documents.column("doc_id").to_numpy()
-            texts = documents.column("text").to_pylist()
-            index = Index(ids, texts, terms, mean)
-            del texts
-            lists = np.searchsorted(terms, term)
-            cuts = np.flatnonzero(np.diff(query, prepend=query[0] - 1))
-            for a, b in zip(cuts, [*cuts[1:], len(query)]):
-                best = index.top(lists[a:b], idf[a:b], k)
-                hits = [{"score": score, "doc_id": int(doc)} for score, doc in best]
-                found.append({"query_id": int(query[a]), "hits": hits})
-        return pa.Table.from_pylist(found, _FOUND)
-
-    groups = placed.groupBy("shard").cogroup(routed.groupBy("shard"))
-    return groups.applyInArrow(run, "query_id long, hits array<struct<score:double,doc_id:long>>")
+def _queries(root: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Id, sorted hashes and weights of each query of a stored table, few in memory at a time."""
+    system, folder = fs.FileSystem.from_uri(root)
+    for info in system.get_file_info(fs.FileSelector(folder)):
+        if not info.base_name.endswith(".parquet") or info.base_name[0] in "_.":
+            continue
+        with system.open_input_file(info.path) as source:
+            file = pq.ParquetFile(source, buffer_size=1 << 20)
+            for batch in file.iter_batches(QUERIES_AT_ONCE, use_threads=False):
+                asked = batch.column(batch.schema.get_field_index("asked"))
+                ids = batch.column(batch.schema.get_field_index("query_id")).to_pylist()
+                for query, words in zip(ids, asked):
+                    term = words.values.field("term").to_numpy().view(np.uint64)
+                    order = np.argsort(term, kind="stable")
+                    yield query, term[order], words.values.field("idf").to_numpy()[order]
+
+
+def _answered(index: Index, queries: Iterator, k: int) -> Iterator[pa.RecordBatch]:
+    """The hits of a shard for each query with a word in it, in small batches."""
+    found = []
+    for query, terms, weights in queries:
+        own, lists = index.known(terms)
+        if own.any():
+            hits = index.top(lists[own], weights[own], k)
+            hits = [{"score": score, "doc_id": doc} for score, doc in hits]
+            found.append({"query_id": query, "hits": hits})
+        if len(found) == QUERIES_AT_ONCE:
+            yield pa.RecordBatch.from_pylist(found, _FOUND)
+            found = []
+    yield pa.RecordBatch.from_pylist(found, _FOUND)
+
+
+def _searched(placed: DataFrame, root: str, mean: float, k: int) -> DataFrame:
+    """The hits of each shard for the queries stored at ``root``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts = [], []
+        for batch in batches:
+            ids += batch.column("doc_id").to_pylist()
+            texts += batch.column("text").to_pylist()
+        index = Index(np.array(ids, np.int64), texts, None, mean)
+        del ids, texts
+        yield from _answered(index, _queries(root), k)
+
+    hits = "query_id long, hits array<struct<score:double,doc_id:long>>"
+    return placed.groupBy("shard").applyInArrow(run, hits)
 
 
 def search(
@@ -205,26 +242,25 @@ def search(
     placed = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     asked = scratch.store(_asked(queries), "asked")
-    held = scratch.store(_held(placed), "held")
+    held = _held(placed).groupBy("term").agg(F.sum("n").alias("df"), F.sum("words").alias("words"))
+    held = scratch.store(held, "held")
     scratch.release()
-    counts = held.filter(F.col("term").isNull()).agg(F.sum("n"), F.sum("words")).first()
+    counts = held.filter(F.col("term").isNull()).agg(F.sum("df"), F.sum("words")).first()
     total, words = counts[0] or 0, counts[1] or 0
-    lists = held.join(asked.select("term").distinct(), "term", "left_semi")
-    lists = scratch.store(lists.select("term", "shard", "n"), "lists")
-    scratch.drop("held")
-    df = lists.groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = asked.join(df, "term").withColumn("idf", idf)
+    weighted = asked.join(held.select("term", "df"), "term").withColumn("idf", idf)
     if query_terms is not None:
         weight = F.round(F.col("n") * F.col("idf"), 9).desc()
         order = Window.partitionBy("query_id").orderBy(weight, "word")
         weighted = weighted.withColumn("place", F.row_number().over(order))
         weighted = weighted.filter(F.col("place") <= query_terms)
-    weighted = scratch.store(weighted.select("query_id", "term", "idf"), "weighted")
-    routed = weighted.join(lists.select("term", "shard"), "term")
+    terms = F.collect_list(F.struct("term", "idf")).alias("asked")
+    scratch.store(weighted.groupBy("query_id").agg(terms), "weighted")
+    scratch.drop("asked", "held")
+    scratch.release()
 
     known = placed.filter(F.col("doc_id").isNotNull())
-    found = _searched(known, routed, max(words, 1) / max(total, 1), k)
+    found = _searched(known, scratch.path("weighted"), max(words, 1) / max(total, 1), k)
     found = scratch.store(found, "found")
     scratch.release()
     # The k-th best of any shard is a bound for the k-th best of all.

@@ -94,3 +94,24 @@ def test_registered_query_asks_all_words(spark, tables):
     truth = brute(queries, rows, 10)
     assert [x[:3] for x in got] == [x[:3] for x in truth]
     assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, truth))
+
+
+def test_a_shard_answers_as_it_reads_queries():
+    import numpy as np
+
+    index = bm25.Index(np.arange(3), [b"a b", b"b", b"c"], None, 1.0)
+    terms, read = np.sort(bm25.word_hashes(b"b unknown")), []
+    queries = ((read.append(k) or k, terms, np.ones(2)) for k in range(10 * bm25.QUERIES_AT_ONCE))
+    first, *others = bm25._answered(index, queries, 2)
+    assert first.num_rows == bm25.QUERIES_AT_ONCE and len(others) == 10
+    assert [h["doc_id"] for h in first.column("hits")[0].as_py()] == [1, 0]
+    read.clear()
+    queries = ((read.append(k) or k, terms, np.ones(2)) for k in range(10 * bm25.QUERIES_AT_ONCE))
+    next(bm25._answered(index, queries, 2))
+    assert len(read) == bm25.QUERIES_AT_ONCE
+
+
+def test_queries_are_not_dealt_to_shards(spark):
+    frame = spark.createDataFrame([(1, b"a", 0)], "doc_id long, text binary, shard long")
+    plan = bm25._searched(frame, "unused", 1.0, 2)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "CoGroup" not in plan
