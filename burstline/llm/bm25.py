@@ -1,4 +1,4 @@
-"""Exact top-k search: BM25 over a sharded inverted index with block-max WAND.
+"""Exact top-k search: BM25 over a sharded inverted index, block-max pruning by document range.
 
 Documents are dealt to shards by a hash of their id. A shard's task builds its inverted lists,
 cut in blocks of neighbouring documents with the largest impact of each, and answers all queries,
