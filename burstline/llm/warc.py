@@ -30,7 +30,6 @@ RECORD_DATE = "2024-01-01T00:00:00Z"
 SPLIT_BYTES = 8 << 20
 LEAST_REVISITED = 100
 _READ = 1 << 18
-_LONGEST_HEADER = 1 << 20
 _GZIP = 31
 
 
@@ -151,13 +150,14 @@ def _member_at(window: _Window, position: int) -> Iterator[bytes | int]:
 
 def _until_blank_line(data: bytes, pieces: Iterator) -> tuple[bytes, bytes, int | None]:
     """Header and what has been decoded after it; the member's length if it has ended."""
-    while b"\r\n\r\n" not in data:
+    held, searched = bytearray(data), 0
+    while (end := held.find(b"\r\n\r\n", searched)) < 0:
+        searched = max(0, len(held) - 3)
         piece = next(pieces)
-        if isinstance(piece, int) or len(data) > _LONGEST_HEADER:
+        if isinstance(piece, int):
             raise zlib.error("no end of header")
-        data += piece
-    header, _, rest = data.partition(b"\r\n\r\n")
-    return header, rest, None
+        held += piece
+    return bytes(held[:end]), bytes(held[end + 4 :]), None
 
 
 def _fields(header: bytes) -> dict[str, str]:

@@ -110,3 +110,15 @@ def test_members_are_readable_by_gzip():
     data = warc.record(1, "u", b"body", "d", None)
     assert gzip.decompress(warc.member(data)) == data
     assert b"Content-Length: 4\r\n\r\nbody\r\n\r\n" in data
+
+
+@pytest.mark.parametrize("n", [(1 << 20) + 7, 5 << 20])
+def test_long_headers_come_back(n):
+    rng = random.Random(n)
+    url = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n))
+    digest = hashlib.sha256(b"payload").hexdigest()
+    data = b"".join(warc.member(warc.record(k, u, b"payload", digest, None)) for k, u in enumerate(["a", url, "b"]))
+    found = list(warc.records_in(warc._Window(io.BytesIO(data), len(data)), 0, len(data)))
+    assert [(x["page_id"], x["url"], x["payload_digest"]) for x in found] == [
+        (0, "a", digest), (1, url, digest), (2, "b", digest)
+    ]
