@@ -1,9 +1,9 @@
 """Line dedup by a sharded minimal perfect hash.
 
-Lines that many documents hold are dropped everywhere but in one. The hashes of those lines get
-a minimal perfect hash, built shard by shard, that numbers them without gaps; arrays at these
-numbers hold a fingerprint, the count and the document that keeps the line. Documents probe the
-arrays, so lines are never joined.
+Lines that many documents hold are dropped everywhere but in one. A grouped count finds their
+hashes, and only these get a minimal perfect hash, built shard by shard, that numbers them without
+gaps; arrays at these numbers hold a fingerprint, the count (which no probe reads) and the document
+that keeps the line. Documents probe the arrays, so lines are never joined.
 
 A hash is 128 bits wide: the whole of it places a line, its lower half is the fingerprint that
 turns other lines away.
