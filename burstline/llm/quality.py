@@ -62,19 +62,37 @@ class Indicators:
         self.last = np.zeros(1 << BUCKET_BITS, np.int64)
 
     def of(self, text: bytes) -> np.ndarray:
-        parts = []
-        for first in range(0, len(text), _SLICE):  # n-grams across slices are few
-            parts.append(self._distinct(self._buckets(text[first : first + _SLICE + 2])))
+        """Read in slices; a word that a slice cuts is put together, and the last whole word is
+        paired with the first of the next slice, so the buckets are those of the uncut text."""
+        parts, data = [], np.frombuffer(text, np.uint8)
+        before = np.zeros(0, np.uint32)  # the last whole word
+        begun, length = 0, 0  # hash and bytes of a word that the slice before has cut
+        for first in range(0, len(data), _SLICE):
+            end = min(first + _SLICE, len(data))
+            part = data[first:end]
+            words = _word_hashes(part)
+            gaps = np.flatnonzero(part <= 32)
+            if length and part[0] > 32:
+                power = pow(int(_PRIME), length, 1 << 32)
+                words[0] = (begun + power * int(words[0])) & 0xFFFFFFFF
+            elif length:
+                words = np.concatenate([np.array([begun], np.uint32), words])
+            if end < len(data) and part[-1] > 32:
+                begun, words = int(words[-1]), words[:-1]
+                length = end - first - 1 - int(gaps[-1]) if len(gaps) else length + end - first
+            else:
+                length = 0
+            linked = np.concatenate([before, words])
+            before = linked[-1:]
+            parts.append(self._distinct(self._buckets(words, linked, data[max(0, first - 2) : end])))
         if len(parts) <= 1:
             return parts[0] if parts else np.zeros(0, np.int32)
         return self._distinct(np.concatenate(parts))
 
-    def _buckets(self, text: bytes) -> np.ndarray:
-        data = np.frombuffer(text, np.uint8)
-        words = _word_hashes(data)
+    def _buckets(self, words: np.ndarray, linked: np.ndarray, data: np.ndarray) -> np.ndarray:
         wide = data.astype(np.uint32)
         runs = (wide[:-2] << np.uint32(16)) | (wide[1:-1] << np.uint32(8)) | wide[2:]
-        pairs = words[:-1] * np.uint32(31) + words[1:]
+        pairs = linked[:-1] * np.uint32(31) + linked[1:]
         return np.concatenate(
             [_scattered(words, 1), _scattered(pairs, 2), _scattered(runs, 3)]
         ).astype(np.int32)

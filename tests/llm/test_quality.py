@@ -112,3 +112,15 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert out.columns == ["doc_id", "text", "score"] and out.count() == 5
     assert quality.with_score(documents.limit(0), model).count() == 0
     assert quality.fit(documents.limit(0), labels.limit(0)).bias == 0
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 3, 7, 64])
+def test_slices_have_the_buckets_of_the_whole(monkeypatch, at_once):
+    rng = np.random.default_rng(at_once)
+    texts = [rng.choice([32, 10, 97, 98, 99, 200], 300, p=p).astype(np.uint8).tobytes()
+             for p in ([0.1, 0.1, 0.2, 0.2, 0.2, 0.2], [0.5, 0.3, 0.05, 0.05, 0.05, 0.05])]
+    texts += [b"a" * 200, b"one two", b"x" * 70 + b" " * 70 + b"y" * 70, b" " * 100 + b"z", b"q"]
+    whole = [set(quality.Indicators().of(x).tolist()) for x in texts]
+    monkeypatch.setattr(quality, "_SLICE", at_once)
+    indicators = quality.Indicators()
+    assert [set(indicators.of(x).tolist()) for x in texts] == whole
