@@ -73,3 +73,9 @@ def csv_field_count(line: Column) -> Column:
     """
     field_pattern = r',(?:"[^"]*+(?:""[^"]*+)*+(?:"[^,]*|$)|[^,"][^,]*|)'
     return F.regexp_count(F.concat(F.lit(","), line), F.lit(field_pattern))
+
+
+def has_unclosed_quote(line: Column) -> Column:
+    """Whether a field of a raw line opens a quote that the line does not close."""
+    closed = r'\G,(?:"[^"]*+(?:""[^"]*+)*+"[^,]*|[^,"][^,]*|(?=,|$))'
+    return F.regexp_replace(F.concat(F.lit(","), line), closed, "").startswith(',"')

@@ -9,6 +9,9 @@ from burstline.config import FeedConfig
 from burstline.operators.feed import assign_scenario, normalize, replicate_bursts, stamp
 from burstline.sources.csv_rows import ROW_KEY, header_columns, read_csv_rows
 
+# Years 1 to 9999 in seconds.
+FIRST_SECOND, END_SECOND = -62135596800.0, 253402300800.0
+
 
 def feed(
     rows: DataFrame, key: str, time: str = "event_time", config: FeedConfig = FeedConfig()
@@ -29,14 +32,21 @@ def feed_from_csv(
 ) -> DataFrame:
     """The feed of a labelled CSV. Row times are ``start`` (the time of the run unless
     given) plus the row's own ``Time`` in seconds. Without ``strict``, rows with an
-    unreadable label are left out. ``multi_line`` reads line breaks inside quotes."""
+    unreadable label are left out. A ``Time`` outside the years 1 to 9999 fails the job, or
+    without ``strict`` gives a NULL time; the metric ``feed_times`` counts those rows.
+    ``multi_line`` reads line breaks inside quotes."""
     columns = header_columns(spark, path)
     rows = normalize(read_csv_rows(spark, path, columns, multi_line), columns, strict)
     if not strict and "Class" in columns:
         rows = rows.filter(~F.col("bad_label")).drop("bad_label")
     begin = F.current_timestamp() if start is None else start
     if "Time" in columns:
-        seconds = F.when(F.isnan("Time") | (F.abs("Time") > 1e10), 0.0).otherwise(F.col("Time"))
+        total = F.unix_micros(begin) / 1e6 + F.col("Time")
+        inside = (total >= FIRST_SECOND) & (total < END_SECOND)
+        rows = rows.observe("feed_times", F.count_if(~inside).alias("outside"))
+        seconds = F.when(inside, F.col("Time"))
         micros = F.unix_micros(begin) + F.round(seconds * 1e6).cast("bigint")
-        begin = F.timestamp_micros(micros)
+        refused = F.raise_error(F.lit("a Time outside the years 1 to 9999")).cast("timestamp")
+        outside = refused if strict else F.lit(None).cast("timestamp")
+        begin = F.when(inside, F.timestamp_micros(micros)).otherwise(outside)
     return feed(rows.withColumn("event_time", begin), ROW_KEY, "event_time", config)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from burstline.functions.coerce import csv_field_count
+from burstline.functions.coerce import csv_field_count, has_unclosed_quote
 
 _RAW_LINE = "_raw_line"
 ROW_KEY = "row_key"
@@ -30,7 +30,8 @@ def read_csv_rows(
     Rows with fewer fields than the header are dropped. Longer rows are kept without
     their surplus. The parser marks both as corrupt, so the raw line is counted for
     those rows only. Quoted fields that hold line breaks need ``multi_line``, which makes
-    a file unsplittable; leave it off for large files.
+    a file unsplittable; leave it off for large files. With it off, a line with an unclosed
+    quote fails the scan; the lines are read a second time for that.
 
     ``row_key`` comes from split number and position, so a retried task gives the same
     keys. They change if the files or the split size change.
@@ -55,6 +56,14 @@ def read_csv_rows(
     # Spark refuses a scan that reads nothing but the raw line, as ``count`` would make
     # it; this is always true and names a field.
     names_a_field = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
-    return rows.filter(complete & names_a_field).select(
+    kept = rows.filter(complete & names_a_field).select(
         *(f"`{name}`" for name in names), F.monotonically_increasing_id().alias(ROW_KEY)
     )
+    if multi_line:
+        return kept
+    refused = F.raise_error(F.lit("a line with an unclosed quote: read with multi_line"))
+    cut = spark.read.text(path).filter(
+        F.when(has_unclosed_quote(F.col("value")), refused.cast("boolean")).otherwise(False)
+    )
+    nothing = [F.lit(None).cast("string").alias(name) for name in names]
+    return kept.union(cut.select(*nothing, F.lit(-1).cast("bigint").alias(ROW_KEY)))

@@ -1,5 +1,8 @@
 import csv
 
+import pytest
+from pyspark.errors import PySparkException
+
 from burstline.sources.csv_rows import ROW_KEY, header_columns, read_csv_rows
 
 HEADER = ["Time", "V1", "Amount", "Class"]
@@ -59,3 +62,14 @@ def test_quoted_line_breaks_with_multi_line(spark, tmp_path):
     path.write_text('Time,Note\n1,"two\nlines"\n2,x\n', encoding="utf-8")
     rows = read_csv_rows(spark, str(path), multi_line=True).collect()
     assert sorted(row.Note for row in rows) == ["two\nlines", "x"]
+
+
+def test_unclosed_quotes_fail_without_multi_line(spark, tmp_path):
+    for k, text in enumerate(['Time,Note,V1\n1,"two\nlines",3\n', 'Time,Note\n1,"two\nlines"\n']):
+        path = tmp_path / f"{k}.csv"
+        path.write_text(text, encoding="utf-8")
+        for action in ("collect", "count"):
+            with pytest.raises(PySparkException, match="unclosed quote"):
+                getattr(read_csv_rows(spark, str(path)), action)()
+    path.write_text('Time,Note\n1,5" pipe\n2,"a ""b"", c"\n,\n', encoding="utf-8")
+    assert read_csv_rows(spark, str(path)).count() == 3

@@ -185,3 +185,14 @@ def test_text_messages(spark, tmp_path):
     batch = decode_json(scan_messages(spark, source))
     assert [r.User_ID for r in batch.collect()] == ["u", None]
     assert read_messages(spark, source).isStreaming
+
+
+def test_feed_from_csv_with_time_out_of_range(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("Time,Amount,Class\n0,1,0\n10000000001,2,0\n1e12,3,0\ninf,4,0", encoding="utf-8")
+    start, config = F.lit(at(5)).cast("timestamp"), FeedConfig(burst_per_10000=0)
+    with pytest.raises(PySparkException, match="years 1 to 9999"):
+        feed_from_csv(spark, str(path), start, config=config).collect()
+    kept = with_event_time(feed_from_csv(spark, str(path), start, strict=False, config=config))
+    times = {r.Amount: r.event_time for r in kept.collect()}
+    assert times == {1.0: at(5), 2.0: at(5) + timedelta(seconds=10000000001), 3.0: None, 4.0: None}
