@@ -1,11 +1,13 @@
-"""Every registered query against its SQL over the same tables."""
+"""Every query of the core registry against its SQL over the same tables."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from burstline.plans.oracles import ORACLES
+from burstline.plans.table_queries import registered
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES = registered()
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -40,8 +42,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, tables, name):
-    actual = QUERIES[name](spark, tables)
-    relation = duck.sql(ORACLES[name])
+    assert_matches(QUERIES[name](spark, tables), duck.sql(ORACLES[name]))
+
+
+def assert_matches(actual, relation):
     names = sorted(actual.columns)
     assert names == sorted(relation.columns)
     sql_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
@@ -52,6 +56,11 @@ def test_query_matches_sql(spark, duck, tables, name):
     assert ordered(rows, actual.columns, names) == ordered(expected, relation.columns, names)
 
 
+def test_the_core_queries_are_in_the_entry():
+    assert QUERIES.keys() <= spark_entry.queries().keys()
+    assert ORACLES.items() <= spark_entry.oracle_sql().items()
+
+
 def test_entry(spark):
     result = spark_entry.entry(spark)
     assert result.count() > 0
