@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import bm25, lines, minhash, packing, pii, quality, sentencepiece, suffixes, vectors, warc
+from burstline.llm import bm25, lines, minhash, packing, pii, quality, sentencepiece, suffixes, token_files, vectors, warc
 from burstline.sources.tables import table
 
 
@@ -82,6 +82,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through files of coded token ids."""
+    documents = table(spark, sf_dir, "documents")
+    return token_files.round_trip(documents, tokenizer("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
+    "op12_token_files": op12_token_files,
 }
 
 # Candidates share a shingle; components are the transitive closure of the links.
