@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.byte_bpe import word_cache
+from burstline.llm.units import unit_ids
 
 SEPARATOR = 0
 _EMIT = 8192
@@ -168,10 +168,9 @@ def conversation_examples(conversations: DataFrame, tokenizer_path: str) -> Data
     loss. Each turn ends with the separator. Null texts are empty, null roles bear no loss."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(tokenizer_path)
+        units = unit_ids(tokenizer_path)
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            lengths = [len(x) + 1 for x in cache.encode(texts)]
+            lengths = [len(x) + 1 for x in units.encode(batch.column("text"))]
             columns = [batch.column("conv_id"), batch.column("role"), pa.array(lengths, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["conv_id", "role", "n"])
 
@@ -207,7 +206,7 @@ def pack_documents(
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(tokenizer_path)
+        units = unit_ids(tokenizer_path)
         packer = Packer(limits, pool, cut=True)
         base, sequence = TaskContext.get().partitionId() << 33, 0
         open_ids: dict[int, tuple] = {}  # documents with pieces in the pool
@@ -236,9 +235,9 @@ def pack_documents(
         number = 0
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for first in range(0, len(doc_ids), 256):
-                some = [x or "" for x in texts.slice(first, 256).to_pylist()]
-                for doc_id, ids in zip(doc_ids[first : first + 256], cache.encode(some)):
+            for first in range(0, len(doc_ids), 1000):
+                some = units.encode(texts.slice(first, 1000))
+                for doc_id, ids in zip(doc_ids[first : first + 1000], some):
                     ids = np.append(ids, np.uint32(SEPARATOR))
                     total, start = len(ids), 0
                     open_ids[number] = (doc_id, 0, ids, total)

@@ -23,6 +23,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
 
 
+# A sequence of instruction data: any of the three may be what a conversation no longer fits.
+CONVERSATION_LIMITS = packing.Limits(tokens=4096, segments=4, loss_tokens=2048)
+
+
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations whole, in sequences limited in tokens, segments and loss-bearing tokens."""
+    conversations = table(spark, sf_dir, "conversations")
+    examples = packing.conversation_examples(conversations, tokenizer("byte_bpe_50k.json"))
+    return packing.pack_examples(examples, CONVERSATION_LIMITS, id_column="conv_id")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of all documents, decoded again."""
     documents = table(spark, sf_dir, "documents")
@@ -100,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
     "op12_token_files": op12_token_files,
+    "pack_conversations": pack_conversations,
 }
 
 # Candidates share a shingle; components are the transitive closure of the links.

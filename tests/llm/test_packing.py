@@ -4,14 +4,15 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from burstline.llm import packing
-from burstline.llm.byte_bpe import WordCache
 from burstline.llm.packing import Limits, Packer
-from burstline.llm.queries import op1_packing, tokenizer
+from burstline.llm.queries import CONVERSATION_LIMITS, op1_packing, pack_conversations, tokenizer
+from burstline.llm.units import UnitIds
 
 PATH = tokenizer("byte_bpe_50k.json")
 
@@ -20,7 +21,6 @@ def plain():
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text, add_special_tokens=False).ids
 
 
@@ -38,28 +38,20 @@ TEXTS = [
 ]
 
 
+UNITS = UnitIds(PATH)
+
+
 @pytest.mark.parametrize("text", TEXTS)
 def test_ids_equal_the_tokenizer(text):
-    assert WordCache(PATH).encode([text])[0].tolist() == plain()(text)
+    assert UNITS.encode(pa.array([text]))[0].tolist() == plain()(text)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab' \n\t.,²é中1\x1c_́"), max_size=40), max_size=4))
 def test_ids_of_any_text(texts):
     own = plain()
-    assert [x.tolist() for x in WordCache(PATH).encode(texts)] == [own(t) for t in texts]
-
-
-def test_ids_of_chunked_texts_and_a_thinned_cache(monkeypatch):
-    from burstline.llm import byte_bpe
-
-    monkeypatch.setattr(byte_bpe, "_CHUNK", 50)
-    monkeypatch.setattr(byte_bpe, "_MOST_KEPT", 20)
-    cache, own = WordCache(PATH), plain()
-    texts = [f"some words, number {k}\n  and more; often often\n" * 9 for k in range(30)]
-    for _ in range(2):
-        assert [x.tolist() for x in cache.encode(texts)] == [own(t) for t in texts]
-    assert len(cache.slot) < 200
+    found = UNITS.encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in found] == [own(t) for t in texts]
 
 
 @settings(max_examples=200, deadline=None)
@@ -173,3 +165,30 @@ def test_conversations(spark, tables):
     assert {k: (r.tokens, r.loss_tokens) for k, r in examples.items()} == {
         k: (tokens[k], loss[k]) for k in tokens
     }
+
+
+def test_conversations_keep_three_limits(spark, tables):
+    own, expected = plain(), defaultdict(lambda: [0, 0])
+    for row in spark.read.parquet(f"{tables}/conversations.parquet").collect():
+        n = len(own(row.text or "")) + 1
+        expected[row.conv_id][0] += n
+        expected[row.conv_id][1] += n * (row.role == "assistant")
+    sequences = defaultdict(list)
+    found = pack_conversations(spark, tables).collect()
+    assert {r.conv_id: [r.tokens, r.loss_tokens] for r in found} == expected
+    assert len(found) == len(expected)
+    for row in found:
+        sequences[row.sequence_id].append(row)
+    limits, full = CONVERSATION_LIMITS, set()
+    for rows in sequences.values():
+        at = 0
+        for row in sorted(rows, key=lambda r: r.offset):
+            assert row.offset == at
+            at += row.tokens
+        sums = (at, len(rows), sum(r.loss_tokens for r in rows))
+        most = (limits.tokens, limits.segments, limits.loss_tokens)
+        fits = all(a <= b for a, b in zip(sums, most))
+        assert fits != rows[0].oversized and (fits or len(rows) == 1)
+        # What is so full that no conversation of middling size fits.
+        full |= {k for k in range(3) if sums[k] > most[k] - (900, 1, 450)[k]}
+    assert full == {0, 1, 2}
