@@ -24,7 +24,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A sequence of instruction data: any of the three may be what a conversation no longer fits.
-CONVERSATION_LIMITS = packing.Limits(tokens=4096, segments=4, loss_tokens=2048)
+CONVERSATION_LIMITS = packing.Limits(tokens=2048, segments=4, loss_tokens=1024)
 
 
 def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
