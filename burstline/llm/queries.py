@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import bm25, lines, minhash, packing, pii, quality, sentencepiece, suffixes, token_files, vectors, warc
+from burstline.llm import (
+    bm25,
+    lines,
+    minhash,
+    packing,
+    periods,
+    pii,
+    quality,
+    sentencepiece,
+    suffixes,
+    token_files,
+    vectors,
+    warc,
+)
 from burstline.sources.tables import table
 
 
@@ -99,6 +112,27 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(documents, tokenizer("word_bpe_49k.json"), end_id=2)
 
 
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, a tenth of which get some."""
+    documents = periods.planted(table(spark, sf_dir, "documents"))
+    found = periods.collapse_runs(documents)
+    lines_of = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    best = F.col("best")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -111,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
     "op12_token_files": op12_token_files,
+    "op13_periods": op13_periods,
     "pack_conversations": pack_conversations,
 }
 

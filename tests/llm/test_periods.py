@@ -1,0 +1,187 @@
+"""Runs of repeated words against a search of every period."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from burstline.llm import periods
+from burstline.llm.periods import _Blocks, _Wavelet, collapse_runs, find_runs
+from burstline.llm.queries import op13_periods
+
+
+def plain_runs(words, least=24, times=3):
+    found = {}
+    for q in range(1, len(words) // times + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, times * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def plain_row(doc_id, text, plant=False):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if plant and n and doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    return n, runs, best, kept
+
+
+def made(rng, n, letters):
+    words = [rng.randrange(letters) for _ in range(n)]
+    for _ in range(rng.randrange(5)):
+        if n < 30:
+            break
+        s = rng.randrange(n)
+        p = rng.randrange(1, 1 + max(1, (n - s) // 3))
+        for i in range(s + p, min(n, s + rng.randrange(p, 6 * p + 30))):
+            words[i] = words[i - p]
+    return words
+
+
+def together(documents):
+    flat = np.array([x for d in documents for x in d], np.int64)
+    found = find_runs(flat, np.array([len(d) for d in documents], np.int64))
+    expected, at = [], 0
+    for d in documents:
+        expected += [(at + s, n, q) for s, n, q in plain_runs(d)]
+        at += len(d)
+    return list(zip(*(x.tolist() for x in found))), expected
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 8, 1000])
+def test_runs_equal_a_search_of_every_period(letters):
+    rng = random.Random(letters)
+    for _ in range(60):
+        documents = [made(rng, rng.randrange(260), letters) for _ in range(rng.randrange(1, 6))]
+        found, expected = together(documents)
+        assert found == expected
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=6), min_size=1, max_size=4),
+       st.lists(st.tuples(st.integers(0, 3), st.integers(1, 30)), max_size=5))
+def test_runs_in_runs(roots, plan):
+    words = [x for k, times in plan for x in roots[k % len(roots)] * times]
+    found, expected = together([words, words * 3])
+    assert found == expected
+
+
+def test_no_words_and_other_limits():
+    assert [len(x) for x in find_runs(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0, 0]
+    assert [len(x) for x in find_runs(np.zeros(23, np.int64), np.array([23]))] == [0, 0, 0]
+    assert [x.tolist() for x in find_runs(np.zeros(24, np.int64), np.array([24]))] == [[0], [24], [1]]
+    with pytest.raises(ValueError):
+        find_runs(np.zeros(5, np.int64), np.array([5]), least=10)
+
+
+def test_range_successor():
+    rng = np.random.default_rng(0)
+    values = rng.permutation(300)
+    tree = _Wavelet(values)
+    low = rng.integers(0, 300, 500)
+    high = np.minimum(low + rng.integers(0, 40, 500), 300)
+    least = rng.integers(0, 1200, 500)
+    found = tree.successor(low, high, least, 9999)
+    for a, b, x, got in zip(low, high, least, found):
+        assert got == min((v for v in values[a:b] if v >= x), default=9999)
+
+
+def test_common_words_to_both_sides():
+    rng = np.random.default_rng(1)
+    words = np.tile(rng.integers(0, 3, 7), 30)
+    words[100] = 9
+    begin, ends = np.repeat([0, 90], [90, 120]), np.repeat([90, 210], [90, 120])
+    blocks = _Blocks(words, begin, ends)
+    for a, b in ((0, 7), (3, 40), (91, 98), (101, 108), (95, 206)):
+        ahead = 0
+        while b + ahead < ends[b] and words[a + ahead] == words[b + ahead]:
+            ahead += 1
+        behind = 0
+        while a - behind > begin[a] and words[a - behind - 1] == words[b - behind - 1]:
+            behind += 1
+        assert blocks.forward(np.array([a]), np.array([b])) == [ahead]
+        assert blocks.backward(np.array([a]), np.array([b])) == [behind]
+
+
+def test_odd_rows(spark, monkeypatch):
+    spell = "round and round it goes "
+    rows = [
+        (1, None), (2, ""), (3, " \n\t "), (4, spell * 9), (4, spell * 9), (None, "a " * 30),
+        (5, "\x0b" + "x\r\ny\x0c" * 40 + "z"), (6, "one two " * 11), (7, "no\x1cbreak " * 12),
+        (8, " ".join("ab") + " 　 " + "é " * 25), (9, "w " * 70_000 + "end"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'mine' AS row", "'old' AS runs", "7 AS found", "8 AS chosen"
+    )
+    monkeypatch.setattr(periods, "_BYTES_AT_ONCE", 200)
+    found = collapse_runs(frame.coalesce(1))
+    assert found.columns == [
+        "doc_id", "text", "row", "found", "chosen", "n_words", "n_runs", "runs", "best", "collapsed"
+    ]
+    got = found.collect()
+    assert len(got) == len(rows)
+    for row, (doc_id, text) in zip(got, rows):
+        if doc_id == 9:
+            assert [tuple(x) for x in row.runs] == [(0, 70_000, 1)] and row.collapsed == "w end"
+            continue
+        n, runs, best, kept = plain_row(doc_id, text)
+        assert (row.doc_id, row.text, row.row, row.found, row.chosen) == (doc_id, text, "mine", 7, 8)
+        assert row.n_words == n and [tuple(x) for x in row.runs] == runs and row.collapsed == kept
+        assert (row.best and tuple(row.best)) == best
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert collapse_runs(empty).collect() == []
+
+
+def test_the_best_run_is_exact():
+    # 1e8 + 1 periods of 3 against 1e8 of 1e8: equal as floats of 1000ths, not as fractions.
+    runs = [(0, 10**15 + 1, 10**8), (9, 10**15 + 2, 10**8), (11, 2 * 10**15 + 4, 2 * 10**8)]
+    assert periods._best(runs) == runs[1]
+    assert periods._best([]) is None
+
+
+def test_query_equals_a_search_of_every_period(spark, tables):
+    documents = spark.read.parquet(f"{tables}/documents.parquet").collect()
+    found = {r.doc_id: r for r in op13_periods(spark, tables).collect()}
+    assert len(found) == len(documents)
+    with_runs = 0
+    for document in documents:
+        n, runs, best, kept = plain_row(document.doc_id, document.text, plant=True)
+        row = found[document.doc_id]
+        with_runs += bool(runs)
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+        assert (row.n_words, row.n_runs) == (n, len(runs))
+        assert row.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert row.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+        numbers = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        assert (row.start, row.length, row.period, row.exponent_milli) == numbers
+    assert with_runs > len(documents) // 20
+
+
+def test_planting_leaves_rows_without_id_or_words(spark):
+    rows = [(None, "a b"), (4, None), (4, ""), (4, " \n")]
+    assert zlib.crc32(b"4") % 10 != 0
+    zero = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0)
+    rows += [(zero, None), (zero, ""), (zero, " \t"), (zero, "one")]
+    got = periods.planted(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [tuple(r) for r in got] == rows

@@ -14,6 +14,7 @@ PLAIN_VERSIONS = {
     "op9_suffixes": "test_suffixes",
     "op10_quality": "test_quality",
     "op12_token_files": "test_token_files",
+    "op13_periods": "test_periods",
     "pack_conversations": "test_packing",
 }
 
