@@ -20,6 +20,7 @@ from burstline.llm import (
     token_files,
     vectors,
     warc,
+    whitening,
 )
 from burstline.sources.tables import table
 
@@ -106,6 +107,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along the eight components of largest variance, each with variance one."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through files of coded token ids."""
     documents = table(spark, sf_dir, "documents")
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
     "op12_token_files": op12_token_files,
     "op13_periods": op13_periods,
     "pack_conversations": pack_conversations,

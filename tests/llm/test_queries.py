@@ -13,6 +13,7 @@ PLAIN_VERSIONS = {
     "op4_pii": "test_pii",
     "op9_suffixes": "test_suffixes",
     "op10_quality": "test_quality",
+    "op11_whitening": "test_whitening",
     "op12_token_files": "test_token_files",
     "op13_periods": "test_periods",
     "pack_conversations": "test_packing",
