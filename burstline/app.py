@@ -91,6 +91,7 @@ def run_detection(
     fold_routes: bool = False,
     decode_once: bool = False,
     salt_buckets: int = 1,
+    bloom_words: int = 0,
     config: DetectionConfig = DetectionConfig(),
 ) -> None:
     """Run the detection queries until they end, one fails or the job is interrupted.
@@ -112,7 +113,7 @@ def run_detection(
         else:
             transactions = decode_for_detection(read_messages(session, source))
         blacklist = read_blacklist(session, blacklist_path)
-        return detect(transactions, blacklist, config, True, salt_buckets)
+        return detect(transactions, blacklist, config, True, salt_buckets, bloom_words)
 
     jobs = detection_jobs(
         outputs_in(spark), root, lambda name: output_sink(name, sink, root), live, fold_routes
@@ -144,6 +145,9 @@ def _parser() -> argparse.ArgumentParser:
     detection.add_argument("--fold-routes", action="store_true")
     detection.add_argument("--decode-once", action="store_true")
     detection.add_argument("--salt-buckets", type=int, default=1)
+    detection.add_argument(
+        "--bloom-words", type=int, default=0, help="filter of so many words before a large list"
+    )
     for job in (feed, detection):
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     return parser
@@ -173,6 +177,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
                 options.fold_routes,
                 options.decode_once,
                 options.salt_buckets,
+                options.bloom_words,
             )
         except KeyboardInterrupt:
             _log.info("interrupted; queries stopped")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.config import DetectionConfig
+from burstline.operators.prefilter import filter_words, split_likely
 from burstline.sources.blacklist import unique_blacklist
 
 
@@ -26,6 +27,7 @@ def mark_blocked(
     blacklist: DataFrame,
     already_unique: bool = False,
     salt_buckets: int = 1,
+    bloom_words: int = 0,
 ) -> DataFrame:
     """Left join with the blacklist and add ``User_Status``.
 
@@ -36,14 +38,31 @@ def mark_blocked(
     blacklist beyond the broadcast size, ``salt_buckets`` spreads each user's transactions
     over that many partitions and copies each blacklist row to all of them. The copies are
     never broadcast.
+
+    ``bloom_words``, for a list too large to broadcast of which few transactions are: a Bloom
+    filter of so many words of 64 bits is broadcast instead, rows that it turns away are ACTIVE
+    at once, and only the others are shuffled and joined. Some 20 bits a listed user are enough.
+    The rows are read once for each of the two ways.
     """
     if not already_unique:
         # The grouping leaves rows partitioned by user, which a shuffled join would take as
         # they are, and AQE splits a hot user only where both sides were shuffled for the
         # join itself. Rebalancing the few blacklist rows makes it do so.
         blacklist = unique_blacklist(blacklist).hint("rebalance")
+    if bloom_words:
+        filtered = filter_words(blacklist, "User_ID", bloom_words)
+        likely, others = split_likely(transactions, filtered, "User_ID", bloom_words)
+        found = mark_blocked(likely, blacklist, True, salt_buckets)
+        nothing = F.lit(None).cast("string")
+        others = others.withColumns(
+            {"Block_Reason": nothing, "Block_Date": nothing, "User_Status": F.lit("ACTIVE")}
+        )
+        return found.unionByName(others)
     if salt_buckets > 1:
         salt = F.pmod(F.xxhash64("Transaction_ID", "event_time", "Amount"), F.lit(salt_buckets))
+        # Undecodable rows are alike in all columns; without a user they match nothing anywhere.
+        anywhere = F.pmod(F.spark_partition_id().cast("bigint"), F.lit(salt_buckets))
+        salt = F.when(F.col("User_ID").isNull(), anywhere).otherwise(salt)
         buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))
         transactions = transactions.withColumn("_salt", salt)
         blacklist = blacklist.withColumn("_salt", F.explode(buckets)).hint("merge")
@@ -62,7 +81,8 @@ def enrich(
     config: DetectionConfig = DetectionConfig(),
     already_unique: bool = False,
     salt_buckets: int = 1,
+    bloom_words: int = 0,
 ) -> DataFrame:
     return mark_blocked(
-        categorize(transactions, config), blacklist, already_unique, salt_buckets
+        categorize(transactions, config), blacklist, already_unique, salt_buckets, bloom_words
     )

@@ -45,6 +45,7 @@ def detect(
     config: DetectionConfig = DetectionConfig(),
     already_unique: bool = False,
     salt_buckets: int = 1,
+    bloom_words: int = 0,
 ) -> Detection:
     """``transactions`` are decoded and carry ``event_time``.
 
@@ -52,7 +53,7 @@ def detect(
     that output is built without the join.
     """
     categorized = categorize(transactions, config)
-    enriched = mark_blocked(categorized, blacklist, already_unique, salt_buckets)
+    enriched = mark_blocked(categorized, blacklist, already_unique, salt_buckets, bloom_words)
     return Detection(
         normal_transactions(enriched, config),
         fraud_alerts(enriched),
@@ -68,9 +69,10 @@ def detect_messages(
     config: DetectionConfig = DetectionConfig(),
     already_unique: bool = False,
     salt_buckets: int = 1,
+    bloom_words: int = 0,
 ) -> Detection:
     transactions = decode_for_detection(messages)
-    return detect(transactions, blacklist, config, already_unique, salt_buckets)
+    return detect(transactions, blacklist, config, already_unique, salt_buckets, bloom_words)
 
 
 def decode_job(messages: DataFrame, path: str, root: str, live: bool = True) -> StreamJob:

@@ -143,6 +143,7 @@ ORACLES: dict[str, str] = {
     "blacklist_scan": f"WITH {_BLACKLIST} SELECT * FROM blacklist",
     "blacklist_join": _JOINED,
     "blacklist_join_salted": _JOINED,
+    "blacklist_join_filtered": _JOINED,
     "normal_transactions": _NORMAL,
     "fraud_alerts": _ALERTS,
     "unrouted": f"""{_ENRICHED}

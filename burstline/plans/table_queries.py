@@ -17,6 +17,7 @@ from burstline.functions.identity import iso_text
 from burstline.operators.decode import decode_for_detection, decode_json, with_event_time
 from burstline.operators.enrich import categorize, enrich
 from burstline.operators.feed import assign_scenario, envelope, normalize, totals
+from burstline.operators.prefilter import WORDS
 from burstline.operators.route import fraud_alerts, normal_transactions, unrouted, with_route
 from burstline.operators.windows import (
     bot_detection,
@@ -102,6 +103,11 @@ def q_blacklist_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(transactions, blacklist, EVENTS_CONFIG, salt_buckets=8)
 
 
+def q_blacklist_join_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    transactions, blacklist = _transactions(spark, sf_dir), _blacklist(spark, sf_dir)
+    return enrich(transactions, blacklist, EVENTS_CONFIG, bloom_words=WORDS)
+
+
 def q_normal_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normal_transactions(_enriched(spark, sf_dir), EVENTS_CONFIG)
 
@@ -420,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "blacklist_scan": q_blacklist_scan,
     "blacklist_join": q_blacklist_join,
     "blacklist_join_salted": q_blacklist_join_salted,
+    "blacklist_join_filtered": q_blacklist_join_filtered,
     "normal_transactions": q_normal_transactions,
     "fraud_alerts": q_fraud_alerts,
     "unrouted": q_unrouted,

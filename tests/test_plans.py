@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from burstline.config import MessageSource
 from burstline.operators.enrich import mark_blocked
+from burstline.operators.prefilter import filter_words, split_likely
 from burstline.plans.detection import detect_messages
 from burstline.plans.table_queries import QUERIES
 from burstline.schemas import BLACKLIST
@@ -131,6 +132,45 @@ def test_salted_blacklist_is_never_broadcast(spark, log, tables):
     assert re.search(r"SortMergeJoin \[User_ID#\d+, _salt#\d+L\]", plan)
 
 
+def test_filter_keeps_most_rows_out_of_the_shuffle(spark, log, tables):
+    transactions = transactions_from_events(table(spark, tables, "events"))
+    blacklist = read_blacklist(spark, log[1])
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        joined = mark_blocked(transactions, blacklist, already_unique=True, bloom_words=1 << 12)
+        joined.collect()
+        plan = plan_of(joined)
+        # The filter is broadcast by its bound; of the list and the rows only likely ones move.
+        assert "BroadcastHashJoin [_filter_word#" in plan and "SortMergeJoin [User_ID#" in plan
+        assert not re.search(r"BroadcastHashJoin \[User_ID", plan)
+        final = plan[: plan.index("== Initial Plan ==")]
+        side = final[final.index("SortMergeJoin") : final.rindex("SortMergeJoin") + 3000]
+        assert re.search(r"Exchange hashpartitioning\(User_ID#\d+.*\n.*(Project|Filter)", side)
+        likely, others = split_likely(
+            transactions, filter_words(blacklist, "User_ID", 1 << 12), "User_ID", 1 << 12
+        )
+        listed = transactions.join(blacklist, "User_ID", "left_semi").count()
+        total = transactions.count()
+        assert listed <= likely.count() < listed + 0.02 * total
+        assert likely.count() + others.count() == total
+
+
+def test_undecodable_rows_are_not_joined(spark, log):
+    rows = spark.range(0, 1000, 1, 8).selectExpr(
+        "CAST(NULL AS string) AS User_ID", "CAST(NULL AS string) AS Transaction_ID",
+        "CAST(NULL AS timestamp) AS event_time", "CAST(NULL AS double) AS Amount",
+    )
+    blacklist = read_blacklist(spark, log[1])
+    likely, others = split_likely(rows, filter_words(blacklist, "User_ID"), "User_ID")
+    assert likely.count() == 0 and others.count() == 1000
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        for ways in ({"bloom_words": 64}, {"salt_buckets": 8}):
+            joined = mark_blocked(rows, blacklist, True, **ways)
+            assert joined.filter("User_Status = 'ACTIVE'").count() == 1000
+        # The salted join deals them out.
+        parts = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 1
+
+
 @contextlib.contextmanager
 def settings(session, **values):
     names = {name.replace("__", "."): value for name, value in values.items()}
@@ -235,3 +275,25 @@ def test_stateful_stream_with_a_large_blacklist_is_salted(spark, log, tmp_path):
     streamed = sinks.latest(session, out, ["window"]).select(*counts).collect()
     batch = summary(session.read.parquet(source.path)).select(*counts).collect()
     assert sorted(streamed) == sorted(batch) and sum(r.blocked_count for r in batch) > 0
+
+
+def test_stateful_stream_with_a_filtered_blacklist(spark, log, tmp_path):
+    session = stateful_session(spark, 3)
+    source, path = log
+
+    def summary(messages):
+        blacklist = read_blacklist(session, path)
+        return detect_messages(
+            messages, blacklist, EVENTS_CONFIG, already_unique=True, bloom_words=256
+        ).summary_statistics
+
+    out = str(tmp_path / "o")
+    with settings(session, spark__sql__autoBroadcastJoinThreshold="-1"):
+        stream = summary(read_messages(session, source))
+        job = StreamJob("filtered", stream, "update", sinks.change_log(out), str(tmp_path / "c"))
+        plan = plan_of(job.drain())
+    assert "SortMergeJoin [User_ID#" in plan and "Union" in plan
+    counts = ["window", "total_transactions", "blocked_count"]
+    streamed = sinks.latest(session, out, ["window"]).select(*counts).collect()
+    batch = summary(session.read.parquet(source.path)).select(*counts).collect()
+    assert sorted(streamed) == sorted(batch) and sum(r.blocked_count for r in batch) > 0
