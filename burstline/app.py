@@ -30,6 +30,7 @@ from burstline.plans.detection import (
     detect,
     detection_jobs,
     read_decoded,
+    refreshed_routes,
 )
 from burstline.plans.feeding import feed_from_csv
 from burstline.session import build_session
@@ -92,6 +93,7 @@ def run_detection(
     decode_once: bool = False,
     salt_buckets: int = 1,
     bloom_words: int = 0,
+    refresh_blacklist: bool = False,
     config: DetectionConfig = DetectionConfig(),
 ) -> None:
     """Run the detection queries until they end, one fails or the job is interrupted.
@@ -99,8 +101,11 @@ def run_detection(
     Stateful queries keep as many state partitions as ``spark`` has shuffle partitions; the
     number is frozen by the first run on ``root``. The blacklist must have one row per user.
     Without ``live`` a topic is read from its beginning to its end. ``decode_once`` puts a
-    typed table under ``root`` between the messages and the queries.
+    typed table under ``root`` between the messages and the queries. ``refresh_blacklist``
+    writes the two stateless outputs as one table, by the list that is current for each batch.
     """
+    if refresh_blacklist and sink != "tables":
+        raise ValueError("the blacklist is looked up per batch for tables only")
     if not live:
         source = source.from_beginning()
     require_unique(read_blacklist(spark, blacklist_path))
@@ -118,6 +123,17 @@ def run_detection(
     jobs = detection_jobs(
         outputs_in(spark), root, lambda name: output_sink(name, sink, root), live, fold_routes
     )
+    if refresh_blacklist:
+        folded = next(iter(FOLDED))
+        routes = refreshed_routes(
+            read_messages(spark, source),
+            blacklist_path,
+            f"{root}/outputs/{folded}",
+            root,
+            config,
+            live,
+        )
+        jobs = [routes, *(job for job in jobs if job.mode == "update")]
     if decode_once and live:
         jobs = [decoding, *jobs]
     elif decode_once:
@@ -145,6 +161,9 @@ def _parser() -> argparse.ArgumentParser:
     detection.add_argument("--fold-routes", action="store_true")
     detection.add_argument("--decode-once", action="store_true")
     detection.add_argument("--salt-buckets", type=int, default=1)
+    detection.add_argument(
+        "--refresh-blacklist", action="store_true", help="look the list up for every batch"
+    )
     detection.add_argument(
         "--bloom-words", type=int, default=0, help="filter of so many words before a large list"
     )
@@ -178,6 +197,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
                 options.decode_once,
                 options.salt_buckets,
                 options.bloom_words,
+                options.refresh_blacklist,
             )
         except KeyboardInterrupt:
             _log.info("interrupted; queries stopped")

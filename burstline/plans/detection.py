@@ -12,9 +12,10 @@ from burstline.operators.decode import decode_for_detection
 from burstline.operators.enrich import categorize, mark_blocked
 from burstline.operators.route import fraud_alerts, normal_transactions, routed_transactions
 from burstline.operators.windows import bot_detection, summary_statistics
-from burstline.schemas import DETECTION
+from burstline.schemas import BLACKLIST, DETECTION
+from burstline.sources.snapshots import Snapshots
 from burstline.streaming.runner import StreamJob
-from burstline.streaming.sinks import Sink, files
+from burstline.streaming.sinks import Sink, change_log, files
 
 # Query names with output mode, trigger interval and rows shown on a console.
 OUTPUTS = {
@@ -97,6 +98,41 @@ def read_decoded(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(DETECTION).parquet(path)
 
 
+def refreshed_routes(
+    messages: DataFrame,
+    blacklist_path: str,
+    path: str,
+    root: str,
+    config: DetectionConfig = DetectionConfig(),
+    live: bool = True,
+) -> StreamJob:
+    """The two stateless outputs as one query that looks the blacklist up anew for every
+    micro-batch, so a list that is replaced counts from the next batch on.
+
+    The snapshot that a batch has taken is kept with the checkpoint: a batch that is repeated
+    takes the same one and replaces its own rows. Stateful outputs take the list that is current
+    when they start.
+    """
+    name = next(iter(FOLDED))
+    checkpoint = f"{root}/checkpoints/{name}"
+
+    def prepare(transactions: DataFrame, batch: int) -> DataFrame:
+        blacklist = Snapshots(transactions.sparkSession, blacklist_path)
+        number = blacklist.pinned(batch, f"{checkpoint}-snapshots")
+        categorized = categorize(transactions, config)
+        listed = blacklist.read(BLACKLIST, number)
+        return routed_transactions(mark_blocked(categorized, listed, already_unique=True), config)
+
+    return StreamJob(
+        name,
+        decode_for_detection(messages),
+        "append",
+        change_log(path, prepare=prepare),
+        checkpoint,
+        FOLDED[name][1] if live else None,
+    )
+
+
 def detection_jobs(
     outputs: Detection,
     root: str,

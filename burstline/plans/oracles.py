@@ -138,6 +138,29 @@ _MESSAGES = f"""WITH {_FED}
   SELECT User_ID AS message_key, Transaction_ID, User_ID, Timestamp, Amount, Class,
          Bot_Sequence IS NOT NULL AS in_burst FROM fed"""
 
+# The list as of an event: customers only up to the middle of the time span, then suppliers too.
+_CHANGED = f"""
+WITH {_TX}, {_BLACKLIST},
+middle AS (SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) AS cut FROM events),
+versions AS (
+  SELECT TRUE AS later, * FROM blacklist
+  UNION ALL
+  SELECT FALSE, User_ID, Block_Reason, Block_Date FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY User_ID
+      ORDER BY Block_Reason IS NULL, Block_Date, Block_Reason) AS choice
+    FROM listed WHERE Block_Reason IS DISTINCT FROM 'Supplier arrears') WHERE choice = 1),
+enriched AS (
+  SELECT tx.User_ID, Transaction_ID, Class, Block_Reason,
+         CASE WHEN Block_Reason IS NOT NULL THEN 'BLOCKED' ELSE 'ACTIVE' END AS User_Status
+  FROM tx CROSS JOIN middle
+  LEFT JOIN versions ON tx.User_ID = versions.User_ID AND later = (event_time >= cut))
+SELECT Transaction_ID, User_ID, User_Status, Block_Reason,
+       CASE WHEN {_ROUTE} <> 'alert' THEN NULL WHEN User_Status = 'BLOCKED' THEN 'BLOCKED_USER'
+            ELSE 'FRAUD_DETECTED' END AS Alert_Type,
+       {_ROUTE} AS Route
+FROM enriched WHERE {_ROUTE} <> 'unrouted'"""
+
 ORACLES: dict[str, str] = {
     "categorize": f"WITH {_TX} SELECT Transaction_ID, Amount, Category FROM tx",
     "blacklist_scan": f"WITH {_BLACKLIST} SELECT * FROM blacklist",
@@ -201,6 +224,8 @@ ORACLES: dict[str, str] = {
     "stream_feed": _MESSAGES,
     "stream_bots": _BOT_DETECTION,
     "stream_summary": _SUMMARY,
+    "stream_bots_compacted": _BOT_DETECTION,
+    "stream_blacklist_change": _CHANGED,
     "stream_restart": _SUMMARY,
     "stream_late_drop": f"""WITH {_TX}, {_BOT_SOURCE},
       closed AS (SELECT max(ts) - INTERVAL '24 hours' AS watermark

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import suppress
 from dataclasses import replace
 from datetime import timedelta
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -25,10 +23,7 @@ from burstline.operators.windows import (
     flat_window,
     summary_statistics,
 )
-from burstline.plans.detection import (
-    Detection,
-    detect_messages,
-)
+from burstline.plans.detection import Detection, detect_messages, refreshed_routes
 from burstline.plans.feeding import feed
 from burstline.schemas import DETECTION_FIELDS
 from burstline.session import SETTINGS, stateful_session
@@ -45,6 +40,7 @@ from burstline.sources.tables import (
     transactions_from_events,
     without_zone,
 )
+from burstline.streaming.compaction import Compaction, vacuum
 from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob
 from burstline.streaming.sinks import change_log, files, latest
@@ -298,8 +294,8 @@ class _Replay:
             self.messages(bounded), blacklist, EVENTS_CONFIG, already_unique=True
         )
 
-    def job(self, output: DataFrame, mode: str, sink) -> StreamJob:
-        return StreamJob("replay", output, mode, sink, f"{self.folder}/checkpoint")
+    def job(self, output: DataFrame, mode: str, sink, every: str | None = None) -> StreamJob:
+        return StreamJob("replay", output, mode, sink, f"{self.folder}/checkpoint", every)
 
     def stored(self, spark: SparkSession, output: DataFrame, *partition_by: str) -> DataFrame:
         """The stateless ``output`` run to its end into files, as a table of ``spark``."""
@@ -387,23 +383,59 @@ def q_stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary stream, lost after storing a batch but before committing it: the
-    restarted query repeats the batch and the result must not change."""
+    """The summary stream, stopped while it runs on its trigger and started again: state and
+    stored changes go on from the checkpoint."""
     replay = _Replay(spark, sf_dir, "stream_restart")
     _empty_log(replay)
     path = f"{replay.folder}/changes"
     output = flat_window(replay.outputs().summary_statistics)
+    first, second = time_slices(replay.events, "ts", 2)
+    replay.publish(first)
+    running = replay.job(output, "update", change_log(path, 1), "0 seconds").start()
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    replay.publish(second)
+    replay.job(output, "update", change_log(path, 1)).drain()
+    return latest(spark, path, _SUMMARY_KEYS)
 
-    def lose(batch: int) -> None:
-        raise RuntimeError(f"lost after storing batch {batch}")
 
-    for i, part in enumerate(time_slices(replay.events, "ts", 2)):
+def q_stream_bots_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The burst stream, its change log compacted every other batch and cleaned up at the end."""
+    replay = _Replay(spark, sf_dir, "stream_bots_compacted")
+    _empty_log(replay)
+    path = f"{replay.folder}/changes"
+    alerts = bot_detection(decode_for_detection(replay.messages()), EVENTS_CONFIG)
+    for part in time_slices(replay.events, "ts", REPLAY_SLICES):
         replay.publish(part)
-        if i == 1:
-            with suppress(StreamingQueryException):
-                replay.job(output, "update", change_log(path, 1, lose)).drain()
-        replay.job(output, "update", change_log(path, 1)).drain()
-    return latest(spark, path, _SUMMARY_KEYS)
+        sink = change_log(path, compaction=Compaction(_BOT_KEYS, every=2))
+        replay.job(alerts, "update", sink).drain()
+    vacuum(spark, path)
+    return _rounded(latest(spark, path, _BOT_KEYS))
+
+
+def q_stream_blacklist_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stateless outputs while the blacklist is replaced between two slices: customers only
+    for the first, suppliers too for the second."""
+    replay = _Replay(spark, sf_dir, "stream_blacklist_change")
+    _empty_log(replay)
+    listed, path = f"{replay.folder}/blacklist", f"{replay.folder}/routed"
+    customers, suppliers = (table(replay.spark, sf_dir, n) for n in ("customer", "supplier"))
+    lists = [
+        blacklist_from_accounts(customers, suppliers.limit(0)),
+        blacklist_from_accounts(customers, suppliers),
+    ]
+    for part, blacklist in zip(time_slices(replay.events, "ts", 2), lists):
+        store_blacklist(blacklist, listed)
+        replay.publish(part)
+        job = refreshed_routes(
+            replay.messages(), listed, path, replay.folder, EVENTS_CONFIG, live=False
+        )
+        job.drain()
+    return spark.read.parquet(path).select(
+        "Transaction_ID", "User_ID", "User_Status", "Block_Reason", "Alert_Type", "Route"
+    )
 
 
 def q_stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,6 +483,8 @@ QUERIES: dict[str, Query] = {
     "stream_feed": q_stream_feed,
     "stream_bots": q_stream_bots,
     "stream_summary": q_stream_summary,
+    "stream_bots_compacted": q_stream_bots_compacted,
+    "stream_blacklist_change": q_stream_blacklist_change,
     "stream_restart": q_stream_restart,
     "stream_late_drop": q_stream_late_drop,
 }

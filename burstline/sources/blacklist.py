@@ -1,8 +1,9 @@
-"""The static reference table of blocked users.
+"""The reference table of blocked users.
 
 It is read from storage, never built from driver-side rows, because a stored table has a
 size: Spark broadcasts it while it is below ``spark.sql.autoBroadcastJoinThreshold`` and
-shuffles beyond that.
+shuffles beyond that. Every list that is stored is a snapshot of its own, so a list can be
+replaced under running queries.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.schemas import BLACKLIST
+from burstline.sources.snapshots import Snapshots
 
 # The blacklist that a new deployment starts with.
 INITIAL_ROWS = [
@@ -20,8 +22,9 @@ INITIAL_ROWS = [
 ]
 
 
-def read_blacklist(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BLACKLIST).parquet(path)
+def read_blacklist(spark: SparkSession, path: str, snapshot: int | None = None) -> DataFrame:
+    """The stored list, as it is now unless a snapshot is named."""
+    return Snapshots(spark, path).read(BLACKLIST, snapshot)
 
 
 def unique_blacklist(blacklist: DataFrame) -> DataFrame:
@@ -40,9 +43,10 @@ def unique_blacklist(blacklist: DataFrame) -> DataFrame:
     )
 
 
-def store_blacklist(blacklist: DataFrame, path: str) -> None:
-    """Store the unique form, so that streaming joins need not repeat the grouping."""
-    unique_blacklist(blacklist).write.mode("overwrite").parquet(path)
+def store_blacklist(blacklist: DataFrame, path: str) -> int:
+    """Store the unique form, so that streaming joins need not repeat the grouping. It is the
+    current list from then on; returns the number of its snapshot."""
+    return Snapshots(blacklist.sparkSession, path).publish(unique_blacklist(blacklist))
 
 
 def require_unique(blacklist: DataFrame) -> None:
@@ -56,5 +60,6 @@ def require_unique(blacklist: DataFrame) -> None:
 
 def store_initial_blacklist(spark: SparkSession, path: str, replace: bool = False) -> None:
     """Fails if there is a list already, unless it is to be replaced."""
-    initial = unique_blacklist(spark.createDataFrame(INITIAL_ROWS, BLACKLIST))
-    initial.write.mode("overwrite" if replace else "errorifexists").parquet(path)
+    if not replace and Snapshots(spark, path).current() is not None:
+        raise FileExistsError(f"a blacklist exists already in {path}")
+    store_blacklist(spark.createDataFrame(INITIAL_ROWS, BLACKLIST), path)

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from burstline.config import MessageSource
+from burstline.streaming.compaction import BATCH, Compaction, compact, latest
 
-Sink = Callable[[DataStreamWriter], DataStreamWriter]
+__all__ = ["Sink", "change_log", "console", "files", "latest", "memory", "messages"]
 
-_BATCH = "batch_id"
+Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
 
 def console(rows: int = 20, truncate: bool = False) -> Sink:
@@ -55,7 +55,8 @@ def messages(target: MessageSource) -> Sink:
 def change_log(
     path: str,
     tasks: int | None = None,
-    after_write: Callable[[int], None] | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+    compaction: Compaction | None = None,
 ) -> Sink:
     """Keep every batch of changes under its batch number.
 
@@ -63,26 +64,17 @@ def change_log(
     folder, so the log holds each batch once. :func:`latest` is the upserted table.
 
     Each state partition writes a file unless the changes are first spread over ``tasks``;
-    set it where a batch changes few groups but state is wide. ``after_write`` is called
-    with the batch number once the batch is stored.
+    set it where a batch changes few groups but state is wide. ``prepare`` makes of a batch
+    and its number what is stored. ``compaction`` makes a base of the log every so many batches.
     """
 
     def write(changes: DataFrame, batch: int) -> None:
+        if prepare is not None:
+            changes = prepare(changes, batch)
         if tasks is not None:
             changes = changes.repartition(tasks)
-        changes.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch}")
-        if after_write is not None:
-            after_write(batch)
+        changes.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+        if compaction is not None and (batch + 1) % compaction.every == 0:
+            compact(changes.sparkSession, path, compaction.keys)
 
     return lambda writer: writer.foreachBatch(write)
-
-
-def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest state of each key in a change log.
-
-    One hash aggregation, as long as the non-key columns are numbers; name constant text
-    columns among the keys.
-    """
-    log = spark.read.parquet(path)
-    measures = [c for c in log.columns if c not in keys and c != _BATCH]
-    return log.groupBy(*keys).agg(*(F.max_by(c, _BATCH).alias(c) for c in measures))

@@ -24,6 +24,7 @@ from burstline.sources.tables import (
     transactions_from_events,
 )
 from burstline.streaming import sinks
+from burstline.streaming.compaction import compact
 from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob
 
@@ -229,9 +230,17 @@ def test_unique_blacklist_makes_an_unused_join_vanish(spark, tables):
 def test_latest_state_is_a_hash_aggregation(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = spark.createDataFrame([("k", 1, 2.0)], "key string, n long, x double")
-    rows.write.parquet(f"{path}/batch_id=0")
+    for batch in range(4):
+        rows.write.parquet(f"{path}/batch_id={batch}")
     plan = plan_of(sinks.latest(spark, path, ["key"]))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+    compact(spark, path, ["key"])
+    rows.write.parquet(f"{path}/batch_id=4")
+    newest = sinks.latest(spark, path, ["key"])
+    # One base and the batches after it.
+    read = {file.split("/log/")[1].rsplit("/", 1)[0] for file in newest.inputFiles()}
+    assert len(read) == 2 and "batch_id=4" in read and any(r.startswith("_base/3-") for r in read)
+    assert "HashAggregate" in plan_of(newest) and "SortAggregate" not in plan_of(newest)
 
 
 def streaming_plan(session, log, pick, folder, config=EVENTS_CONFIG):

@@ -10,10 +10,16 @@ from burstline.operators.decode import decode_for_detection
 from burstline.operators.enrich import categorize
 from burstline.operators.feed import envelope
 from burstline.operators.windows import bot_detection, summary_statistics
-from burstline.plans.detection import OUTPUTS, detect_messages, detection_jobs
+from burstline.plans.detection import (
+    OUTPUTS,
+    detect_messages,
+    detection_jobs,
+    refreshed_routes,
+)
 from burstline.plans.feeding import feed
+from burstline.schemas import BLACKLIST
 from burstline.session import stateful_session
-from burstline.sources.blacklist import read_blacklist, store_initial_blacklist
+from burstline.sources.blacklist import read_blacklist, store_blacklist, store_initial_blacklist
 from burstline.sources.messages import read_messages, write_messages
 from burstline.sources.tables import table_stream
 from burstline.streaming import sinks
@@ -140,10 +146,14 @@ def test_replayed_batch_replaces_itself(live, tmp_path):
     summary = summary_statistics(output.withColumn("User_Status", F.lit("ACTIVE")))
     lines.at(at(0, 1), amount=5.0)
 
-    def lose(batch):
+    def store_and_lose(changes, batch):
+        changes.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
         raise RuntimeError("lost")
 
-    failing = job("replay", summary, "update", sinks.change_log(path, after_write=lose), tmp_path)
+    def losing(writer):
+        return writer.foreachBatch(store_and_lose)
+
+    failing = job("replay", summary, "update", losing, tmp_path)
     with pytest.raises(StreamingQueryException):
         failing.drain()
     stored = live.read.parquet(path).count()
@@ -249,6 +259,31 @@ def test_live_triggers_and_console(spark, live, tmp_path):
     assert batches and "Console" in batches[0].sink.description
 
 
+def test_a_repeated_batch_takes_the_list_it_had(spark, live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    listed, path = str(tmp_path / "list"), str(tmp_path / "routed")
+
+    def drain():
+        refreshed_routes(lines.messages, listed, path, str(tmp_path), live=False).drain()
+        rows = live.read.parquet(path).collect()
+        return sorted((r.batch_id, r.Route, r.Block_Reason) for r in rows)
+
+    def store(user):
+        rows = [(user, f"{user} listed", "2024-01-01")]
+        store_blacklist(live.createDataFrame(rows, BLACKLIST), listed)
+
+    store("B")
+    lines.at(at(0), at(1), user="B")
+    assert drain() == [(0, "alert", "B listed")] * 2
+    store("C")
+    # The batch was stored but its commit was lost: it comes again, with the list of its own.
+    for file in (tmp_path / "checkpoints" / "routed_transactions" / "commits").glob("*0*"):
+        file.unlink()
+    assert drain() == [(0, "alert", "B listed")] * 2
+    lines.at(at(2), user="B")
+    assert drain() == [(0, "alert", "B listed")] * 2 + [(1, "normal", None)]
+
+
 class _Writer:
     """Records what a sink sets."""
 
