@@ -71,10 +71,11 @@ def run_feed(
     strict: bool = True,
     config: FeedConfig = FeedConfig(),
     multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> dict[str, int]:
     """Send a labelled CSV and return the run totals, which are taken while writing."""
     transactions = feed_from_csv(
-        spark, dataset, strict=strict, config=config, multi_line=multi_line
+        spark, dataset, strict=strict, config=config, multi_line=multi_line, quarantine=quarantine
     )
     sent = Observation("feed_totals")
     write_messages(envelope(transactions.observe(sent, *total_measures(config))), target)
@@ -150,7 +151,8 @@ def _parser() -> argparse.ArgumentParser:
     feed = jobs.add_parser("feed", help="turn a labelled CSV into messages")
     feed.add_argument("--dataset", default=None)
     feed.add_argument("--to", default=None)
-    feed.add_argument("--lenient", action="store_true", help="leave out unreadable labels")
+    feed.add_argument("--lenient", action="store_true", help="set unreadable lines aside")
+    feed.add_argument("--quarantine", default=None, help="new folder for lines set aside")
     feed.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
     detection = jobs.add_parser("detect", help="run the detection queries")
     detection.add_argument("--blacklist", required=True)
@@ -182,7 +184,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         dataset = options.dataset or dataset_path()
         target = message_source(options.to, options.option)
         run_feed(
-            spark, dataset, target, strict=not options.lenient, multi_line=options.multi_line
+            spark,
+            dataset,
+            target,
+            strict=not options.lenient,
+            multi_line=options.multi_line,
+            quarantine=options.quarantine,
         )
     else:
         try:

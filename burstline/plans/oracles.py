@@ -205,6 +205,23 @@ ORACLES: dict[str, str] = {
              CASE WHEN event_type = 'click' THEN 0.0 ELSE value END AS Amount,
              CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS Class
       FROM events WHERE event_type <> 'signup'""",
+    "csv_layouts": """
+      SELECT CAST(event_id AS DOUBLE) AS Time,
+             CASE WHEN event_type <> 'purchase' THEN CAST(event_id AS DOUBLE) END AS V1,
+             CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) AS Amount,
+             CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS Class
+      FROM events""",
+    "csv_quarantine": """
+      SELECT CASE event_type WHEN 'signup' THEN event_id || ',' || cents
+                  WHEN 'view' THEN event_id || ',"' || cents || ',0'
+                  ELSE event_id || ',' || cents || ',x1' END AS raw_line,
+             CASE event_type WHEN 'signup' THEN 'too few fields' WHEN 'view' THEN 'unclosed quote'
+                  ELSE 'unreadable label' END AS reason,
+             (SELECT count(*) FROM events) AS n_lines,
+             (SELECT count(*) FROM events
+              WHERE event_type NOT IN ('signup', 'view', 'click')) AS n_kept
+      FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+      WHERE event_type IN ('signup', 'view', 'click')""",
     "scenario_assign": f"WITH {_DRAWN} SELECT event_id, Class, scenario, User_ID FROM assigned",
     "burst_explode": f"""WITH {_FED}
       SELECT Transaction_ID, User_ID, Timestamp, Amount, Class, Bot_Sequence FROM fed""",

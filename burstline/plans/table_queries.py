@@ -29,6 +29,7 @@ from burstline.schemas import DETECTION_FIELDS
 from burstline.session import SETTINGS, stateful_session
 from burstline.sources.blacklist import read_blacklist, store_blacklist, unique_blacklist
 from burstline.sources.csv_rows import read_csv_rows
+from burstline.sources.quarantine import split_rows
 from burstline.sources.messages import read_messages, scan_messages, write_messages
 from burstline.sources.tables import (
     BATCH_BYTES,
@@ -205,11 +206,63 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = ["Time", "V1", "Amount", "Class"]
     path = run_folder(spark, "csv")
-    # One unquoted column whose name is the header line.
-    table(spark, sf_dir, "events").select(line.alias(",".join(columns))).write.options(
+    _write_lines(table(spark, sf_dir, "events").select(line), ",".join(columns), path)
+    return normalize(read_csv_rows(spark, path, columns), columns).select(*columns)
+
+
+def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """CSV files from lines as they are: one unquoted column whose name is the header line."""
+    lines.toDF(header).write.options(
         header=True, sep="\u0001", quote="", escapeQuotes=False
     ).csv(path)
-    return normalize(read_csv_rows(spark, path, columns), columns).select(*columns)
+
+
+def q_csv_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three kinds of files in one folder, each with a header of its own: columns in another
+    order, and one kind without ``V1``."""
+    number, cents = F.col("event_id").cast("string"), F.round(F.col("value") * 100).cast("bigint")
+    kind = F.col("event_type")
+    label = F.when(kind == "error", "1").otherwise("0")
+    files = {
+        "Time,V1,Amount,Class": (kind.isin("view", "click"), [number, number, cents, label]),
+        "Class,Amount,Time": (kind == "purchase", [label, cents, number]),
+        "Amount,Class,V1,Time": (
+            ~kind.isin("view", "click", "purchase"), [cents, label, number, number]
+        ),
+    }
+    path = run_folder(spark, "csv_layouts")
+    for k, (header, (some, fields)) in enumerate(files.items()):
+        rows = table(spark, sf_dir, "events").filter(some)
+        _write_lines(rows.select(F.concat_ws(",", *fields)), header, f"{path}/kind-{k}")
+    rows = read_csv_rows(spark, path, ["Time", "V1", "Amount", "Class"])
+    return rows.select(
+        F.col("Time").cast("double").alias("Time"),
+        F.col("V1").cast("double").alias("V1"),
+        F.col("Amount").cast("double").alias("Amount"),
+        F.col("Class").cast("int").alias("Class"),
+    )
+
+
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a CSV that are refused, and why: signup rows are short, view rows open a
+    quote, click rows have no number for a label."""
+    number, cents = F.col("event_id").cast("string"), F.round(F.col("value") * 100).cast("bigint")
+    line = _by_type(
+        F.concat_ws(",", number, cents, F.lit("0")),
+        signup=F.concat_ws(",", number, cents),
+        view=F.concat(number, F.lit(',"'), cents, F.lit(",0")),
+        click=F.concat_ws(",", number, cents, F.lit("x1")),
+        error=F.concat_ws(",", number, cents, F.lit("1"), F.lit("more")),
+    )
+    path = run_folder(spark, "csv_quarantine")
+    _write_lines(table(spark, sf_dir, "events").select(line), "Time,Amount,Class", f"{path}/in")
+    split = split_rows(spark, f"{path}/in", f"{path}/out")
+    return split.refused.select(
+        "raw_line",
+        "reason",
+        F.lit(split.n_lines).cast("bigint").alias("n_lines"),
+        F.lit(split.n_kept).cast("bigint").alias("n_kept"),
+    )
 
 
 def _labelled(events: DataFrame) -> DataFrame:
@@ -471,6 +524,8 @@ QUERIES: dict[str, Query] = {
     "event_time": q_event_time,
     "csv_normalize": q_csv_normalize,
     "csv_scan": q_csv_scan,
+    "csv_layouts": q_csv_layouts,
+    "csv_quarantine": q_csv_quarantine,
     "scenario_assign": q_scenario_assign,
     "burst_explode": q_burst_explode,
     "scenario_totals": q_scenario_totals,

@@ -1,9 +1,11 @@
 import csv
+import gzip
 
 import pytest
 from pyspark.errors import PySparkException
 
 from burstline.sources.csv_rows import ROW_KEY, header_columns, read_csv_rows
+from burstline.sources.quarantine import LABEL, SHORT, UNCLOSED, split_rows
 
 HEADER = ["Time", "V1", "Amount", "Class"]
 LINES = [
@@ -73,3 +75,59 @@ def test_unclosed_quotes_fail_without_multi_line(spark, tmp_path):
                 getattr(read_csv_rows(spark, str(path)), action)()
     path.write_text('Time,Note\n1,5" pipe\n2,"a ""b"", c"\n,\n', encoding="utf-8")
     assert read_csv_rows(spark, str(path)).count() == 3
+
+
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Time,Amount,Class\n1,10,0\n2,20\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text('\nClass,"Amount",Time\n0,99,2\n1,5\n', encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("", encoding="utf-8")
+    (tmp_path / "sub folder").mkdir()
+    with gzip.open(tmp_path / "sub folder" / "c.csv.gz", "wt") as file:
+        file.write("V1,Time\r\n7,3\r\n")
+    names = ["Time", "Amount", "Class", "V1"]
+    assert header_columns(spark, str(tmp_path)) == names
+    rows = read_csv_rows(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r[n] for n in names) for r in rows) == [
+        ("1", "10", "0", None), ("2", "99", "0", None), ("3", None, None, "7"),
+    ]
+    assert len({r[ROW_KEY] for r in rows}) == 3
+    wanted = ["V1", "Class", "Time", "Amount", "Note"]
+    assert read_csv_rows(spark, str(tmp_path), wanted).columns == [*wanted, ROW_KEY]
+    with pytest.raises(ValueError, match="c.csv.gz has unknown columns: V1"):
+        read_csv_rows(spark, str(tmp_path), names[:3])
+    (tmp_path / "d.csv").write_text("Time,Time\n1,2\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="twice"):
+        read_csv_rows(spark, str(tmp_path))
+
+
+def test_no_files_with_a_header(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("\n", encoding="utf-8")
+    assert read_csv_rows(spark, str(tmp_path), ["Time"]).collect() == []
+    with pytest.raises(ValueError, match="header"):
+        split_rows(spark, str(tmp_path), str(tmp_path / "out"))
+
+
+def test_kept_and_refused_lines_are_all_lines(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    lines = [*LINES, "Time,V1,Amount,Class", "13,1,2, 1 ", '12,"open,1,2']
+    (source / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    (source / "b.csv").write_text("Class,Time\nno,1\n1,2\n3\n", encoding="utf-8")
+    split = split_rows(spark, str(source), str(tmp_path / "out"))
+    refused = sorted((r.raw_line, r.reason, r.file.rsplit("/", 1)[1]) for r in split.refused.collect())
+    assert refused == sorted([
+        ("2,3.5", SHORT, "a.csv"), ('9,"a,b"', SHORT, "a.csv"), ('12,"open,1,2', UNCLOSED, "a.csv"),
+        ("10,7.5,80.0,abc", LABEL, "a.csv"), ("Time,V1,Amount,Class", LABEL, "a.csv"),
+        ("no,1", LABEL, "b.csv"), ("3", SHORT, "b.csv"),
+    ])
+    kept = split.kept.collect()
+    good = [r for r in kept_by_python(source / "a.csv") if r[3] != "abc"]
+    good = [r for r in good if r[0] not in ("Time", "12")] + [["2", "", "", "1"]]
+    assert sorted([r[c] or "" for c in HEADER] for r in kept) == sorted(good)
+    blank = 1
+    assert split.n_lines == len(lines) - 1 - blank + 3
+    assert (split.n_kept, split.n_refused) == (len(kept), len(refused))
+    assert split.n_kept + split.n_refused == split.n_lines
+    assert len({r[ROW_KEY] for r in kept}) == len(kept)
+    with pytest.raises(PySparkException, match="(?i)exists"):
+        split_rows(spark, str(source), str(tmp_path / "out"))
