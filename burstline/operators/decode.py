@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from burstline.config import interval_text
 from burstline.schemas import DETECTION_FIELDS, MESSAGE, narrowed
 
 
@@ -31,3 +34,20 @@ def with_event_time(transactions: DataFrame) -> DataFrame:
 def decode_for_detection(messages: DataFrame) -> DataFrame:
     """The few fields that detection reads, with event time."""
     return with_event_time(decode_json(messages, narrowed(MESSAGE, DETECTION_FIELDS)))
+
+
+def deduplicated(transactions: DataFrame, within: timedelta) -> DataFrame:
+    """Each ``Transaction_ID`` once, for messages that were sent more than once.
+
+    In a stream a repetition is known for as long after the first one as ``within`` says, by
+    event time, and state is kept no longer. Rows without an id or a time cannot be told apart
+    and all stay.
+    """
+    number, time = F.col("Transaction_ID"), F.col("event_time")
+    known = number.isNotNull() & time.isNotNull()
+    if not transactions.isStreaming:
+        once = transactions.filter(known).dropDuplicates(["Transaction_ID"])
+    else:
+        marked = transactions.filter(known).withWatermark("event_time", interval_text(within))
+        once = marked.dropDuplicatesWithinWatermark(["Transaction_ID"])
+    return once.union(transactions.filter(~known))

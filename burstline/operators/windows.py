@@ -89,14 +89,18 @@ def _summary_by_window(enriched: DataFrame, config: DetectionConfig) -> DataFram
     )
 
 
-def _summary_by_pane(enriched: DataFrame, config: DetectionConfig) -> DataFrame:
+def _summary_by_pane(
+    enriched: DataFrame, config: DetectionConfig, chained: bool = False
+) -> DataFrame:
     """Aggregate once per slide-wide pane, then add up the panes of each window.
 
     Each transaction updates one group and not size/slide of them, and the windows are
     built from the few pane rows. A pane lies in exactly the windows that hold its start,
-    provided the slide divides the size.
+    provided the slide divides the size. ``chained`` hands the watermark on with the pane,
+    as the second aggregation of a stream needs it.
     """
     window = config.summary_window
+    of_pane = "pane" if chained else "pane_start"
     counts = _counts()
     panes = (
         enriched.groupBy(F.window("event_time", window.slide_text).alias("pane"))
@@ -108,7 +112,7 @@ def _summary_by_pane(enriched: DataFrame, config: DetectionConfig) -> DataFrame:
         .withColumn("pane_start", F.col("pane.start"))
     )
     return (
-        panes.groupBy(_sliding("pane_start", window).alias("window"))
+        panes.groupBy(_sliding(of_pane, window).alias("window"))
         .agg(
             *(F.sum(name).alias(name) for name in counts),
             F.sum("amounts").alias("amounts"),
@@ -134,6 +138,21 @@ def summary_statistics(
     return summary.select(*SUMMARY.names)
 
 
+def closed_summary(
+    enriched: DataFrame, config: DetectionConfig = DetectionConfig()
+) -> DataFrame:
+    """The summary of windows that are closed, for a stream in append mode: each window once.
+
+    Two chained stateful aggregations, panes and then windows of panes. A transaction updates
+    the state of one pane and not of size/slide windows, and the second state has a row per
+    pane and window. The slide has to divide the size.
+    """
+    if not config.summary_window.has_whole_panes:
+        raise ValueError("windows are no whole number of panes")
+    marked = enriched.withWatermark("event_time", config.summary_window.watermark_text)
+    return _summary_by_pane(marked, config, chained=True).select(*SUMMARY.names)
+
+
 def flat_window(summary: DataFrame) -> DataFrame:
     """The window struct as two leading columns."""
     others = [name for name in summary.columns if name != "window"]

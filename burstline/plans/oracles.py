@@ -134,9 +134,20 @@ fed AS (
          {_ISO.format(t="sent")} AS Timestamp, Amount, Class, Bot_Sequence, scenario
   FROM repeated)"""
 
-_MESSAGES = f"""WITH {_FED}
-  SELECT User_ID AS message_key, Transaction_ID, User_ID, Timestamp, Amount, Class,
-         Bot_Sequence IS NOT NULL AS in_burst FROM fed"""
+_MESSAGES = f"""WITH {_TX}
+  SELECT User_ID AS message_key, Transaction_ID, User_ID,
+         {_ISO.format(t="event_time")} AS Timestamp, Amount, Class FROM tx"""
+
+_FIELDS = f"""WITH {_TX}, numbered AS (
+    SELECT *, CAST(split_part(Transaction_ID, '_', 2) AS BIGINT) AS number FROM tx)
+  SELECT Transaction_ID, User_ID, {_ISO.format(t="event_time")} AS Timestamp,
+         CASE WHEN number % 5 <> 1 THEN CAST(number AS DOUBLE) END AS Time, Amount, Class,
+         CASE WHEN number % 5 = 2 THEN 2 END AS Bot_Sequence,
+         {", ".join(
+             f"CASE WHEN number % 5 <> {k % 5} THEN CAST(number * {k} AS DOUBLE) / 4 END AS V{k}"
+             for k in range(1, 29)
+         )}
+  FROM numbered"""
 
 # The list as of an event: customers only up to the middle of the time span, then suppliers too.
 _CHANGED = f"""
@@ -181,6 +192,7 @@ ORACLES: dict[str, str] = {
     "summary_statistics": _SUMMARY,
     "json_decode": "SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "message_decode": _DECODED,
+    "message_fields": _FIELDS,
     "event_time": f"""
       SELECT event_id,
              CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
@@ -244,6 +256,22 @@ ORACLES: dict[str, str] = {
     "stream_bots_compacted": _BOT_DETECTION,
     "stream_blacklist_change": _CHANGED,
     "stream_restart": _SUMMARY,
+    "stream_late_rows": f"""WITH {_TX}, {_BOT_SOURCE},
+      closed AS (SELECT max(ts) - INTERVAL '24 hours' AS watermark
+                 FROM events WHERE event_type <> 'signup')
+      SELECT window_start, window_start + INTERVAL '24 hours' AS window_end, Transaction_ID,
+             User_ID, event_time
+      FROM windowed, closed
+      WHERE event_type = 'signup' AND window_start + INTERVAL '24 hours' <= watermark""",
+    "stream_summary_append": f"""SELECT * FROM ({_SUMMARY}) WHERE window_end <=
+      (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 hour' FROM events)""",
+    "stream_state": f"""WITH {_TX}, {_BOT_SOURCE}
+      SELECT window_start, window_start + INTERVAL '24 hours' AS window_end, User_ID,
+             count(*) AS transaction_count, round(sum(Amount), 2) AS total_amount
+      FROM windowed GROUP BY window_start, User_ID
+      HAVING window_start + INTERVAL '24 hours' >
+        (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 hour' FROM events)""",
+    "stream_deduplicated": _DECODED,
     "stream_late_drop": f"""WITH {_TX}, {_BOT_SOURCE},
       closed AS (SELECT max(ts) - INTERVAL '24 hours' AS watermark
                  FROM events WHERE event_type <> 'signup')

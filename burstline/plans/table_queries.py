@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import timedelta
 
@@ -12,25 +12,36 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from burstline.config import MessageSource, SlidingWindow
 from burstline.functions.identity import iso_text
-from burstline.operators.decode import decode_for_detection, decode_json, with_event_time
+from burstline.operators.decode import (
+    decode_for_detection,
+    decode_json,
+    deduplicated,
+    with_event_time,
+)
 from burstline.operators.enrich import categorize, enrich
-from burstline.operators.feed import assign_scenario, envelope, normalize, totals
+from burstline.operators.feed import assign_scenario, normalize, totals
 from burstline.operators.prefilter import WORDS
 from burstline.operators.route import fraud_alerts, normal_transactions, unrouted, with_route
 from burstline.operators.windows import (
     bot_detection,
     bot_windows,
+    closed_summary,
     flat_window,
     summary_statistics,
 )
 from burstline.plans.detection import Detection, detect_messages, refreshed_routes
 from burstline.plans.feeding import feed
-from burstline.schemas import DETECTION_FIELDS
+from burstline.schemas import COMPONENTS, DETECTION_FIELDS, MESSAGE
 from burstline.session import SETTINGS, stateful_session
 from burstline.sources.blacklist import read_blacklist, store_blacklist, unique_blacklist
 from burstline.sources.csv_rows import read_csv_rows
+from burstline.sources.messages import (
+    read_messages,
+    scan_messages,
+    write_messages,
+    write_run,
+)
 from burstline.sources.quarantine import split_rows
-from burstline.sources.messages import read_messages, scan_messages, write_messages
 from burstline.sources.tables import (
     BATCH_BYTES,
     EVENTS_CONFIG,
@@ -42,10 +53,12 @@ from burstline.sources.tables import (
     without_zone,
 )
 from burstline.streaming.compaction import Compaction, vacuum
+from burstline.streaming.late import late_and_counted, late_rows
 from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob
 from burstline.streaming.sinks import change_log, files, latest
 from burstline.streaming.sinks import messages as messages_sink
+from burstline.streaming.state import open_windows
 from burstline.streaming.workspace import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,9 +307,9 @@ def q_scenario_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as keyed messages in a log, read back and taken apart."""
-    log = MessageSource(format="parquet", path=run_folder(spark, "feed"))
-    write_messages(envelope(_feed(spark, sf_dir)), log)
+    """The events as keyed messages in a log, read back and taken apart."""
+    log = MessageSource(format="parquet", path=run_folder(spark, "envelope"))
+    write_messages(messages_from_events(table(spark, sf_dir, "events")), log)
     return _taken_apart(scan_messages(spark, log))
 
 
@@ -305,7 +318,6 @@ def _taken_apart(messages: DataFrame) -> DataFrame:
     fields = ["Transaction_ID", "User_ID", "Timestamp", "Amount", "Class"]
     taken_apart = messages.select(
         F.col("key").cast("string").alias("message_key"),
-        value.contains("Bot_Sequence").alias("in_burst"),
         F.json_tuple(value, *fields).alias(*fields),
     )
     return taken_apart.withColumns(
@@ -313,6 +325,37 @@ def _taken_apart(messages: DataFrame) -> DataFrame:
     )
 
 
+def q_message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 35 fields of a message, made of the events and decoded again. Some are left out, some
+    are null, some are of another type, by event type."""
+    events = table(spark, sf_dir, "events")
+    transactions = transactions_from_events(events)
+    number = F.regexp_extract("Transaction_ID", r"(\d+)$", 1).cast("bigint")
+    kind = F.pmod(number, F.lit(5))
+    components = {
+        name: F.when(kind != k % 5, F.round(number * F.lit(k) / 4, 2))
+        for k, name in enumerate(COMPONENTS, 1)
+    }
+    record = transactions.select(
+        "Transaction_ID",
+        "User_ID",
+        iso_text(F.col("event_time")).alias("Timestamp"),
+        F.when(kind == 1, F.lit("soon")).otherwise(number.cast("string")).alias("Time_text"),
+        number.cast("double").alias("Time"),
+        "Amount",
+        "Class",
+        F.when(kind == 2, kind.cast("int")).alias("Bot_Sequence"),
+        *(column.alias(name) for name, column in components.items()),
+    )
+    sent = F.struct(*(F.col(c) for c in MESSAGE.names))
+    text = F.to_json(sent)
+    # A text where a number belongs, as another sender might have it.
+    text = F.when(
+        F.col("Time_text") == "soon", F.regexp_replace(text, r'"Time":[^,]*', '"Time":"soon"')
+    ).otherwise(text)
+    return decode_json(record.select(text.cast("binary").alias("value")))
+
+
 # -- streams ----------------------------------------------------------------------------
 
 
@@ -397,10 +440,9 @@ def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as a stream of keyed messages."""
+    """The events as a stream of keyed messages, sent on into a log."""
     replay = _Replay(spark, sf_dir, "stream_feed")
-    events = table_stream(replay.spark, sf_dir, "events")
-    sent = envelope(feed(_labelled(events), "event_id"))
+    sent = messages_from_events(table_stream(replay.spark, sf_dir, "events"))
     replay.job(sent, "append", messages_sink(replay.log)).drain()
     return _taken_apart(scan_messages(spark, replay.log))
 
@@ -491,6 +533,68 @@ def q_stream_blacklist_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_summary_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of closed windows, each given once: panes and windows as chained state."""
+    replay = _Replay(spark, sf_dir, "stream_summary_append")
+    _empty_log(replay)
+    path = f"{replay.folder}/output"
+    store_blacklist(replay._blacklist, f"{replay.folder}/blacklist")
+    blacklist = read_blacklist(replay.spark, f"{replay.folder}/blacklist")
+    transactions = decode_for_detection(replay.messages())
+    enriched = enrich(transactions, blacklist, EVENTS_CONFIG, already_unique=True)
+    output = flat_window(closed_summary(enriched, EVENTS_CONFIG))
+    for part in time_slices(replay.events, "ts", REPLAY_SLICES):
+        replay.publish(part)
+        replay.job(output, "append", files(path)).drain()
+    return spark.read.schema(output.schema).parquet(path)
+
+
+def q_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the burst stream still holds when it has read everything: counts of open windows,
+    from its checkpoint."""
+    replay = _Replay(spark, sf_dir, "stream_state")
+    _empty_log(replay)
+    alerts = bot_detection(decode_for_detection(replay.messages()), EVENTS_CONFIG)
+    _drain_slices(replay, alerts, f"{replay.folder}/changes")
+    measures = {"count": "transaction_count", "sum": "total_amount"}
+    return _rounded(open_windows(spark, f"{replay.folder}/checkpoint", measures))
+
+
+def q_stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in which every message was sent twice, by two runs, read as each once."""
+    replay = _Replay(spark, sf_dir, "stream_deduplicated")
+    _empty_log(replay)
+    path = f"{replay.folder}/output"
+    output = deduplicated(decode_for_detection(replay.messages()), timedelta(days=1))
+    for i, part in enumerate(time_slices(replay.events, "ts", REPLAY_SLICES)):
+        for run in (f"{i}-first", f"{i}-again"):
+            write_run(messages_from_events(part), replay.log, run)
+        replay.job(output, "append", files(path)).drain()
+    return spark.read.schema(output.schema).parquet(path)
+
+
+def _late_last(replay: _Replay) -> Iterator[DataFrame]:
+    """All events but those of one type, earliest first, and those at the end."""
+    is_late = F.col("event_type") == LATE_TYPE
+    yield from time_slices(replay.events.filter(~is_late), "ts", 2)
+    yield replay.events.filter(is_late)
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that come after their windows were closed, once per window."""
+    replay = _Replay(spark, sf_dir, "stream_late_rows")
+    _empty_log(replay)
+    path, window = f"{replay.folder}/split", LATE_CONFIG.bot_window
+    output = decode_for_detection(replay.messages())
+    for part in _late_last(replay):
+        replay.publish(part)
+        sink = late_and_counted(path, window, ["User_ID"], "Amount")
+        replay.job(output, "append", sink).drain()
+    return flat_window(
+        late_rows(spark, path).select("window", "Transaction_ID", "User_ID", "event_time")
+    )
+
+
 def q_stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event type arrives after all the others: of its events, those in windows that
     the watermark has closed by then are dropped and the rest still count."""
@@ -498,9 +602,7 @@ def q_stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     _empty_log(replay)
     path = f"{replay.folder}/changes"
     output = bot_detection(decode_for_detection(replay.messages()), LATE_CONFIG)
-    is_late = F.col("event_type") == LATE_TYPE
-    on_time = replay.events.filter(~is_late)
-    for part in [*time_slices(on_time, "ts", 2), replay.events.filter(is_late)]:
+    for part in _late_last(replay):
         replay.publish(part)
         replay.job(output, "update", change_log(path)).drain()
     return _rounded(latest(spark, path, _BOT_KEYS))
@@ -521,6 +623,7 @@ QUERIES: dict[str, Query] = {
     "summary_statistics": q_summary_statistics,
     "json_decode": q_json_decode,
     "message_decode": q_message_decode,
+    "message_fields": q_message_fields,
     "event_time": q_event_time,
     "csv_normalize": q_csv_normalize,
     "csv_scan": q_csv_scan,
@@ -542,6 +645,10 @@ QUERIES: dict[str, Query] = {
     "stream_blacklist_change": q_stream_blacklist_change,
     "stream_restart": q_stream_restart,
     "stream_late_drop": q_stream_late_drop,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_summary_append": q_stream_summary_append,
+    "stream_state": q_stream_state,
+    "stream_deduplicated": q_stream_deduplicated,
 }
 
 

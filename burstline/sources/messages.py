@@ -20,6 +20,8 @@ def _with_source(reader, source: MessageSource) -> DataFrame:
     reader = reader.format(source.format).options(**source.read_options())
     if source.format == "kafka":
         return reader.load().select("key", "value")
+    # Runs that can be written again have folders of their own below the path.
+    reader = reader.option("recursiveFileLookup", True)
     if source.format == "text":
         lines = reader.schema(_LINES).load(source.path)
         return lines.select(
@@ -46,3 +48,19 @@ def write_messages(messages: DataFrame, target: MessageSource) -> None:
         writer.save()
     else:
         writer.save(target.path)
+
+
+def write_run(messages: DataFrame, target: MessageSource, run: str) -> None:
+    """A batch of messages that can be written again: in a folder of its own, named by ``run``,
+    which a second try replaces whole. What was stored is marked by Spark's ``_SUCCESS``.
+
+    A topic cannot take messages back, so there a second try sends them again, and so does one
+    for a stream that has read the first: readers use ``deduplicated``.
+    """
+    if target.format == "kafka":
+        write_messages(messages, target)
+        return
+    if not run or "/" in run or run.startswith(("_", ".")):
+        raise ValueError(f"no name for a folder: {run!r}")
+    writer = messages.select("key", "value").write.format(target.format)
+    writer.options(**target.write_options()).mode("overwrite").save(f"{target.path}/run-{run}")

@@ -1,15 +1,17 @@
 import json
 import time
+from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from burstline.config import DetectionConfig, MessageSource
-from burstline.operators.decode import decode_for_detection
+from burstline.operators.decode import decode_for_detection, deduplicated
 from burstline.operators.enrich import categorize
 from burstline.operators.feed import envelope
-from burstline.operators.windows import bot_detection, summary_statistics
+from burstline.operators.windows import bot_detection, closed_summary, summary_statistics
 from burstline.plans.detection import (
     OUTPUTS,
     detect_messages,
@@ -20,9 +22,14 @@ from burstline.plans.feeding import feed
 from burstline.schemas import BLACKLIST
 from burstline.session import stateful_session
 from burstline.sources.blacklist import read_blacklist, store_blacklist, store_initial_blacklist
-from burstline.sources.messages import read_messages, write_messages
+from burstline.sources.messages import (
+    read_messages,
+    scan_messages,
+    write_messages,
+    write_run,
+)
 from burstline.sources.tables import table_stream
-from burstline.streaming import sinks
+from burstline.streaming import late, sinks, state
 from burstline.streaming.progress import FeedProgress, observe_totals
 from burstline.streaming.replay import time_slices
 from burstline.streaming.runner import StreamJob, start_all, stop_all, supervise
@@ -284,6 +291,135 @@ def test_a_repeated_batch_takes_the_list_it_had(spark, live, tmp_path):
     assert drain() == [(0, "alert", "B listed")] * 2 + [(1, "normal", None)]
 
 
+def test_counted_and_late_rows_are_all_rows(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    path, window = str(tmp_path / "split"), EVERY.bot_window
+    output = decode_for_detection(lines.messages)
+
+    def drain():
+        sink = late.late_and_counted(path, window, ["User_ID"], "Amount")
+        job("split", output, "append", sink, tmp_path).drain()
+
+    lines.at(at(0, 1), at(0, 1), at(1, 0))
+    drain()
+    # The watermark is at 0:40 now: of the first, both windows are closed, of the second, one.
+    lines.at(at(0, 3), at(0, 34), at(0, 45), at(2, 0))
+    drain()
+    lines.add({"Transaction_ID": "x", "User_ID": "B", "Amount": 1.0})
+    drain()
+    counted = late.counted_windows(live, path, ["User_ID"]).collect()
+    gone = late.late_rows(live, path).collect()
+    assert sorted((r.event_time, r.window.start) for r in gone) == [
+        (at(0, 3), at(0, 0).replace(year=2023, month=12, day=31, hour=23, minute=59, second=55)),
+        (at(0, 3), at(0, 0)),
+        (at(0, 34), at(0, 25)),
+        (at(0, 34), at(0, 30)),
+    ]
+    assert {r.batch_id for r in gone} == {1}
+    # Two windows a row; the row without a time is in none.
+    assert sum(r.n for r in counted) + len(gone) == 2 * 7
+    assert sum(r.amount for r in counted) == sum(r.n for r in counted)
+
+
+def test_a_repeated_batch_judges_as_before(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    path, window = str(tmp_path / "split"), EVERY.bot_window
+    output = decode_for_detection(lines.messages)
+
+    def drain():
+        sink = late.late_and_counted(path, window, ["User_ID"], "Amount")
+        job("split", output, "append", sink, tmp_path).drain()
+        counted = late.counted_windows(live, path, ["User_ID"]).collect()
+        return sum(r.n for r in counted), late.late_rows(live, path).count()
+
+    lines.at(at(0, 1), at(3, 0))
+    assert drain() == (4, 0)
+    lines.at(at(0, 2), at(5, 0))
+    assert drain() == (6, 2)
+    for file in (tmp_path / "checkpoint-split" / "commits").glob("*1*"):
+        file.unlink()
+    assert drain() == (6, 2)
+
+
+def test_closed_windows_once_by_chained_state(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    enriched = categorize(decode_for_detection(lines.messages)).withColumn(
+        "User_Status", F.lit("ACTIVE")
+    )
+    path = str(tmp_path / "out")
+    closed = job("panes", closed_summary(enriched), "append", sinks.files(path), tmp_path)
+    for minute in (0, 0, 2, 4):
+        lines.at(at(minute, 6), at(minute, 17), amount=2.5)
+        query = closed.drain()
+    state = [o.operatorName for p in query.recentProgress for o in p.stateOperators]
+    assert state.count("stateStoreSave") >= 2
+    rows = {r.window.start: r for r in live.read.parquet(path).collect()}
+    early = [rows[start] for start in sorted(rows) if start < at(1)]
+    day = {"year": 2023, "month": 12, "day": 31, "hour": 23, "minute": 59}
+    assert [(r.window.start, r.total_transactions, r.total_amount) for r in early] == [
+        (at(0).replace(**day, second=40), 2, 5.0),
+        (at(0).replace(**day, second=50), 4, 10.0),
+        (at(0), 4, 10.0),
+        (at(0, 10), 2, 5.0),
+    ]
+    assert {r.avg_amount for r in early} == {2.5} and all(start < at(4) for start in rows)
+    with pytest.raises(ValueError, match="whole number"):
+        odd = replace(EVERY.summary_window, slide=timedelta(seconds=7))
+        closed_summary(enriched, EVERY.but(summary_window=odd))
+
+
+def test_state_of_a_stopped_query(live, tmp_path):
+    lines = Lines(live, tmp_path / "in")
+    alerts = bot_detection(decode_for_detection(lines.messages))
+    log = job("held", alerts, "update", sinks.change_log(str(tmp_path / "out")), tmp_path)
+    for minute in (0, 1):
+        lines.at(*[at(minute, 6)] * 3, amount=2.0)
+        log.drain()
+    checkpoint = str(tmp_path / "checkpoint-held")
+    measures = {"count": "n", "sum": "amount"}
+    # Three a window are no alert, but they are in the state; the first ones are closed.
+    held = state.open_windows(live, checkpoint, measures).collect()
+    assert sorted(map(tuple, held)) == [
+        (at(1, 0), at(1, 10), "B", 3, 6.0), (at(1, 5), at(1, 15), "B", 3, 6.0)
+    ]
+    before = state.open_windows(live, checkpoint, measures, batch=0).collect()
+    assert {r.window_start for r in before} == {at(0, 0), at(0, 5)}
+    operators = state.state_operators(live, checkpoint).collect()
+    assert [r.operatorName for r in operators] == ["stateStoreSave"]
+
+
+def test_messages_sent_again_are_read_once(spark, live, tmp_path):
+    target = MessageSource("parquet", path=str(tmp_path / "log"))
+    rows = spark.range(50).select(
+        F.concat(F.lit("T"), F.col("id")).alias("Transaction_ID"),
+        F.lit("u").alias("User_ID"),
+        F.date_format(F.timestamp_seconds(F.col("id") + 1000), "yyyy-MM-dd'T'HH:mm:ss").alias("Timestamp"),
+    )
+    keyed = envelope(rows)
+    for _ in range(2):  # the same run replaces itself
+        write_run(keyed, target, "1")
+    assert scan_messages(spark, target).count() == 50
+    messages = decode_for_detection(read_messages(live, target))
+    path = str(tmp_path / "out")
+
+    def drain():
+        output = deduplicated(messages, timedelta(hours=1))
+        job("once", output, "append", sinks.files(path), tmp_path).drain()
+        return sorted((r.Transaction_ID or "") for r in live.read.parquet(path).collect())
+
+    once = sorted(f"T{k}" for k in range(50))
+    assert drain() == once
+    write_run(keyed, target, "1")
+    write_run(keyed, target, "2")
+    odd = live.createDataFrame([(b"{}",), (b"{}",), (b'{"Transaction_ID":"T1"}',)], "value binary")
+    write_run(odd.withColumn("key", F.lit(None).cast("binary")), target, "odd")
+    # What cannot be told apart stays.
+    assert drain() == sorted(["", "", "T1", *once])
+    for name in ("", "a/b", "_hidden"):
+        with pytest.raises(ValueError):
+            write_run(keyed, target, name)
+
+
 class _Writer:
     """Records what a sink sets."""
 
