@@ -11,6 +11,7 @@ score of ``REPORT_FROM`` on, where no base span overlaps them.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,16 +40,38 @@ _NO_DIGIT = re.compile(r"[^0-9]")
 # Score of a confirmed span, and words nearby that raise or lower it.
 START = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3, "local_phone": 0.3}
 RAISE, LOWER = 0.3, 0.3
+# In English, French, German and Spanish.
 CONTEXT = {
-    "email": re.compile(r"\b(?:e-?mail|contact|write to|reach)\b", re.I),
-    "ip": re.compile(r"\b(?:ip|address|host|server|login)\b", re.I),
-    "card": re.compile(r"\b(?:card|credit|visa|mastercard|payment)\b", re.I),
-    "phone": re.compile(r"\b(?:phone|tel|call|mobile|fax)\b", re.I),
-    "iban": re.compile(r"\b(?:iban|account|bank|transfer)\b", re.I),
-    "ssn": re.compile(r"\b(?:ssn|social security)\b", re.I),
-    "local_phone": re.compile(r"\b(?:phone|tel|call|mobile|fax)\b", re.I),
+    "email": re.compile(
+        r"\b(?:e-?mail|contact|write to|reach|courriel|kontakt|schreiben|correo|escribir)\b", re.I
+    ),
+    "ip": re.compile(
+        r"\b(?:ip|address|host|server|login|adresse|serveur|rechner|direcci\u00f3n|servidor)\b", re.I
+    ),
+    "card": re.compile(
+        r"\b(?:card|credit|visa|mastercard|payment|carte|paiement|karte|kreditkarte|zahlung|"
+        r"tarjeta|cr\u00e9dito|pago)\b",
+        re.I,
+    ),
+    "phone": re.compile(
+        r"\b(?:phone|tel|call|mobile|fax|t\u00e9l\u00e9phone|portable|appeler|telefon|handy|anrufen|"
+        r"tel\u00e9fono|m\u00f3vil|llamar)\b",
+        re.I,
+    ),
+    "iban": re.compile(
+        r"\b(?:iban|account|bank|transfer|compte|banque|virement|konto|\u00fcberweisung|cuenta|"
+        r"banco|transferencia)\b",
+        re.I,
+    ),
+    "ssn": re.compile(
+        r"\b(?:ssn|social security|s\u00e9curit\u00e9 sociale|sozialversicherung|seguridad social)\b",
+        re.I,
+    ),
 }
-AGAINST = re.compile(r"\b(?:isbn|version|part no|order no|serial|example)\b", re.I)
+CONTEXT["local_phone"] = CONTEXT["phone"]
+AGAINST = re.compile(
+    r"\b(?:isbn|version|part no|order no|serial|example|exemple|beispiel|ejemplo)\b", re.I
+)
 
 
 def luhn(digits: str) -> bool:
@@ -162,15 +185,31 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     found = []
     for kind in BASE_KINDS:
         found += [(kind, s, e, _score(kind, text, s, e)) for s, e in _FINDERS[kind](text)]
-    base = sorted((s, e) for _, s, e, _ in found)
+    starts, ends = _covered(found)
     for kind in KINDS[len(BASE_KINDS) :]:
         for s, e in _FINDERS[kind](text):
             score = _score(kind, text, s, e)
-            if score >= REPORT_FROM and not any(a < e and s < b for a, b in base):
+            if score < REPORT_FROM:
+                continue
+            before = bisect_left(starts, e)  # stretches that start before the span ends
+            if not before or ends[before - 1] <= s:
                 found.append((kind, s, e, score))
     return found
 
 
+def _covered(spans: list[tuple]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that some spans cover together, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted((s, e) for _, s, e, _ in spans):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def masked(text: str, spans: list[tuple[str, int, int, float]]) -> str:
     """The text with each span replaced by its kind; spans that overlap become one."""
     parts, done = [], 0

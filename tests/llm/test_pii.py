@@ -126,3 +126,36 @@ def test_query_equals_patterns(spark, tables):
         assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert row.n_email == sum(k == "email" for k, _, _ in spans)
         assert row.n_phone == sum(k == "phone" for k, _, _ in spans)
+
+
+def test_many_spans_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        text = "ssn 123-45-6789 a@b.co " * n
+        start = time.perf_counter()
+        found = pii.find_spans(text)
+        assert len(found) == 2 * n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(32_000) < 24 * max(seconds(4_000), 0.02)
+
+
+def test_added_spans_that_touch_base_ones():
+    text = "tel 555-123-4567 and tel (555) 123-4567@site.org, call 555.123.4567"
+    found = pii.find_spans(text)
+    base = [(s, e) for k, s, e, _ in found if k in pii.BASE_KINDS]
+    added = [(s, e) for k, s, e, _ in found if k not in pii.BASE_KINDS]
+    assert base and added
+    assert not any(a < e and s < b for a, b in base for s, e in added)
+    assert pii._covered([("x", 5, 9, 1), ("x", 0, 3, 1), ("x", 8, 12, 1), ("x", 12, 14, 1)]) == (
+        [0, 5, 12], [3, 12, 14]
+    )
+
+
+@pytest.mark.parametrize("text", ["virement au compte", "Überweisung auf Konto", "transferencia a la cuenta"])
+def test_context_in_four_languages(text):
+    iban = "DE89 3704 0044 0532 0130 00"
+    plain = pii.find_spans(f"xx {iban} yy")[0][3]
+    assert pii.find_spans(f"{text} {iban}")[0][3] > plain
