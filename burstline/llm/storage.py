@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +50,17 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """Names for helper columns that none of the given columns has, in any case of letters."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def values(column: pa.Array, at_once: int = 256) -> Iterator:
     """The values of an Arrow column as Python objects, few of them alive at a time."""
     for first in range(0, len(column), at_once):

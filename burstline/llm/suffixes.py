@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.storage import Scratch, values
+from burstline.llm.storage import Scratch, unused, values
 
 LEAST = 100
 ANCHOR = 32
@@ -37,6 +37,7 @@ FLUSH = 1_000_000  # anchors that a task gathers before it settles them
 BYTES_PER_SHARD = 24 << 20  # of text, in step 2
 SEGMENTS_PER_BIN = 1000
 SEGMENTS_PER_SHARD = 1000
+_SHARDS_AT_ONCE = 64
 HOT = 64  # segments of one anchor in one task from which on they are dealt out
 _MOST_SYMBOLS = 1 << 16
 _NO_ID = -(2**63)
@@ -132,12 +133,6 @@ _ARRAYS = {
 _SHIPPED = "shard int, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
-def _row(shard: int, **arrays) -> dict:
-    empty = {k: b"" for k in _ARRAYS}
-    packed = {k: np.ascontiguousarray(v).astype(_ARRAYS[k]).tobytes() for k, v in arrays.items()}
-    return {"shard": shard} | empty | packed
-
-
 class _Gathered:
     """Segments of the documents of one task."""
 
@@ -167,8 +162,9 @@ class _Gathered:
         self.ids.append(_NO_ID if doc_id is None else doc_id)
         self.prints.append(fingerprint)
 
-    def rows(self) -> Iterator[dict]:
-        """What goes to each shard; ranges that are settled here go along with some of them."""
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What goes to each shard, one row per shard that gets something; ranges that are settled
+        here go along with some of them. Takes time by what was gathered, not by the shards."""
         if not self.parts:
             self._empty()
             return
@@ -185,29 +181,40 @@ class _Gathered:
         # Hot ones are dealt out by content, but one that tells the anchor's own shard.
         tells = hot & np.concatenate([[True], anchor[1:] != anchor[:-1]])
         to = np.where(hot & ~tells, content % np.uint64(self.shards), to).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[order], np.arange(self.shards + 1))
+        own = np.argsort(to, kind="stable")
         gone_to = gone[0].astype(np.int64) % self.shards
-        for k in range(self.shards):
-            own = np.sort(order[cuts[k] : cuts[k + 1]])
-            lost = np.flatnonzero(gone_to == k)
-            if not len(own) and not len(lost):
-                continue
-            docs, at = np.unique(np.concatenate([doc[own], gone[0][lost]]), return_inverse=True)
-            yield _row(
-                k,
-                ids=ids[docs],
-                prints=prints[docs],
-                doc=at[: len(own)],
-                anchor=anchor[own],
-                content=content[own],
-                start=start[own],
-                length=length[own],
-                hot=hot[own],
-                gone_doc=at[len(own) :],
-                gone_start=gone[1][lost],
-                gone_stop=gone[2][lost],
-            )
+        lost = np.argsort(gone_to, kind="stable")
+        to, gone_to = to[own], gone_to[lost]
+        # A shard's documents, each once, in front of what names them.
+        pairs = np.concatenate([to, gone_to]) * len(ids)
+        pairs = pairs + np.concatenate([doc[own], gone[0][lost]])
+        known, at = np.unique(pairs, return_inverse=True)
+        shard_of, docs = np.divmod(known, len(ids))
+        shards, begin = np.unique(shard_of, return_index=True)
+        at = at - begin[np.searchsorted(shards, np.concatenate([to, gone_to]))]
+        columns = {
+            "ids": (shard_of, ids[docs]),
+            "prints": (shard_of, prints[docs]),
+            "doc": (to, at[: len(own)]),
+            "anchor": (to, anchor[own]),
+            "content": (to, content[own]),
+            "start": (to, start[own]),
+            "length": (to, length[own]),
+            "hot": (to, hot[own]),
+            "gone_doc": (gone_to, at[len(own) :]),
+            "gone_start": (gone_to, gone[1][lost]),
+            "gone_stop": (gone_to, gone[2][lost]),
+        }
+        edges = np.append(shards, self.shards)
+        arrays = [pa.array(shards.astype(np.int32))]
+        for name, (of, column) in columns.items():
+            packed = np.ascontiguousarray(column).astype(_ARRAYS[name])
+            cuts = (np.searchsorted(of, edges) * packed.itemsize).astype(np.int32)
+            buffers = [None, pa.py_buffer(cuts), pa.py_buffer(packed)]
+            arrays.append(pa.BinaryArray.from_buffers(pa.binary(), len(shards), buffers))
+        whole = pa.RecordBatch.from_arrays(arrays, ["shard", *_ARRAYS])
+        for k in range(0, len(shards), _SHARDS_AT_ONCE):
+            yield whole.slice(k, _SHARDS_AT_ONCE)
         self._empty()
 
 
@@ -216,18 +223,14 @@ _FOUND = "doc_id long, print long, start long, stop long, anchor long"
 
 def _found(texts: DataFrame, shards: int, least: int) -> DataFrame:
     """Ranges of repeated segments (``anchor`` null) and segments that share an anchor."""
-    shipped = pa.schema([("shard", pa.int32()), *((k, pa.binary()) for k in _ARRAYS)])
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = _Gathered(shards, least)
         for batch in batches:
             for row in zip(*(values(c) for c in batch.columns)):
                 gathered.add(*row)
                 if gathered.count >= FLUSH:
-                    for out in gathered.rows():
-                        yield pa.RecordBatch.from_pylist([out], shipped)
-        for out in gathered.rows():
-            yield pa.RecordBatch.from_pylist([out], shipped)
+                    yield from gathered.rows()
+        yield from gathered.rows()
 
     def settle(table: pa.Table) -> pa.Table:
         arrays = {k: [] for k in _ARRAYS}
@@ -487,13 +490,15 @@ def remove_repeats(documents: DataFrame, least: int = LEAST) -> DataFrame:
     compared = scratch.store(_compared(keyed, shared, least), "compared")
     scratch.release()
     ranges = ranges.union(compared).groupBy("doc_id", "print")
-    ranges = ranges.agg(F.collect_list(F.struct("start", "stop")).alias("_gone"))
-    ranges = ranges.withColumnsRenamed({"doc_id": "_id", "print": "_print"})
+    hidden = unused(documents.columns, "_id", "_print", "_gone", "_result")
+    id_name, print_name, gone_name, result_name = hidden
+    ranges = ranges.agg(F.collect_list(F.struct("start", "stop")).alias(gone_name))
+    ranges = ranges.withColumnsRenamed({"doc_id": id_name, "print": print_name})
     new = ("n_bytes", "n_removed", "n_spans", "kept")
     columns = [c for c in documents.columns if c not in new]
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    marked = documents.withColumn("_id", own).withColumn("_print", F.xxhash64(text))
-    joined = marked.join(ranges, ["_id", "_print"], "left")
-    result = F.arrow_udf(_removed, _RESULT)(text.cast("binary"), F.col("_gone"))
-    done = joined.withColumn("_result", result)
-    return done.select(*columns, *(F.col(f"_result.{c}") for c in new))
+    marked = documents.withColumn(id_name, own).withColumn(print_name, F.xxhash64(text))
+    joined = marked.join(ranges, [id_name, print_name], "left")
+    result = F.arrow_udf(_removed, _RESULT)(text.cast("binary"), F.col(gone_name))
+    done = joined.withColumn(result_name, result)
+    return done.select(*columns, *(F.col(f"{result_name}.{c}") for c in new))

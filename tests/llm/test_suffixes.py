@@ -121,3 +121,41 @@ def test_equal_windows_have_equal_anchors():
         at.append({bytes(data[k : k + 100]): int(x) for k, x in enumerate(by_window)})
     both = set(at[0]) & set(at[1])
     assert len(both) == len(common) - 99 and all(at[0][w] == at[1][w] for w in both)
+
+
+def test_helper_columns_do_not_clash(spark):
+    passage = " ".join(map(str, range(60)))
+    rows = [(1, passage), (2, passage + "x"), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS _id", "2 AS _print", "3 AS _gone", "4 AS _RESULT", "5 AS _result_", "6 AS stop"
+    )
+    out = suffixes.remove_repeats(frame)
+    new = ["n_bytes", "n_removed", "n_spans", "kept"]
+    assert out.columns == [*frame.columns, *new]
+    for row in out.collect():
+        assert tuple(row)[2:8] == (1, 2, 3, 4, 5, 6)
+        assert row.n_removed == (len(passage) if row.doc_id == 2 else 0)
+
+
+def test_what_goes_to_shards_does_not_depend_on_their_number():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 100, 400).astype(np.uint8).tobytes() for _ in range(60)]
+    texts += texts[:20]
+    for shards in (1, 7, 5_000_000):
+        gathered = suffixes._Gathered(shards, 100)
+        for k, text in enumerate(texts):
+            gathered.add(k, hash(text), text)
+        rows = [r for batch in gathered.rows() for r in batch.to_pylist()]
+        assert len({r["shard"] for r in rows}) == len(rows)
+        told = set()
+        for row in rows:
+            of = {k: np.frombuffer(row[k], kind) for k, kind in suffixes._ARRAYS.items()}
+            told |= {
+                (of["ids"][d], a, c, s)
+                for d, a, c, s in zip(of["doc"], of["anchor"], of["content"], of["start"])
+            }
+            assert len(set(of["ids"])) == len(of["ids"])
+            assert set(of["gone_doc"]) | set(of["doc"]) == set(range(len(of["ids"])))
+        if shards == 1:
+            expected = told
+        assert told == expected
