@@ -1,12 +1,14 @@
 """Line dedup by a sharded minimal perfect hash.
 
-Lines that many documents hold are dropped everywhere but in one. A grouped count finds their
-hashes, and only these get a minimal perfect hash, built shard by shard, that numbers them without
-gaps; arrays at these numbers hold a fingerprint, the count (which no probe reads) and the document
-that keeps the line. Documents probe the arrays, so lines are never joined.
+All distinct line hashes of the table are indexed: shard by shard a minimal perfect hash numbers
+them without gaps, and arrays at these numbers hold a fingerprint and in how many documents the line
+is; lines that enough documents hold also have the document that keeps them. Documents probe the
+arrays with the hashes of their lines and compare the count with the threshold, so lines are never
+joined.
 
-A hash is 128 bits wide: the whole of it places a line, its lower half is the fingerprint that
-turns other lines away.
+A hash is 128 bits wide. The whole of it places a line; every line that is probed has been indexed,
+so the fingerprint, 32 of the bits, is a check of the index and not of the line. Counts are stored as
+far as the threshold needs them, a byte each as a rule: an entry takes some six bytes.
 
 The arrays are broadcast while all of them together are within ``BROADCAST_BYTES``. Beyond, the
 hashes of lines go to their shard instead, hot shards dealt out by document, and come back by
@@ -21,15 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm.storage import Scratch, values
+from burstline.llm.storage import Scratch, unused, values
 
 BROADCAST_BYTES = 32 << 20
 KEYS_PER_SHARD = 250_000
 REQUESTS_PER_TASK = 500_000
 _KEPT_IN_TASK = 200_000
+_PROBED_AT_ONCE = 256
 _GAMMA = 2.0  # bits per key on each level
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,37 +90,53 @@ class PerfectHash:
 
 
 class Shard:
-    """Arrays of one shard: fingerprints, counts and owners by the perfect hash's numbers."""
+    """Arrays of one shard, by the perfect hash's numbers: fingerprints and counts of all lines,
+    owners of the repeated ones, in the order of their numbers."""
 
-    SCHEMA = "shard long, level_words binary, levels binary, fingerprints binary, counts binary, owners binary"
+    SCHEMA = (
+        "shard long, level_words binary, levels binary, fingerprints binary, count_bytes long, "
+        "counts binary, owners binary"
+    )
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, least: int):
         sizes = np.frombuffer(row["level_words"], np.int64)
         words = np.frombuffer(row["levels"], np.uint64)
         self.hash = PerfectHash(np.split(words, np.cumsum(sizes)[:-1]))
-        self.fingerprints = np.frombuffer(row["fingerprints"], np.uint64)
-        self.counts = np.frombuffer(row["counts"], np.int32)
+        self.fingerprints = np.frombuffer(row["fingerprints"], np.uint32)
+        self.counts = np.frombuffer(row["counts"], f"<u{row['count_bytes']}")
         self.owners = np.frombuffer(row["owners"], np.int64)
+        self.least = least
+        self.owner_at = np.cumsum(self.counts >= least, dtype=np.int32) - 1
 
     @staticmethod
-    def built(shard: int, high, low, counts, owners) -> dict:
+    def built(shard: int, high, low, counts, owners, least: int) -> dict:
         hashed = PerfectHash.of(high, low)
         order = np.argsort(hashed.numbers(high, low))
+        kind = next(k for k in (1, 2, 4, 8) if least < 1 << (8 * k))
+        counts = np.minimum(counts[order], least)  # more is not asked for
         return {
             "shard": shard,
             "level_words": np.array([len(x) for x in hashed.levels], np.int64).tobytes(),
             "levels": np.concatenate(hashed.levels).tobytes(),
-            "fingerprints": low[order].tobytes(),
-            "counts": np.minimum(counts, 2**31 - 1)[order].astype(np.int32).tobytes(),
-            "owners": owners[order].astype(np.int64).tobytes(),
+            "fingerprints": _fingerprint(low[order]).tobytes(),
+            "count_bytes": kind,
+            "counts": counts.astype(f"<u{kind}").tobytes(),
+            "owners": owners[order][counts >= least].astype(np.int64).tobytes(),
         }
 
     def owner_of(self, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is in the shard, and who keeps its line."""
+        """Of indexed lines, whether enough documents hold them, and who keeps them then."""
         n = self.hash.numbers(high, low)
-        at = np.maximum(n, 0)
-        known = (n >= 0) & (self.fingerprints[at] == low)
-        return known, self.owners[at]
+        if (n < 0).any() or (self.fingerprints[n] != _fingerprint(low)).any():
+            raise ValueError("a line is not in the index of its shard")
+        repeated = self.counts[n] >= self.least
+        owners = np.zeros(len(n), np.int64)
+        owners[repeated] = self.owners[self.owner_at[n[repeated]]]
+        return repeated, owners
+
+
+def _fingerprint(low: np.ndarray) -> np.ndarray:
+    return (low & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 def line_keys(text: bytes, least: int) -> tuple[list[bytes], list[int], list[bytes]]:
@@ -183,11 +202,20 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
+def _own_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NO_OWNER)))
+
+
+def _print() -> Column:
+    """Tells rows that share an id, above all those without one, apart by their text."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def _shard_of(high: str, shards: int):
     return F.pmod(F.col(high), F.lit(shards))
 
 
-def _shards(repeated: DataFrame, shards: int) -> DataFrame:
+def _shards(counted: DataFrame, shards: int, least: int) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_numpy()
         row = Shard.built(
@@ -196,10 +224,11 @@ def _shards(repeated: DataFrame, shards: int) -> DataFrame:
             column("low").astype(np.int64).view(np.uint64),
             column("n"),
             column("owner"),
+            least,
         )
         return pa.table({k: [v] for k, v in row.items()})
 
-    placed = repeated.withColumn("shard", _shard_of("high", shards))
+    placed = counted.withColumn("shard", _shard_of("high", shards))
     return placed.groupBy("shard").applyInArrow(build, Shard.SCHEMA)
 
 
@@ -209,108 +238,126 @@ _ARROW_RESULT = pa.struct(
 )
 
 
-def _without(text: bytes | None, drop) -> dict:
-    """The text without the lines that ``drop`` names; a null text is one empty line."""
-    lines, dropped = drop(text or b"")
-    kept = [x for k, x in enumerate(lines) if k not in dropped]
+def _without(text: bytes, lines: list[bytes], dropped: set[int]) -> dict:
+    """The text without the lines of the given numbers."""
+    kept = [x for k, x in enumerate(lines) if k not in dropped] if dropped else None
     return {
-        "text": b"\n".join(kept).decode() if dropped else (text or b"").decode(),
+        "text": (text if kept is None else b"\n".join(kept)).decode(),
         "n_lines": len(lines),
         "n_dropped": len(dropped),
     }
 
 
-def _probed_by_broadcast(spark: SparkSession, built: DataFrame, shards: int, least: int):
+def _probed_by_broadcast(
+    spark: SparkSession, built: DataFrame, shards: int, min_documents: int, least: int
+) -> Column:
     rows = [row.asDict() for row in built.collect()]  # within BROADCAST_BYTES
     sent = spark.sparkContext.broadcast(rows)
     opened: dict[int, Shard] = {}
 
+    def lost_lines(high: np.ndarray, low: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        lost = np.zeros(len(high), bool)
+        order, cuts = _by_shard(high, shards)
+        for k, a, b in cuts:
+            of = order[a:b]
+            repeated, owners = opened[k].owner_of(high[of], low[of])
+            lost[of] = repeated & (owners != owner[of])
+        return lost
+
     def probe(doc_ids: pa.Array, texts: pa.Array) -> pa.Array:
         if not opened:
-            opened.update({row["shard"]: Shard(row) for row in sent.value})
+            opened.update({row["shard"]: Shard(row, min_documents) for row in sent.value})
         out = []
-        for doc_id, text in zip(values(doc_ids), values(texts)):
-            owner = _NO_OWNER if doc_id is None else doc_id
-
-            def drop(text: bytes, owner=owner):
-                lines, numbers, keys = line_keys(text, least)
-                if not keys or not opened:
-                    return lines, ()
-                high, low = _hashes(keys)
-                lost = np.zeros(len(keys), bool)
-                shard = high.view(np.int64) % shards
-                for k in np.unique(shard).tolist():
-                    if k in opened:
-                        of = np.flatnonzero(shard == k)
-                        known, owners = opened[k].owner_of(high[of], low[of])
-                        lost[of] = known & (owners != owner)
-                return lines, {numbers[k] for k in np.flatnonzero(lost).tolist()}
-
-            out.append(_without(text, drop))
+        for first in range(0, len(texts), _PROBED_AT_ONCE):
+            # Lines of many documents at once.
+            some = [x or b"" for x in texts.slice(first, _PROBED_AT_ONCE).to_pylist()]
+            found = [line_keys(text, least) for text in some]
+            counts = np.fromiter((len(keys) for _, _, keys in found), np.int64, len(found))
+            keys = [key for _, _, own in found for key in own]
+            lost = np.zeros(0, bool)
+            if keys:
+                ids = doc_ids.slice(first, _PROBED_AT_ONCE).fill_null(int(_NO_OWNER)).to_numpy()
+                lost = lost_lines(*_hashes(keys), np.repeat(ids, counts))
+            ends = np.cumsum(counts)
+            for text, (lines, numbers, _), a, b in zip(some, found, ends - counts, ends):
+                gone = {numbers[k] for k in np.flatnonzero(lost[a:b]).tolist()}
+                out.append(_without(text, lines, gone))
         return pa.array(out, _ARROW_RESULT)
 
     udf = F.arrow_udf(probe, RESULT)
     return udf(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
 
 
+def _by_shard(high: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by shard, and of each shard in it number, start and end."""
+    shard = high.view(np.int64) % shards
+    order = np.argsort(shard, kind="stable")
+    known, first = np.unique(shard[order], return_index=True)
+    stops = np.append(first[1:], len(order))
+    return order, list(zip(known.tolist(), first.tolist(), stops.tolist()))
+
+
 def _dropped_by_shuffle(
-    documents: DataFrame, built: DataFrame, shards: int, least: int, salts: int
+    documents: DataFrame, built: DataFrame, shards: int, min_documents: int, least: int, salts: int
 ) -> DataFrame:
-    """Per document the hashes of the lines that it loses, found shard by shard."""
+    """Per document, by id and ``print`` of its text, the hashes of the lines that it loses, found
+    shard by shard."""
+    names = ["_id", "print", "high", "low"]
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, highs, lows = [], [], []
-            for doc_id, text in zip(values(batch.column(0)), values(batch.column(1))):
+            parts: list[list] = [[], [], [], []]
+            for doc_id, fingerprint, text in zip(*(values(c) for c in batch.columns)):
                 keys = list(set(line_keys(text or b"", least)[2]))
                 if keys:
                     high, low = _hashes(keys)
-                    ids.append(np.full(len(keys), _NO_OWNER if doc_id is None else doc_id))
-                    highs.append(high.view(np.int64))
-                    lows.append(low.view(np.int64))
-            if ids:
-                columns = [pa.array(np.concatenate(x)) for x in (ids, highs, lows)]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "high", "low"])
+                    parts[0].append(np.full(len(keys), doc_id))
+                    parts[1].append(np.full(len(keys), fingerprint))
+                    parts[2].append(high.view(np.int64))
+                    parts[3].append(low.view(np.int64))
+            if parts[0]:
+                columns = [pa.array(np.concatenate(x)) for x in parts]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     def probe(asked: pa.Table, arrays: pa.Table) -> pa.Table:
-        names = ["_id", "high", "low"]
         if not asked.num_rows or not arrays.num_rows:
             return asked.select(names).slice(0, 0)
-        shard = Shard(arrays.slice(0, 1).to_pylist()[0])
-        keys = [asked.column(x).to_numpy().astype(np.int64).view(np.uint64) for x in names[1:]]
-        known, owners = shard.owner_of(*keys)
-        lost = known & (owners != asked.column("_id").to_numpy())
+        shard = Shard(arrays.slice(0, 1).to_pylist()[0], min_documents)
+        keys = [asked.column(x).to_numpy().astype(np.int64).view(np.uint64) for x in names[2:]]
+        repeated, owners = shard.owner_of(*keys)
+        lost = repeated & (owners != asked.column("_id").to_numpy())
         return asked.select(names).filter(pa.array(lost))
 
-    asked = _texts(documents).mapInArrow(requests, "_id long, high long, low long")
-    asked = asked.withColumn("shard", _shard_of("high", shards))
-    asked = asked.withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(salts)))
+    schema = "_id long, print long, high long, low long"
+    texts = documents.select(
+        _own_id().alias("_id"), _print().alias("print"), F.col("text").cast("string").cast("binary")
+    )
+    asked = texts.mapInArrow(requests, schema).withColumn("shard", _shard_of("high", shards))
+    asked = asked.withColumn("salt", F.pmod(F.xxhash64("_id", "print"), F.lit(salts)))
     copies = built.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     copies = copies.withColumn("salt", F.col("salt").cast("long"))
     lost = (
         asked.groupBy("shard", "salt")
         .cogroup(copies.groupBy("shard", "salt"))
-        .applyInArrow(probe, "_id long, high long, low long")
+        .applyInArrow(probe, schema)
     )
     one = F.struct("high", "low")
-    return lost.groupBy("_id").agg(F.collect_set(one).alias("_lost"))
+    return lost.groupBy("_id", "print").agg(F.collect_set(one).alias("lost"))
 
 
 def _removed_by_hash(least: int):
     def remove(texts: pa.Array, lost: pa.Array) -> pa.Array:
         out = []
         for text, pairs in zip(values(texts), values(lost)):
-            gone = {(x["high"], x["low"]) for x in pairs or ()}
-
-            def drop(text: bytes, gone=gone):
-                lines, numbers, keys = line_keys(text, least)
-                if not keys or not gone:
-                    return lines, ()
+            text = text or b""
+            lines, numbers, keys = line_keys(text, least)
+            gone: set[int] = set()
+            if keys and pairs:
+                wanted = {(x["high"], x["low"]) for x in pairs}
                 high, low = _hashes(keys)
-                pairs = zip(high.view(np.int64).tolist(), low.view(np.int64).tolist())
-                return lines, {n for n, pair in zip(numbers, pairs) if pair in gone}
-
-            out.append(_without(text, drop))
+                hashed = zip(high.view(np.int64).tolist(), low.view(np.int64).tolist())
+                gone = {n for n, pair in zip(numbers, hashed) if pair in wanted}
+            out.append(_without(text, lines, gone))
         return pa.array(out, _ARROW_RESULT)
 
     return F.arrow_udf(remove, RESULT)
@@ -327,28 +374,33 @@ def dedup_lines(
     A line's key is the line without ASCII white space at its ends, A-Z in lower case; keys
     shorter than ``min_chars`` code points are left alone. Returns all columns, ``text`` without
     the dropped lines, plus ``n_lines`` (before) and ``n_dropped``. A null or empty text is one
-    empty line and becomes the empty text. Rows that share a ``doc_id`` count one by one and keep or lose a line alike; a null id is smaller than all others.
-    Columns named like the two new ones are replaced.
+    empty line and becomes the empty text. Rows that share a ``doc_id`` count one by one and keep or
+    lose a line alike; a null id is smaller than all others. Columns named like the two new ones are replaced.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "line-dedup")
-    counted = _counted(documents, min_chars).filter(F.col("n") >= min_documents)
-    repeated = scratch.store(counted, "repeated")
-    n = repeated.count()
-    shards = max(1, math.ceil(n / KEYS_PER_SHARD))
-    built = scratch.store(_shards(repeated, shards), "shards")
+    counted = scratch.store(_counted(documents, min_chars), "counted")
+    shards = max(1, math.ceil(counted.count() / KEYS_PER_SHARD))
+    built = scratch.store(_shards(counted, shards, min_documents), "shards")
+    scratch.drop("counted")
     columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     size = sum(F.length(c) for c in ("levels", "fingerprints", "counts", "owners"))
     bytes_built = built.agg(F.sum(size)).first()[0] or 0
+    kept_name, id_name, print_name, lost_name = unused(
+        documents.columns, "_kept", "_id", "_print", "_lost"
+    )
     if bytes_built <= broadcast_bytes:
-        found = documents.withColumn("_kept", _probed_by_broadcast(spark, built, shards, min_chars))
+        probed = _probed_by_broadcast(spark, built, shards, min_documents, min_chars)
+        found = documents.withColumn(kept_name, probed)
     else:
         asked = documents.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
         salts = max(1, math.ceil(asked / min_chars / shards / REQUESTS_PER_TASK))
-        lost = _dropped_by_shuffle(documents, built, shards, min_chars, salts)
-        own = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_NO_OWNER)))
-        joined = documents.withColumn("_id", own).join(lost, "_id", "left").drop("_id")
+        lost = _dropped_by_shuffle(documents, built, shards, min_documents, min_chars, salts)
+        lost = lost.toDF(id_name, print_name, lost_name)
+        marked = documents.withColumn(id_name, _own_id()).withColumn(print_name, _print())
+        joined = marked.join(lost, [id_name, print_name], "left")
         text = F.col("text").cast("string").cast("binary")
-        found = joined.withColumn("_kept", _removed_by_hash(min_chars)(text, F.col("_lost")))
-    kept = [F.col("_kept.text").alias("text") if c == "text" else F.col(c) for c in columns]
-    return found.select(*kept, "_kept.n_lines", "_kept.n_dropped")
+        found = joined.withColumn(kept_name, _removed_by_hash(min_chars)(text, F.col(lost_name)))
+    result = F.col(kept_name)
+    kept = [result["text"].alias("text") if c == "text" else F.col(f"`{c}`") for c in columns]
+    return found.select(*kept, result["n_lines"].alias("n_lines"), result["n_dropped"].alias("n_dropped"))

@@ -57,13 +57,19 @@ def test_run_equals_the_stages(spark, tables):
 def test_stages_on_odd_rows(spark, tables):
     schema = "doc_id long, text string, lang string, source string, n_chars long, kept string"
     rows = [(1, None, "en", None, 5, "x"), (2, "", None, "s", 0, None), (None, "words", "en", "s", 5, "y")]
-    odd = spark.createDataFrame(rows, schema)
+    clashing = ["_score", "_null", "_kept", "_lost", "_id", "n_lines", "n_dropped", "component"]
+    odd = spark.createDataFrame(rows, schema).selectExpr(
+        "*", *(f"coalesce(doc_id, 0) + {k} AS {name}" for k, name in enumerate(clashing))
+    )
     for frame in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame, tables)
             found = out.collect()
             if name != "packing":
                 assert out.columns == frame.columns
+                for row in found:
+                    values = [row[c] for c in clashing]
+                    assert values == [(row.doc_id or 0) + k for k in range(len(clashing))]
             if name in ("line dedup", "near-copy dedup", "personal data"):
                 assert len(found) == frame.count()
                 assert {r.doc_id: r.text for r in found} == {r.doc_id: r.text for r in frame.collect()}
