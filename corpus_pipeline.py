@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from burstline.llm import lines, minhash, packing, pii, quality
 from burstline.llm.queries import tokenizer
-from burstline.llm.storage import Scratch
+from burstline.llm.storage import Scratch, unused
 from burstline.sources.tables import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,15 +32,20 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose quality score is too low; empty and null texts are scored too.
     Held-out labels stay unseen, as in the query."""
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out())
-    scored = quality.with_score(docs, quality.fit(docs, labels), "_score")
-    return scored.filter(F.col("_score") >= quality.KEEP_FROM).drop("_score")
+    (score,) = unused(docs.columns, "_score")
+    scored = quality.with_score(docs, quality.fit(docs, labels), score)
+    return scored.filter(F.col(score) >= quality.KEEP_FROM).drop(score)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that five or more documents hold. Documents stay, null texts as null."""
-    marked = docs.withColumn("_null", F.col("text").isNull())
-    kept = lines.dedup_lines(marked, min_documents=5, min_chars=40)
-    text = F.when(~F.col("_null"), F.col("text"))
+    (null,) = unused(docs.columns, "_null")
+    marked = docs.withColumn(null, F.col("text").isNull())
+    # Results that are named like columns of the input are not wanted here.
+    own = {c: unused(docs.columns, c)[0] for c in docs.columns if c in ("n_lines", "n_dropped")}
+    kept = lines.dedup_lines(marked.withColumnsRenamed(own), min_documents=5, min_chars=40)
+    kept = kept.drop(*own).withColumnsRenamed({v: k for k, v in own.items()})
+    text = F.when(~F.col(null), F.col("text"))
     return _counted(kept.withColumn("text", text)).select(docs.columns)
 
 
