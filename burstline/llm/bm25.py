@@ -1,11 +1,23 @@
-"""Exact top-k search: BM25 over a sharded inverted index, block-max pruning by document range.
-
-Documents are dealt to shards by a hash of their id. A shard's task builds its inverted lists,
-cut in blocks of neighbouring documents with the largest impact of each, and answers all queries,
-which it reads from the shared folder a few at a time: its memory does not grow with their number,
-and queries are not shuffled to every shard. Blocks are opened by the sum of the block maxima of a query's
-lists, the largest first; as soon as no sum reaches the k-th best score found so far, the rest of
-the shard is passed over. Counts of documents, words and documents per term are those of the whole
+"""Exact top-k search: BM25 over a sharded inverted index with block-max WAND pruning.
+
+Documents are dealt to shards by a hash of their id, one task per shard. The task builds its
+inverted lists, each with its largest impact and, block by block of neighbouring documents, the
+largest impact there, and answers all queries, which it reads from the shared folder a few at a
+time: its memory does not grow with their number, and queries are not shuffled to every shard.
+
+A query's lists are taken in descending order of their bounds, weight times largest impact.
+
+1. The first lists, those of rare words, give some documents, which are scored in full. The k-th
+   best of them is the threshold.
+2. From the pivot list on, all remaining bounds together stay below the threshold, so a document
+   that is in none of the lists before it is no result. Only those lists are walked through, and
+   give each of their documents a partial score.
+3. A document's bound is its partial score and what the block maxima of the other lists allow in its
+   block. Documents are scored in full in descending order of that bound, from their own list of
+   words, until no bound reaches the threshold, which rises on the way. The other lists are skipped.
+
+All documents between two pivots are handled at once in arrays, where the textbook walks from one
+document to the next. Counts of documents, words and documents per term are those of the whole
 table, so scores of all shards compare, and the merged result is the exact top k.
 """
 
@@ -26,9 +38,11 @@ from burstline.llm.minhash import word_hashes
 from burstline.llm.storage import Scratch, values
 
 K1, B = 1.2, 0.75
-BYTES_PER_SHARD = 40 << 20
+BYTES_PER_SHARD = 32 << 20
 BLOCK = 64
-OPENED_FIRST = 4
+SEED_POSTINGS = 2048  # of the first lists, to find a threshold
+_WORD_COST = 16  # a posting of a list costs as much as so many words of a document
+SEEDS = 16  # times k documents are scored for it
 QUERIES_AT_ONCE = 256
 DECIMALS = 6  # scores are rounded to; equal scores rank by id
 
@@ -61,61 +75,70 @@ def _asked(queries: DataFrame) -> DataFrame:
     return found.groupBy("query_id", "word", "term").agg(F.sum("n").alias("n"))
 
 
-def _held(placed: DataFrame) -> DataFrame:
-    """How many documents of each shard hold a term; with a null term, of all, and its words."""
+def _held(texts: DataFrame) -> DataFrame:
+    """How many documents hold a term, in parts; with a null term, all documents and words."""
 
-    def run(table: pa.Table) -> pa.Table:
-        terms, words = [], 0
-        for text in values(table.column("text").combine_chunks()):
-            hashes = word_hashes(text or b"")
-            words += len(hashes)
-            terms.append(np.unique(hashes))
-        known, counts = np.unique(np.concatenate(terms), return_counts=True)
-        n = len(known) + 1
-        return pa.table(
-            {
-                "shard": pa.array(np.full(n, table.column("shard")[0].as_py()), pa.int64()),
-                "term": pa.array([*known.view(np.int64).tolist(), None], pa.int64()),
-                "n": pa.array([*counts.tolist(), len(terms)], pa.int64()),
-                "words": pa.array([None] * (n - 1) + [words], pa.int64()),
-            }
-        )
-
-    return placed.groupBy("shard").applyInArrow(run, "shard long, term long, n long, words long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, words = [], 0
+            for text in values(batch.column("text")):
+                hashes = word_hashes(text or b"")
+                words += len(hashes)
+                terms.append(np.unique(hashes))
+            known, counts = np.unique(np.concatenate(terms), return_counts=True)
+            columns = [
+                pa.array([*known.view(np.int64).tolist(), None], pa.int64()),
+                pa.array([*counts.tolist(), len(terms)], pa.int64()),
+                pa.array([None] * len(known) + [words], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "n", "words"])
+
+    return texts.select("text").mapInArrow(run, "term long, n long, words long")
 
 
 class Index:
-    """Inverted lists of one shard with block maxima. Documents are numbered by id."""
+    """Inverted lists of one shard with their maxima and block maxima, and for each document the
+    places of its words in them. Documents are numbered by id."""
 
-    def __init__(
-        self, ids: np.ndarray, texts: list[bytes | None], terms: np.ndarray | None, mean: float
-    ):
-        """``terms`` are sorted hashes of the lists to build, None for all, ``mean`` the words per
-        document of the whole table."""
+    def __init__(self, ids: np.ndarray, texts: list[bytes | None], mean: float):
+        """``mean``: the words per document of the whole table."""
         order = np.argsort(ids, kind="stable")
         self.ids = ids[order]
-        parts = []
-        for number, k in enumerate(order.tolist()):
+        terms, counts, sizes, norms = [], [], [], []
+        for k in order.tolist():
             hashes = word_hashes(texts[k] or b"")
-            found, counts = np.unique(hashes, return_counts=True)
-            tf = counts.astype(np.float64)
-            impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(hashes) / mean))
-            parts.append((found, np.full(len(tf), number, np.int32), impact))
-        term, doc, impact = (np.concatenate(x) for x in zip(*parts))
-        del parts
-        self.terms = np.unique(term) if terms is None else terms
-        own, term = self.known(term)
-        if not own.all():
-            term, doc, impact = term[own], doc[own], impact[own]
+            found, tf = np.unique(hashes, return_counts=True)
+            terms.append(found)
+            counts.append(tf.astype(np.int32))
+            sizes.append(len(found))
+            norms.append(K1 * (1 - B + B * len(hashes) / mean))
+        term = np.concatenate(terms) if terms else np.zeros(0, np.uint64)
+        del terms
+        self.terms, term = np.unique(term, return_inverse=True)
+        term = term.astype(np.int32)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        tf = np.concatenate(counts).astype(np.float64) if counts else np.zeros(0)
+        del counts
+        impact = tf * (K1 + 1) / (tf + np.array(norms)[doc]) if len(doc) else tf
+        # By document: the words, and where each stands in its list.
+        self.begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        self.word = term
         order = np.argsort(term, kind="stable")
+        self.place = np.empty(len(order), np.int32)
+        self.place[order] = np.arange(len(order), dtype=np.int32)
+        # By term: documents and impacts, and the maxima.
         term, self.doc, self.impact = term[order], doc[order], impact[order]
+        del order, doc, impact
+        self.first = np.searchsorted(term, np.arange(len(self.terms) + 1))
         block = self.doc // BLOCK
         new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1))
-        self.starts = new
-        self.lengths = np.diff(new, append=len(term))
         self.blocks = block[new]
-        self.largest = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.first = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
+        self.block_largest = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
+        self.first_block = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
+        some = len(self.terms) > 0
+        self.largest = np.maximum.reduceat(self.impact, self.first[:-1]) if some else np.zeros(0)
+        self.weight = np.zeros(len(self.terms))  # of the words of the query at hand
+        self.touched = self.asked = 0  # postings looked at, and of all lists of the queries
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether there is a list of each hash, and its number."""
@@ -124,47 +147,101 @@ class Index:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return self.terms[at] == hashes, at.astype(np.int32)
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
+    def top(self, lists: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best (score, id) of documents with any of these lists, best first."""
-        at = [np.arange(self.first[t], self.first[t + 1]) for t in terms.tolist()]
-        weight = np.repeat(weights, [len(x) for x in at])
-        at = np.concatenate(at)
-        blocks = -(-len(self.ids) // BLOCK)
-        inside = self.blocks[at]
-        bound = np.bincount(inside, self.largest[at] * weight, blocks)
-        by_bound = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
-        best, docs = np.zeros(0), np.zeros(0, np.int64)
-        done, width = 0, OPENED_FIRST
-        while done < len(by_bound):
-            enough = -best[k - 1] if len(best) >= k else -math.inf
-            opened = by_bound[done : done + width]
-            # Rounding moves a score by half of the last decimal at most.
-            opened = opened[bound[opened] >= enough - 10.0**-DECIMALS]
-            if not len(opened):
+        bounds = weights * self.largest[lists]
+        order = np.argsort(-bounds, kind="stable")
+        lists, weights, bounds = lists[order], weights[order], bounds[order]
+        sizes = self.first[lists + 1] - self.first[lists]
+        self.asked += int(sizes.sum())
+        self.weight[lists] = weights
+        try:
+            return self._best(lists, weights, bounds, sizes, k)
+        finally:
+            self.weight[lists] = 0
+
+    def _best(self, lists, weights, bounds, sizes, k: int) -> list[tuple[float, int]]:
+        seeding = max(1, int(np.searchsorted(np.cumsum(sizes), SEED_POSTINGS, "right")))
+        partial = self._partial(lists[:seeding], weights[:seeding])
+        seeds = np.flatnonzero(partial)
+        if len(seeds) > SEEDS * k:
+            seeds = seeds[np.argpartition(-partial[seeds], SEEDS * k)[: SEEDS * k]]
+        best, docs = self._ranked(self._scores(seeds), seeds, k)
+        enough = best[-1] if len(best) == k else -math.inf
+        # Rounding moves a score by half of the last decimal at most.
+        margin = 10.0**-DECIMALS
+        rest = np.append(np.cumsum(bounds[::-1])[::-1], 0.0)
+        pivot = min(int(np.searchsorted(-rest, -(enough - margin), "right")), len(lists))
+        if pivot > seeding:
+            partial += self._partial(lists[seeding:pivot], weights[seeding:pivot])
+        pivot = max(pivot, min(seeding, len(lists)))
+        able = np.flatnonzero(partial)
+        able = able[~np.isin(able, seeds)]
+        while len(able):
+            bound = partial[able] + rest[pivot]
+            able = able[bound >= enough - margin]
+            allowed = self._allowed(lists[pivot:], weights[pivot:])
+            bound = partial[able] + allowed[able // BLOCK]
+            able, bound = able[bound >= enough - margin], bound[bound >= enough - margin]
+            # While many are left, the next lists are cheaper than the documents themselves.
+            further = pivot + max(1, (len(lists) - pivot) // 3)
+            words = int((self.begin[able + 1] - self.begin[able]).sum())
+            if pivot == len(lists) or words <= _WORD_COST * int(sizes[pivot:further].sum()):
                 break
-            scores, found = self._scores(at, weight, inside, opened, blocks)
-            best, docs = np.concatenate([best, scores]), np.concatenate([docs, found])
-            if len(best) > k:
-                able = np.flatnonzero(best <= np.partition(best, k - 1)[k - 1])
-                best, docs = best[able], docs[able]
-            order = np.lexsort((docs, best))[:k]
-            best, docs = best[order], docs[order]
+            partial += self._partial(lists[pivot:further], weights[pivot:further])
+            pivot = further
+        if len(able):
+            order = np.argsort(-bound, kind="stable")
+            able, bound = able[order], bound[order]
+        done, width = 0, SEEDS * k
+        while done < len(able) and bound[done] >= enough - margin:
+            some = able[done : done + width]
+            some = some[bound[done : done + width] >= enough - margin]
+            scores = np.concatenate([best, self._scores(some)])
+            best, docs = self._ranked(scores, np.concatenate([docs, some]), k)
+            enough = best[-1] if len(best) == k else -math.inf
             done += width
             width *= 2
-        return list(zip((-best).tolist(), self.ids[docs].tolist()))
-
-    def _scores(self, at, weight, inside, opened, blocks) -> tuple[np.ndarray, np.ndarray]:
-        """Scores below zero, so that the best is the smallest, and numbers of the documents that
-        the opened blocks hold."""
-        chosen = np.zeros(blocks, bool)
-        chosen[opened] = True
-        own = np.flatnonzero(chosen[inside])
-        starts, lengths = self.starts[at[own]], self.lengths[at[own]]
-        first = np.cumsum(lengths) - lengths
-        place = np.repeat(starts - first, lengths) + np.arange(int(lengths.sum()))
-        scores = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight[own], lengths))
-        docs = np.flatnonzero(scores)
-        return -np.round(scores[docs], DECIMALS), docs
+        return list(zip(best.tolist(), self.ids[docs].tolist()))
+
+    @staticmethod
+    def _ranked(scores: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best, equal ones by number, which is by id."""
+        order = np.lexsort((docs, -scores))[:k]
+        return scores[order], docs[order]
+
+    def _partial(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What some lists give to each document."""
+        at = _ranges(self.first[lists], self.first[lists + 1])
+        self.touched += len(at)
+        sizes = self.first[lists + 1] - self.first[lists]
+        given = self.impact[at] * np.repeat(weights, sizes)
+        return np.bincount(self.doc[at], given, len(self.ids))
+
+    def _allowed(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What some lists can give at most to a document of each block."""
+        at = _ranges(self.first_block[lists], self.first_block[lists + 1])
+        sizes = self.first_block[lists + 1] - self.first_block[lists]
+        blocks = len(self.ids) // BLOCK + 1
+        return np.bincount(self.blocks[at], self.block_largest[at] * np.repeat(weights, sizes), blocks)
+
+    def _scores(self, docs: np.ndarray) -> np.ndarray:
+        """Full scores, from the words of each document."""
+        starts, stops = self.begin[docs], self.begin[docs + 1]
+        at = _ranges(starts, stops)
+        weight = self.weight[self.word[at]]
+        asked = np.flatnonzero(weight)
+        self.touched += len(asked)
+        given = weight[asked] * self.impact[self.place[at[asked]]]
+        owner = np.repeat(np.arange(len(docs)), stops - starts)[asked]
+        return np.round(np.bincount(owner, given, len(docs)), DECIMALS)
+
+
+def _ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one after the other."""
+    sizes = stops - starts
+    first = np.cumsum(sizes) - sizes
+    return np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))
 
 
 _FOUND = pa.schema(
@@ -207,7 +284,7 @@ def _answered(index: Index, queries: Iterator, k: int) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_pylist(found, _FOUND)
 
 
-def _searched(placed: DataFrame, root: str, mean: float, k: int) -> DataFrame:
+def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) -> DataFrame:
     """The hits of each shard for the queries stored at ``root``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,12 +292,16 @@ def _searched(placed: DataFrame, root: str, mean: float, k: int) -> DataFrame:
         for batch in batches:
             ids += batch.column("doc_id").to_pylist()
             texts += batch.column("text").to_pylist()
-        index = Index(np.array(ids, np.int64), texts, None, mean)
+        if not ids:
+            return
+        index = Index(np.array(ids, np.int64), texts, mean)
         del ids, texts
         yield from _answered(index, _queries(root), k)
 
     hits = "query_id long, hits array<struct<score:double,doc_id:long>>"
-    return placed.groupBy("shard").applyInArrow(run, hits)
+    # A shard is a partition, so a task has one and not what a hash of its number deals to it.
+    dealt = placed.repartitionById(shards, F.col("shard").cast("int"))
+    return dealt.select("doc_id", "text").mapInArrow(run, hits)
 
 
 def search(
@@ -242,7 +323,7 @@ def search(
     placed = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     asked = scratch.store(_asked(queries), "asked")
-    held = _held(placed).groupBy("term").agg(F.sum("n").alias("df"), F.sum("words").alias("words"))
+    held = _held(texts).groupBy("term").agg(F.sum("n").alias("df"), F.sum("words").alias("words"))
     held = scratch.store(held, "held")
     scratch.release()
     counts = held.filter(F.col("term").isNull()).agg(F.sum("df"), F.sum("words")).first()
@@ -260,7 +341,7 @@ def search(
     scratch.release()
 
     known = placed.filter(F.col("doc_id").isNotNull())
-    found = _searched(known, scratch.path("weighted"), max(words, 1) / max(total, 1), k)
+    found = _searched(known, shards, scratch.path("weighted"), max(words, 1) / max(total, 1), k)
     found = scratch.store(found, "found")
     scratch.release()
     # The k-th best of any shard is a bound for the k-th best of all.

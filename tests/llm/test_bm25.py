@@ -4,7 +4,9 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from burstline.llm import bm25
 
@@ -61,19 +63,47 @@ def test_equals_brute_force(spark, monkeypatch, query_terms, k):
     assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, truth))
 
 
-def test_blocks_are_passed_over(monkeypatch):
-    import numpy as np
-
-    texts = [b"common " * 3 + (b"rare " * 5 if k == 700 else b"") + b"x%d" % k for k in range(1000)]
-    hashed = bm25.word_hashes(b"common rare")
-    index = bm25.Index(np.arange(1000), texts, np.sort(hashed), 4.0)
-    opened = []
-    old = bm25.Index._scores
-    monkeypatch.setattr(bm25.Index, "_scores", lambda self, *a: opened.append(len(a[3])) or old(self, *a))
-    terms = np.arange(2)
-    weights = np.where(np.sort(hashed) == hashed[1], 9.0, 0.001)
-    assert index.top(terms, weights, 1)[0][1] == 700
-    assert sum(opened) < 1000 // bm25.BLOCK
+def test_lists_of_frequent_words_are_passed_over():
+    texts = [b"common " * 3 + (b"rare " * 5 if k % 70 == 0 else b"") + b"x%d" % k for k in range(7000)]
+    index = bm25.Index(np.arange(7000), texts, 4.0)
+    _, lists = index.known(bm25.word_hashes(b"common rare"))
+    hits = index.top(lists, np.array([0.001, 4.0]), 5)
+    assert [doc for _, doc in hits] == [0, 70, 140, 210, 280]
+    assert index.asked == 7100 and index.touched < 400
+    assert not index.weight.any()
+
+
+@pytest.mark.parametrize("words", [3, 12, 60])
+def test_pruning_is_exact(words, monkeypatch):
+    monkeypatch.setattr(bm25, "SEED_POSTINGS", 50)
+    rng = np.random.default_rng(words)
+    # Topics share frequent words and have some of their own.
+    texts = []
+    for k in range(3000):
+        frequent = np.minimum(rng.zipf(1.4, rng.integers(1, 80)), 300)
+        own = 1000 + 40 * (k % 50) + rng.integers(0, 40, 10)
+        texts.append(b" ".join(b"w%d" % w for w in [*frequent, *own]))
+    mean = float(np.mean([len(t.split()) for t in texts]))
+    index = bm25.Index(np.arange(3000), texts, mean)
+    df = np.diff(index.first)
+    idf = np.log(1 + (3000 - df + 0.5) / (df + 0.5))
+    for k in range(0, 3000, 100):
+        asked = np.unique(bm25.word_hashes(texts[k]))[:words]
+        _, lists = index.known(asked)
+        scores = np.round(index._partial(lists, idf[lists]), bm25.DECIMALS)
+        index.touched = index.touched - int(df[lists].sum())
+        order = np.lexsort((np.arange(3000), -scores))[:10]
+        expected = [(scores[d], d) for d in order if scores[d] > 0]
+        found = index.top(lists, idf[lists], 10)
+        assert [d for _, d in found] == [d for _, d in expected]
+        assert np.allclose([s for s, _ in found], [s for s, _ in expected], atol=2e-6)
+    assert index.touched < (0.3 if words < 60 else 0.6) * index.asked
+
+
+def test_no_documents_and_no_words():
+    assert bm25.Index(np.zeros(0, np.int64), [], 1.0).known(np.arange(3).astype(np.uint64))[0].sum() == 0
+    index = bm25.Index(np.arange(2), [None, b""], 1.0)
+    assert not index.known(bm25.word_hashes(b"a"))[0].any()
 
 
 def test_empty_tables(spark):
@@ -97,9 +127,7 @@ def test_registered_query_asks_all_words(spark, tables):
 
 
 def test_a_shard_answers_as_it_reads_queries():
-    import numpy as np
-
-    index = bm25.Index(np.arange(3), [b"a b", b"b", b"c"], None, 1.0)
+    index = bm25.Index(np.arange(3), [b"a b", b"b", b"c"], 1.0)
     terms, read = np.sort(bm25.word_hashes(b"b unknown")), []
     queries = ((read.append(k) or k, terms, np.ones(2)) for k in range(10 * bm25.QUERIES_AT_ONCE))
     first, *others = bm25._answered(index, queries, 2)
@@ -111,7 +139,21 @@ def test_a_shard_answers_as_it_reads_queries():
     assert len(read) == bm25.QUERIES_AT_ONCE
 
 
-def test_queries_are_not_dealt_to_shards(spark):
-    frame = spark.createDataFrame([(1, b"a", 0)], "doc_id long, text binary, shard long")
-    plan = bm25._searched(frame, "unused", 1.0, 2)._jdf.queryExecution().toString()
-    assert "FlatMapGroupsInArrow" in plan and "CoGroup" not in plan
+def test_a_task_has_one_shard_and_no_queries(spark):
+    rows = [(k, b"a", k % 13) for k in range(130)]
+    frame = spark.createDataFrame(rows, "doc_id long, text binary, shard long")
+    plan = bm25._searched(frame, 13, "unused", 1.0, 2)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan
+    dealt = frame.repartitionById(13, frame.shard.cast("int"))
+    shards = dealt.groupBy(F.spark_partition_id()).agg(F.count_distinct("shard")).collect()
+    assert len(shards) == 13 and {r[1] for r in shards} == {1}
+
+
+def test_a_text_of_several_megabytes(spark):
+    long = " ".join(f"w{k % 50_000}" for k in range(400_000))
+    rows = [(0, long), (50, "w1 w2 w3"), (51, "w3 w4"), (52, "other")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = bm25.search(frame.filter("doc_id IN (0, 50)"), frame, 10)
+    got = sorted((q, r, i, round(s, 6)) for q, r, i, s in map(tuple, out.collect()))
+    truth = brute(rows[:2], rows, 10)
+    assert [x[:3] for x in got] == [x[:3] for x in truth] and len(got) == 6
