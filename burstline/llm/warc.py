@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,10 @@ from burstline.llm.storage import Scratch, values
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+VERSIONS = b"WARC/1."
+_HTTP = "application/http"
+_PAGE = re.compile(r"<?urn:page:(-?[0-9]+)>?")
+FOREIGN, DAMAGED = "foreign", "damaged"
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 SPLIT_BYTES = 8 << 20
@@ -161,66 +166,121 @@ def _until_blank_line(data: bytes, pieces: Iterator) -> tuple[bytes, bytes, int
 
 
 def _fields(header: bytes) -> dict[str, str]:
-    lines = header.decode("utf-8", "replace").split("\r\n")[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    """Names in lower case and values; a line that begins with white space goes on the last one."""
+    found: dict[str, str] = {}
+    last = None
+    for line in header.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last is not None:
+            found[last] = f"{found[last]} {line.strip()}"
+            continue
+        name, _, value = line.partition(":")
+        last = name.strip().lower()
+        found.setdefault(last, value.strip())
+    return found
+
+
+def _page_of(urn: str | None) -> int | None:
+    """The number in a page's own urn; other ids are text only."""
+    found = _PAGE.fullmatch(urn or "")
+    return int(found[1]) if found else None
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text is not None and text.isascii() and text.isdigit() else None
 
 
-def _page_of(urn: str) -> int | None:
-    number = urn.strip("<>").rpartition(":")[2]
-    return int(number) if number else None
+def _digest_named(text: str | None) -> str | None:
+    """A digest as a record names it: sha256 bare, others with the name of their kind."""
+    return text.removeprefix("sha256:") if text else None
 
 
 def read_record(window: _Window, position: int) -> tuple[dict, int] | None:
-    """The record that starts here and its length in the file; None if none does."""
+    """The record that starts here and its length in the file; None if none does.
+
+    All versions 1 and all types of records are read. The payload of an HTTP response is what
+    follows its header, as it was sent; of other records it is the whole block. A revisit has no
+    payload: length and digest are those it names, if it does. A member that is whole but no
+    record is given as one of type ``foreign``, with nothing else.
+    """
     try:
         pieces = _member_at(window, position)
         data = b""
-        while len(data) < len(VERSION):
+        while len(data) < len(VERSIONS):
             piece = next(pieces)
             if isinstance(piece, int):
-                return None
+                return _nothing(FOREIGN), piece
             data += piece
-        if not data.startswith(VERSION):
-            return None
+        if not data.startswith(VERSIONS):
+            return _nothing(FOREIGN), next(x for x in pieces if isinstance(x, int))
         header, rest, _ = _until_blank_line(data, pieces)
         fields = _fields(header)
-        left = int(fields["content-length"])
-        http, rest, _ = _until_blank_line(rest, pieces)
-    except (zlib.error, KeyError, ValueError):
+        kind, left = fields["warc-type"].lower(), int(fields["content-length"])
+        http: dict[str, str] = {}
+        is_http = fields.get("content-type", "").replace(" ", "").lower().startswith(_HTTP)
+        if kind in ("response", "revisit") and is_http and left:
+            head, rest, after = _http_header(rest, pieces, left)
+            left -= after
+            http = _fields(head)
+        digest, payload_bytes, length = hashlib.sha256(), left, 0
+        digest.update(rest[:left])
+        left -= len(rest[:left])
+        for piece in pieces:
+            if isinstance(piece, int):
+                length = piece
+                break
+            digest.update(piece[:left])
+            left -= len(piece[:left])
+        if left:
+            return None  # the member ends inside the block
+    except (zlib.error, KeyError, ValueError, StopIteration):
         return None
-    left -= len(http) + 4
-    digest, payload_bytes, length = hashlib.sha256(), left, 0
-    digest.update(rest[:left])
-    left -= len(rest[:left])
-    for piece in pieces:
-        if isinstance(piece, int):
-            length = piece
-            break
-        digest.update(piece[:left])
-        left -= len(piece[:left])
-    revisit = fields["warc-type"] == "revisit"
-    found = {
-        "page_id": _page_of(fields["warc-record-id"]),
+    revisit = kind == "revisit"
+    found = _nothing(kind) | {
+        "page_id": _page_of(fields.get("warc-record-id")),
         "url": fields.get("warc-target-uri"),
-        "payload_bytes": int(_fields(http)["content-length"]) if revisit else payload_bytes,
+        "payload_bytes": _number(http.get("content-length")) if revisit else payload_bytes,
         "payload_digest": (
-            fields["warc-payload-digest"].partition(":")[2] if revisit else digest.hexdigest()
+            _digest_named(fields.get("warc-payload-digest")) if revisit else digest.hexdigest()
         ),
-        "record_type": fields["warc-type"],
-        "refers_to": _page_of(fields["warc-refers-to"]) if revisit else None,
+        "refers_to": _page_of(fields.get("warc-refers-to")) if revisit else None,
+        "record_id": fields.get("warc-record-id"),
+        "refers_to_id": fields.get("warc-refers-to"),
     }
     return found, length
 
 
+def _nothing(kind: str) -> dict:
+    return dict.fromkeys(_RECORD.names) | {"record_type": kind}
+
+
+def _http_header(rest: bytes, pieces: Iterator, size: int) -> tuple[bytes, bytes, int]:
+    """Header of an HTTP message in a block, what has been decoded after it, and how many bytes
+    the header takes. A block without a blank line is all payload."""
+    held, searched = bytearray(rest), 0
+    while (end := held.find(b"\r\n\r\n", searched, size)) < 0:
+        if len(held) >= size:
+            return b"", bytes(held), 0
+        searched = max(0, len(held) - 3)
+        piece = next(pieces)
+        if isinstance(piece, int):
+            raise zlib.error("the member ends inside its block")
+        held += piece
+    return bytes(held[:end]), bytes(held[end + 4 :]), end + 4
+
+
 def records_in(window: _Window, start: int, end: int) -> Iterator[dict]:
-    """The records that start in a byte range."""
-    position = start
+    """The records that start in a byte range. Bytes where a record has to start and none does are
+    given as one of type ``damaged``; the next record is looked for behind them."""
+    position, expected = start, start == 0
     while position < end:
         found = read_record(window, position) if window.at(position, 3) == MAGIC else None
         if found:
             yield found[0]
-            position += found[1]
+            position, expected = position + found[1], True
             continue
+        if expected:
+            yield _nothing(DAMAGED)
+            expected = False
         position += 1
         while position < end:  # to the next candidate
             ahead = window.at(position, min(_READ, end - position + 2))
@@ -239,16 +299,25 @@ _RECORD = pa.schema(
         ("payload_digest", pa.string()),
         ("record_type", pa.string()),
         ("refers_to", pa.int64()),
+        ("record_id", pa.string()),
+        ("refers_to_id", pa.string()),
     ]
 )
 RECORD = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-    "refers_to long"
+    "refers_to long, record_id string, refers_to_id string"
 )
 
 
 def read_archive(files: DataFrame, root: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """All records of the listed files: one row each, payloads digested as they stream by."""
+    """All records of the listed files (``file``, ``bytes``) in the folder ``root``: one row each,
+    payloads digested as they stream by.
+
+    Archives of other writers are read too, a gzip member per record. ``page_id`` and
+    ``refers_to`` are for ids that this library writes; ``record_id`` and ``refers_to_id`` are as
+    they stand. Members that are no records, and bytes that are no members, are rows of their own
+    (types ``foreign`` and ``damaged``), so nothing is passed over without a trace.
+    """
     ranges = files.filter(F.col("bytes") > 0).select(
         "file",
         "bytes",
@@ -285,4 +354,5 @@ def round_trip(pages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """
     scratch = Scratch(pages.sparkSession, "warc")
     files = write_archive(pages, scratch)
-    return read_archive(files, scratch.path("archive"), split_bytes)
+    read = read_archive(files, scratch.path("archive"), split_bytes)
+    return read.drop("record_id", "refers_to_id")

@@ -90,7 +90,12 @@ def test_false_magic_and_foreign_members_are_passed_over():
     foreign = warc.member(b"not a record")
     data = b"\x1f\x8b\x08junk" + foreign + good[0][1] + b"\x1f\x8b\x08" + foreign + good[1][1]
     window = warc._Window(io.BytesIO(data), len(data))
-    assert [x["page_id"] for x in warc.records_in(window, 0, len(data))] == [0, 1]
+    found = list(warc.records_in(window, 0, len(data)))
+    # What is passed over is named.
+    assert [(x["page_id"], x["record_type"]) for x in found] == [
+        (None, "damaged"), (None, "foreign"), (0, "response"),
+        (None, "damaged"), (None, "foreign"), (1, "response"),
+    ]
 
 
 def test_files_of_lost_attempts_are_not_read(spark):
@@ -122,3 +127,77 @@ def test_long_headers_come_back(n):
     assert [(x["page_id"], x["url"], x["payload_digest"]) for x in found] == [
         (0, "a", digest), (1, url, digest), (2, "b", digest)
     ]
+
+
+def by_hand(version, kind, block, *more):
+    """A record as other writers make it."""
+    lines = [f"WARC/{version}", f"WARC-Type: {kind}", *more, f"Content-Length: {len(block)}"]
+    return warc.member("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+UUID = "<urn:uuid:4885803b-eebd-4b27-a090-144450c11594>"
+HTTP = "Content-Type: application/http;msgtype=response"
+
+
+def archive_of_others():
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<html>body</html>"
+    return [
+        by_hand("1.0", "warcinfo", b"software: other\r\n", f"WARC-Record-ID: {UUID}"),
+        by_hand("1.0", "request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http; msgtype=request"),
+        by_hand("1.0", "response", page, f"WARC-Record-ID: {UUID}", HTTP, "WARC-Target-URI: http://a"),
+        by_hand("1.1", "response", page, "warc-record-id: <urn:page:x7>", HTTP.upper(), "X-Folded: a\r\n  b"),
+        by_hand("1.1", "response", b"no header at all", HTTP),
+        by_hand("1.1", "resource", b"\r\n\r\nplain", "Content-Type: text/plain"),
+        by_hand("1.0", "metadata", b"", "WARC-Record-ID: <urn:page:>"),
+        by_hand("1.1", "revisit", b"HTTP/1.1 304\r\n\r\n", HTTP, "WARC-Payload-Digest: sha1:ABC", f"WARC-Refers-To: {UUID}"),
+        by_hand("1.1", "revisit", b"", "WARC-Refers-To-Target-URI: http://a"),
+        by_hand("1.1", "revisit", b"HTTP/1.1 200\r\nContent-Length: 12x\r\n\r\n", HTTP),
+        by_hand("1.2", "conversion", b"text"),
+    ]
+
+
+def test_archives_of_other_writers():
+    data = b"".join(archive_of_others())
+    found = list(warc.records_in(warc._Window(io.BytesIO(data), len(data)), 0, len(data)))
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    body = b"<html>body</html>"
+    got = [(x["record_type"], x["payload_bytes"], x["payload_digest"]) for x in found]
+    assert got == [
+        ("warcinfo", 17, sha(b"software: other\r\n")),
+        ("request", 18, sha(b"GET / HTTP/1.1\r\n\r\n")),
+        ("response", len(body), sha(body)),
+        ("response", len(body), sha(body)),
+        ("response", 16, sha(b"no header at all")),
+        ("resource", 9, sha(b"\r\n\r\nplain")),
+        ("metadata", 0, sha(b"")),
+        ("revisit", None, "sha1:ABC"),
+        ("revisit", None, None),
+        ("revisit", None, None),
+        ("conversion", 4, sha(b"text")),
+    ]
+    assert {x["page_id"] for x in found} == {None} == {x["refers_to"] for x in found}
+    assert found[2]["record_id"] == UUID == found[7]["refers_to_id"] and found[2]["url"] == "http://a"
+
+
+def test_members_that_are_no_sound_records():
+    good = warc.member(warc.record(1, "u", b"body", "d", None))
+    short = warc.member(b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 50\r\n\r\ntoo little")
+    odd = warc.member(b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: many\r\n\r\n")
+    cut = good[: len(good) // 2]
+    for bad, kind in [(short, "damaged"), (odd, "damaged"), (cut, "damaged"), (warc.member(b""), "foreign")]:
+        data = good + bad + good
+        found = list(warc.records_in(warc._Window(io.BytesIO(data), len(data)), 0, len(data)))
+        assert [x["record_type"] for x in found] == ["response", kind, "response"]
+
+
+def test_other_archives_through_spark(spark, tmp_path):
+    data = archive_of_others() * 20
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(data))
+    files = spark.createDataFrame([("a.warc.gz", len(b"".join(data)))], "file string, bytes long")
+    for split in (100, 5000, 1 << 20):
+        read = warc.read_archive(files, f"file://{tmp_path}", split)
+        counts = {r.record_type: r["count"] for r in read.groupBy("record_type").count().collect()}
+        assert counts == {
+            "warcinfo": 20, "request": 20, "response": 60, "resource": 20, "metadata": 20,
+            "revisit": 60, "conversion": 20,
+        }
