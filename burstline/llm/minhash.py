@@ -10,7 +10,10 @@ Equal sets are one class, so copies cost nothing. Not all pairs of a bucket are
 2. in buckets that still hold several components, every class with the bucket's smallest and
    with any class of its largest component, unless they are in one component already;
 3. in buckets that still do, every class outside the bucket's largest component with all others
-   that are not in its own, if sizes and sketches allow the similarity.
+   that are not in its own, if sizes and sketches allow the similarity. Where that would be many
+   pairs, as for pages of one template that differ in the rest, classes are compared by prefix
+   instead: two sets that are similar enough have one of their rarest shingles in common, of
+   each as many as a similar set may lack, and one more. So a bucket costs what is shared by few.
 
 Only pairs already known to be connected are left out, so no link is lost that would join
 components. A sketch is one bit of each coordinate of a longer signature, made from the same two
@@ -36,6 +39,8 @@ COORDINATES = BANDS * ROWS
 SKETCHED = 2048
 SKETCH_WORDS = SKETCHED // 64
 _DEVIATIONS = 4.5
+HOT_PAIRS = 20_000  # of a bucket, from which on it is compared by prefix
+_SLOTS = 1 << 20  # counters for the frequency of shingles
 _PRIME = np.uint64(0x100000001B3)
 _CELLS = 1 << 18  # values of shifted permutations held at a time
 
@@ -243,6 +248,74 @@ def _with_center(now: DataFrame, opened: DataFrame, stars: DataFrame, center: st
     ).distinct()
 
 
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """In how many sets the shingles of each slot are, at most; a slot is part of a shingle's hash.
+    Any order of shingles is right for prefixes, so shingles may share a slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            for x in values(batch.column("items")):
+                np.add.at(counts, _slot(np.frombuffer(x, np.uint64)), 1)
+        used = np.flatnonzero(counts)
+        columns = [pa.array(used), pa.array(counts[used])]
+        yield pa.RecordBatch.from_arrays(columns, ["slot", "n"])
+
+    parts = sets.select("items").mapInArrow(run, "slot long, n long")
+    counted = parts.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") > 1)
+    found = np.ones(_SLOTS, np.uint32)
+    for batch in counted.toArrow().to_batches():  # at most _SLOTS rows
+        found[batch.column("slot").to_numpy()] = np.minimum(batch.column("n").to_numpy(), 2**32 - 1)
+    return found
+
+
+def _slot(items: np.ndarray) -> np.ndarray:
+    return (_mixed(items) & np.uint64(_SLOTS - 1)).astype(np.int64)
+
+
+def prefix(items: np.ndarray, frequencies: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, so many that a similar enough set has one of them in its own
+    prefix; those that no other set has are left out."""
+    n = len(items)
+    length = n - -(-percent * n // 100) + 1
+    often = frequencies[_slot(items)]
+    chosen = np.lexsort((items, often))[:length]
+    return items[chosen[often[chosen] > 1]]
+
+
+def _pairs_by_prefix(hot: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share a shingle of their prefixes.
+    ``hot``: ``rep``, ``component``, ``n_shingles``."""
+    own = sets.withColumnRenamed("doc_id", "rep").join(hot, "rep")
+    own = scratch.store(own.select("rep", "component", "n_shingles", "items"), "hot-sets")
+    sent = hot.sparkSession.sparkContext.broadcast(_frequencies(own))  # _SLOTS numbers
+    names = ["rep", "component", "n_shingles", "shingle"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                prefix(np.frombuffer(x, np.uint64), sent.value, percent)
+                for x in values(batch.column("items"))
+            ]
+            repeats = [len(x) for x in found]
+            columns = [np.repeat(batch.column(x).to_numpy(), repeats) for x in names[:3]]
+            columns.append(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names)
+
+    prefixes = own.mapInArrow(run, "rep long, component long, n_shingles long, shingle long")
+    prefixes = scratch.store(prefixes, "prefixes")
+    x = prefixes.select("shingle", *(F.col(c).alias(f"x_{c}") for c in names[:3]))
+    y = prefixes.select("shingle", *(F.col(c).alias(f"y_{c}") for c in names[:3]))
+    sizes = [F.col("x_n_shingles"), F.col("y_n_shingles")]
+    able = (
+        (F.col("x_rep") < F.col("y_rep"))
+        & (F.col("x_component") != F.col("y_component"))
+        & (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
+    )
+    found = x.join(y, "shingle").filter(able)
+    return found.select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: one row per input row.
 
@@ -294,7 +367,13 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     open_now = scratch.store(_open_buckets(now).select("key", "main"), "open-3")
     inside = scratch.store(now.join(open_now, "key"), "inside-3")
     sketches = scratch.store(_sketches(sets, inside.select("rep").distinct()), "sketches")
-    inside = inside.join(sketches, "rep")
+    minors = F.count_if(F.col("component") != F.col("main"))
+    crowded = inside.groupBy("key").agg((minors * F.count("*")).alias("pairs"))
+    crowded = crowded.filter(F.col("pairs") > HOT_PAIRS).select("key")
+    crowded = scratch.store(crowded, "crowded-3")
+    hot = inside.join(crowded, "key", "left_semi").select("rep", "component", "n_shingles")
+    hot = scratch.store(hot.distinct(), "hot-3")
+    inside = inside.join(crowded, "key", "left_anti").join(sketches, "rep")
     fields = ["rep", "component", "n_shingles", "bands", *_WORDS_OF_SKETCH]
     minor = inside.filter(F.col("component") != F.col("main"))
     minor = minor.select("key", *(F.col(x).alias(f"x_{x}") for x in fields))
@@ -311,13 +390,21 @@ def near_duplicates(documents: DataFrame, percent: int = 75, words: int = WORDS)
     found = minor.join(other.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
     found = found.filter(likely)
     pairs = found.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+    if not hot.isEmpty():
+        apart = _pairs_by_prefix(hot, sets, scratch, percent)
+        for side in "ab":
+            own = [F.col(name).alias(f"{side}_{name}") for name in _WORDS_OF_SKETCH]
+            apart = apart.join(sketches.select(F.col("rep").alias(side), *own), side)
+        apart = apart.filter(_agree("a_", "b_") >= sketch_agrees(percent))
+        pairs = pairs.union(apart.select("a", "b"))
     more = scratch.store(_verified(pairs.distinct(), sets, percent), "links-3")
     stars = components(stars.union(more), scratch, "stars-3")
 
     final = _labelled(classes.select("rep", *one), stars).select(*one, "component")
     final = scratch.store(final, "final")
     scratch.drop("sets", "reps", "members", "classes", "sketches", "inside-3")
-    scratch.drop("now-2", "open-2", "now-3", "open-3")
+    scratch.drop("now-2", "open-2", "now-3", "open-3", "crowded-3", "hot-3")
+    scratch.drop("hot-sets", "prefixes")
     joined = sketched.drop("bands").join(final, one, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)

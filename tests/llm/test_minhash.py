@@ -139,3 +139,49 @@ def test_components(spark):
             root[a] = root[b] = low
     assert {k: v for k, v in root.items() if k != v} == found
     assert components(frame.limit(0), Scratch(spark, "test")).count() == 0
+
+
+def of_one_template(n, rng, own=55):
+    """Texts that share 120 words and differ in the rest: in one bucket, but not similar enough."""
+    template = [f"t{k}" for k in range(120)]
+    return [" ".join(template + [f"d{k}x{rng.randrange(10**6)}" for _ in range(own)]) for k in range(n)]
+
+
+def test_prefix_is_shared_by_similar_sets():
+    rng = np.random.default_rng(4)
+    frequencies = rng.integers(1, 9, minhash._SLOTS).astype(np.uint32)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        common = rng.integers(0, 2**63, n).astype(np.uint64)
+        more = rng.integers(0, 2**63, (2, n // 4 + 1)).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([common, x[: rng.integers(len(x))]])) for x in more)
+        shared, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        frequencies[minhash._slot(np.intersect1d(a, b))] += 1  # of sets that share them, two or more
+        if 100 * shared >= 75 * union:
+            both = [minhash.prefix(x, frequencies, 75) for x in (a, b)]
+            assert len(np.intersect1d(*both)), (n, shared, union)
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_PAIRS", 20)
+    rng = random.Random(6)
+    texts = of_one_template(60, rng)
+    # Some of them have near copies, and some of those only copies of copies.
+    for k in range(0, 60, 4):
+        words = texts[k].split()
+        for step in range(1, 4):
+            words = words[:-3] + [f"n{k}s{step}w{i}" for i in range(3)]
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, minhash.near_duplicates(frame).collect()))
+    assert got == sorted(brute(rows)) and 0 < sum(not r[3] for r in got) < 60
+
+
+def test_a_text_of_several_megabytes(spark):
+    long = " ".join(f"w{k}" for k in range(400_000))
+    rows = [(1, long), (2, long + " and a little more"), (3, long[: len(long) // 2]), (4, "short one")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.kept) for r in minhash.near_duplicates(frame).collect()}
+    assert got == {1: (1, True), 2: (1, False), 3: (3, True), 4: (4, True)}
