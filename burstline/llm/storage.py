@@ -12,7 +12,7 @@ from burstline.streaming.workspace import run_folder
 
 
 # Rows with texts or sets are large, and a batch is held by the JVM and by Python.
-ROWS_AT_ONCE = 2000
+ROWS_AT_ONCE = 1000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

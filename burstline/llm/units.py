@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 GLUED, LETTER, DIGIT, MARK, SPACE, BREAK = range(6)
-_CHUNK = 1 << 21  # bytes of text taken at a time
+_CHUNK = 1 << 20  # bytes of text taken at a time
 _SLOTS = 1 << 20
 _WORDS = 3  # a unit in the table has at most three words of eight bytes
 _MOST_IDS = 8  # and at most so many ids
@@ -108,7 +108,8 @@ class UnitIds:
         self.slots = slots
         self.key = np.zeros((_WORDS, slots), np.uint64)
         self.count = np.zeros(slots, np.uint8)
-        self.ids = np.zeros(slots * _MOST_IDS, np.uint32)
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.ids = np.zeros(slots * _MOST_IDS, np.uint16 if small else np.uint32)
         found = [x.tolist() for x in self.encode(pa.array(_PROBES))]
         if found != [x.tolist() for x in self._library(_PROBES)]:
             raise ValueError(f"{tokenizer_path} cuts texts where this module does not")
@@ -202,7 +203,7 @@ class UnitIds:
             ids[~own] = self.ids[where[~own]]
             ids[own] = extra[where[own] - len(self.ids)]
         else:
-            ids = self.ids[where]
+            ids = self.ids[where].astype(np.uint32, copy=False)
         if len(missed):
             self._keep(key, slot, lengths, missed, counts, source, extra)
         per_unit = np.concatenate([[0], ends])
