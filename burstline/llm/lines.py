@@ -31,8 +31,8 @@ from burstline.llm.storage import Scratch, unused, values
 BROADCAST_BYTES = 32 << 20
 KEYS_PER_SHARD = 250_000
 REQUESTS_PER_TASK = 500_000
-_KEPT_IN_TASK = 200_000
-_PROBED_AT_ONCE = 256
+_KEPT_IN_TASK = 50_000
+_PROBED_AT_ONCE = 128
 _GAMMA = 2.0  # bits per key on each level
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

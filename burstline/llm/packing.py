@@ -25,6 +25,7 @@ from burstline.llm.units import unit_ids
 
 SEPARATOR = 0
 _EMIT = 8192
+_SLOTS = 1 << 18  # packing shares its workers with other stages
 
 
 @dataclass(frozen=True)
@@ -168,7 +169,7 @@ def conversation_examples(conversations: DataFrame, tokenizer_path: str) -> Data
     loss. Each turn ends with the separator. Null texts are empty, null roles bear no loss."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = unit_ids(tokenizer_path)
+        units = unit_ids(tokenizer_path, _SLOTS)
         for batch in batches:
             lengths = [len(x) + 1 for x in units.encode(batch.column("text"))]
             columns = [batch.column("conv_id"), batch.column("role"), pa.array(lengths, pa.int64())]
@@ -206,7 +207,7 @@ def pack_documents(
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = unit_ids(tokenizer_path)
+        units = unit_ids(tokenizer_path, _SLOTS)
         packer = Packer(limits, pool, cut=True)
         base, sequence = TaskContext.get().partitionId() << 33, 0
         open_ids: dict[int, tuple] = {}  # documents with pieces in the pool

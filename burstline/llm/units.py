@@ -318,11 +318,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-_KNOWN: dict[str, UnitIds] = {}
+_KNOWN: dict[tuple[str, int], UnitIds] = {}
 
 
-def unit_ids(tokenizer_path: str) -> UnitIds:
-    """One per Python worker, kept across its tasks."""
-    if tokenizer_path not in _KNOWN:
-        _KNOWN[tokenizer_path] = UnitIds(tokenizer_path)
-    return _KNOWN[tokenizer_path]
+def unit_ids(tokenizer_path: str, slots: int = _SLOTS) -> UnitIds:
+    """One per Python worker, kept across its tasks. A slot takes 41 bytes."""
+    if (tokenizer_path, slots) not in _KNOWN:
+        _KNOWN[tokenizer_path, slots] = UnitIds(tokenizer_path, slots)
+    return _KNOWN[tokenizer_path, slots]
