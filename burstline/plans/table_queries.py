@@ -441,9 +441,10 @@ def q_stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of keyed messages, sent on into a log."""
+    """The feed as a stream of keyed messages, sent on into a log."""
     replay = _Replay(spark, sf_dir, "stream_feed")
-    sent = messages_from_events(table_stream(replay.spark, sf_dir, "events"))
+    events = table_stream(replay.spark, sf_dir, "events")
+    sent = envelope(feed(_labelled(events), "event_id"))
     replay.job(sent, "append", messages_sink(replay.log)).drain()
     return _taken_apart(scan_messages(spark, replay.log))
 

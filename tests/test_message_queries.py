@@ -40,7 +40,7 @@ def events(spark, numbers, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["envelope_json"])
+@pytest.mark.parametrize("name", ["envelope_json", "stream_feed"])
 def test_the_whole_feed_is_sent(spark, events, numbers, name):
     bursts, calm = numbers
     rows = registered()[name](spark, events).collect()
