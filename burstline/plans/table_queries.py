@@ -366,7 +366,9 @@ class _Replay:
     def __init__(
         self, spark: SparkSession, sf_dir: str, name: str, state_partitions: int | None = None
     ) -> None:
-        self.spark = stateful_session(spark, state_partitions)
+        # Each slice is drained by a query of its own, and a change log would be applied again by
+        # every one of them: work that grows with the square of the slices.
+        self.spark = stateful_session(spark, state_partitions, change_log=False)
         self.folder = run_folder(spark, name)
         self.events = table(self.spark, sf_dir, "events")
         self.log = MessageSource(format="parquet", path=f"{self.folder}/messages")

@@ -16,10 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
-STATE_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+_CHANGE_LOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+STATE_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, _CHANGE_LOG: "true"}
 
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -44,15 +42,22 @@ def build_session(app_name: str = "burstline", **settings: str) -> SparkSession:
     return spark
 
 
-def stateful_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stateful_session(
+    spark: SparkSession, state_partitions: int | None = None, change_log: bool = True
+) -> SparkSession:
     """A sibling session (same cluster, own settings) for streaming queries.
 
     The shuffle width of a stateful query is frozen in its checkpoint, so it is chosen
     here: the number given, or one state partition per core.
+
+    With ``change_log`` a batch stores what it has changed, which is least for a query that runs
+    on. A start applies all changes since the last snapshot again, so a query that is started anew
+    for every few large batches stores its state as files instead.
     """
     sibling = spark.newSession()
     for key, value in {**SETTINGS, **STATE_SETTINGS}.items():
         sibling.conf.set(key, value)
+    sibling.conf.set(_CHANGE_LOG, str(change_log).lower())
     sibling.conf.set(_SHUFFLE_PARTITIONS, str(state_partitions or _default_width(spark)))
     return sibling
 
