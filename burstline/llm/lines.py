@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm.storage import Scratch, unused, values
+from burstline.llm.storage import Scratch, lean, release_unused, unused, values
 
 BROADCAST_BYTES = 32 << 20
 KEYS_PER_SHARD = 250_000
@@ -192,7 +192,7 @@ def _counted(documents: DataFrame, least: int) -> DataFrame:
         if seen:
             yield out()
 
-    pairs = _texts(documents).mapInArrow(run, "high long, low long, n long, owner long")
+    pairs = _texts(documents).mapInArrow(lean(run), "high long, low long, n long, owner long")
     return pairs.groupBy("high", "low").agg(F.sum("n").alias("n"), F.max("owner").alias("owner"))
 
 
@@ -282,6 +282,7 @@ def _probed_by_broadcast(
             for text, (lines, numbers, _), a, b in zip(some, found, ends - counts, ends):
                 gone = {numbers[k] for k in np.flatnonzero(lost[a:b]).tolist()}
                 out.append(_without(text, lines, gone))
+        release_unused()
         return pa.array(out, _ARROW_RESULT)
 
     udf = F.arrow_udf(probe, RESULT)
@@ -332,7 +333,7 @@ def _dropped_by_shuffle(
     texts = documents.select(
         _own_id().alias("_id"), _print().alias("print"), F.col("text").cast("string").cast("binary")
     )
-    asked = texts.mapInArrow(requests, schema).withColumn("shard", _shard_of("high", shards))
+    asked = texts.mapInArrow(lean(requests), schema).withColumn("shard", _shard_of("high", shards))
     asked = asked.withColumn("salt", F.pmod(F.xxhash64("_id", "print"), F.lit(salts)))
     copies = built.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     copies = copies.withColumn("salt", F.col("salt").cast("long"))

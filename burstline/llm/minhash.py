@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstline.llm.components import components
-from burstline.llm.storage import Scratch, values
+from burstline.llm.storage import Scratch, lean, release_unused, values
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -134,7 +134,7 @@ def signed(documents: DataFrame, words: int = WORDS) -> DataFrame:
             columns.append(pa.array(bands, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _texts(documents).mapInArrow(run, SIGNED)
+    return _texts(documents).mapInArrow(lean(run), SIGNED)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def _sets(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             )
 
     chosen = _texts(documents).join(ids, "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "doc_id long, items binary")
+    return chosen.mapInArrow(lean(run), "doc_id long, items binary")
 
 
 # Columns of their own: comparing two rows then compiles to a few instructions per word.
@@ -173,7 +173,7 @@ def _sketches(sets: DataFrame, reps: DataFrame) -> DataFrame:
 
     chosen = sets.withColumnRenamed("doc_id", "rep").join(reps, "rep", "left_semi")
     schema = ", ".join(f"{name} long" for name in ["rep", *_WORDS_OF_SKETCH])
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(lean(run), schema)
 
 
 def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -182,6 +182,7 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         at = np.minimum(np.searchsorted(x, y), len(x) - 1)
         out.append(int((x[at] == y).sum()))
+    release_unused()
     return pa.array(out, pa.int64())
 
 
@@ -261,7 +262,7 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
         columns = [pa.array(used), pa.array(counts[used])]
         yield pa.RecordBatch.from_arrays(columns, ["slot", "n"])
 
-    parts = sets.select("items").mapInArrow(run, "slot long, n long")
+    parts = sets.select("items").mapInArrow(lean(run), "slot long, n long")
     counted = parts.groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") > 1)
     found = np.ones(_SLOTS, np.uint32)
     for batch in counted.toArrow().to_batches():  # at most _SLOTS rows
@@ -302,7 +303,7 @@ def _pairs_by_prefix(hot: DataFrame, sets: DataFrame, scratch: Scratch, percent:
             columns.append(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names)
 
-    prefixes = own.mapInArrow(run, "rep long, component long, n_shingles long, shingle long")
+    prefixes = own.mapInArrow(lean(run), "rep long, component long, n_shingles long, shingle long")
     prefixes = scratch.store(prefixes, "prefixes")
     x = prefixes.select("shingle", *(F.col(c).alias(f"x_{c}") for c in names[:3]))
     y = prefixes.select("shingle", *(F.col(c).alias(f"y_{c}") for c in names[:3]))

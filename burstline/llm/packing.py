@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from burstline.llm.storage import lean
 from burstline.llm.units import unit_ids
 
 SEPARATOR = 0
@@ -259,4 +260,4 @@ def pack_documents(
             yield table()
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, PIECES)
+    return chosen.mapInArrow(lean(run), PIECES)

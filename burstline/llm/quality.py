@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.storage import Scratch, values
+from burstline.llm.storage import Scratch, lean, release_unused, values
 
 SAMPLE_ROWS = 8000
 BUCKET_BITS = 18
@@ -235,10 +235,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     )
     labelled = texts.join(chosen, "doc_id").select("doc_id", "quality", "text")
     rows = scratch.store(
-        labelled.mapInArrow(features, "doc_id long, quality int, buckets binary"), "rows"
+        labelled.mapInArrow(lean(features), "doc_id long, quality int, buckets binary"), "rows"
     )
     schema = "ratios binary, weights binary, bias double, slope double, shift double"
-    found = rows.repartition(1).mapInArrow(train, schema).collect()
+    found = rows.repartition(1).mapInArrow(lean(train), schema).collect()
     scratch.drop("sample", "rows")
     if not found:
         return fitted([], np.zeros(0))
@@ -253,7 +253,9 @@ def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataF
 
     def score(texts: pa.Array) -> pa.Array:
         indicators, model = Indicators(), sent.value
-        return pa.array([model.score(indicators.of(x or b"")) for x in values(texts)], pa.float64())
+        scores = [model.score(indicators.of(x or b"")) for x in values(texts)]
+        release_unused()
+        return pa.array(scores, pa.float64())
 
     text = F.col("text").cast("string").cast("binary")
     return documents.withColumn(name, F.arrow_udf(score, "double")(text))

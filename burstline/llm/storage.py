@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,27 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_unused() -> None:
+    """Gives the system back what allocators keep of memory that is no longer used. Python workers
+    go from task to task, and an executor's limit is for all of them and the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for ``mapInArrow`` whose tasks end with :func:`release_unused`."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_unused()
+
+    return task
+
+
 def unused(columns: Iterable[str], *names: str) -> list[str]:
     """Names for helper columns that none of the given columns has, in any case of letters."""
     taken, found = {c.lower() for c in columns}, []
