@@ -5,16 +5,21 @@ inverted lists, each with its largest impact and, block by block of neighbouring
 largest impact there, and answers all queries, which it reads from the shared folder a few at a
 time: its memory does not grow with their number, and queries are not shuffled to every shard.
 
-A query's lists are taken in descending order of their bounds, weight times largest impact.
-
-1. The first lists, those of rare words, give some documents, which are scored in full. The k-th
-   best of them is the threshold.
+Lists of frequent words are laid out as rows too, an impact or zero for each document. A product of
+matrices gives, for some queries at a time, what all these lists together give to each document. It
+is in single precision and rounded up, so it is a bound, as block maxima are, with blocks of one
+document. The other lists of a query are taken in descending order of their bounds, weight times
+largest impact.
+
+1. The first lists, those of rare words, and the product tell some documents, which are scored in
+   full. The k-th best of them is the threshold.
 2. From the pivot list on, all remaining bounds together stay below the threshold, so a document
-   that is in none of the lists before it is no result. Only those lists are walked through, and
-   give each of their documents a partial score.
-3. A document's bound is its partial score and what the block maxima of the other lists allow in its
-   block. Documents are scored in full in descending order of that bound, from their own list of
-   words, until no bound reaches the threshold, which rises on the way. The other lists are skipped.
+   that is in none of the lists before it and of no frequent word is no result. Only the lists before
+   it are walked through, and give each of their documents a partial score.
+3. A document's bound is its partial score, the product and what the block maxima of the other lists
+   allow in its block. If the documents left have more words than those lists are worth, the lists
+   are walked through after all. Documents are scored in full in descending order of their bound, from
+   their own list of words, until no bound reaches the threshold, which rises on the way.
 
 All documents between two pivots are handled at once in arrays, where the textbook walks from one
 document to the next. Counts of documents, words and documents per term are those of the whole
@@ -35,14 +40,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstline.llm.minhash import word_hashes
-from burstline.llm.storage import Scratch, values
+from burstline.llm.storage import Scratch, lean, release_unused, values
 
 K1, B = 1.2, 0.75
 BYTES_PER_SHARD = 32 << 20
 BLOCK = 64
-SEED_POSTINGS = 2048  # of the first lists, to find a threshold
-_WORD_COST = 16  # a posting of a list costs as much as so many words of a document
-SEEDS = 16  # times k documents are scored for it
+SEED_POSTINGS = 8192  # of the first lists, to find a threshold
+_WORD_COST = 4  # a posting of a list costs as much as so many words of a document
+SEEDS = 1  # times k documents are scored for it
+FREQUENT = 32  # lists with more than one of so many documents are laid out as rows
+FREQUENT_BYTES = 48 << 20  # of all rows; lists beyond stay inverted
+PRODUCT_BYTES = 16 << 20  # of the bounds of the queries taken together
 QUERIES_AT_ONCE = 256
 DECIMALS = 6  # scores are rounded to; equal scores rank by id
 
@@ -137,8 +145,27 @@ class Index:
         self.first_block = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
         some = len(self.terms) > 0
         self.largest = np.maximum.reduceat(self.impact, self.first[:-1]) if some else np.zeros(0)
-        self.weight = np.zeros(len(self.terms))  # of the words of the query at hand
-        self.touched = self.asked = 0  # postings looked at, and of all lists of the queries
+        # Of the words of the query at hand.
+        self.weight, self.wanted = np.zeros(len(self.terms)), np.zeros(len(self.terms), bool)
+        self._lay_out_frequent()
+        # Postings looked at one by one, so not in products, and of all lists of the queries.
+        self.touched = self.asked = 0
+
+    def _lay_out_frequent(self) -> None:
+        """One row of impacts, zero where a document has none, for each list of a frequent word."""
+        sizes, documents = np.diff(self.first), max(len(self.ids), 1)
+        frequent = np.flatnonzero(sizes * FREQUENT > documents)
+        room = FREQUENT_BYTES // (4 * documents)
+        if len(frequent) > room:
+            frequent = np.sort(frequent[np.argsort(-sizes[frequent], kind="stable")[:room]])
+        self.row = np.full(len(self.terms), -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), len(self.ids)), np.float32)
+        for row, term in zip(self.rows, frequent.tolist()):
+            at = slice(self.first[term], self.first[term + 1])
+            row[self.doc[at]] = self.impact[at]
+        # A sum of so many products without negative ones is at most this much too small.
+        self.above = np.float32(1 + (len(frequent) + 4) * 2.0**-23)
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether there is a list of each hash, and its number."""
@@ -149,24 +176,43 @@ class Index:
 
     def top(self, lists: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best (score, id) of documents with any of these lists, best first."""
+        return next(self.tops([(lists, weights)], k))
+
+    def tops(
+        self, asked: list[tuple[np.ndarray, np.ndarray]], k: int
+    ) -> Iterator[list[tuple[float, int]]]:
+        """The same for the lists and weights of each of several queries."""
+        step = max(1, PRODUCT_BYTES // (4 * max(len(self.ids), 1)))
+        for start in range(0, len(asked), step):
+            some = asked[start : start + step]
+            factors = np.zeros((len(some), len(self.rows)), np.float32)
+            for row, (lists, weights) in zip(factors, some):
+                frequent = self.row[lists] >= 0
+                row[self.row[lists[frequent]]] = weights[frequent]
+            given = factors @ self.rows
+            given *= self.above
+            for (lists, weights), most in zip(some, given):
+                self.asked += int((self.first[lists + 1] - self.first[lists]).sum())
+                self.weight[lists], self.wanted[lists] = weights, True
+                try:
+                    rare = self.row[lists] < 0
+                    yield self._best(lists[rare], weights[rare], most, k)
+                finally:
+                    self.weight[lists], self.wanted[lists] = 0, False
+
+    def _best(self, lists, weights, most, k: int) -> list[tuple[float, int]]:
+        """Of the rare words' lists and ``most``, what the frequent ones give at most to each document."""
         bounds = weights * self.largest[lists]
         order = np.argsort(-bounds, kind="stable")
         lists, weights, bounds = lists[order], weights[order], bounds[order]
         sizes = self.first[lists + 1] - self.first[lists]
-        self.asked += int(sizes.sum())
-        self.weight[lists] = weights
-        try:
-            return self._best(lists, weights, bounds, sizes, k)
-        finally:
-            self.weight[lists] = 0
-
-    def _best(self, lists, weights, bounds, sizes, k: int) -> list[tuple[float, int]]:
         seeding = max(1, int(np.searchsorted(np.cumsum(sizes), SEED_POSTINGS, "right")))
-        partial = self._partial(lists[:seeding], weights[:seeding])
-        seeds = np.flatnonzero(partial)
-        if len(seeds) > SEEDS * k:
-            seeds = seeds[np.argpartition(-partial[seeds], SEEDS * k)[: SEEDS * k]]
+        partial = most + self._partial(lists[:seeding], weights[:seeding])
+        count = min(SEEDS * k, len(partial))
+        seeds = np.argpartition(partial, len(partial) - count)[len(partial) - count :]
+        seeds = seeds[partial[seeds] > 0]
         best, docs = self._ranked(self._scores(seeds), seeds, k)
+        partial[seeds] = -math.inf
         enough = best[-1] if len(best) == k else -math.inf
         # Rounding moves a score by half of the last decimal at most.
         margin = 10.0**-DECIMALS
@@ -175,21 +221,17 @@ class Index:
         if pivot > seeding:
             partial += self._partial(lists[seeding:pivot], weights[seeding:pivot])
         pivot = max(pivot, min(seeding, len(lists)))
-        able = np.flatnonzero(partial)
-        able = able[~np.isin(able, seeds)]
-        while len(able):
-            bound = partial[able] + rest[pivot]
-            able = able[bound >= enough - margin]
+        able = np.flatnonzero((partial > 0) & (partial >= enough - margin - rest[pivot]))
+        bound = partial[able] + rest[pivot]
+        if pivot < len(lists) and len(able):
             allowed = self._allowed(lists[pivot:], weights[pivot:])
             bound = partial[able] + allowed[able // BLOCK]
             able, bound = able[bound >= enough - margin], bound[bound >= enough - margin]
-            # While many are left, the next lists are cheaper than the documents themselves.
-            further = pivot + max(1, (len(lists) - pivot) // 3)
-            words = int((self.begin[able + 1] - self.begin[able]).sum())
-            if pivot == len(lists) or words <= _WORD_COST * int(sizes[pivot:further].sum()):
-                break
-            partial += self._partial(lists[pivot:further], weights[pivot:further])
-            pivot = further
+            # With many left, the other lists are cheaper than the documents themselves.
+            if self._words(able) > _WORD_COST * int(sizes[pivot:].sum()):
+                partial += self._partial(lists[pivot:], weights[pivot:])
+                able = able[partial[able] >= enough - margin]
+                bound = partial[able]
         if len(able):
             order = np.argsort(-bound, kind="stable")
             able, bound = able[order], bound[order]
@@ -204,6 +246,10 @@ class Index:
             width *= 2
         return list(zip(best.tolist(), self.ids[docs].tolist()))
 
+    def _words(self, docs: np.ndarray) -> int:
+        """How many words some documents have."""
+        return int((self.begin[docs + 1] - self.begin[docs]).sum())
+
     @staticmethod
     def _ranked(scores: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The best, equal ones by number, which is by id."""
@@ -228,12 +274,16 @@ class Index:
     def _scores(self, docs: np.ndarray) -> np.ndarray:
         """Full scores, from the words of each document."""
         starts, stops = self.begin[docs], self.begin[docs + 1]
-        at = _ranges(starts, stops)
-        weight = self.weight[self.word[at]]
-        asked = np.flatnonzero(weight)
+        spans = [slice(*span) for span in zip(starts.tolist(), stops.tolist())]
+        if not spans:
+            return np.zeros(0)
+        word = np.concatenate([self.word[span] for span in spans])
+        asked = np.flatnonzero(self.wanted[word])
         self.touched += len(asked)
-        given = weight[asked] * self.impact[self.place[at[asked]]]
-        owner = np.repeat(np.arange(len(docs)), stops - starts)[asked]
+        ends = np.cumsum(stops - starts)
+        owner = np.searchsorted(ends, asked, "right")
+        at = asked + (stops - ends)[owner]
+        given = self.weight[word[asked]] * self.impact[self.place[at]]
         return np.round(np.bincount(owner, given, len(docs)), DECIMALS)
 
 
@@ -271,17 +321,24 @@ def _queries(root: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def _answered(index: Index, queries: Iterator, k: int) -> Iterator[pa.RecordBatch]:
     """The hits of a shard for each query with a word in it, in small batches."""
-    found = []
+    names, asked = [], []
+
+    def found() -> pa.RecordBatch:
+        rows = [
+            {"query_id": name, "hits": [{"score": score, "doc_id": doc} for score, doc in hits]}
+            for name, hits in zip(names, index.tops(asked, k))
+        ]
+        return pa.RecordBatch.from_pylist(rows, _FOUND)
+
     for query, terms, weights in queries:
         own, lists = index.known(terms)
         if own.any():
-            hits = index.top(lists[own], weights[own], k)
-            hits = [{"score": score, "doc_id": doc} for score, doc in hits]
-            found.append({"query_id": query, "hits": hits})
-        if len(found) == QUERIES_AT_ONCE:
-            yield pa.RecordBatch.from_pylist(found, _FOUND)
-            found = []
-    yield pa.RecordBatch.from_pylist(found, _FOUND)
+            names.append(query)
+            asked.append((lists[own], weights[own]))
+        if len(names) == QUERIES_AT_ONCE:
+            yield found()
+            names, asked = [], []
+    yield found()
 
 
 def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) -> DataFrame:
@@ -296,12 +353,13 @@ def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) ->
             return
         index = Index(np.array(ids, np.int64), texts, mean)
         del ids, texts
+        release_unused()
         yield from _answered(index, _queries(root), k)
 
     hits = "query_id long, hits array<struct<score:double,doc_id:long>>"
     # A shard is a partition, so a task has one and not what a hash of its number deals to it.
     dealt = placed.repartitionById(shards, F.col("shard").cast("int"))
-    return dealt.select("doc_id", "text").mapInArrow(run, hits)
+    return dealt.select("doc_id", "text").mapInArrow(lean(run), hits)
 
 
 def search(

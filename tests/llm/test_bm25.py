@@ -100,6 +100,56 @@ def test_pruning_is_exact(words, monkeypatch):
     assert index.touched < (0.3 if words < 60 else 0.6) * index.asked
 
 
+def zipf_texts(rows, seed):
+    rng = np.random.default_rng(seed)
+    frequent = [np.minimum(rng.zipf(1.25, rng.integers(20, 120)), 5000) for _ in range(rows)]
+    return [b" ".join(b"w%d" % w for w in words) for words in frequent]
+
+
+def asked_by(index, texts, step):
+    idf = np.log(1 + (len(texts) - np.diff(index.first) + 0.5) / (np.diff(index.first) + 0.5))
+    lists = [index.known(np.unique(bm25.word_hashes(t)))[1] for t in texts[::step]]
+    return [(some, idf[some]) for some in lists]
+
+
+def test_whole_texts_touch_few_postings():
+    texts = zipf_texts(4000, 1)
+    index = bm25.Index(np.arange(4000), texts, float(np.mean([len(t.split()) for t in texts])))
+    for lists, weights in asked_by(index, texts, 50):
+        index.top(lists, weights, 10)
+    assert index.touched < 0.25 * index.asked
+
+
+@pytest.mark.parametrize("rows_bytes, product_bytes", [(48 << 20, 16 << 20), (4 * 700 * 3, 1), (0, 9000)])
+def test_queries_taken_together_are_exact(monkeypatch, rows_bytes, product_bytes):
+    monkeypatch.setattr(bm25, "FREQUENT_BYTES", rows_bytes)
+    monkeypatch.setattr(bm25, "PRODUCT_BYTES", product_bytes)
+    monkeypatch.setattr(bm25, "SEED_POSTINGS", 20)
+    texts = zipf_texts(600, 2)
+    texts += [texts[5]] * 30 + [b"", None] + [b"w1 " * 9] * 68
+    index = bm25.Index(np.arange(700), texts, float(np.mean([len((t or b"").split()) for t in texts])))
+    assert len(index.rows) <= rows_bytes // (4 * 700) and (len(index.rows) > 3) == (rows_bytes > 1 << 20)
+    asked = asked_by(index, texts[:600], 5)
+    for (lists, weights), found in zip(asked, index.tops(asked, 10), strict=True):
+        scores = np.round(index._partial(lists, weights), bm25.DECIMALS)
+        order = np.lexsort((np.arange(700), -scores))[:10]
+        assert [d for _, d in found] == [d for d in order if scores[d] > 0]
+        assert np.allclose([s for s, _ in found], scores[[d for _, d in found]], atol=2e-6)
+    assert not index.weight.any() and not index.wanted.any()
+
+
+def test_products_are_bounds():
+    texts = zipf_texts(500, 3)
+    index = bm25.Index(np.arange(500), texts, 70.0)
+    for lists, weights in asked_by(index, texts, 25):
+        frequent = index.row[lists] >= 0
+        factors = np.zeros((1, len(index.rows)), np.float32)
+        factors[0, index.row[lists[frequent]]] = weights[frequent]
+        most = (factors @ index.rows * index.above)[0]
+        exact = index._partial(lists[frequent], weights[frequent])
+        assert (most >= exact).all() and np.allclose(most, exact, rtol=1e-3)
+
+
 def test_no_documents_and_no_words():
     assert bm25.Index(np.zeros(0, np.int64), [], 1.0).known(np.arange(3).astype(np.uint64))[0].sum() == 0
     index = bm25.Index(np.arange(2), [None, b""], 1.0)
