@@ -13,15 +13,19 @@ make the text that has to be sorted small, without losing a repeat:
    symbol by symbol, and the refinement tells which windows are equal (common prefixes of
    ``least`` bytes). A symbol is ten or five bytes. Suffixes are sorted within shards only.
 
-A bin of many segments (an anchor in a passage that very many documents hold, each continuing
-otherwise) is more than two shards; every pair of them is merged by a task of its own, so no task
-holds more than two. Texts are taken whole, as UTF-8 bytes, and matches never cross documents.
+An anchor may be in a passage that very many documents hold, each continuing otherwise. Such
+segments are parted by longer anchors first, as step 1 parts texts: equal windows have equal ones
+of any length. Parts of equal content are repeats of the first of them, parts whose longer anchor
+is nowhere else repeat nothing, and only the others go on, to bins or to still longer anchors, at
+last as long as a window. So a bin is small however often an anchor occurs, and segments are not
+compared pair by pair. Texts are taken whole, as UTF-8 bytes, and matches never cross documents.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +39,10 @@ ANCHOR = 32
 CHUNK = 1 << 19  # windows of a long text taken at a time
 FLUSH = 1_000_000  # anchors that a task gathers before it settles them
 BYTES_PER_SHARD = 24 << 20  # of text, in step 2
-SEGMENTS_PER_BIN = 1000
+SEGMENTS_PER_BIN = 1000  # an anchor of more is parted by longer ones
 SEGMENTS_PER_SHARD = 1000
 _SHARDS_AT_ONCE = 64
+_PIECES_AT_ONCE = 4000
 HOT = 64  # segments of one anchor in one task from which on they are dealt out
 _MOST_SYMBOLS = 1 << 16
 _NO_ID = -(2**63)
@@ -51,32 +56,63 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def segments(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first window and number of windows of each segment, fewer than 2^20 bytes.
+def _hashed(data: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each string of so many bytes."""
+    part, size, hashes, have = data.astype(np.uint64) + np.uint64(1), 1, None, 0
+    while True:
+        if width & size:
+            count = len(data) - have - size + 1
+            if hashes is None:
+                hashes = part
+            else:
+                hashes = hashes[:count] * np.uint64(pow(_BASE, size, 2**64)) + part[have:]
+            have += size
+        if have == width:
+            return _mixed(hashes)
+        part = part[:-size] * np.uint64(pow(_BASE, size, 2**64)) + part[size:]
+        size *= 2
+
+
+def _places(data: np.ndarray, least: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each string of ``width`` bytes, and of each window the place of the least of its
+    own; of equal ones the leftmost, so the choice depends on the window alone."""
+    hashes = _hashed(data, width)
+    ranked = (hashes >> _PLACE_BITS) << _PLACE_BITS
+    low = ranked | np.arange(len(hashes), dtype=np.uint64)
+    reach, spread = 1, least - width + 1
+    while 2 * reach <= spread:
+        low = np.minimum(low[:-reach], low[reach:])
+        reach *= 2
+    if spread > reach:
+        low = np.minimum(low[: reach - spread], low[spread - reach :])
+    return hashes, (low & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
 
-    Of equal hashes in a window the leftmost counts, so the choice depends on the window alone.
-    """
+
+def segments(data: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """Anchor hash, first window and number of windows of each segment, fewer than 2^20 bytes."""
     if len(data) < least:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes, width = data.astype(np.uint64) + np.uint64(1), 1
-    while width < ANCHOR:
-        turn = np.uint64(pow(_BASE, width, 2**64))
-        hashes = hashes[:-width] * turn + hashes[width:]
-        width *= 2
-    hashes = _mixed(hashes)
-    ranked = (hashes >> _PLACE_BITS) << _PLACE_BITS
-    low = ranked | np.arange(len(hashes), dtype=np.uint64)
-    width, spread = 1, least - ANCHOR + 1
-    while 2 * width <= spread:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if spread > width:
-        low = np.minimum(low[: width - spread], low[spread - width :])
-    place = (low & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    hashes, place = _places(data, least, ANCHOR)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     return hashes[place[first]], first, np.diff(first, append=len(place))
 
 
+def parted(pieces: list[bytes], least: int, width: int) -> tuple[np.ndarray, ...]:
+    """The same for each of several pieces by anchors of ``width`` bytes, with the numbers of the
+    pieces in front; all together fewer than 2^20 bytes, each of ``least`` bytes or more."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    hashes, place = _places(data, least, width)
+    windows, begin = lengths - least + 1, np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(pieces)), windows)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    place = place[begin[owner] + inside]
+    new = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    first = np.flatnonzero(np.concatenate([[True], new]))
+    sizes = np.diff(first, append=len(place))
+    return owner[first], hashes[place[first]], inside[first], sizes
+
+
 def merged_ranges(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
     """Ranges of each owner, those that overlap or touch as one."""
     if not len(owner):
@@ -378,50 +414,105 @@ def repeats(pieces: list[list[bytes]], ranks: list[np.ndarray], starts: list[np.
     return shard, segment, begin, end
 
 
-def _compared(texts: DataFrame, shared: DataFrame, least: int) -> DataFrame:
-    """Ranges that repeat something earlier in segments that share an anchor."""
-    bins = max(1, math.ceil(shared.count() / SEGMENTS_PER_BIN))
-    placed = shared.withColumn("bin", F.pmod(F.xxhash64("anchor"), F.lit(bins)))
-    sizes = placed.groupBy("bin").agg(F.count("*").alias("n"))
-    # A bin of one shard would have nothing to merge, so it is two.
-    blocks = F.when(F.col("n") <= 2 * SEGMENTS_PER_SHARD, 2)
-    blocks = blocks.otherwise(F.ceil(F.col("n") / SEGMENTS_PER_SHARD)).cast("int")
-    placed = placed.join(sizes.select("bin", blocks.alias("blocks")).hint("rebalance"), "bin")
-    asked = placed.groupBy("doc_id", "print").agg(
-        F.collect_list(F.struct("start", "stop", "bin", "blocks")).alias("asked")
+_PIECES = "anchor long, doc_id long, print long, start long, piece binary"
+_PARTS = "content long, " + _PIECES
+_RANGES = "doc_id long, print long, start long, stop long"
+
+
+def _pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
+    """Segments that share an anchor, with their bytes."""
+    asked = shared.groupBy("doc_id", "print").agg(
+        F.collect_list(F.struct("start", "stop", "anchor")).alias("asked")
     )
-    schema = "bin long, blocks int, block int, doc_id long, print long, start long, piece binary"
-    names = [x.split()[0] for x in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             rows = []
             for doc_id, fingerprint, text, wanted in zip(*(values(c) for c in batch.columns)):
                 for x in wanted:
                     piece = text[x["start"] : x["stop"]]
-                    block = xxhash.xxh3_64_intdigest(piece) % x["blocks"]
-                    rows.append((x["bin"], x["blocks"], block, doc_id, fingerprint, x["start"], piece))
+                    rows.append((x["anchor"], doc_id, fingerprint, x["start"], piece))
                 if len(rows) > 20_000:
-                    yield _batch(rows, names)
+                    yield _batch(rows, _PIECES)
                     rows = []
             if rows:
-                yield _batch(rows, names)
+                yield _batch(rows, _PIECES)
 
     joined = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID))).join(asked, ["doc_id", "print"])
-    joined = joined.select("doc_id", "print", "text", "asked")
-    pieces = joined.mapInArrow(cut, schema)
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block"))
-    paired = pieces.withColumn("other", F.explode(others))
-    paired = paired.withColumn("low", F.least("block", "other"))
-    paired = paired.withColumn("high", F.greatest("block", "other")).drop("blocks", "other")
+    return joined.select("doc_id", "print", "text", "asked").mapInArrow(cut, _PIECES)
+
+
+def _parts(pieces: DataFrame, least: int, width: int) -> DataFrame:
+    """Pieces parted by anchors of ``width`` bytes."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            for k in range(0, batch.num_rows, _PIECES_AT_ONCE):
+                some = batch.slice(k, _PIECES_AT_ONCE)
+                ids, prints, starts, data = (c.to_pylist() for c in some.columns)
+                own, anchor, first, windows = parted(data, least, width)
+                found = zip(own.tolist(), anchor.view(np.int64).tolist(), first.tolist(), windows.tolist())
+                rows = []
+                for own, anchor, first, windows in found:
+                    piece = data[own][first : first + windows + least - 1]
+                    content = xxhash.xxh3_64_intdigest(piece) - 2**63
+                    rows.append((content, anchor, ids[own], prints[own], starts[own] + first, piece))
+                yield _batch(rows, _PARTS)
+
+    return pieces.select("doc_id", "print", "start", "piece").mapInArrow(part, _PARTS)
+
+
+def _bounded(scratch: Scratch, pieces: DataFrame, least: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Pieces none of whose anchors more than ``SEGMENTS_PER_BIN`` have, and ranges that repeat
+    something earlier in those with an anchor that more had."""
+    bounded, ranges, width, level = [], [], ANCHOR, 0
+    while True:
+        often = pieces.groupBy("anchor").count().filter(F.col("count") > SEGMENTS_PER_BIN)
+        often = scratch.store(often.select("anchor"), f"often{level}")
+        if often.isEmpty():
+            return [*bounded, pieces], ranges
+        bounded.append(pieces.join(often, "anchor", "left_anti"))
+        width = least - (least - width) // 4
+        parts = _parts(pieces.join(often, "anchor", "left_semi"), least, width)
+        parts = scratch.store(parts, f"parts{level}")
+        firsts = parts.groupBy("anchor", "content").agg(
+            F.min(F.struct("doc_id", "print", "start", "piece")).alias("first")
+        )
+        firsts = scratch.store(firsts, f"firsts{level}")
+        same = parts.withColumn("stop", F.col("start") + F.octet_length("piece")).drop("piece")
+        own = F.struct("doc_id", "print", "start")
+        told = F.struct("first.doc_id", "first.print", "first.start")
+        later = same.join(firsts, ["anchor", "content"]).filter(own != told)
+        later = later.select("doc_id", "print", "start", "stop")
+        ranges.append(scratch.store(later, f"later{level}"))
+        if width == least:  # parts are windows, and equal ones are told
+            return bounded, ranges
+        others = firsts.groupBy("anchor").count().filter(F.col("count") > 1).select("anchor")
+        pieces = firsts.select("anchor", "first.*").join(others, "anchor", "left_semi")
+        pieces = scratch.store(pieces, f"pieces{level}")
+        level += 1
+
+
+def _compared(scratch: Scratch, texts: DataFrame, shared: DataFrame, least: int) -> DataFrame:
+    """Ranges that repeat something earlier in segments that share an anchor."""
+    pieces = scratch.store(_pieces(texts, shared), "pieces")
+    scratch.release()
+    bounded, ranges = _bounded(scratch, pieces, least)
+    scratch.release()
+    pieces = reduce(DataFrame.unionByName, bounded)
+    bins = max(1, math.ceil(pieces.count() / SEGMENTS_PER_BIN))
+    placed = pieces.select(
+        F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin"), "doc_id", "print", "start", "piece"
+    )
 
     def compare(table: pa.Table) -> pa.Table:
-        column = lambda name: table.column(name).to_numpy()
-        ids, prints, starts, block = (column(x) for x in ("doc_id", "print", "start", "block"))
+        ids, prints, starts = (table.column(c).to_numpy() for c in ("doc_id", "print", "start"))
         rank, data = _ranks(ids, prints), table.column("piece").to_pylist()
-        shards = [np.flatnonzero(block == b) for b in np.unique(block)]
+        # One shard would have nothing to merge.
+        blocks = min(max(2, math.ceil(len(data) / SEGMENTS_PER_SHARD)), len(data))
+        shards = [np.arange(b, len(data), blocks) for b in range(blocks)]
         shard, segment, begin, end = repeats(
             [[data[k] for k in own] for own in shards],
             [rank[own] for own in shards],
@@ -432,13 +523,17 @@ def _compared(texts: DataFrame, shared: DataFrame, least: int) -> DataFrame:
         found = {"doc_id": ids[rows], "print": prints[rows], "start": begin, "stop": end}
         return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
-    groups = paired.groupBy("bin", "low", "high")
-    return groups.applyInArrow(compare, "doc_id long, print long, start long, stop long")
+    compared = placed.groupBy("bin").applyInArrow(compare, _RANGES)
+    return reduce(DataFrame.union, [compared, *ranges])
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    kinds = [pa.binary() if kind == "binary" else pa.int64() for _, kind in fields]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], [name for name, _ in fields]
+    )
 
 
 _RESULT = "struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>"
@@ -487,7 +582,8 @@ def remove_repeats(documents: DataFrame, least: int = LEAST) -> DataFrame:
     scratch.release()
     shared = found.filter(F.col("anchor").isNotNull())
     ranges = found.filter(F.col("anchor").isNull()).drop("anchor")
-    compared = scratch.store(_compared(keyed, shared, least), "compared")
+    compared = scratch.store(_compared(scratch, keyed, shared, least), "compared")
+    scratch.drop("pieces")
     scratch.release()
     ranges = ranges.union(compared).groupBy("doc_id", "print")
     hidden = unused(documents.columns, "_id", "_print", "_gone", "_result")

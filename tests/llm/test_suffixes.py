@@ -159,3 +159,62 @@ def test_what_goes_to_shards_does_not_depend_on_their_number():
         if shards == 1:
             expected = told
         assert told == expected
+
+
+def continued(documents):
+    """One passage in many documents, each of which continues otherwise, and some of them alike."""
+    rng = random.Random(documents)
+    passage, tails = prose(rng, 40), [prose(rng, 30) for _ in range(7)]
+    rows = []
+    for k in range(documents):
+        tail = rng.choice(tails) if k % 5 == 0 else prose(rng, 20)
+        rows.append((k, prose(rng, 3) + passage + rng.choice(["", " ", "-"]) + tail))
+    return rows
+
+
+def test_an_anchor_of_many_documents_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "SEGMENTS_PER_BIN", 30)
+    rows = continued(150)
+    out = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert sorted(((*r[:4], bytes(r[4])) for r in got), key=str) == brute(rows)
+
+
+def test_segments_of_one_anchor_are_not_compared_pair_by_pair(spark, monkeypatch):
+    compared = {}
+    for documents in (100, 400):
+        monkeypatch.setattr(suffixes, "SEGMENTS_PER_BIN", 20)
+        monkeypatch.setattr(suffixes, "SEGMENTS_PER_SHARD", 20)
+        frame = spark.createDataFrame(continued(documents), "doc_id long, text string").coalesce(2)
+        held = spark.sparkContext.accumulator(0)
+        group = type(frame.groupBy("doc_id"))
+        before = group.applyInArrow
+
+        def counted(self, run, schema, before=before, held=held):
+            def told(table):
+                if "piece" in table.column_names:
+                    held.add(table.num_rows)
+                return run(table)
+
+            return before(self, told, schema)
+
+        monkeypatch.setattr(group, "applyInArrow", counted)
+        suffixes.remove_repeats(frame).write.format("noop").mode("overwrite").save()
+        monkeypatch.undo()
+        compared[documents] = held.value
+    assert compared[400] < 6 * compared[100] and compared[400] < 2000
+
+
+def test_parted_pieces_are_parted_each_by_itself():
+    rng = random.Random(5)
+    pieces = [prose(rng, 60).encode() for _ in range(20)]
+    for width in (32, 83, 96, 100):
+        found = [x.tolist() for x in suffixes.parted(pieces, 100, width)]
+        alone = [suffixes.parted([p], 100, width) for p in pieces]
+        owners = [k for k, x in enumerate(alone) for _ in x[0]]
+        assert found == [owners, *(np.concatenate(x).tolist() for x in list(zip(*alone))[1:])]
+        if width == suffixes.ANCHOR:
+            data = [np.frombuffer(p, np.uint8) for p in pieces]
+            assert found[1] == np.concatenate([suffixes.segments(d)[0] for d in data]).tolist()
+        if width == 100:
+            assert set(found[3]) == {1} and len(found[0]) == sum(len(p) - 99 for p in pieces)
