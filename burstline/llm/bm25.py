@@ -1,36 +1,32 @@
-"""Exact top-k search: BM25 over a sharded inverted index with block-max WAND pruning.
-
-Documents are dealt to shards by a hash of their id, one task per shard. The task builds its
-inverted lists, each with its largest impact and, block by block of neighbouring documents, the
-largest impact there, and answers all queries, which it reads from the shared folder a few at a
-time: its memory does not grow with their number, and queries are not shuffled to every shard.
-
-Lists of frequent words are laid out as rows too, an impact or zero for each document. A product of
-matrices gives, for some queries at a time, what all these lists together give to each document. It
-is in single precision and rounded up, so it is a bound, as block maxima are, with blocks of one
-document. The other lists of a query are taken in descending order of their bounds, weight times
-largest impact.
-
-1. The first lists, those of rare words, and the product tell some documents, which are scored in
-   full. The k-th best of them is the threshold.
-2. From the pivot list on, all remaining bounds together stay below the threshold, so a document
-   that is in none of the lists before it and of no frequent word is no result. Only the lists before
-   it are walked through, and give each of their documents a partial score.
-3. A document's bound is its partial score, the product and what the block maxima of the other lists
-   allow in its block. If the documents left have more words than those lists are worth, the lists
-   are walked through after all. Documents are scored in full in descending order of their bound, from
-   their own list of words, until no bound reaches the threshold, which rises on the way.
-
-All documents between two pivots are handled at once in arrays, where the textbook walks from one
-document to the next. Counts of documents, words and documents per term are those of the whole
-table, so scores of all shards compare, and the merged result is the exact top k.
+"""Exact top-k search: BM25 over a sharded inverted index, pruned by bounds of single documents.
+
+Documents are dealt to shards by a hash of their id, one task per shard. The task builds its index
+and answers all queries, which it reads from the shared folder a few at a time: its memory does not
+grow with their number, and queries are not shuffled to every shard.
+
+1. In a shard, documents with the same frequent words (a language, a subject) are of one kind, found
+   by the cosine to centers. Each kind has an index of its own, so that few words are frequent in it.
+2. Lists of frequent words are laid out as rows, an impact or zero for each document. A product of
+   matrices gives, for some queries at a time, what all these lists together give to each document.
+   Queries with few of these words, as those in another language, only read the rows they have.
+3. The other lists are short; they are walked through and added. All of this is in single precision
+   and rounded up, so it is a bound for the score of each document, though a close one.
+4. Documents are scored in full in descending order of their bounds, from their own list of words,
+   until no bound reaches the k-th best score, which rises on the way.
+
+A part of the shards is asked first. The k-th best of its scores is a threshold that all others know
+from the start, so there only documents that reach it are looked at. Counts of documents, words and
+documents per term are those of the whole table, so scores of all shards compare, and the merged
+result is the exact top k.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,16 +39,20 @@ from burstline.llm.minhash import word_hashes
 from burstline.llm.storage import Scratch, lean, release_unused, values
 
 K1, B = 1.2, 0.75
-BYTES_PER_SHARD = 32 << 20
-BLOCK = 64
-SEED_POSTINGS = 8192  # of the first lists, to find a threshold
-_WORD_COST = 4  # a posting of a list costs as much as so many words of a document
-SEEDS = 1  # times k documents are scored for it
-FREQUENT = 32  # lists with more than one of so many documents are laid out as rows
-FREQUENT_BYTES = 48 << 20  # of all rows; lists beyond stay inverted
-PRODUCT_BYTES = 16 << 20  # of the bounds of the queries taken together
+BYTES_PER_SHARD = 64 << 20
+FIRST = 8  # one of so many shards is asked first, if there are twice as many
+FREQUENT = 12  # lists with more than one of so many documents are laid out as rows
+FREQUENT_BYTES = 64 << 20  # of all rows; lists beyond stay inverted
+FEW = 40  # a query with at most one of so many of the rows does not read the others
+SEED_POSTINGS = 1 << 15  # walked through together
+BLOCK = 64  # documents and k more from which on some are scored for a threshold
+PRODUCT_BYTES = 24 << 20  # of the bounds of the queries taken together
 QUERIES_AT_ONCE = 256
+KINDS, KIND_WORDS, KIND_TURNS = 8, 256, 6
+LEAST_KIND = 500  # documents
 DECIMALS = 6  # scores are rounded to; equal scores rank by id
+MARGIN = 10.0**-DECIMALS  # rounding moves a score by half of it at most
+_LOW = 0 if sys.byteorder == "little" else 1  # half of a number of 64 bits
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -104,68 +104,100 @@ def _held(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "term long, n long, words long")
 
 
+def _counted(text: bytes | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the different words of a text, how often each occurs, and how many words there are."""
+    hashes = word_hashes(text or b"")
+    terms, counts = np.unique(hashes, return_counts=True)
+    return terms, counts.astype(np.int32), len(hashes)
+
+
+def _joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, kind)
+
+
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones, sorted, and the number of each; with less memory than ``np.unique``."""
+    terms = np.sort(hashes)
+    terms = terms[np.concatenate([[True], terms[1:] != terms[:-1]])] if len(terms) else terms
+    numbers = np.empty(len(hashes), np.int32)
+    for k in range(0, len(hashes), 1 << 18):
+        numbers[k : k + (1 << 18)] = np.searchsorted(terms, hashes[k : k + (1 << 18)])
+    return terms, numbers
+
+
 class Index:
-    """Inverted lists of one shard with their maxima and block maxima, and for each document the
-    places of its words in them. Documents are numbered by id."""
+    """The words of documents, rows of impacts for the lists of frequent words, and inverted lists of
+    the others. Documents are numbered by id."""
 
     def __init__(self, ids: np.ndarray, texts: list[bytes | None], mean: float):
         """``mean``: the words per document of the whole table."""
+        terms, counts, lengths = zip(*map(_counted, texts)) if texts else ((), (), ())
+        sizes = np.fromiter(map(len, terms), np.int64, len(terms))
+        norms = K1 * (1 - B + B * np.array(lengths, np.float64) / mean)
+        self.terms, word = _numbered(_joined(terms, np.uint64))
+        self._fill(ids, word, _joined(counts, np.int32), sizes, norms)
+
+    @classmethod
+    def of(cls, ids, terms, word, tf, sizes, norms) -> Index:
+        """The same of words that are numbered: sorted hashes, and of each document its words, how
+        often each occurs, how many these are, and its norm."""
+        own = cls.__new__(cls)
+        own.terms = terms
+        own._fill(ids, word, tf, sizes, norms)
+        return own
+
+    def _fill(self, ids, word, tf, sizes, norms) -> None:
         order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
-        terms, counts, sizes, norms = [], [], [], []
-        for k in order.tolist():
-            hashes = word_hashes(texts[k] or b"")
-            found, tf = np.unique(hashes, return_counts=True)
-            terms.append(found)
-            counts.append(tf.astype(np.int32))
-            sizes.append(len(found))
-            norms.append(K1 * (1 - B + B * len(hashes) / mean))
-        term = np.concatenate(terms) if terms else np.zeros(0, np.uint64)
-        del terms
-        self.terms, term = np.unique(term, return_inverse=True)
-        term = term.astype(np.int32)
-        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        tf = np.concatenate(counts).astype(np.float64) if counts else np.zeros(0)
-        del counts
-        impact = tf * (K1 + 1) / (tf + np.array(norms)[doc]) if len(doc) else tf
-        # By document: the words, and where each stands in its list.
+        self.ids, starts = ids[order], (np.cumsum(sizes) - sizes)[order]
+        sizes, self.norms = sizes[order], norms[order]
+        if (np.diff(order) != 1).any():
+            at = _ranges(starts, starts + sizes)
+            word, tf = word[at], tf[at]
+            del at
+        # By document: the words, and how often each occurs.
         self.begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        self.word = term
-        order = np.argsort(term, kind="stable")
-        self.place = np.empty(len(order), np.int32)
-        self.place[order] = np.arange(len(order), dtype=np.int32)
-        # By term: documents and impacts, and the maxima.
-        term, self.doc, self.impact = term[order], doc[order], impact[order]
-        del order, doc, impact
-        self.first = np.searchsorted(term, np.arange(len(self.terms) + 1))
-        block = self.doc // BLOCK
-        new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1))
-        self.blocks = block[new]
-        self.block_largest = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.first_block = np.searchsorted(term[new], np.arange(len(self.terms) + 1))
-        some = len(self.terms) > 0
-        self.largest = np.maximum.reduceat(self.impact, self.first[:-1]) if some else np.zeros(0)
+        self.word = word
+        self.tf = tf.astype(np.uint16) if tf.max(initial=0) < 1 << 16 else tf
+        self.sizes = np.bincount(word, minlength=len(self.terms))
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
         # Of the words of the query at hand.
         self.weight, self.wanted = np.zeros(len(self.terms)), np.zeros(len(self.terms), bool)
-        self._lay_out_frequent()
+        self._lay_out()
+        self.room = np.empty((0, len(self.ids)), np.float32)
         # Postings looked at one by one, so not in products, and of all lists of the queries.
         self.touched = self.asked = 0
 
-    def _lay_out_frequent(self) -> None:
-        """One row of impacts, zero where a document has none, for each list of a frequent word."""
-        sizes, documents = np.diff(self.first), max(len(self.ids), 1)
-        frequent = np.flatnonzero(sizes * FREQUENT > documents)
+    def _impacts(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        tf = self.tf[at].astype(np.float64)
+        return tf * (K1 + 1) / (tf + self.norms[doc])
+
+    def _lay_out(self) -> None:
+        """One row of impacts, zero where a document has none, for each list of a frequent word, and
+        the documents and impacts of the other lists."""
+        documents = max(len(self.ids), 1)
+        frequent = np.flatnonzero(self.sizes * FREQUENT > documents)
         room = FREQUENT_BYTES // (4 * documents)
         if len(frequent) > room:
-            frequent = np.sort(frequent[np.argsort(-sizes[frequent], kind="stable")[:room]])
+            frequent = np.sort(frequent[np.argsort(-self.sizes[frequent], kind="stable")[:room]])
         self.row = np.full(len(self.terms), -1, np.int32)
         self.row[frequent] = np.arange(len(frequent))
         self.rows = np.zeros((len(frequent), len(self.ids)), np.float32)
-        for row, term in zip(self.rows, frequent.tolist()):
-            at = slice(self.first[term], self.first[term + 1])
-            row[self.doc[at]] = self.impact[at]
+        doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.begin))
+        row = self.row[self.word]
+        at = np.flatnonzero(row >= 0)
+        self.rows[row[at], doc[at]] = self._impacts(at, doc[at])
         # A sum of so many products without negative ones is at most this much too small.
         self.above = np.float32(1 + (len(frequent) + 4) * 2.0**-23)
+        at = np.flatnonzero(row < 0)
+        del row
+        at = at[np.argsort(self.word[at], kind="stable")]
+        # A posting is the document and its impact, the bits of a float.
+        self.postings = doc[at].astype(np.uint64) << np.uint64(32)
+        for k in range(0, len(at), SEED_POSTINGS):
+            some = at[k : k + SEED_POSTINGS]
+            impact = self._impacts(some, doc[some]).astype(np.float32)
+            self.postings[k : k + SEED_POSTINGS] |= impact.view(np.uint32)
+        self.start = np.concatenate([[0], np.cumsum(np.where(self.row < 0, self.sizes, 0))])
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether there is a list of each hash, and its number."""
@@ -182,94 +214,67 @@ class Index:
         self, asked: list[tuple[np.ndarray, np.ndarray]], k: int
     ) -> Iterator[list[tuple[float, int]]]:
         """The same for the lists and weights of each of several queries."""
-        step = max(1, PRODUCT_BYTES // (4 * max(len(self.ids), 1)))
-        for start in range(0, len(asked), step):
-            some = asked[start : start + step]
-            factors = np.zeros((len(some), len(self.rows)), np.float32)
-            for row, (lists, weights) in zip(factors, some):
-                frequent = self.row[lists] >= 0
-                row[self.row[lists[frequent]]] = weights[frequent]
-            given = factors @ self.rows
-            given *= self.above
-            for (lists, weights), most in zip(some, given):
-                self.asked += int((self.first[lists + 1] - self.first[lists]).sum())
-                self.weight[lists], self.wanted[lists] = weights, True
-                try:
-                    rare = self.row[lists] < 0
-                    yield self._best(lists[rare], weights[rare], most, k)
-                finally:
-                    self.weight[lists], self.wanted[lists] = 0, False
-
-    def _best(self, lists, weights, most, k: int) -> list[tuple[float, int]]:
-        """Of the rare words' lists and ``most``, what the frequent ones give at most to each document."""
-        bounds = weights * self.largest[lists]
-        order = np.argsort(-bounds, kind="stable")
-        lists, weights, bounds = lists[order], weights[order], bounds[order]
-        sizes = self.first[lists + 1] - self.first[lists]
-        seeding = max(1, int(np.searchsorted(np.cumsum(sizes), SEED_POSTINGS, "right")))
-        partial = most + self._partial(lists[:seeding], weights[:seeding])
-        count = min(SEEDS * k, len(partial))
-        seeds = np.argpartition(partial, len(partial) - count)[len(partial) - count :]
-        seeds = seeds[partial[seeds] > 0]
-        best, docs = self._ranked(self._scores(seeds), seeds, k)
-        partial[seeds] = -math.inf
-        enough = best[-1] if len(best) == k else -math.inf
-        # Rounding moves a score by half of the last decimal at most.
-        margin = 10.0**-DECIMALS
-        rest = np.append(np.cumsum(bounds[::-1])[::-1], 0.0)
-        pivot = min(int(np.searchsorted(-rest, -(enough - margin), "right")), len(lists))
-        if pivot > seeding:
-            partial += self._partial(lists[seeding:pivot], weights[seeding:pivot])
-        pivot = max(pivot, min(seeding, len(lists)))
-        able = np.flatnonzero((partial > 0) & (partial >= enough - margin - rest[pivot]))
-        bound = partial[able] + rest[pivot]
-        if pivot < len(lists) and len(able):
-            allowed = self._allowed(lists[pivot:], weights[pivot:])
-            bound = partial[able] + allowed[able // BLOCK]
-            able, bound = able[bound >= enough - margin], bound[bound >= enough - margin]
-            # With many left, the other lists are cheaper than the documents themselves.
-            if self._words(able) > _WORD_COST * int(sizes[pivot:].sum()):
-                partial += self._partial(lists[pivot:], weights[pivot:])
-                able = able[partial[able] >= enough - margin]
-                bound = partial[able]
-        if len(able):
-            order = np.argsort(-bound, kind="stable")
-            able, bound = able[order], bound[order]
-        done, width = 0, SEEDS * k
-        while done < len(able) and bound[done] >= enough - margin:
-            some = able[done : done + width]
-            some = some[bound[done : done + width] >= enough - margin]
-            scores = np.concatenate([best, self._scores(some)])
-            best, docs = self._ranked(scores, np.concatenate([docs, some]), k)
-            enough = best[-1] if len(best) == k else -math.inf
-            done += width
-            width *= 2
-        return list(zip(best.tolist(), self.ids[docs].tolist()))
-
-    def _words(self, docs: np.ndarray) -> int:
-        """How many words some documents have."""
-        return int((self.begin[docs + 1] - self.begin[docs]).sum())
-
-    @staticmethod
-    def _ranked(scores: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The best, equal ones by number, which is by id."""
-        order = np.lexsort((docs, -scores))[:k]
-        return scores[order], docs[order]
+        yield from Shard([self]).tops([asked], [-math.inf] * len(asked), k)
+
+    def bounds(self, asked: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray) -> None:
+        """Into ``most``: for the lists and weights of each query, what they give to each document, and
+        a little more, as much as rounding may take away."""
+        sizes = np.fromiter((len(lists) for lists, _ in asked), np.int64, len(asked))
+        lists = _joined([x for x, _ in asked], np.int32)
+        weights = _joined([x for _, x in asked], np.float64).astype(np.float32)
+        query = np.repeat(np.arange(len(asked)), sizes)
+        self.asked += int(self.sizes[lists].sum())
+        row = self.row[lists]
+        at = np.flatnonzero(row >= 0)
+        factors = np.zeros((len(asked), len(self.rows)), np.float32)
+        factors[query[at], row[at]] = weights[at]
+        few = np.bincount(query[at], minlength=len(asked)) * FEW <= len(self.rows)
+        own, others = np.flatnonzero(few), np.flatnonzero(~few)
+        used = np.flatnonzero(factors[own].any(axis=0))
+        if len(others) == len(asked) or 2 * len(used) > len(self.rows):
+            np.matmul(factors, self.rows, out=most)
+        else:
+            most[own] = self._product(factors[np.ix_(own, used)], self.rows[used])
+            most[others] = self._product(factors[others], self.rows)
+        at = np.flatnonzero(row < 0)
+        lists, weights, query = lists[at], weights[at], query[at]
+        starts = self.start[lists]
+        lengths = self.start[lists + 1] - starts
+        self.touched += int(lengths.sum())
+        # So many postings at a time, and those of one query together.
+        edges = np.arange(SEED_POSTINGS, int(lengths.sum()), SEED_POSTINGS)
+        edges = [0, *np.searchsorted(np.cumsum(lengths), edges).tolist(), len(lists)]
+        for a, b in zip(edges, edges[1:]):
+            own = lengths[a:b]
+            found = self.postings.take(_ranges(starts[a:b], starts[a:b] + own), mode="clip")
+            given = found.view(np.float32)[_LOW::2] * np.repeat(weights[a:b], own)
+            found >>= np.uint64(32)
+            for q, x, y in _runs(query[a:b], own):
+                np.add.at(most[q], found[x:y].view(np.int64), given[x:y])
+        most *= self.above * np.float32(1 + (int(sizes.max(initial=0)) + 4) * 2.0**-23)
+
+    def _product(self, factors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """In memory that the next call takes again."""
+        if len(self.room) < len(factors):
+            self.room = np.empty((len(factors), len(self.ids)), np.float32)
+        return np.matmul(factors, rows, out=self.room[: len(factors)])
 
     def _partial(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What some lists give to each document."""
-        at = _ranges(self.first[lists], self.first[lists + 1])
-        self.touched += len(at)
-        sizes = self.first[lists + 1] - self.first[lists]
-        given = self.impact[at] * np.repeat(weights, sizes)
-        return np.bincount(self.doc[at], given, len(self.ids))
-
-    def _allowed(self, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What some lists can give at most to a document of each block."""
-        at = _ranges(self.first_block[lists], self.first_block[lists + 1])
-        sizes = self.first_block[lists + 1] - self.first_block[lists]
-        blocks = len(self.ids) // BLOCK + 1
-        return np.bincount(self.blocks[at], self.block_largest[at] * np.repeat(weights, sizes), blocks)
+        self.touched += int(self.sizes[lists].sum())
+        weight = np.zeros(len(self.terms))
+        weight[lists] = weights
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(self.begin))
+        given = weight[self.word] * self._impacts(np.arange(len(self.word)), doc)
+        return np.bincount(doc, given, len(self.ids))
+
+    def scores(self, lists: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Full scores of some documents."""
+        self.weight[lists], self.wanted[lists] = weights, True
+        try:
+            return self._scores(docs)
+        finally:
+            self.weight[lists], self.wanted[lists] = 0, False
 
     def _scores(self, docs: np.ndarray) -> np.ndarray:
         """Full scores, from the words of each document."""
@@ -283,7 +288,7 @@ class Index:
         ends = np.cumsum(stops - starts)
         owner = np.searchsorted(ends, asked, "right")
         at = asked + (stops - ends)[owner]
-        given = self.weight[word[asked]] * self.impact[self.place[at]]
+        given = self.weight[word[asked]] * self._impacts(at, docs[owner])
         return np.round(np.bincount(owner, given, len(docs)), DECIMALS)
 
 
@@ -294,6 +299,190 @@ def _ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))
 
 
+def _runs(owner: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Of things with an owner, sorted by it, and a size: each owner and the range of its own."""
+    if not len(owner):
+        return
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    ends = edges[np.append(first[1:], len(owner))]
+    yield from zip(owner[first].tolist(), edges[first].tolist(), ends.tolist())
+
+
+def kinds(word: np.ndarray, sizes: np.ndarray, terms: int) -> np.ndarray:
+    """The kind of each document, so that those of a kind have the same frequent words: a language, a
+    subject, a length. Found by the cosine to centers, which are means of their documents."""
+    documents = len(sizes)
+    if documents < 2 * LEAST_KIND:
+        return np.zeros(documents, np.int64)
+    often = np.bincount(word, minlength=terms)
+    often = np.argsort(-often, kind="stable")[:KIND_WORDS]
+    number = np.full(terms, -1, np.int32)
+    number[often] = np.arange(len(often))
+    number = number[word]
+    at = np.flatnonzero(number >= 0)
+    has = np.zeros((documents, len(often)), np.float32)
+    has[np.repeat(np.arange(documents), sizes)[at], number[at]] = 1
+    has /= np.maximum(np.sqrt(has.sum(axis=1, keepdims=True)), 1)
+    some = has[:: max(1, documents // 512)]
+    some = some[some.any(axis=1)]
+    if not len(some):
+        return np.zeros(documents, np.int64)
+    # Each center to begin with is the document least like those before.
+    chosen, like = [], some @ some.sum(axis=0)
+    for _ in range(min(KINDS, len(some))):
+        chosen.append(int(np.argmin(like)) if chosen else int(np.argmax(like)))
+        own = some @ some[chosen[-1]]
+        like = np.maximum(like, own) if len(chosen) > 1 else own
+    centers = some[chosen]
+    for turn in range(KIND_TURNS + 1):
+        label = np.argmax(has @ centers.T, axis=1)
+        sizes_of = np.bincount(label, minlength=len(centers))
+        if turn == KIND_TURNS:
+            break
+        if turn == KIND_TURNS - 1:
+            least = max(LEAST_KIND, documents // 32)
+            large = np.flatnonzero(sizes_of >= least)
+            centers = centers[large if len(large) else [int(np.argmax(sizes_of))]]
+            continue
+        sums = np.stack([has[label == c].sum(axis=0) for c in range(len(centers))])
+        length = np.sqrt(np.square(sums).sum(axis=1, keepdims=True))
+        centers = np.where(length > 0, sums / np.maximum(length, 1e-9), centers)
+    return label
+
+
+class Shard:
+    """Indexes of documents of a kind each, asked together."""
+
+    def __init__(self, indexes: list[Index]):
+        self.indexes = indexes
+        self.terms = indexes[0].terms
+        if len(indexes) > 1:
+            self.terms = np.unique(np.concatenate([x.terms for x in indexes]))
+        self.lists = []
+        for index in indexes:
+            own = np.full(len(self.terms), -1, np.int32)
+            own[np.searchsorted(self.terms, index.terms)] = np.arange(len(index.terms))
+            self.lists.append(own)
+        bits = max(1, len(self.terms).bit_length())
+        self.shift = np.uint64(64 - bits)
+        leading = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.leading = np.minimum(np.searchsorted(self.terms, leading), max(len(self.terms) - 1, 0))
+
+    @classmethod
+    def of(cls, ids: np.ndarray, terms: list, counts: list, lengths: list, mean: float) -> Shard:
+        """Of documents, hashes and counts of the words of each, which are taken out of the lists."""
+        sizes = np.fromiter(map(len, terms), np.int64, len(terms))
+        norms = K1 * (1 - B + B * np.array(lengths, np.float64) / mean)
+        hashes = _joined(terms, np.uint64)
+        terms.clear()
+        terms, word = _numbered(hashes)
+        del hashes
+        tf = _joined(counts, np.int32)
+        counts.clear()
+        label = kinds(word, sizes, len(terms))
+        begin, indexes = np.cumsum(sizes) - sizes, []
+        for kind in np.unique(label).tolist():
+            own = np.flatnonzero(label == kind)
+            at = _ranges(begin[own], begin[own] + sizes[own])
+            has = np.bincount(word[at], minlength=len(terms)) > 0
+            number = (np.cumsum(has) - 1).astype(np.int32)
+            indexes.append(
+                Index.of(ids[own], terms[has], number[word[at]], tf[at], sizes[own], norms[own])
+            )
+        return cls(indexes)
+
+    def known(self, terms: list[np.ndarray], weights: list[np.ndarray]) -> list[list[tuple]]:
+        """For each index, the lists and weights of each query."""
+        sizes = np.fromiter(map(len, terms), np.int64, len(terms))
+        ends = np.cumsum(sizes)
+        found, at = self._found(_joined(terms, np.uint64))
+        weight, out = _joined(weights, np.float64)[found], []
+        before = np.concatenate([[0], np.cumsum(found)])
+        starts, ends = before[ends - sizes], before[ends]
+        for lists in self.lists:
+            own = lists[at]
+            has = np.flatnonzero(own >= 0)
+            lists_of, weights_of = own[has], weight[has]
+            spans = zip(np.searchsorted(has, starts).tolist(), np.searchsorted(has, ends).tolist())
+            out.append([(lists_of[a:b], weights_of[a:b]) for a, b in spans])
+        return out
+
+    def _found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is there, and the numbers of those that are."""
+        if not len(self.terms):
+            return np.zeros(len(hashes), bool), np.zeros(0, np.int64)
+        # The first term with these leading bits, and then, as hashes are even, few steps.
+        at = self.leading[(hashes >> self.shift).astype(np.int64)]
+        below = np.arange(len(hashes))
+        for _ in range(8):
+            below = below[self.terms[at[below]] < hashes[below]]
+            at[below] += 1
+            below = below[at[below] < len(self.terms)]
+        rest = below[self.terms[at[below]] < hashes[below]]
+        at[rest] = np.searchsorted(self.terms, hashes[rest])
+        np.minimum(at, len(self.terms) - 1, out=at)
+        found = self.terms[at] == hashes
+        return found, at[found]
+
+    def tops(
+        self, asked: list[list[tuple]], enough: list[float], k: int
+    ) -> Iterator[list[tuple[float, int]]]:
+        """For each query, the (score, id) of its k best documents, if they reach ``enough``. ``asked``
+        has for each index the lists and weights of each query."""
+        documents = sum(len(x.ids) for x in self.indexes)
+        step = max(1, min(len(enough), PRODUCT_BYTES // (4 * max(documents, 1))))
+        room = [np.empty((step, len(x.ids)), np.float32) for x in self.indexes]
+        for start in range(0, len(enough), step):
+            some = [x[start : start + step] for x in asked]
+            least = np.maximum(np.array(enough[start : start + step]) - MARGIN, 0)
+            most = [x[: len(least)] for x in room]
+            reached = np.zeros(len(least), bool)
+            for index, own, bounds in zip(self.indexes, some, most):
+                index.bounds(own, bounds)
+                largest = bounds.max(axis=1, initial=0)
+                reached |= (largest > 0) & (largest >= least)
+            for n in range(len(least)):
+                if not reached[n]:
+                    yield []
+                    continue
+                bounds = [x[n] for x in most]
+                yield self._best([x[n] for x in some], bounds, enough[start + n], k)
+
+    def _best(self, asked: list[tuple], most: list[np.ndarray], enough: float, k: int) -> list[tuple]:
+        """Documents are scored in descending order of ``most``, until it is below the k-th best."""
+        edges = np.cumsum([0, *map(len, most)])
+        most = np.concatenate(most)
+        least, first = max(enough - MARGIN, 0), np.zeros(0, np.int64)
+        best, ids = np.zeros(0), np.zeros(0, np.int64)
+        if enough <= 0 and len(most) > BLOCK + k:  # some for a threshold
+            first = np.argpartition(most, len(most) - k)[len(most) - k :]
+            best, ids = self._merged(asked, edges, first[most[first] > 0], best, ids, enough, k)
+            least = max(least, best[-1] - MARGIN) if len(best) == k else least
+            most[first] = 0
+        able = np.flatnonzero((most > 0) & (most >= least))
+        able = able[np.argsort(-most[able], kind="stable")]
+        done, width = 0, k
+        while done < len(able) and most[able[done]] >= least:
+            some = able[done : done + width]
+            some = some[most[some] >= least]
+            best, ids = self._merged(asked, edges, some, best, ids, enough, k)
+            least = max(least, best[-1] - MARGIN) if len(best) == k else least
+            done, width = done + width, 2 * width
+        return list(zip(best.tolist(), ids.tolist()))
+
+    def _merged(self, asked, edges, docs, best, ids, enough: float, k: int):
+        """The k best of some and of these documents, whose number counts through the indexes."""
+        for index, own, a, b in zip(self.indexes, asked, edges, edges[1:]):
+            some = docs[(docs >= a) & (docs < b)] - a
+            if len(some):
+                best = np.concatenate([best, index.scores(*own, some)])
+                ids = np.concatenate([ids, index.ids[some]])
+        order = np.lexsort((ids, -best))
+        order = order[(best[order] > 0) & (best[order] >= enough)][:k]
+        return best[order], ids[order]
+
+
 _FOUND = pa.schema(
     [
         ("query_id", pa.int64()),
@@ -302,8 +491,8 @@ _FOUND = pa.schema(
 )
 
 
-def _queries(root: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Id, sorted hashes and weights of each query of a stored table, few in memory at a time."""
+def _queries(root: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, float]]:
+    """Id, hashes, weights and threshold of each query of a stored table, few in memory at a time."""
     system, folder = fs.FileSystem.from_uri(root)
     for info in system.get_file_info(fs.FileSelector(folder)):
         if not info.base_name.endswith(".parquet") or info.base_name[0] in "_.":
@@ -311,50 +500,57 @@ def _queries(root: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         with system.open_input_file(info.path) as source:
             file = pq.ParquetFile(source, buffer_size=1 << 20)
             for batch in file.iter_batches(QUERIES_AT_ONCE, use_threads=False):
-                asked = batch.column(batch.schema.get_field_index("asked"))
-                ids = batch.column(batch.schema.get_field_index("query_id")).to_pylist()
-                for query, words in zip(ids, asked):
-                    term = words.values.field("term").to_numpy().view(np.uint64)
-                    order = np.argsort(term, kind="stable")
-                    yield query, term[order], words.values.field("idf").to_numpy()[order]
-
-
-def _answered(index: Index, queries: Iterator, k: int) -> Iterator[pa.RecordBatch]:
-    """The hits of a shard for each query with a word in it, in small batches."""
-    names, asked = [], []
-
-    def found() -> pa.RecordBatch:
+                ids, enough = (batch.column(x).to_pylist() for x in ("query_id", "enough"))
+                asked = batch.column("asked")
+                edges = asked.offsets.to_pylist()
+                term = asked.values.field("term").to_numpy().view(np.uint64)
+                idf = asked.values.field("idf").to_numpy()
+                for query, least, a, b in zip(ids, enough, edges, edges[1:]):
+                    yield query, term[a:b], idf[a:b], least
+
+
+def _answered(index: Index | Shard, queries: Iterator, k: int) -> Iterator[pa.RecordBatch]:
+    """The hits of a shard for each query with a word in it, in small batches. After a query's id,
+    hashes and weights may come a threshold."""
+    shard = index if isinstance(index, Shard) else Shard([index])
+
+    def found(some: list[tuple]) -> pa.RecordBatch:
+        names, terms, weights, *enough = zip(*some) if some else ((), (), ())
+        asked = shard.known(terms, weights)
+        enough = enough[0] if enough else [-math.inf] * len(names)
         rows = [
             {"query_id": name, "hits": [{"score": score, "doc_id": doc} for score, doc in hits]}
-            for name, hits in zip(names, index.tops(asked, k))
+            for name, hits in zip(names, shard.tops(asked, enough, k))
+            if hits
         ]
         return pa.RecordBatch.from_pylist(rows, _FOUND)
 
-    for query, terms, weights in queries:
-        own, lists = index.known(terms)
-        if own.any():
-            names.append(query)
-            asked.append((lists[own], weights[own]))
-        if len(names) == QUERIES_AT_ONCE:
-            yield found()
-            names, asked = [], []
-    yield found()
+    some = []
+    for query in queries:
+        some.append(query)
+        if len(some) == QUERIES_AT_ONCE:
+            yield found(some)
+            some = []
+    yield found(some)
 
 
 def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) -> DataFrame:
     """The hits of each shard for the queries stored at ``root``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts = [], []
+        ids, terms, counts, lengths = [], [], [], []
         for batch in batches:
             ids += batch.column("doc_id").to_pylist()
-            texts += batch.column("text").to_pylist()
+            for found, tf, words in map(_counted, values(batch.column("text"))):
+                terms.append(found)
+                counts.append(tf)
+                lengths.append(words)
         if not ids:
             return
-        index = Index(np.array(ids, np.int64), texts, mean)
-        del ids, texts
+        shard = Shard.of(np.array(ids, np.int64), terms, counts, lengths, mean)
+        del ids, lengths
         release_unused()
-        yield from _answered(index, _queries(root), k)
+        yield from _answered(shard, _queries(root), k)
 
     hits = "query_id long, hits array<struct<score:double,doc_id:long>>"
     # A shard is a partition, so a task has one and not what a hash of its number deals to it.
@@ -362,6 +558,12 @@ def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) ->
     return dealt.select("doc_id", "text").mapInArrow(lean(run), hits)
 
 
+def _least(found: DataFrame, k: int) -> DataFrame:
+    """The k-th best of any shard, a bound for the k-th best of all."""
+    last = F.when(F.size("hits") == k, F.col("hits")[k - 1]["score"]).otherwise(0.0)
+    return found.groupBy("query_id").agg(F.max(last).alias("enough"))
+
+
 def search(
     queries: DataFrame, documents: DataFrame, k: int = 10, query_terms: int | None = None
 ) -> DataFrame:
@@ -394,19 +596,27 @@ def search(
         weighted = weighted.withColumn("place", F.row_number().over(order))
         weighted = weighted.filter(F.col("place") <= query_terms)
     terms = F.collect_list(F.struct("term", "idf")).alias("asked")
-    scratch.store(weighted.groupBy("query_id").agg(terms), "weighted")
+    weighted = weighted.groupBy("query_id").agg(terms)
+    weighted = scratch.store(weighted.withColumn("enough", F.lit(0.0)), "weighted")
     scratch.drop("asked", "held")
     scratch.release()
 
     known = placed.filter(F.col("doc_id").isNotNull())
-    found = _searched(known, shards, scratch.path("weighted"), max(words, 1) / max(total, 1), k)
-    found = scratch.store(found, "found")
+    mean, first = max(words, 1) / max(total, 1), shards // FIRST if shards >= 2 * FIRST else 0
+    parts, root = [], "weighted"
+    if first:
+        some = known.filter(F.col("shard") < first)
+        parts.append(scratch.store(_searched(some, first, scratch.path(root), mean, k), "first"))
+        scratch.release()
+        weighted = weighted.drop("enough").join(_least(parts[0], k), "query_id", "left")
+        scratch.store(weighted.fillna(0.0, "enough"), root := "bounded")
+        scratch.drop("weighted")
+        known = known.filter(F.col("shard") >= first).withColumn("shard", F.col("shard") - first)
+    parts.append(scratch.store(_searched(known, shards - first, scratch.path(root), mean, k), "found"))
     scratch.release()
-    # The k-th best of any shard is a bound for the k-th best of all.
-    last = F.when(F.size("hits") == k, F.col("hits")[k - 1]["score"]).otherwise(0.0)
-    bounds = found.groupBy("query_id").agg(F.max(last).alias("bound"))
-    hits = F.filter("hits", lambda x: x["score"] >= F.col("bound"))
-    found = found.join(bounds, "query_id").select("query_id", F.inline(hits))
+    found = reduce(DataFrame.union, parts)
+    hits = F.filter("hits", lambda x: x["score"] >= F.col("enough"))
+    found = found.join(_least(found, k), "query_id").select("query_id", F.inline(hits))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("long"), "doc_id", "score")

@@ -207,3 +207,100 @@ def test_a_text_of_several_megabytes(spark):
     got = sorted((q, r, i, round(s, 6)) for q, r, i, s in map(tuple, out.collect()))
     truth = brute(rows[:2], rows, 10)
     assert [x[:3] for x in got] == [x[:3] for x in truth] and len(got) == 6
+
+
+def languages(rows, seed):
+    """Texts of two languages that share some words, short and long ones."""
+    rng, texts = np.random.default_rng(seed), []
+    for k in range(rows):
+        words = np.minimum(rng.zipf(1.3, rng.integers(5, 400 if k % 9 == 0 else 60)), 3000)
+        shared = rng.random(len(words)) < 0.1
+        texts.append(b" ".join(b"%c%d" % (b"s" if s else b"ab"[k % 2 : k % 2 + 1], w) for w, s in zip(words, shared)))
+    return texts
+
+
+def shard_of(texts, ids=None):
+    terms, counts, lengths = (list(x) for x in zip(*map(bm25._counted, texts)))
+    mean = float(np.mean(lengths))
+    return bm25.Shard.of(np.arange(len(texts)) if ids is None else ids, terms, counts, lengths, mean)
+
+
+def known_by(shard, texts):
+    terms = [np.unique(bm25.word_hashes(t)) for t in texts]
+    return shard.known(terms, [1 + (t % np.uint64(97)).astype(np.float64) / 9 for t in terms])
+
+
+def scored(shard, asked, n):
+    """Scores and ids of all documents for a query, best first."""
+    scores = [np.round(x._partial(*own[n]), bm25.DECIMALS) for x, own in zip(shard.indexes, asked)]
+    scores, ids = np.concatenate(scores), np.concatenate([x.ids for x in shard.indexes])
+    order = np.lexsort((ids, -scores))
+    return [(scores[d], ids[d]) for d in order if scores[d] > 0]
+
+
+def test_languages_are_kinds(monkeypatch):
+    monkeypatch.setattr(bm25, "LEAST_KIND", 100)
+    shard = shard_of(languages(2000, 4))
+    assert len(shard.indexes) > 1
+    assert all(len(set((x.ids % 2).tolist())) == 1 or len(x.ids) < 400 for x in shard.indexes)
+    assert sorted(np.concatenate([x.ids for x in shard.indexes]).tolist()) == list(range(2000))
+
+
+def test_kinds_of_one_shard_answer_as_one_index(monkeypatch):
+    monkeypatch.setattr(bm25, "LEAST_KIND", 100)
+    monkeypatch.setattr(bm25, "SEED_POSTINGS", 100)
+    texts = languages(1500, 5)
+    texts += [texts[3]] * 20 + [b"", None] + [b"s1 " * 9] * 30
+    ids = np.random.default_rng(5).permutation(len(texts)) // 2  # some share an id
+    shard = shard_of(texts, ids)
+    assert len(shard.indexes) > 1
+    asked = known_by(shard, [*texts[:300:7], b"unknown", b""])
+    found = list(shard.tops(asked, [-math.inf] * 45, 10))
+    for n, hits in enumerate(found):
+        expected = scored(shard, asked, n)[:10]
+        assert [d for _, d in hits] == [d for _, d in expected]
+        assert np.allclose([s for s, _ in hits], [s for s, _ in expected], atol=2e-6)
+    assert found[-2:] == [[], []]
+
+
+def test_documents_below_a_threshold_are_not_scored():
+    texts = languages(1200, 6)
+    shard = shard_of(texts)
+    asked = known_by(shard, texts[:40])
+    every = [scored(shard, asked, n) for n in range(40)]
+    calls = []
+    for index in shard.indexes:
+        index.scores = lambda *x, own=index.scores: calls.append(len(x[2])) or own(*x)
+    # As far as the fourth, and with equal ones; and nothing.
+    for place, most in ((3, 14), (0, 2)):
+        calls.clear()
+        found = list(shard.tops(asked, [hits[place][0] for hits in every], 10))
+        for hits, expected in zip(found, every):
+            reach = [x for x in expected if x[0] >= expected[place][0] - 2e-6][:10]
+            assert [d for _, d in hits] == [d for _, d in reach]
+        assert sum(calls) <= 40 * most
+    calls.clear()
+    assert list(shard.tops(asked, [hits[0][0] + 1 for hits in every], 10)) == [[]] * 40 and not calls
+
+
+def test_shards_asked_later_know_a_threshold(spark, monkeypatch):
+    monkeypatch.setattr(bm25, "BYTES_PER_SHARD", 1500)
+    stored, store = {}, bm25.Scratch.store
+
+    def kept(self, frame, name):
+        stored[name] = store(self, frame, name)
+        if name in ("first", "found"):
+            stored[name] = [len(r.hits) for r in stored[name].collect()]
+            return store(self, spark.read.parquet(self.path(name)), f"{name} again")
+        return stored[name]
+
+    monkeypatch.setattr(bm25.Scratch, "store", kept)
+    rows = planted()
+    queries = [r for r in rows if r[0] is not None and r[0] % 35 == 0]
+    make = lambda x: spark.createDataFrame(x, "doc_id long, text string").repartition(3)
+    out = bm25.search(make(queries), make(rows), 3)
+    got = sorted((q, r, i, round(s, 6)) for q, r, i, s in map(tuple, out.collect()))
+    truth = brute(queries, rows, 3)
+    assert [x[:3] for x in got] == [x[:3] for x in truth]
+    # Without a threshold, these would be as many a shard as in the first ones, over seven times as many.
+    assert len(stored["first"]) and sum(stored["found"]) < 5.5 * sum(stored["first"])
