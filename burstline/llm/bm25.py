@@ -559,9 +559,10 @@ def _searched(placed: DataFrame, shards: int, root: str, mean: float, k: int) ->
 
 
 def _least(found: DataFrame, k: int) -> DataFrame:
-    """The k-th best of any shard, a bound for the k-th best of all."""
-    last = F.when(F.size("hits") == k, F.col("hits")[k - 1]["score"]).otherwise(0.0)
-    return found.groupBy("query_id").agg(F.max(last).alias("enough"))
+    """The k-th best score of the shards asked, a bound for the k-th best of all."""
+    scores = F.sort_array(F.flatten(F.collect_list("hits.score")), asc=False)
+    least = F.coalesce(F.get(scores, F.lit(k - 1)), F.lit(0.0))
+    return found.groupBy("query_id").agg(least.alias("enough"))
 
 
 def search(

@@ -303,4 +303,11 @@ def test_shards_asked_later_know_a_threshold(spark, monkeypatch):
     truth = brute(queries, rows, 3)
     assert [x[:3] for x in got] == [x[:3] for x in truth]
     # Without a threshold, these would be as many a shard as in the first ones, over seven times as many.
-    assert len(stored["first"]) and sum(stored["found"]) < 5.5 * sum(stored["first"])
+    assert len(stored["first"]) and sum(stored["found"]) < 4.5 * sum(stored["first"])
+
+
+def test_a_threshold_is_of_all_shards_asked(spark):
+    hits = "query_id long, hits array<struct<score:double,doc_id:long>>"
+    rows = [(1, [(9.0, 1), (5.0, 2)]), (1, [(8.0, 3), (7.0, 4)]), (2, [(3.0, 1)]), (3, [(2.0, 1)]), (3, [(2.0, 5)])]
+    least = bm25._least(spark.createDataFrame(rows, hits), 2)
+    assert sorted(map(tuple, least.collect())) == [(1, 8.0), (2, 0.0), (3, 2.0)]
